@@ -1,0 +1,233 @@
+"""Query catalogue: one Spark query per operator, each with its DuckDB oracle.
+
+Every query reads the benchmark tables (or frames Spark derives from them) in full,
+so its work grows with the tables. Oracles use the same derivation expressions in SQL.
+Money/ratio sums are rounded on both sides; load timestamps are never emitted.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.operators import joins, report
+from strata.plans import derive
+from strata.plans.derive import SQL_SOURCES
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, oracle: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return fn
+    return deco
+
+
+def sources(spark: SparkSession, sf_dir: str):
+    return (derive.banks(spark, sf_dir), derive.complaints(spark, sf_dir),
+            derive.employers(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Flagship: banks ⋈ (tax id OR name) complaints ⋈ employers, two-level report
+# ---------------------------------------------------------------------------
+SQL_LEVEL1 = """level1 AS (
+  SELECT max(b.nom_segto_instituicao) AS nom_segto_instituicao, b.num_cnpj_instituicao,
+         max(b.nom_instituicao) AS nom_instituicao,
+         max(c.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
+         max(c.qtd_totl_recl) AS qtd_totl_recl, max(c.vlr_ind_recl) AS vlr_ind_recl,
+         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
+         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
+  FROM banks b
+  JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+                    OR b.nom_instituicao = c.nom_instituicao
+  JOIN employers e ON b.nom_instituicao = e.nom_instituicao
+  GROUP BY b.num_cnpj_instituicao)"""
+
+SQL_LEVEL2 = """level2 AS (
+  SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao,
+         max(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
+         avg(vlr_ind_recl) AS avg_ind_recl,
+         sum(qtd_totl_recl) AS sum_qtd_totl_recl,
+         avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
+         avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
+  FROM level1 GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao)"""
+
+SQL_FINAL_SNAPSHOT = """SELECT nom_instituicao AS nome_banco,
+       CAST(num_cnpj_instituicao AS BIGINT) AS cnpj,
+       nom_segto_instituicao AS classificacao_banco,
+       TRY_CAST(max_qtd_totl_clie_ccs_scr AS INTEGER) AS quantidade_clientes_banco,
+       CAST(avg_ind_recl AS FLOAT) AS indice_reclamacoes,
+       TRY_CAST(sum_qtd_totl_recl AS INTEGER) AS quantidade_reclamacoes,
+       CAST(avg_ind_geral_instituicao AS FLOAT) AS indice_satisfacao_funcionarios_bancos,
+       CAST(avg_ind_remu_bene_instituicao AS FLOAT)
+         AS "indice_satisfação_salarios_funcionarios_bancos"
+FROM level2"""
+
+SQL_REPORT_CTES = f"WITH {SQL_SOURCES},\n{SQL_LEVEL1},\n{SQL_LEVEL2}"
+SQL_FLAGSHIP = f"{SQL_REPORT_CTES}\n{SQL_FINAL_SNAPSHOT}"
+
+
+def flagship_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    banks, complaints, employers = sources(spark, sf_dir)
+    return report.finalize_report(report.snapshot_report(banks, complaints, employers))
+
+
+register("flagship_report", SQL_FLAGSHIP)(flagship_report)
+
+
+@register("flagship_report_unaggregated", SQL_FLAGSHIP)
+def flagship_report_unaggregated(spark, sf_dir):
+    """Same report without the collapse-before-join rewrite (equivalence witness)."""
+    banks, complaints, employers = sources(spark, sf_dir)
+    return report.finalize_report(
+        report.snapshot_report(banks, complaints, employers, pre_aggregate=False))
+
+
+# ---------------------------------------------------------------------------
+# Key-or-name join: bag and set forms
+# ---------------------------------------------------------------------------
+@register("or_join_bag", f"""WITH {SQL_SOURCES}
+SELECT b.num_cnpj_instituicao, count(*) AS n_matches,
+       max(c.qtd_totl_recl) AS max_qtd_totl_recl,
+       CAST(sum(c.qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl,
+       count(c.num_cnpj_instituicao) AS n_with_key
+FROM banks b JOIN complaints c
+  ON b.num_cnpj_instituicao = c.num_cnpj_instituicao OR b.nom_instituicao = c.nom_instituicao
+GROUP BY b.num_cnpj_instituicao""")
+def or_join_bag(spark, sf_dir):
+    banks, complaints, _ = sources(spark, sf_dir)
+    comp = complaints.select("num_cnpj_instituicao", "nom_instituicao", "qtd_totl_recl")
+    m = joins.or_equi_join(banks, comp, [("num_cnpj_instituicao", "num_cnpj_instituicao"),
+                                         ("nom_instituicao", "nom_instituicao")])
+    return m.groupBy("num_cnpj_instituicao").agg(
+        F.count(F.lit(1)).alias("n_matches"),
+        F.max("qtd_totl_recl").alias("max_qtd_totl_recl"),
+        F.sum("qtd_totl_recl").alias("sum_qtd_totl_recl"),
+        F.count("num_cnpj_instituicao_r").alias("n_with_key"))
+
+
+_SET_COLS = ("b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao, "
+             "c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.ano, c.num_trimestre")
+
+
+@register("or_join_set", f"""WITH {SQL_SOURCES},
+matched AS (
+  SELECT {_SET_COLS} FROM banks b JOIN complaints c
+    ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+  UNION
+  SELECT {_SET_COLS} FROM banks b JOIN complaints c
+    ON b.nom_instituicao = c.nom_instituicao)
+SELECT num_cnpj_instituicao, count(*) AS n_distinct_matches,
+       max(qtd_totl_recl) AS max_qtd_totl_recl
+FROM matched GROUP BY num_cnpj_instituicao""")
+def or_join_set(spark, sf_dir):
+    banks, complaints, _ = sources(spark, sf_dir)
+    comp = complaints.select("num_cnpj_instituicao", "nom_instituicao", "qtd_totl_clie_css_scr",
+                             "qtd_totl_recl", "ano", "num_trimestre")
+    m = joins.or_equi_join(banks, comp, [("num_cnpj_instituicao", "num_cnpj_instituicao"),
+                                         ("nom_instituicao", "nom_instituicao")],
+                           dedup=True, keep_right_keys=False)
+    return m.groupBy("num_cnpj_instituicao").agg(
+        F.count(F.lit(1)).alias("n_distinct_matches"),
+        F.max("qtd_totl_recl").alias("max_qtd_totl_recl"))
+
+
+SQL_QUARTERLY = f"""WITH {SQL_SOURCES},
+matched AS (
+  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
+         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
+  FROM banks b JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+  UNION
+  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
+         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
+  FROM banks b JOIN complaints c ON b.nom_instituicao = c.nom_instituicao),
+level1 AS (
+  SELECT m.num_cnpj_instituicao, m.ano, m.num_trimestre,
+         max(m.nom_segto_instituicao) AS nom_segto_instituicao,
+         max(m.nom_instituicao) AS nom_instituicao,
+         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
+         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
+         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
+         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
+  FROM matched m JOIN employers e ON m.nom_instituicao = e.nom_instituicao
+  GROUP BY m.num_cnpj_instituicao, m.ano, m.num_trimestre)
+SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre,
+       avg(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
+       avg(vlr_ind_recl) AS avg_ind_recl,
+       CAST(sum(qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl,
+       avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
+       avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
+FROM level1
+GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre"""
+
+
+@register("quarterly_report", SQL_QUARTERLY)
+def quarterly_report(spark, sf_dir):
+    banks, complaints, employers = sources(spark, sf_dir)
+    return report.quarterly_report(banks, complaints, employers)
+
+
+@register("quarterly_report_unaggregated", SQL_QUARTERLY)
+def quarterly_report_unaggregated(spark, sf_dir):
+    banks, complaints, employers = sources(spark, sf_dir)
+    return report.quarterly_report(banks, complaints, employers, pre_aggregate=False)
+
+
+# ---------------------------------------------------------------------------
+# Plain joins and set operations
+# ---------------------------------------------------------------------------
+@register("join_key", f"""WITH {SQL_SOURCES}
+SELECT c.num_cnpj_instituicao, b.nom_instituicao, b.nom_segto_instituicao,
+       c.qtd_totl_clie_css_scr, c.qtd_totl_recl
+FROM complaints c JOIN banks b ON c.num_cnpj_instituicao = b.num_cnpj_instituicao""")
+def join_key(spark, sf_dir):
+    banks, complaints, _ = sources(spark, sf_dir)
+    comp = complaints.select("num_cnpj_instituicao", "qtd_totl_clie_css_scr", "qtd_totl_recl")
+    return joins.equi_join(comp, banks, "num_cnpj_instituicao").select(
+        "num_cnpj_instituicao", "nom_instituicao", "nom_segto_instituicao",
+        "qtd_totl_clie_css_scr", "qtd_totl_recl")
+
+
+@register("join_name", f"""WITH {SQL_SOURCES}
+SELECT c.nom_instituicao, b.num_cnpj_instituicao, c.qtd_totl_clie_css_scr,
+       c.qtd_totl_recl, e.vlr_ind_satis_geral
+FROM complaints c JOIN banks b ON c.nom_instituicao = b.nom_instituicao
+JOIN employers e ON c.nom_instituicao = e.nom_instituicao""")
+def join_name(spark, sf_dir):
+    banks, complaints, employers = sources(spark, sf_dir)
+    comp = complaints.select("nom_instituicao", "qtd_totl_clie_css_scr", "qtd_totl_recl")
+    out = joins.equi_join(comp, banks.select("nom_instituicao", "num_cnpj_instituicao"),
+                          "nom_instituicao")
+    out = joins.equi_join(out, employers.select("nom_instituicao", "vlr_ind_satis_geral"),
+                          "nom_instituicao")
+    return out.select("nom_instituicao", "num_cnpj_instituicao", "qtd_totl_clie_css_scr",
+                      "qtd_totl_recl", "vlr_ind_satis_geral")
+
+
+@register("union_all", """SELECT s_suppkey AS entity_key, s_name AS entity_name, 'supplier' AS kind
+FROM supplier
+UNION ALL
+SELECT c_custkey AS entity_key, c_name AS entity_name, 'customer' AS kind FROM customer""")
+def union_all(spark, sf_dir):
+    s = derive.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("entity_key"), F.col("s_name").alias("entity_name"),
+        F.lit("supplier").alias("kind"))
+    c = derive.table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("entity_name"), F.col("c_custkey").alias("entity_key"),
+        F.lit("customer").alias("kind"))
+    return joins.union_all([s, c])
+
+
+@register("distinct_rows", f"""WITH {SQL_SOURCES}
+SELECT DISTINCT ano, num_trimestre, qtd_totl_recl FROM complaints""")
+def distinct_rows(spark, sf_dir):
+    _, complaints, _ = sources(spark, sf_dir)
+    return joins.distinct_rows(complaints.select("ano", "num_trimestre", "qtd_totl_recl"))
