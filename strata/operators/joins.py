@@ -9,6 +9,11 @@ broadcast joins chosen at runtime by AQE:
 
 A pair (l, r) is emitted by exactly one branch iff some key pair is equal, so the
 result is bag-equal to the OR join, NULL keys included (NULL never matches).
+
+The default ``strategy="tagged"`` runs the same branches as ONE equi-join: each side
+is exploded into one row per key pair (tag i, only key i set, rows with a NULL key i
+dropped) and joined on (tag, key). Each input is then scanned and shuffled once,
+where the UNION ALL form scans both inputs once per branch.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ def _rename_right(left: DataFrame, right: DataFrame, suffix: str) -> tuple[DataF
 
 def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
                  dedup: bool = False, right_suffix: str = "_r",
-                 keep_right_keys: bool = True) -> DataFrame:
+                 keep_right_keys: bool = True, strategy: str = "tagged") -> DataFrame:
     """Inner join where ANY of the column pairs is equal.
 
     Output = all left columns, then all right columns (names that clash with a left
@@ -55,6 +60,13 @@ def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
         lcol, rcol = pair
         return col_ref(lcol) == col_ref(mapping[rcol])
 
+    if strategy == "tagged" and len(pairs) > 1:
+        result = _tagged_join(left, right_r, [(lc, mapping[rc]) for lc, rc in pairs], eq, pairs)
+        result = result.select(*out_cols)
+        return result.distinct() if dedup else result
+    if strategy not in ("tagged", "union"):
+        raise ValueError(f"strategy must be tagged|union, got {strategy!r}")
+
     branches = []
     for i, pair in enumerate(pairs):
         joined = left.join(right_r, on=eq(pair), how="inner")
@@ -65,6 +77,39 @@ def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return result.distinct() if dedup else result
 
 
+def _tagged(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
+    """One row per key pair i: ``{prefix}t`` = i, ``{prefix}v{i}`` = key i, other keys NULL.
+    Rows whose active key is NULL can never match and are dropped here."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    entries = []
+    for i in range(len(cols)):
+        fields = [F.lit(i).alias(f"{prefix}t")]
+        for j, c in enumerate(cols):
+            value = col_ref(c) if j == i else F.lit(None).cast(types[c])
+            fields.append(value.alias(f"{prefix}v{j}"))
+        entries.append(F.struct(*fields))
+    alive = reduce(lambda a, b: a | b,
+                   [F.col(f"{prefix}v{j}").isNotNull() for j in range(len(cols))])
+    return df.select("*", F.inline(F.array(*entries))).filter(alive)
+
+
+def _tagged_join(left: DataFrame, right_r: DataFrame, mapped: list[tuple[str, str]],
+                 eq, pairs) -> DataFrame:
+    n = len(mapped)
+    lt = _tagged(left, [lc for lc, _ in mapped], "_l")
+    rt = _tagged(right_r, [rc for _, rc in mapped], "_r")
+    cond = F.col("_lt") == F.col("_rt")
+    for j in range(n):
+        cond = cond & F.col(f"_lv{j}").eqNullSafe(F.col(f"_rv{j}"))
+    joined = lt.join(rt, on=cond, how="inner")
+    # tag i keeps a pair only if no earlier key pair already matched it
+    for i in range(1, n):
+        earlier = reduce(lambda a, b: a | b,
+                         [F.coalesce(eq(p), F.lit(False)) for p in pairs[:i]])
+        joined = joined.filter((F.col("_lt") != i) | ~earlier)
+    return joined
+
+
 def or_join_naive(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
                   right_suffix: str = "_r") -> DataFrame:
     """The literal OR condition (nested-loop plan). Kept for equivalence tests only."""
