@@ -505,3 +505,126 @@ SELECT * FROM report ORDER BY quantidade_clientes_banco DESC NULLS LAST, cnpj LI
 def top5_clients(spark, sf_dir):
     return report.top_k(flagship_report(spark, sf_dir), "quantidade_clientes_banco", 5,
                         tiebreak=["cnpj"])
+
+
+# ---------------------------------------------------------------------------
+# Data quality: metrics (long form), checks, gate
+# ---------------------------------------------------------------------------
+from strata.operators import quality as Q  # noqa: E402
+
+_DQ_SRC_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS price,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS priority,
+       o_totalprice - 200000 AS margin
+FROM orders"""
+
+
+def _dq_source(spark, sf_dir):
+    o = derive.table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("priority"),
+        (F.col("o_totalprice") - 200000).alias("margin"))
+
+
+DQ_ANALYZERS = [
+    Q.Size(), Q.Completeness("price"), Q.Completeness("priority"),
+    Q.CountDistinct("o_custkey"), Q.Distinctness("o_custkey"),
+    Q.Maximum("price"), Q.Minimum("price"), Q.Mean("price"), Q.StandardDeviation("price"),
+    Q.CountDistinct("priority"),
+]
+
+
+@register("dq_metrics", f"""WITH src AS ({_DQ_SRC_SQL})
+SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, round(count(*), 6) AS value FROM src
+UNION ALL SELECT 'Column', 'price', 'Completeness', round(count(price) / count(*), 6) FROM src
+UNION ALL SELECT 'Column', 'priority', 'Completeness', round(count(priority) / count(*), 6) FROM src
+UNION ALL SELECT 'Column', 'o_custkey', 'CountDistinct', round(count(DISTINCT o_custkey), 6) FROM src
+UNION ALL SELECT 'Column', 'o_custkey', 'Distinctness',
+  round(count(DISTINCT o_custkey) / count(o_custkey), 6) FROM src
+UNION ALL SELECT 'Column', 'price', 'Maximum', round(max(price), 6) FROM src
+UNION ALL SELECT 'Column', 'price', 'Minimum', round(min(price), 6) FROM src
+UNION ALL SELECT 'Column', 'price', 'Mean', round(avg(price), 6) FROM src
+UNION ALL SELECT 'Column', 'price', 'StandardDeviation', round(stddev_pop(price), 6) FROM src
+UNION ALL SELECT 'Column', 'priority', 'CountDistinct', round(count(DISTINCT priority), 6) FROM src""")
+def dq_metrics(spark, sf_dir):
+    m = Q.analyze(_dq_source(spark, sf_dir), DQ_ANALYZERS)
+    return m.select("entity", "instance", "name", F.round("value", 6).alias("value"))
+
+
+def dq_suite() -> Q.Check:
+    return (Q.Check("Warning", "Review Check")
+            .has_size(lambda n: n >= 1)
+            .has_completeness("price", lambda c: c >= 0.9)
+            .has_completeness("priority", lambda c: c >= 0.5)
+            .is_contained_in("o_orderstatus", ["F", "O", "P"])
+            .is_contained_in("priority", ["1-URGENT", "2-HIGH"])
+            .is_non_negative("price")
+            .is_non_negative("margin"))
+
+
+_CHECK_ROWS_SQL = f"""WITH src AS ({_DQ_SRC_SQL}),
+m AS (
+  SELECT count(*) AS size, count(price) / count(*) AS c_price,
+         count(priority) / count(*) AS c_priority,
+         avg(CASE WHEN o_orderstatus IS NULL OR o_orderstatus IN ('F','O','P') THEN 1 ELSE 0 END)
+           AS in_status,
+         avg(CASE WHEN priority IS NULL OR priority IN ('1-URGENT','2-HIGH') THEN 1 ELSE 0 END)
+           AS in_priority,
+         avg(CASE WHEN coalesce(price, 0) >= 0 THEN 1 ELSE 0 END) AS nn_price,
+         avg(CASE WHEN coalesce(margin, 0) >= 0 THEN 1 ELSE 0 END) AS nn_margin
+  FROM src),
+c AS (
+  SELECT 'SizeConstraint(Size(None))' AS "constraint", size >= 1 AS ok, size AS v FROM m
+  UNION ALL SELECT 'CompletenessConstraint(Completeness(price,None))', c_price >= 0.9, c_price FROM m
+  UNION ALL SELECT 'CompletenessConstraint(Completeness(priority,None))', c_priority >= 0.5,
+    c_priority FROM m
+  UNION ALL SELECT 'ComplianceConstraint(Compliance(o_orderstatus contained in F,O,P,'
+    || '`o_orderstatus` IS NULL OR `o_orderstatus` IN (''F'',''O'',''P''),None))',
+    in_status = 1, in_status FROM m
+  UNION ALL SELECT 'ComplianceConstraint(Compliance(priority contained in 1-URGENT,2-HIGH,'
+    || '`priority` IS NULL OR `priority` IN (''1-URGENT'',''2-HIGH''),None))',
+    in_priority = 1, in_priority FROM m
+  UNION ALL SELECT 'ComplianceConstraint(Compliance(price is non-negative,'
+    || 'COALESCE(CAST(`price` AS DECIMAL(20,10)), 0.0) >= 0,None))', nn_price = 1, nn_price FROM m
+  UNION ALL SELECT 'ComplianceConstraint(Compliance(margin is non-negative,'
+    || 'COALESCE(CAST(`margin` AS DECIMAL(20,10)), 0.0) >= 0,None))', nn_margin = 1, nn_margin FROM m)"""
+
+
+@register("dq_checks", f"""{_CHECK_ROWS_SQL}
+SELECT 'Review Check' AS "check", 'Warning' AS check_level,
+       CASE WHEN bool_and(ok) OVER () THEN 'Success' ELSE 'Warning' END AS check_status,
+       "constraint", CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
+       round(v, 6) AS metric_value
+FROM c""")
+def dq_checks(spark, sf_dir):
+    r = Q.verify(_dq_source(spark, sf_dir), [dq_suite()])
+    return r.select("check", "check_level", "check_status", "constraint", "constraint_status",
+                    F.round("metric_value", 6).alias("metric_value"))
+
+
+@register("dq_gate", f"""{_CHECK_ROWS_SQL}
+SELECT 'full_suite' AS suite, count(*) FILTER (WHERE NOT ok) > 0 AS gate_raised,
+       count(*) FILTER (WHERE NOT ok) AS n_failed FROM c
+UNION ALL
+SELECT 'passing_subset', false, 0 FROM (SELECT 1) t""")
+def dq_gate(spark, sf_dir):
+    """Runs the gate on the full suite (fails) and on its passing subset; reports
+    whether each raised. Metrics are computed on the same source frame."""
+    src = _dq_source(spark, sf_dir)
+    passing = (Q.Check("Warning", "Review Check")
+               .has_size(lambda n: n >= 1)
+               .is_contained_in("o_orderstatus", ["F", "O", "P"])
+               .is_non_negative("price"))
+    rows = []
+    for suite, check in (("full_suite", dq_suite()), ("passing_subset", passing)):
+        result = Q.verify(src, [check])
+        n_failed = Q.failed_constraints(result).count()
+        try:
+            Q.gate(result)
+            raised = False
+        except Q.DataQualityError:
+            raised = True
+        rows.append((suite, raised, n_failed))
+    return spark.createDataFrame(rows, "suite string, gate_raised boolean, n_failed bigint")
