@@ -853,3 +853,231 @@ def write_files(spark, sf_dir):
     li = derive.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     sinks.write_partitioned(li, path, fmt="parquet", max_records_per_file=20000)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# Layer jobs end to end: raw files rendered from the tables -> SoR -> SoT -> SPEC
+# ---------------------------------------------------------------------------
+from strata.plans import jobs as J  # noqa: E402
+from strata.plans import raw_render as RR  # noqa: E402
+from strata.schemas import all_string_schema, RAW_FORMATS  # noqa: E402
+
+REF_DATE = "2023-08-14"
+_LAYERS: dict[tuple, dict] = {}
+
+
+def _sor_schema(dataset: str) -> T.StructType:
+    s = all_string_schema(RAW_FORMATS[dataset]["fields"])
+    return s.add("anomesdia", T.StringType())
+
+
+def layers(spark, sf_dir, upto: str = "sot") -> dict:
+    """Run the layer jobs once per application and table folder; returns paths."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    state = _LAYERS.setdefault(key, {})
+    if "sor" not in state:
+        root = scratch_path(spark, "layers")
+        landing = RR.land_raw_files(spark, sf_dir, f"{root}/landing")
+        state["root"] = root
+        state["sor"] = {d: J.run_sor(spark, d, landing[d], f"{root}/sor/{d}", REF_DATE)
+                        for d in landing}
+    if upto in ("sot", "spec") and "sot" not in state:
+        root = state["root"]
+        done = {}
+        for d, path in state["sor"].items():
+            sor = spark.read.schema(_sor_schema(d)).parquet(path)
+            J.run_sot(spark, d, sor, f"{root}/sot/{d}", REF_DATE, dq_root=f"{root}/data_quality")
+            done[d] = f"{root}/sot/{d}"
+        state["sot"] = done
+    return state
+
+
+@register("job_sor_bancos", """SELECT 'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento",
+       CAST(s_suppkey AS VARCHAR) AS "CNPJ",
+       s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' - PRUDENCIAL' ELSE '' END AS "Nome",
+       '20230814' AS anomesdia
+FROM supplier""")
+def job_sor_bancos(spark, sf_dir):
+    return spark.read.schema(_sor_schema("bancos")).parquet(layers(spark, sf_dir, "sor")["sor"]["bancos"])
+
+
+@register("job_sor_reclamacoes", """SELECT CAST(year(l_shipdate) AS VARCHAR) AS "Ano",
+       CAST(quarter(l_shipdate) AS VARCHAR) || 'º' AS "Trimestre",
+       CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END
+         AS "CNPJ IF",
+       'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') ||
+         CASE WHEN l_linenumber % 2 = 0 THEN ' (conglomerado)' ELSE '' END
+         AS "Instituição financeira",
+       CAST(CAST(l_quantity AS BIGINT) + l_linenumber AS VARCHAR) AS "Quantidade total de reclamações",
+       CAST(year(l_shipdate) AS VARCHAR) ||
+       CASE quarter(l_shipdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
+       || '01' AS anomesdia
+FROM lineitem""")
+def job_sor_reclamacoes(spark, sf_dir):
+    df = spark.read.schema(_sor_schema("reclamacoes")).parquet(
+        layers(spark, sf_dir, "sor")["sor"]["reclamacoes"])
+    return df.select("Ano", "Trimestre", "CNPJ IF", "Instituição financeira",
+                     "Quantidade total de reclamações", "anomesdia")
+
+
+@register("job_sor_empregados", """SELECT s_name AS employer_name,
+       'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento", s_name AS "Nome",
+       '20230814' AS anomesdia FROM supplier
+UNION ALL
+SELECT n_name, CAST(n_nationkey + 1000 AS VARCHAR), n_name, '20230814' FROM nation""")
+def job_sor_empregados(spark, sf_dir):
+    df = spark.read.schema(_sor_schema("empregados")).parquet(
+        layers(spark, sf_dir, "sor")["sor"]["empregados"])
+    return df.select("employer_name", "Segmento", "Nome", "anomesdia")
+
+
+_SOT_READ = {
+    "bancos": "nom_segto_instituicao string, num_cnpj_instituicao bigint, nom_instituicao string, "
+              "dat_hor_psst timestamp, anomesdia string",
+}
+
+
+@register("job_sot_bancos", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_BANKS}) t""")
+def job_sot_bancos(spark, sf_dir):
+    df = spark.read.schema(_SOT_READ["bancos"]).parquet(layers(spark, sf_dir)["sot"]["bancos"])
+    return df.drop("dat_hor_psst")
+
+
+@register("job_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
+def job_sot_reclamacoes(spark, sf_dir):
+    df = spark.read.parquet(layers(spark, sf_dir)["sot"]["reclamacoes"])
+    return df.drop("dat_hor_psst")
+
+
+@register("job_sot_empregados", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_EMPLOYERS}) t""")
+def job_sot_empregados(spark, sf_dir):
+    path = layers(spark, sf_dir)["sot"]["empregados"]
+    df = spark.read.parquet(path)
+    return df.withColumn("anomesdia", F.col("anomesdia").cast("string")).drop("dat_hor_psst")
+
+
+@register("job_sot_metrics", f"""WITH b AS ({RR.SQL_SOT_BANKS}), c AS ({RR.SQL_SOT_COMPLAINTS})
+SELECT 'tb_bancos' AS nom_tab, 'Size' AS name, '*' AS instance, count(*) * 1.0 AS value FROM b
+UNION ALL SELECT 'tb_bancos', 'Completeness', 'num_cnpj_instituicao',
+  count(num_cnpj_instituicao) / count(*) FROM b
+UNION ALL SELECT 'tb_bancos', 'CountDistinct', 'num_cnpj_instituicao',
+  count(DISTINCT num_cnpj_instituicao) FROM b
+UNION ALL SELECT 'tb_reclamacoes', 'Size', '*', count(*) FROM c
+UNION ALL SELECT 'tb_reclamacoes', 'Completeness', 'vlr_ind_recl', round(count(vlr_ind_recl) / count(*), 6) FROM c
+UNION ALL SELECT 'tb_reclamacoes', 'Mean', 'qtd_totl_clie_css_scr', round(avg(qtd_totl_clie_css_scr), 6) FROM c
+UNION ALL SELECT 'tb_reclamacoes', 'CountDistinct', 'nom_instituicao', count(DISTINCT nom_instituicao) FROM c""")
+def job_sot_metrics(spark, sf_dir):
+    root = layers(spark, sf_dir)["root"]
+    m = spark.read.parquet(f"{root}/data_quality")
+    wanted = [("tb_bancos", "Size", "*"), ("tb_bancos", "Completeness", "num_cnpj_instituicao"),
+              ("tb_bancos", "CountDistinct", "num_cnpj_instituicao"),
+              ("tb_reclamacoes", "Size", "*"), ("tb_reclamacoes", "Completeness", "vlr_ind_recl"),
+              ("tb_reclamacoes", "Mean", "qtd_totl_clie_css_scr"),
+              ("tb_reclamacoes", "CountDistinct", "nom_instituicao")]
+    keys = F.struct(F.col("nom_tab").cast("string"), "name", "instance")
+    cond = keys.isin(*[F.struct(F.lit(a), F.lit(b), F.lit(c)) for a, b, c in wanted])
+    return m.filter(cond).select(F.col("nom_tab").cast("string").alias("nom_tab"), "name",
+                                 "instance", F.round("value", 6).alias("value"))
+
+
+SQL_SOT_REPORT_CTES = f"""WITH banks AS ({RR.SQL_SOT_BANKS}),
+complaints AS ({RR.SQL_SOT_COMPLAINTS}),
+employers AS ({RR.SQL_SOT_EMPLOYERS}),
+{SQL_LEVEL1},
+{SQL_LEVEL2}"""
+
+
+@register("job_spec_snapshot", f"{SQL_SOT_REPORT_CTES}\n{SQL_FINAL_SNAPSHOT}")
+def job_spec_snapshot(spark, sf_dir):
+    state = layers(spark, sf_dir)
+    sot = state["sot"]
+    out = J.run_spec(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"],
+                     scratch_path(spark, "spec_snapshot"), sink="parquet", ref_date=REF_DATE)
+    return spark.read.parquet(out).drop("dat_hor_psst", "anomesdia")
+
+
+_DISPLAY_SELECT = """SELECT nom_instituicao AS "Nome do Banco", CAST(num_cnpj_instituicao AS BIGINT) AS "CNPJ",
+       nom_segto_instituicao AS "Classificação do Banco",
+       TRY_CAST(max_qtd_totl_clie_ccs_scr AS INTEGER) AS "Quantidade de Clientes do Bancos",
+       CAST(avg_ind_recl AS FLOAT) AS "Índice de reclamações",
+       TRY_CAST(sum_qtd_totl_recl AS INTEGER) AS "Quantidade de reclamações",
+       CAST(avg_ind_geral_instituicao AS FLOAT) AS "Índice de satisfação dos funcionários dos bancos",
+       CAST(avg_ind_remu_bene_instituicao AS FLOAT)
+         AS "Índice de satisfação com salários dos funcionários dos bancos"
+FROM level2"""
+
+
+@register("job_spec_display", f"{SQL_SOT_REPORT_CTES}\n{_DISPLAY_SELECT}")
+def job_spec_display(spark, sf_dir):
+    """Report with the database display names (the frame the JDBC sink receives)."""
+    sot = layers(spark, sf_dir)["sot"]
+    b, c, e = J.spec_inputs(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"])
+    return J.spec_frame(b, c, e, style="display", stamp=False)
+
+
+@register("job_spec_quarterly", f"""WITH banks AS ({RR.SQL_SOT_BANKS}),
+complaints AS ({RR.SQL_SOT_COMPLAINTS}),
+employers AS ({RR.SQL_SOT_EMPLOYERS}),
+matched AS (
+  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
+         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
+  FROM banks b JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+  UNION
+  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
+         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
+  FROM banks b JOIN complaints c ON b.nom_instituicao = c.nom_instituicao),
+level1 AS (
+  SELECT m.num_cnpj_instituicao, m.ano, m.num_trimestre,
+         max(m.nom_segto_instituicao) AS nom_segto_instituicao,
+         max(m.nom_instituicao) AS nom_instituicao,
+         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
+         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
+         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
+         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
+  FROM matched m JOIN employers e ON m.nom_instituicao = e.nom_instituicao
+  GROUP BY m.num_cnpj_instituicao, m.ano, m.num_trimestre)
+SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre,
+       round(avg(qtd_totl_clie_css_scr), 6) AS max_qtd_totl_clie_ccs_scr,
+       round(avg(vlr_ind_recl), 6) AS avg_ind_recl,
+       CAST(sum(qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl,
+       round(avg(vlr_ind_satis_geral), 6) AS avg_ind_geral_instituicao,
+       round(avg(vlr_ind_remu_bene), 6) AS avg_ind_remu_bene_instituicao
+FROM level1
+GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre""")
+def job_spec_quarterly(spark, sf_dir):
+    """Quarterly report written as one CSV, read back."""
+    sot = layers(spark, sf_dir)["sot"]
+    path = J.run_spec_quarterly(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"],
+                                scratch_path(spark, "spec_quarterly"), ref_date=REF_DATE)
+    schema = ("nom_instituicao string, num_cnpj_instituicao bigint, nom_segto_instituicao string, "
+              "ano int, num_trimestre int, max_qtd_totl_clie_ccs_scr double, avg_ind_recl double, "
+              "sum_qtd_totl_recl bigint, avg_ind_geral_instituicao double, "
+              "avg_ind_remu_bene_instituicao double, dat_hor_psst timestamp")
+    df = spark.read.schema(schema).option("sep", ";").option("header", True).csv(path)
+    metrics = ["max_qtd_totl_clie_ccs_scr", "avg_ind_recl", "avg_ind_geral_instituicao",
+               "avg_ind_remu_bene_instituicao"]
+    return df.select(*[F.round(c, 6).alias(c) if c in metrics else F.col(c)
+                       for c in df.columns if c != "dat_hor_psst"])
+
+
+@register("job_sot_gate_stop", """SELECT 'reclamacoes' AS dataset,
+  count(*) FILTER (WHERE NOT (l_linenumber = 7 AND l_orderkey % 2 = 0)) * 1.0 / count(*) < 0.99
+    AS gate_raised,
+  false AS output_written
+FROM lineitem""")
+def job_sot_gate_stop(spark, sf_dir):
+    """Complaints load with a 0.99 tax-id completeness floor: the gate must stop the
+    write (metrics are still appended)."""
+    state = layers(spark, sf_dir, "sor")
+    sor = spark.read.schema(_sor_schema("reclamacoes")).parquet(state["sor"]["reclamacoes"])
+    out = scratch_path(spark, "sot_gate")
+    profile = J.quality_profile("reclamacoes", {"num_cnpj_instituicao": 0.99})
+    try:
+        J.run_sot(spark, "reclamacoes", sor, out, REF_DATE, profile=profile,
+                  dq_root=scratch_path(spark, "dq_gate"))
+        raised = False
+    except Q.DataQualityError:
+        raised = True
+    written = S.path_length(spark, out) is not None
+    return spark.createDataFrame([("reclamacoes", raised, written)],
+                                 "dataset string, gate_raised boolean, output_written boolean")

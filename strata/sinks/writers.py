@@ -52,7 +52,10 @@ def write_partitioned(df: DataFrame, path: str, by: str | list[str] | None = Non
     if fmt == "parquet":
         writer.parquet(path, compression=compression or "snappy")
     elif fmt == "csv":
-        writer = writer.option("sep", sep).option("header", header)
+        # keep values byte-exact: a blank field stays ' ' (Spark trims on write by default)
+        writer = (writer.option("sep", sep).option("header", header)
+                  .option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False))
         if empty_value is not None:
             writer = writer.option("emptyValue", empty_value)
         if compression:
