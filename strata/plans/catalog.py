@@ -1081,3 +1081,87 @@ def job_sot_gate_stop(spark, sf_dir):
     written = S.path_length(spark, out) is not None
     return spark.createDataFrame([("reclamacoes", raised, written)],
                                  "dataset string, gate_raised boolean, output_written boolean")
+
+
+# ---------------------------------------------------------------------------
+# Landing-folder ingestion (Structured Streaming, availableNow) and path routing
+# ---------------------------------------------------------------------------
+from strata import streaming as ST  # noqa: E402
+
+_STREAM: dict[tuple, dict] = {}
+
+
+def _landing_with_extras(spark, sf_dir) -> dict:
+    """Raw feeds + an empty file + a file no route matches, in a fresh landing folder."""
+    root = scratch_path(spark, "landing_stream")
+    landing = f"{root}/landing"
+    RR.land_raw_files(spark, sf_dir, landing)
+    sinks.touch_empty(spark, f"{landing}/Bancos/empty-Bancos.csv")
+    region = derive.table(spark, sf_dir, "region").select(F.col("r_name").alias("x"))
+    sinks.write_partitioned(region, f"{landing}/Outros", fmt="csv", sep=";")
+    return {"root": root, "landing": landing}
+
+
+def stream_run(spark, sf_dir) -> dict:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STREAM:
+        st = _landing_with_extras(spark, sf_dir)
+        ST.stream_landing(spark, st["landing"], f"{st['root']}/sor", f"{st['root']}/_checkpoint",
+                          ref_date=REF_DATE, quarantine_root=f"{st['root']}/quarantine",
+                          timeout_s=600)
+        _STREAM[key] = st
+    return _STREAM[key]
+
+
+@register("stream_landing", """SELECT 'bancos' AS dataset, count(*) AS n_rows FROM supplier
+UNION ALL SELECT 'reclamacoes', count(*) FROM lineitem
+UNION ALL SELECT 'empregados', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)
+UNION ALL SELECT 'unrouted', count(*) + 1 FROM region""")
+def stream_landing(spark, sf_dir):
+    """Rows per dataset in the SoR folders written by the stream (+ quarantined lines,
+    which include the unrouted file's header line)."""
+    st = stream_run(spark, sf_dir)
+    counts = [spark.read.parquet(f"{st['root']}/sor/{d}").agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(d).alias("dataset"), "n_rows") for d in RAW_FORMATS]
+    counts.append(spark.read.parquet(f"{st['root']}/quarantine").agg(
+        F.count(F.lit(1)).alias("n_rows")).select(F.lit("unrouted").alias("dataset"), "n_rows"))
+    return joins.union_all(counts)
+
+
+@register("stream_sor_bancos", """SELECT 'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento",
+       CAST(s_suppkey AS VARCHAR) AS "CNPJ",
+       s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' - PRUDENCIAL' ELSE '' END AS "Nome",
+       '20230814' AS anomesdia
+FROM supplier""")
+def stream_sor_bancos(spark, sf_dir):
+    st = stream_run(spark, sf_dir)
+    return spark.read.schema(_sor_schema("bancos")).parquet(f"{st['root']}/sor/bancos") \
+        .select("Segmento", "CNPJ", "Nome", "anomesdia")
+
+
+@register("stream_sor_reclamacoes", """SELECT CAST(year(l_shipdate) AS VARCHAR) AS "Ano",
+       CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END
+         AS "CNPJ IF",
+       CASE WHEN l_linenumber = 6 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END
+         AS "Quantidade total de clientes  CCS e SCR",
+       CAST(year(l_shipdate) AS VARCHAR) ||
+       CASE quarter(l_shipdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
+       || '01' AS anomesdia
+FROM lineitem""")
+def stream_sor_reclamacoes(spark, sf_dir):
+    st = stream_run(spark, sf_dir)
+    return spark.read.schema(_sor_schema("reclamacoes")).parquet(
+        f"{st['root']}/sor/reclamacoes").select(
+        "Ano", "CNPJ IF", "Quantidade total de clientes  CCS e SCR", "anomesdia")
+
+
+@register("route_by_path", """SELECT 'bancos' AS dataset, count(*) AS n_data_lines FROM supplier
+UNION ALL SELECT 'reclamacoes', count(*) FROM lineitem
+UNION ALL SELECT 'empregados', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)""")
+def route_by_path(spark, sf_dir):
+    """Batch form of the routing: landed lines per dataset, headers removed."""
+    st = _landing_with_extras(spark, sf_dir)
+    lines = ST.routed_lines(spark.read.option("recursiveFileLookup", True).text(st["landing"]))
+    counts = [ST.parse_routed(lines, d, REF_DATE).agg(F.count(F.lit(1)).alias("n_data_lines"))
+              .select(F.lit(d).alias("dataset"), "n_data_lines") for d in RAW_FORMATS]
+    return joins.union_all(counts)
