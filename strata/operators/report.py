@@ -129,3 +129,49 @@ def top_k(df: DataFrame, column: str, k: int = 5, tiebreak: list[str] | None = N
     """First ``k`` rows of :func:`sort_desc` (planned as TakeOrderedAndProject: each task
     keeps its own top k, only k rows per task reach the final merge)."""
     return sort_desc(df, column, tiebreak).limit(k)
+
+
+_SNAPSHOT_SQL = """
+WITH c AS (
+  SELECT num_cnpj_instituicao, nom_instituicao, max(qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
+         max(qtd_totl_recl) AS qtd_totl_recl, max(vlr_ind_recl) AS vlr_ind_recl
+  FROM {complaints}
+  WHERE num_cnpj_instituicao IS NOT NULL OR nom_instituicao IS NOT NULL
+  GROUP BY num_cnpj_instituicao, nom_instituicao),
+e AS (
+  SELECT nom_instituicao, max(vlr_ind_satis_geral) AS vlr_ind_satis_geral,
+         max(vlr_ind_remu_bene) AS vlr_ind_remu_bene
+  FROM {employers} WHERE nom_instituicao IS NOT NULL GROUP BY nom_instituicao),
+b AS (SELECT nom_segto_instituicao, num_cnpj_instituicao, nom_instituicao FROM {banks}),
+matched AS (
+  SELECT b.*, c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl
+  FROM b JOIN c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+  UNION ALL
+  SELECT b.*, c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl
+  FROM b JOIN c ON b.nom_instituicao = c.nom_instituicao
+  WHERE NOT coalesce(b.num_cnpj_instituicao = c.num_cnpj_instituicao, false)),
+level1 AS (
+  SELECT max(m.nom_segto_instituicao) AS nom_segto_instituicao, m.num_cnpj_instituicao,
+         max(m.nom_instituicao) AS nom_instituicao,
+         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
+         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
+         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
+         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
+  FROM matched m JOIN e ON m.nom_instituicao = e.nom_instituicao
+  GROUP BY m.num_cnpj_instituicao)
+SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao,
+       max(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
+       avg(vlr_ind_recl) AS avg_ind_recl,
+       sum(qtd_totl_recl) AS sum_qtd_totl_recl,
+       avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
+       avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
+FROM level1
+GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao
+"""
+
+
+def snapshot_report_sql(spark, banks: DataFrame, complaints: DataFrame,
+                        employers: DataFrame) -> DataFrame:
+    """The snapshot report as one Spark SQL statement over DataFrame arguments (no
+    temp views): same collapse-before-join and split key-or-name join, in SQL form."""
+    return spark.sql(_SNAPSHOT_SQL, banks=banks, complaints=complaints, employers=employers)

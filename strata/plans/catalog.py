@@ -830,7 +830,7 @@ m AS (
   SELECT 'Size' AS name, '*' AS instance, count(*) * 1.0 AS value FROM src
   UNION ALL SELECT 'Completeness', 'price', count(price) / count(*) FROM src
   UNION ALL SELECT 'Mean', 'price', avg(price) FROM src)
-SELECT name, instance, round(value, 6) AS value, 2 AS n_runs, 'tb_orders' AS nom_tab,
+SELECT name, instance, round(value, 6) AS value, CAST(2 AS BIGINT) AS n_runs, 'tb_orders' AS nom_tab,
        '20230814' AS anomesdia FROM m""")
 def metrics_append(spark, sf_dir):
     """Two runs append metrics under the same date/table partition."""
@@ -1165,3 +1165,10 @@ def route_by_path(spark, sf_dir):
     counts = [ST.parse_routed(lines, d, REF_DATE).agg(F.count(F.lit(1)).alias("n_data_lines"))
               .select(F.lit(d).alias("dataset"), "n_data_lines") for d in RAW_FORMATS]
     return joins.union_all(counts)
+
+
+@register("flagship_report_sql", SQL_FLAGSHIP)
+def flagship_report_sql(spark, sf_dir):
+    """The flagship written as Spark SQL text over DataFrame arguments."""
+    banks, complaints, employers = sources(spark, sf_dir)
+    return report.finalize_report(report.snapshot_report_sql(spark, banks, complaints, employers))

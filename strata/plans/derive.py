@@ -81,7 +81,8 @@ SQL_COMPLAINTS = """SELECT CASE WHEN l_linenumber % 2 <> 0 THEN l_suppkey END AS
             THEN 'Supplier#' || lpad(CAST(l_suppkey + l_linenumber - 1 AS VARCHAR), 9, '0') END
          AS nom_instituicao,
        l_orderkey AS qtd_totl_clie_css_scr, CAST(l_quantity AS BIGINT) AS qtd_totl_recl,
-       l_discount AS vlr_ind_recl, year(l_shipdate) AS ano, quarter(l_shipdate) AS num_trimestre
+       l_discount AS vlr_ind_recl, CAST(year(l_shipdate) AS INTEGER) AS ano,
+       CAST(quarter(l_shipdate) AS INTEGER) AS num_trimestre
 FROM lineitem"""
 
 SQL_EMPLOYERS = """SELECT s_name AS nom_instituicao, s_acctbal / 2000 AS vlr_ind_satis_geral,

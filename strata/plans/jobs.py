@@ -23,6 +23,11 @@ from strata.sources.files import read_delimited
 # ---------------------------------------------------------------------------
 # SoR
 # ---------------------------------------------------------------------------
+# Banks and employers land under one partition (the run date): tasks write their own
+# files, no shuffle. Complaints spread over quarter partitions: rebalance on them so
+# each quarter gets a few advisory-size files instead of one file per input task.
+WRITE_LAYOUT = {"bancos": "none", "empregados": "none", "reclamacoes": "rebalance"}
+
 
 
 def sor_frame(spark: SparkSession, dataset: str, input_path: str | list[str],
@@ -42,7 +47,8 @@ def run_sor(spark: SparkSession, dataset: str, input_path: str | list[str], outp
             ref_date: _dt.date | str | None = None, table: str | None = None,
             encoding: str = "UTF-8", overwrite: str = "table") -> str:
     W.write_partitioned(sor_frame(spark, dataset, input_path, ref_date, encoding), output_path,
-                        by="anomesdia", fmt="parquet", overwrite=overwrite)
+                        by="anomesdia", fmt="parquet", overwrite=overwrite,
+                        layout=WRITE_LAYOUT[dataset])
     if table:
         W.repair_table(spark, table)
     return output_path
@@ -186,7 +192,7 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         checks = Q.verify(df, [profile.check])
         Q.gate(checks)
         W.write_partitioned(df, output_path, by=SOT_PARTITIONS[dataset], fmt="parquet",
-                            overwrite=overwrite)
+                            overwrite=overwrite, layout=WRITE_LAYOUT[dataset])
         if table:
             W.repair_table(spark, table)
         return SotResult(output_path, checks, dq_root)

@@ -1,4 +1,5 @@
 from strata.sinks.writers import (  # noqa: F401
-    append_metrics, create_table, export_table, repair_table, touch_empty, write_jdbc,
+    add_partition, append_metrics, create_table, export_table, make_dirs, repair_table,
+    touch_empty, write_jdbc,
     write_partitioned, write_report_csv,
 )

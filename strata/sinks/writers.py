@@ -1,12 +1,16 @@
 """Writers: partitioned Parquet / CSV with a chosen overwrite scope, catalog
 registration and repair, single-file reports, JDBC, and metric appends.
 
-File layout: by default the frame is REBALANCED on the partition columns before the
-write (``REBALANCE`` hint). AQE then cuts every output partition into tasks of the
-advisory size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
-skewed partition value across several tasks, so one hot date never lands in one
-task, and no partition directory gets one file per input task. ``files=n`` coalesces
-to n tasks instead, only for small outputs.
+File layout (``layout``):
+  ``'auto'``      rebalance when there are partition columns, else write as is;
+  ``'rebalance'`` REBALANCE hint on the partition columns: AQE cuts every output
+                  partition into tasks of the advisory size
+                  (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
+                  skewed value across several tasks, so one hot date never lands in
+                  one task and no directory gets one small file per input task;
+  ``'none'``      no shuffle: each task writes its own files (right when every row
+                  goes to the same partition, e.g. a constant run date).
+``files=n`` coalesces to n tasks instead, only for small outputs.
 """
 
 from __future__ import annotations
@@ -22,17 +26,19 @@ from strata.functions.columns import ref_date_text, with_load_ts
 def _layout(df: DataFrame, by: list[str], layout: str, files: int | None) -> DataFrame:
     if files:
         return df.coalesce(files)
+    if layout == "auto":
+        layout = "rebalance" if by else "none"
     if layout == "rebalance":
         return df.hint("rebalance", *by) if by else df.hint("rebalance")
     if layout == "none":
         return df
-    raise ValueError(f"layout must be rebalance|none, got {layout!r}")
+    raise ValueError(f"layout must be auto|rebalance|none, got {layout!r}")
 
 
 def write_partitioned(df: DataFrame, path: str, by: str | list[str] | None = None,
                       fmt: str = "parquet", overwrite: str = "table", mode: str = "overwrite",
                       sep: str = ";", header: bool = True, compression: str | None = None,
-                      layout: str = "rebalance", files: int | None = None,
+                      layout: str = "auto", files: int | None = None,
                       max_records_per_file: int | None = None,
                       empty_value: str | None = None) -> str:
     """Write ``df`` below ``path`` in Hive layout (``col=value`` directories).
