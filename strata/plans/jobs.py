@@ -176,28 +176,50 @@ class SotResult:
 def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             ref_date=None, dq_root: str | None = None,
             profile: QualityProfile | None = None, table: str | None = None,
-            overwrite: str = "table") -> SotResult:
-    """Transform, measure, check, gate, write.
-
-    The transformed frame is persisted (memory, spilling to disk) because it is read
-    three times: metrics, checks, write. Metrics are appended BEFORE the gate so a
-    stopped load still leaves its measurements. Lost cache blocks are recomputed
-    from lineage, so an executor loss does not fail the job.
+            overwrite: str = "table", materialize: str = "stage") -> SotResult:
+    """Transform, measure, check, gate, publish.
+
+    ``materialize='stage'`` (default): the transformed frame is written ONCE to a
+    staging table below the shared checkpoint folder; metrics and checks scan that
+    Parquet (only the columns they need), and a passing load is published by directory
+    renames. The lineage is cut at the staged table, so an executor loss after the
+    write costs nothing, and no 100 TB cache has to fit on executor disks.
+    ``materialize='persist'``: keep the frame in executor memory/disk instead (lost
+    blocks are recomputed from lineage).
+
+    Metrics are appended BEFORE the gate so a stopped load still leaves its
+    measurements; a failed gate leaves ``output_path`` untouched.
     """
-    df = sot_frame(dataset, sor, ref_date).persist(StorageLevel.MEMORY_AND_DISK)
+    from strata.session import scratch_path
+    profile = profile or quality_profile(dataset)
+    by = SOT_PARTITIONS[dataset]
+    frame = sot_frame(dataset, sor, ref_date)
+    staging = None
+    if materialize == "stage":
+        staging = scratch_path(spark, f"stage_{dataset}")
+        W.write_partitioned(frame, staging, by=by, fmt="parquet", overwrite="table",
+                            layout=WRITE_LAYOUT[dataset])
+        df = spark.read.schema(frame.schema).parquet(staging)
+    elif materialize == "persist":
+        df = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        raise ValueError(f"materialize must be stage|persist, got {materialize!r}")
     try:
-        profile = profile or quality_profile(dataset)
         if dq_root:
             W.append_metrics(Q.analyze(df, profile.analyzers), dq_root, profile.table, ref_date)
         checks = Q.verify(df, [profile.check])
         Q.gate(checks)
-        W.write_partitioned(df, output_path, by=SOT_PARTITIONS[dataset], fmt="parquet",
-                            overwrite=overwrite, layout=WRITE_LAYOUT[dataset])
+        if staging:
+            W.publish_staged(spark, staging, output_path, by, overwrite)
+        else:
+            W.write_partitioned(df, output_path, by=by, fmt="parquet", overwrite=overwrite,
+                                layout=WRITE_LAYOUT[dataset])
         if table:
             W.repair_table(spark, table)
         return SotResult(output_path, checks, dq_root)
     finally:
-        df.unpersist()
+        if materialize == "persist":
+            df.unpersist()
 
 
 # ---------------------------------------------------------------------------

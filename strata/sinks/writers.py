@@ -149,3 +149,56 @@ def touch_empty(spark: SparkSession, path: str) -> None:
     """Create a zero-byte file through the Hadoop file system of ``path``."""
     hpath, fs = _fs(spark, path)
     fs.create(hpath, True).close()
+
+
+def _leaf_partitions(fs, root_path, depth: int) -> list:
+    """``col=value`` directories ``depth`` levels below ``root_path``."""
+    level = [root_path]
+    for _ in range(depth):
+        nxt = []
+        for p in level:
+            for st in fs.listStatus(p):
+                if st.isDirectory() and "=" in st.getPath().getName():
+                    nxt.append(st.getPath())
+        level = nxt
+    return level
+
+
+def publish_staged(spark: SparkSession, staging: str, target: str, by: list[str],
+                   overwrite: str = "table") -> str:
+    """Move a staged (already written and checked) table into place.
+
+    Same file system: directory renames only (metadata, no data copied).
+    ``overwrite='table'`` replaces ``target``; ``'partitions'`` replaces only the
+    partition directories present in the staged output. Different file systems:
+    the staged Parquet is rewritten to ``target`` (a plain scan, no recomputation).
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(staging)
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    src_fs, dst_fs = src.getFileSystem(conf), dst.getFileSystem(conf)
+    if src_fs.getUri().toString() != dst_fs.getUri().toString():
+        staged = spark.read.parquet(staging)
+        write_partitioned(staged, target, by=by, fmt="parquet", overwrite=overwrite)
+        return target
+    if overwrite == "table" or not by:
+        if dst_fs.exists(dst):
+            dst_fs.delete(dst, True)
+        parent = dst.getParent()
+        if parent is not None:
+            dst_fs.mkdirs(parent)
+        if not dst_fs.rename(src, dst):
+            raise OSError(f"could not move {staging} to {target}")
+        return target
+    dst_fs.mkdirs(dst)
+    root_len = len(src.toUri().getPath().rstrip("/")) + 1
+    for part in _leaf_partitions(src_fs, src, len(by)):
+        rel = part.toUri().getPath()[root_len:]
+        goal = jvm.org.apache.hadoop.fs.Path(dst, rel)
+        if dst_fs.exists(goal):
+            dst_fs.delete(goal, True)
+        dst_fs.mkdirs(goal.getParent())
+        if not dst_fs.rename(part, goal):
+            raise OSError(f"could not move {part} to {goal}")
+    return target

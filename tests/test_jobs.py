@@ -134,3 +134,26 @@ def test_display_names_for_database(spark, feeds):  # C7 frame
     cols = J.spec_frame(b, c, e, style="display", ref_date=REF).columns
     assert cols[:2] == ["Nome do Banco", "CNPJ"] and cols[-2:] == ["dat_hor_psst", "anomesdia"]
     assert F is not None
+
+
+@pytest.mark.parametrize("materialize", ["stage", "persist"])
+def test_sot_materialize_modes_agree(spark, feeds, scratch, materialize):
+    schema = SC.all_string_schema(SC.COMPLAINT_FIELDS).add("anomesdia", "string")
+    sor = spark.read.schema(schema).parquet(feeds["sor"]["reclamacoes"])
+    out = scratch("sot_mode")
+    prof = J.quality_profile("reclamacoes", {"num_cnpj_instituicao": 0.5})
+    J.run_sot(spark, "reclamacoes", sor, out, REF, profile=prof, materialize=materialize)
+    got = sorted(map(tuple, spark.read.parquet(out).drop("dat_hor_psst").collect()), key=repr)
+    want = sorted(map(tuple, spark.read.parquet(feeds["sot"]["reclamacoes"])
+                      .drop("dat_hor_psst").collect()), key=repr)
+    assert got == want
+
+
+def test_publish_partitions_keeps_other_partitions(spark, scratch):
+    from strata import sinks
+    target, stage = scratch("pub_target"), scratch("pub_stage")
+    sinks.write_partitioned(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"),
+                            target, by="p")
+    sinks.write_partitioned(spark.createDataFrame([(9, "a")], "v int, p string"), stage, by="p")
+    sinks.publish_staged(spark, stage, target, ["p"], overwrite="partitions")
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(2, "b"), (9, "a")]
