@@ -232,13 +232,20 @@ COMPLAINT_COLUMNS = ["num_cnpj_instituicao", "nom_instituicao", "qtd_totl_clie_c
 
 
 def spec_inputs(spark: SparkSession, banks: str, complaints: str, employers: str,
-                from_tables: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+                from_tables: bool = False, complaint_filter=None,
+                ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three trusted inputs pruned to the report's columns (paths or table names).
-    Every partition is read (no date filter)."""
-    def load(src, cols):
+
+    By default every partition is read (the report covers all loaded quarters).
+    ``complaint_filter`` (Column or SQL text, e.g. ``"ano >= 2022"``) restricts the
+    complaint quarters; on the ``ano``/``num_trimestre`` partition columns it becomes a
+    partition filter, so other quarters' files are never listed or opened."""
+    def load(src, cols, where=None):
         df = spark.read.table(src) if from_tables else spark.read.parquet(src)
+        if where is not None:
+            df = df.filter(where)
         return df.select(*cols)
-    return (load(banks, BANK_COLUMNS), load(complaints, COMPLAINT_COLUMNS),
+    return (load(banks, BANK_COLUMNS), load(complaints, COMPLAINT_COLUMNS, complaint_filter),
             load(employers, EMPLOYER_COLUMNS))
 
 

@@ -157,3 +157,27 @@ def test_publish_partitions_keeps_other_partitions(spark, scratch):
     sinks.write_partitioned(spark.createDataFrame([(9, "a")], "v int, p string"), stage, by="p")
     sinks.publish_staged(spark, stage, target, ["p"], overwrite="partitions")
     assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(2, "b"), (9, "a")]
+
+
+def test_spec_complaint_filter_prunes_partitions(spark, feeds):  # T14 option
+    sot = feeds["sot"]
+    b, c, e = J.spec_inputs(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"],
+                            complaint_filter="ano >= 2022")
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan and c.count() == 1
+
+
+def test_hot_key_third_of_rows(spark):
+    """One bank holds a third of all complaint rows: exact result, fact rows collapsed
+    by partial aggregation before any shuffle."""
+    from strata.operators import report as R
+    from tests.test_report import frames, rows
+    complaints = [(1 if i % 3 == 0 else (i % 50) + 2, f"B{i % 7}", i, i % 11, float(i % 5),
+                   2021, 1 + i % 4) for i in range(3000)]
+    banks = [("S1", k, f"B{k % 7}") for k in range(1, 60)]
+    employers = [(f"B{k}", float(k), float(k) / 2) for k in range(7)]
+    b, c, e = frames(spark, banks, complaints, employers)
+    fast = R.snapshot_report(b, c, e)
+    assert rows(fast) == rows(R.snapshot_report(b, c, e, pre_aggregate=False))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
