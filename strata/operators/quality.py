@@ -163,7 +163,8 @@ class Check:
 
     def is_contained_in(self, column: str, allowed: list[str]) -> "Check":
         """NULL passes; every non-NULL value must be one of ``allowed``."""
-        values = ",".join("'" + v.replace("'", "''") + "'" for v in allowed)
+        values = ",".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                          for v in allowed)
         predicate = f"`{column}` IS NULL OR `{column}` IN ({values})"
         a = Compliance(f"{column} contained in {','.join(allowed)}", predicate)
         return self._add(f"ComplianceConstraint({a.describe()})", a, lambda v: v == 1.0)

@@ -11,10 +11,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata import sinks, streaming as ST
+from strata import sources as S
+from strata.functions import columns as C
 from strata.operators import joins, report
-from strata.plans import derive
+from strata.operators import projection as P
+from strata.operators import quality as Q
+from strata.plans import derive, jobs as J
+from strata.plans import raw_render as RR
 from strata.plans.derive import SQL_SOURCES
+from strata.schemas import RAW_FORMATS, all_string_schema
+from strata.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -236,8 +245,6 @@ def distinct_rows(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Scalar functions (raw-text cleaning)
 # ---------------------------------------------------------------------------
-from strata.functions import columns as C  # noqa: E402
-from strata.operators import projection as P  # noqa: E402
 
 
 @register("regex_replace", """SELECT c_custkey,
@@ -510,7 +517,6 @@ def top5_clients(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Data quality: metrics (long form), checks, gate
 # ---------------------------------------------------------------------------
-from strata.operators import quality as Q  # noqa: E402
 
 _DQ_SRC_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS price,
@@ -634,10 +640,6 @@ def dq_gate(spark, sf_dir):
 # Sources and sinks: write derived data to a fresh folder below the shared
 # checkpoint root, read it back with the library readers.
 # ---------------------------------------------------------------------------
-from pyspark.sql import types as T  # noqa: E402
-
-from strata import sinks, sources as S  # noqa: E402
-from strata.session import scratch_path  # noqa: E402
 
 
 @register("csv_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -858,9 +860,6 @@ def write_files(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Layer jobs end to end: raw files rendered from the tables -> SoR -> SoT -> SPEC
 # ---------------------------------------------------------------------------
-from strata.plans import jobs as J  # noqa: E402
-from strata.plans import raw_render as RR  # noqa: E402
-from strata.schemas import all_string_schema, RAW_FORMATS  # noqa: E402
 
 REF_DATE = "2023-08-14"
 _LAYERS: dict[tuple, dict] = {}
@@ -1086,7 +1085,6 @@ def job_sot_gate_stop(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Landing-folder ingestion (Structured Streaming, availableNow) and path routing
 # ---------------------------------------------------------------------------
-from strata import streaming as ST  # noqa: E402
 
 _STREAM: dict[tuple, dict] = {}
 

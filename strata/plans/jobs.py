@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata import schemas as SC
 from strata.functions import columns as C
