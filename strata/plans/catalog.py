@@ -718,14 +718,14 @@ def nonempty_files(spark, sf_dir):
     empty = f"{path}/empty-landing.csv"
     sinks.touch_empty(spark, empty)
     kept = S.list_nonempty_files(spark, path, glob="*.csv")
-    skipped = kept.agg(
+    listing = kept.agg(
         F.count(F.lit(1)).alias("n_kept"),
-        F.sum(F.col("path").endswith("empty-landing.csv").cast("int")).alias("n_empty_listed"))
-    exists_empty = S.path_length(spark, empty) == 0
+        F.coalesce(F.sum(F.col("path").endswith("empty-landing.csv").cast("int")), F.lit(0))
+        .alias("n_empty_listed")).first()  # file metadata only: one row
+    saw_empty = (S.path_length(spark, empty) == 0 and listing.n_kept > 0
+                 and listing.n_empty_listed == 0)
     rows = S.read_delimited(spark, path, sep=";").agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.crossJoin(skipped).select(
-        "n_rows", (F.lit(exists_empty) & (F.col("n_kept") > 0)
-                   & (F.coalesce(F.col("n_empty_listed"), F.lit(0)) == 0)).alias("saw_empty_file"))
+    return rows.select("n_rows", F.lit(saw_empty).alias("saw_empty_file"))
 
 
 @register("read_table", "SELECT p_partkey, p_name, p_size FROM part")

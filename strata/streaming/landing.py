@@ -96,8 +96,11 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
                          checkpoint: str, ref_date: _dt.date | str | None = None,
                          unrouted: str = "quarantine", quarantine_root: str | None = None,
                          trigger: str = "availableNow",
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the landing stream (returns the running query)."""
+                         max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Start the landing stream (returns the running query).
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` then runs as
+    several batches), so the per-batch cache never holds a whole backlog."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -114,10 +117,11 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
 
 def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkpoint: str,
                    ref_date: _dt.date | str | None = None, unrouted: str = "quarantine",
-                   quarantine_root: str | None = None, timeout_s: int | None = None) -> None:
+                   quarantine_root: str | None = None, timeout_s: int | None = None,
+                   max_files_per_trigger: int | None = 1000) -> None:
     """Process every file landed so far and stop (``availableNow``)."""
     q = start_landing_stream(spark, landing_root, sor_root, checkpoint, ref_date, unrouted,
-                             quarantine_root)
+                             quarantine_root, max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()

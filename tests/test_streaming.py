@@ -44,3 +44,14 @@ def test_route_by_path_first_match_wins(spark):
                                "p string")
     got = [r.d for r in df.select(ST.route_by_path("p").alias("d")).collect()]
     assert got == ["bancos", "empregados", None]
+
+
+def test_backlog_split_into_bounded_batches(spark, scratch):
+    root = scratch("stream_batches")
+    for i in range(5):
+        land(f"{root}/landing", f"Bancos_{i}.tsv", f"Segmento\tCNPJ\tNome\nS1\t{i}\tN{i}\n")
+    ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt",
+                      ref_date="2023-08-14", timeout_s=300, max_files_per_trigger=2)
+    df = spark.read.parquet(f"{root}/sor/bancos")
+    assert df.count() == 5
+    assert df.select("batch_id").distinct().count() == 3
