@@ -40,7 +40,7 @@ def test_unrouted_file_can_raise(spark, scratch):
 
 
 def test_route_by_path_first_match_wins(spark):
-    df = spark.createDataFrame([("s3://b/Bancos_Reclamacoes.csv",), ("x/Empregados/a",), ("z",)],
+    df = spark.createDataFrame([("/landing/in/Bancos_Reclamacoes.csv",), ("x/Empregados/a",), ("z",)],
                                "p string")
     got = [r.d for r in df.select(ST.route_by_path("p").alias("d")).collect()]
     assert got == ["bancos", "empregados", None]
