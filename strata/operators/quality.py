@@ -187,12 +187,7 @@ CHECK_RESULT_SCHEMA = T.StructType([
 ])
 
 
-def verify(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Evaluate every constraint of every check. All metrics come from ONE aggregate
-    row; only the assertions (user lambdas over scalars) run on the driver."""
-    analyzers = list(dict.fromkeys(c.analyzer for chk in checks for c in chk.constraints))
-    row = _metric_row(df, analyzers).first() if analyzers else None
-    values = {a: (row[f"m{i}"] if row is not None else None) for i, a in enumerate(analyzers)}
+def _evaluate(checks: list[Check], values: dict) -> list[tuple]:
     out = []
     for chk in checks:
         results = []
@@ -208,8 +203,43 @@ def verify(df: DataFrame, checks: list[Check]) -> DataFrame:
             results.append((con.text, "Success" if ok else "Failure", message, value))
         status = "Success" if all(r[1] == "Success" for r in results) else chk.level
         out += [(chk.description, chk.level, status, *r) for r in results]
+    return out
+
+
+def _metric_values(df: DataFrame, analyzers: list[Analyzer]) -> dict:
+    row = _metric_row(df, analyzers).first() if analyzers else None
+    return {a: (row[f"m{i}"] if row is not None else None) for i, a in enumerate(analyzers)}
+
+
+def verify(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Evaluate every constraint of every check. All metrics come from ONE aggregate
+    row; only the assertions (user lambdas over scalars) run on the driver."""
+    analyzers = list(dict.fromkeys(c.analyzer for chk in checks for c in chk.constraints))
+    values = _metric_values(df, analyzers)
+    return df.sparkSession.createDataFrame(_evaluate(checks, values), CHECK_RESULT_SCHEMA)
+
+
+METRIC_SCHEMA = T.StructType([
+    T.StructField("entity", T.StringType()),
+    T.StructField("instance", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+
+def run_suite(df: DataFrame, analyzers: list[Analyzer],
+              checks: list[Check]) -> tuple[DataFrame, DataFrame]:
+    """Metrics AND check results from a single scan: the analyzers of both are merged
+    into one aggregate; returns ``(metrics_long_form, check_results)``. Both outputs
+    are a handful of rows (one per analyzer / constraint)."""
+    wanted = list(dict.fromkeys(list(analyzers) + [c.analyzer for chk in checks
+                                                   for c in chk.constraints]))
+    values = _metric_values(df, wanted)
     spark = df.sparkSession
-    return spark.createDataFrame(out, CHECK_RESULT_SCHEMA)
+    metrics = spark.createDataFrame(
+        [(a.entity, a.instance, a.name, None if values[a] is None else float(values[a]))
+         for a in dict.fromkeys(analyzers)], METRIC_SCHEMA)
+    return metrics, spark.createDataFrame(_evaluate(checks, values), CHECK_RESULT_SCHEMA)
 
 
 def failed_constraints(check_result: DataFrame) -> DataFrame:

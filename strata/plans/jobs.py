@@ -204,9 +204,9 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     else:
         raise ValueError(f"materialize must be stage|persist, got {materialize!r}")
     try:
+        metrics, checks = Q.run_suite(df, profile.analyzers, [profile.check])  # one scan
         if dq_root:
-            W.append_metrics(Q.analyze(df, profile.analyzers), dq_root, profile.table, ref_date)
-        checks = Q.verify(df, [profile.check])
+            W.append_metrics(metrics, dq_root, profile.table, ref_date)
         Q.gate(checks)
         if staging:
             W.publish_staged(spark, staging, output_path, by, overwrite)

@@ -51,3 +51,11 @@ def test_failures_and_gate(df):  # Q11, Q12, Q15, Q16
 def test_approx_distinct_option(df):
     m = Q.analyze(df, [Q.CountDistinct("k", approx=True)]).first()
     assert m.value == 2.0
+
+
+def test_run_suite_one_scan_matches_separate_calls(df):
+    analyzers = [Q.Size(), Q.Completeness("seg"), Q.Mean("v")]
+    chk = Q.Check().has_completeness("k", lambda c: c >= 0.9).is_non_negative("v")
+    metrics, checks = Q.run_suite(df, analyzers, [chk])
+    assert sorted(map(tuple, metrics.collect())) == sorted(map(tuple, Q.analyze(df, analyzers).collect()))
+    assert [tuple(r) for r in checks.collect()] == [tuple(r) for r in Q.verify(df, [chk]).collect()]
