@@ -100,6 +100,38 @@ def flagship_report_unaggregated(spark, sf_dir):
         report.snapshot_report(banks, complaints, employers, pre_aggregate=False))
 
 
+SQL_FLAGSHIP_HOT = (f"WITH banks AS ({derive.SQL_BANKS}),\n"
+                    f"complaints AS ({derive.SQL_COMPLAINTS_HOT}),\n"
+                    f"employers AS ({derive.SQL_EMPLOYERS}),\n{SQL_LEVEL1},\n{SQL_LEVEL2}\n"
+                    f"{SQL_FINAL_SNAPSHOT}")
+
+
+@register("flagship_report_hot_key", SQL_FLAGSHIP_HOT)
+def flagship_report_hot_key(spark, sf_dir):
+    """The flagship with one bank holding a third of all complaint rows."""
+    banks, _, employers = sources(spark, sf_dir)
+    complaints = derive.complaints_hot_key(spark, sf_dir)
+    return report.finalize_report(report.snapshot_report(banks, complaints, employers))
+
+
+@register("or_join_bag_hot_key", f"""WITH banks AS ({derive.SQL_BANKS}),
+complaints AS ({derive.SQL_COMPLAINTS_HOT})
+SELECT b.num_cnpj_instituicao, count(*) AS n_matches,
+       CAST(sum(c.qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl
+FROM banks b JOIN complaints c
+  ON b.num_cnpj_instituicao = c.num_cnpj_instituicao OR b.nom_instituicao = c.nom_instituicao
+GROUP BY b.num_cnpj_instituicao""")
+def or_join_bag_hot_key(spark, sf_dir):
+    """Bag key-or-name join on raw fact rows with a hot key (a third of all rows)."""
+    banks = derive.banks(spark, sf_dir)
+    comp = derive.complaints_hot_key(spark, sf_dir).select(
+        "num_cnpj_instituicao", "nom_instituicao", "qtd_totl_recl")
+    m = joins.or_equi_join(banks, comp, [("num_cnpj_instituicao", "num_cnpj_instituicao"),
+                                         ("nom_instituicao", "nom_instituicao")])
+    return m.groupBy("num_cnpj_instituicao").agg(
+        F.count(F.lit(1)).alias("n_matches"), F.sum("qtd_totl_recl").alias("sum_qtd_totl_recl"))
+
+
 # ---------------------------------------------------------------------------
 # Key-or-name join: bag and set forms
 # ---------------------------------------------------------------------------

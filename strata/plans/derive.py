@@ -61,6 +61,25 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def complaints_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`complaints`, but every third order (``l_orderkey % 3 = 0``) is filed
+    against supplier 0 by key and name: one bank holds a third of all rows."""
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    hot = F.col("l_orderkey") % 3 == 0
+    return li.select(
+        F.when(hot, F.lit(0).cast("bigint")).when(ln % 2 != 0, F.col("l_suppkey"))
+         .alias("num_cnpj_instituicao"),
+        F.when(hot, supplier_name(F.lit(0)))
+         .when(ln % 3 != 0, supplier_name(F.col("l_suppkey") + ln - 1)).alias("nom_instituicao"),
+        F.col("l_orderkey").alias("qtd_totl_clie_css_scr"),
+        F.col("l_quantity").cast("bigint").alias("qtd_totl_recl"),
+        F.col("l_discount").alias("vlr_ind_recl"),
+        F.year("l_shipdate").alias("ano"),
+        F.quarter("l_shipdate").alias("num_trimestre"),
+    )
+
+
 def employers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employer ratings keyed by institution name."""
     s = table(spark, sf_dir, "supplier")
@@ -85,6 +104,17 @@ SQL_COMPLAINTS = """SELECT CASE WHEN l_linenumber % 2 <> 0 THEN l_suppkey END AS
        CAST(quarter(l_shipdate) AS INTEGER) AS num_trimestre
 FROM lineitem"""
 
+SQL_COMPLAINTS_HOT = """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0
+            WHEN l_linenumber % 2 <> 0 THEN l_suppkey END AS num_cnpj_instituicao,
+       CASE WHEN l_orderkey % 3 = 0 THEN 'Supplier#000000000'
+            WHEN l_linenumber % 3 <> 0
+            THEN 'Supplier#' || lpad(CAST(l_suppkey + l_linenumber - 1 AS VARCHAR), 9, '0') END
+         AS nom_instituicao,
+       l_orderkey AS qtd_totl_clie_css_scr, CAST(l_quantity AS BIGINT) AS qtd_totl_recl,
+       l_discount AS vlr_ind_recl, CAST(year(l_shipdate) AS INTEGER) AS ano,
+       CAST(quarter(l_shipdate) AS INTEGER) AS num_trimestre
+FROM lineitem"""
+
 SQL_EMPLOYERS = """SELECT s_name AS nom_instituicao, s_acctbal / 2000 AS vlr_ind_satis_geral,
        CAST(s_nationkey AS DOUBLE) / 5 AS vlr_ind_remu_bene
 FROM supplier"""
