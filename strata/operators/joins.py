@@ -32,10 +32,13 @@ def equi_join(left: DataFrame, right: DataFrame, on: str | list[str],
     return left.join(right, on=on, how=how)
 
 
-def _rename_right(left: DataFrame, right: DataFrame, suffix: str) -> tuple[DataFrame, dict]:
-    clash = {c.lower() for c in left.columns}
-    mapping = {c: (c + suffix if c.lower() in clash else c) for c in right.columns}
-    renamed = right.select(*[col_ref(c).alias(mapping[c]) for c in right.columns])
+def _rename_right(left_cols: list[str], right: DataFrame, right_cols: list[str],
+                  suffix: str) -> tuple[DataFrame, dict]:
+    clash = {c.lower() for c in left_cols}
+    mapping = {c: (c + suffix if c.lower() in clash else c) for c in right_cols}
+    if all(mapping[c] == c for c in right_cols):
+        return right, mapping
+    renamed = right.select(*[col_ref(c).alias(mapping[c]) for c in right_cols])
     return renamed, mapping
 
 
@@ -51,10 +54,11 @@ def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     """
     if not pairs:
         raise ValueError("or_equi_join needs at least one (left, right) column pair")
-    right_r, mapping = _rename_right(left, right, right_suffix)
+    left_cols, right_cols = left.columns, right.columns
+    right_r, mapping = _rename_right(left_cols, right, right_cols, right_suffix)
     right_keys = {rc for _, rc in pairs}
-    out_cols = [col_ref(c) for c in left.columns] + [
-        col_ref(mapping[c]) for c in right.columns if keep_right_keys or c not in right_keys]
+    out_cols = [col_ref(c) for c in left_cols] + [
+        col_ref(mapping[c]) for c in right_cols if keep_right_keys or c not in right_keys]
 
     def eq(pair):
         lcol, rcol = pair
@@ -80,12 +84,12 @@ def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
 def _tagged(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     """One row per key pair i: ``{prefix}t`` = i, ``{prefix}v{i}`` = key i, other keys NULL.
     Rows whose active key is NULL can never match and are dropped here."""
-    types = {f.name: f.dataType for f in df.schema.fields}
     entries = []
     for i in range(len(cols)):
         fields = [F.lit(i).alias(f"{prefix}t")]
         for j, c in enumerate(cols):
-            value = col_ref(c) if j == i else F.lit(None).cast(types[c])
+            # untyped NULL: array() coerces each struct field to the key's type
+            value = col_ref(c) if j == i else F.lit(None)
             fields.append(value.alias(f"{prefix}v{j}"))
         entries.append(F.struct(*fields))
     alive = reduce(lambda a, b: a | b,
@@ -113,10 +117,11 @@ def _tagged_join(left: DataFrame, right_r: DataFrame, mapped: list[tuple[str, st
 def or_join_naive(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
                   right_suffix: str = "_r") -> DataFrame:
     """The literal OR condition (nested-loop plan). Kept for equivalence tests only."""
-    right_r, mapping = _rename_right(left, right, right_suffix)
+    left_cols, right_cols = left.columns, right.columns
+    right_r, mapping = _rename_right(left_cols, right, right_cols, right_suffix)
     cond = reduce(lambda a, b: a | b,
                   [col_ref(lc) == col_ref(mapping[rc]) for lc, rc in pairs])
-    out_cols = [col_ref(c) for c in left.columns] + [col_ref(mapping[c]) for c in right.columns]
+    out_cols = [col_ref(c) for c in left_cols] + [col_ref(mapping[c]) for c in right_cols]
     return left.join(right_r, on=cond, how="inner").select(*out_cols)
 
 
@@ -141,8 +146,8 @@ def join_sources(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
     comp = complaints.select(
         col_ref(key).alias("_c_key"), col_ref(name).alias("_c_name"),
         *[col_ref(c) for c in complaints.columns if c.lower() not in (key.lower(), name.lower())])
-    matched = or_equi_join(banks, comp, [(key, "_c_key"), (name, "_c_name")], dedup=dedup)
-    matched = matched.drop("_c_key", "_c_name")
+    matched = or_equi_join(banks, comp, [(key, "_c_key"), (name, "_c_name")], dedup=dedup,
+                           keep_right_keys=False)
     emp = employers.select(
         col_ref(name).alias("_e_name"),
         *[col_ref(c) for c in employers.columns if c.lower() != name.lower()])
