@@ -125,6 +125,11 @@ def sort_desc(df: DataFrame, column: str, tiebreak: list[str] | None = None) ->
     return df.orderBy(*order)
 
 
+def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows (a peek; stops reading once ``n`` rows are found)."""
+    return df.limit(n)
+
+
 def top_k(df: DataFrame, column: str, k: int = 5, tiebreak: list[str] | None = None) -> DataFrame:
     """First ``k`` rows of :func:`sort_desc` (planned as TakeOrderedAndProject: each task
     keeps its own top k, only k rows per task reach the final merge)."""

@@ -42,7 +42,7 @@ def feeds(spark, tmp_path_factory):
                "|".join(SC.EMPLOYER_FIELDS) + "\n"
                + employer("BANCO ALFA", "S1", "3.8", "3.5")
                + employer("BANCO BETA", "S2", "4.0", "3.0", hq="Recife")
-               + employer("BANCO BETA", "S2", "4.5", "2.0", industry="no-slug")
+               + employer("BANCO BETA - PRUDENCIAL", "S2", "4.5", "2.0", industry="no-slug")
                + employer("BANCO ZETA", "12345678", "1.0", "1.0"), "\r\n")
     sor, sot = {}, {}
     for d, folder in (("bancos", "Bancos"), ("reclamacoes", "Reclamacoes"),

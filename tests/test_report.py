@@ -87,3 +87,7 @@ def test_finalize_report_names(spark):
     assert snap.columns[0] == "nome_banco" and dict(snap.dtypes)["quantidade_clientes_banco"] == "int"
     disp = R.finalize_report(R.snapshot_report(b, c, e), "display")
     assert disp.columns[0] == "Nome do Banco"
+
+
+def test_first_rows_peek(spark):  # O6 (unordered head)
+    assert R.first_rows(spark.range(100), 5).count() == 5
