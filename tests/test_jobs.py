@@ -181,3 +181,53 @@ def test_hot_key_third_of_rows(spark):
     assert rows(fast) == rows(R.snapshot_report(b, c, e, pre_aggregate=False))
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_cli_runs_the_layers(spark, feeds, scratch):
+    from strata.plans import cli
+    root = scratch("cli")
+    land = f"{feeds['root']}/landing"
+    sor = cli.main(["sor", "--dataset", "bancos", "--input", f"{land}/Bancos",
+                    "--output", f"{root}/sor_b", "--ref-date", REF], spark=spark)
+    sot = cli.main(["sot", "--dataset", "bancos", "--input", sor, "--output", f"{root}/sot_b",
+                    "--ref-date", REF, "--dq-root", f"{root}/dq"], spark=spark)
+    assert spark.read.parquet(sot).count() == 3
+    out = cli.main(["spec", "--banks", sot, "--complaints", feeds["sot"]["reclamacoes"],
+                    "--employers", feeds["sot"]["empregados"], "--output", f"{root}/spec",
+                    "--ref-date", REF, "--sink", "csv"], spark=spark)
+    assert spark.read.option("sep", ";").option("header", True).csv(out).count() == 2
+
+
+def test_spec_from_catalog_tables(spark, feeds):  # S8: three pruned catalog reads
+    from strata import sinks
+    sot = feeds["sot"]
+    sinks.create_table(spark, "g_bancos", sot["bancos"],
+                       "nom_segto_instituicao string, num_cnpj_instituicao bigint, "
+                       "nom_instituicao string, dat_hor_psst timestamp, anomesdia string",
+                       by=["anomesdia"])
+    sinks.repair_table(spark, "g_bancos")
+    spark.read.parquet(sot["reclamacoes"]).createOrReplaceTempView("g_recl")
+    spark.read.parquet(sot["empregados"]).createOrReplaceTempView("g_emp")
+    b, c, e = J.spec_inputs(spark, "g_bancos", "g_recl", "g_emp", from_tables=True)
+    assert J.spec_frame(b, c, e, stamp=False).count() == 2
+
+
+def test_jdbc_writer_arguments(monkeypatch):  # K6 without a database
+    from strata.sinks import writers as W
+    calls = {}
+
+    class FakeWriter:
+        def jdbc(self, url, table, mode, properties):
+            calls.update(url=url, table=table, mode=mode, properties=properties)
+
+    class FakeFrame:
+        write = FakeWriter()
+
+        def coalesce(self, n):
+            calls["coalesce"] = n
+            return self
+
+    W.write_jdbc(FakeFrame(), "jdbc:mysql://db:3306/rep", "tb_report",
+                 {"user": "u", "driver": "com.mysql.cj.jdbc.Driver"}, num_partitions=4)
+    assert calls["mode"] == "append" and calls["coalesce"] == 4
+    assert calls["properties"]["batchsize"] == "10000" and calls["table"] == "tb_report"
