@@ -11,6 +11,14 @@ from pyspark.sql import types as T
 from strata.functions.columns import col_ref, safe_cast
 
 
+def normalize_charset(name: str) -> str:
+    """Java charset name for common spellings (``'ISO 8859-1'`` -> ``'ISO-8859-1'``)."""
+    n = name.strip().upper().replace("_", "-")
+    if n.startswith("ISO") and not n.startswith("ISO-"):
+        n = "ISO-" + n[3:].lstrip(" -")
+    return n.replace(" ", "-")
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";",
                    schema: T.StructType | None = None, header: bool = True,
                    encoding: str = "UTF-8", mode: str = "PERMISSIVE",
@@ -23,7 +31,7 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";",
     ignored) and fills missing ones with NULL. A headerless read keeps every line.
     """
     reader = (spark.read.option("sep", sep).option("header", header)
-              .option("encoding", encoding).option("mode", mode)
+              .option("encoding", normalize_charset(encoding)).option("mode", mode)
               .option("inferSchema", False))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)

@@ -104,3 +104,10 @@ def test_rebalanced_write_plan(spark, scratch):  # K4
     assert spark.read.parquet(d).count() == 1000
     files = [f for _, _, fs in os.walk(local_dir(d)) for f in fs if f.endswith(".parquet")]
     assert len(files) >= 6  # 3 partitions x >= 2 files (record cap)
+
+
+def test_charset_spellings():  # T9
+    from strata.sources.files import normalize_charset
+    assert normalize_charset("ISO 8859-1") == "ISO-8859-1"
+    assert normalize_charset("iso-8859-1") == "ISO-8859-1"
+    assert normalize_charset("utf-8") == "UTF-8"
