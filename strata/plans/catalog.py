@@ -1119,10 +1119,18 @@ def job_sot_gate_stop(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 _STREAM: dict[tuple, dict] = {}
+_LANDING: dict[tuple, dict] = {}
 
 
 def _landing_with_extras(spark, sf_dir) -> dict:
-    """Raw feeds + an empty file + a file no route matches, in a fresh landing folder."""
+    """Raw feeds + an empty file + a file no route matches (written once per app)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDING:
+        _LANDING[key] = _write_landing(spark, sf_dir)
+    return _LANDING[key]
+
+
+def _write_landing(spark, sf_dir) -> dict:
     root = scratch_path(spark, "landing_stream")
     landing = f"{root}/landing"
     RR.land_raw_files(spark, sf_dir, landing)
@@ -1189,12 +1197,10 @@ def stream_sor_reclamacoes(spark, sf_dir):
 UNION ALL SELECT 'reclamacoes', count(*) FROM lineitem
 UNION ALL SELECT 'empregados', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)""")
 def route_by_path(spark, sf_dir):
-    """Batch form of the routing: landed lines per dataset, headers removed."""
+    """Batch form of the routing: landed lines per dataset, headers removed, one pass."""
     st = _landing_with_extras(spark, sf_dir)
     lines = ST.routed_lines(spark.read.option("recursiveFileLookup", True).text(st["landing"]))
-    counts = [ST.parse_routed(lines, d, REF_DATE).agg(F.count(F.lit(1)).alias("n_data_lines"))
-              .select(F.lit(d).alias("dataset"), "n_data_lines") for d in RAW_FORMATS]
-    return joins.union_all(counts)
+    return ST.count_data_lines(lines)
 
 
 @register("flagship_report_sql", SQL_FLAGSHIP)

@@ -35,13 +35,26 @@ class UnroutedFileError(ValueError):
     """A landed file matches no dataset pattern (``unrouted='raise'``)."""
 
 
+_META = set(".^$*+?{}[]\\|()")
+
+
+def _path_test(p: Column, pattern: str) -> Column:
+    """``.*TEXT.*`` (match anywhere) becomes a plain substring test: same answer for
+    paths, without the quadratic backtracking of a leading ``.*`` under ``rlike``."""
+    if pattern.startswith(".*") and pattern.endswith(".*"):
+        core = pattern[2:-2]
+        if core and not (set(core) & _META):
+            return p.contains(core)
+    return p.rlike(pattern)
+
+
 def route_by_path(path: str | Column, routes: list[tuple[str, str]] | None = None) -> Column:
-    """Dataset name for a file path; NULL when no pattern matches."""
+    """Dataset name for a file path (first matching route wins); NULL when none matches."""
     p = C.col_ref(path) if isinstance(path, str) else path
     expr = None
     for name, pattern in routes or SC.ROUTES:
-        expr = F.when(p.rlike(pattern), F.lit(name)) if expr is None else \
-            expr.when(p.rlike(pattern), F.lit(name))
+        test = _path_test(p, pattern)
+        expr = F.when(test, F.lit(name)) if expr is None else expr.when(test, F.lit(name))
     return expr
 
 
@@ -69,6 +82,18 @@ def parse_routed(routed: DataFrame, dataset: str, ref_date=None) -> DataFrame:
     return C.with_ref_date(parsed, ref_date)
 
 
+def count_data_lines(routed: DataFrame) -> DataFrame:
+    """Data lines per dataset in ONE pass over routed lines (header lines excluded:
+    a line whose first field is the dataset's first column name)."""
+    first = None
+    for dataset, fmt in SC.RAW_FORMATS.items():
+        cond = F.col("dataset") == dataset
+        head = F.substring_index(F.col("value"), fmt["sep"], 1) == fmt["fields"][0]
+        first = F.when(cond, head) if first is None else first.when(cond, head)
+    data = routed.filter(F.col("dataset").isNotNull() & ~F.coalesce(first, F.lit(False)))
+    return data.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_data_lines"))
+
+
 def _batch_writer(sor_root: str, ref_date, unrouted: str, quarantine_root: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
