@@ -22,19 +22,23 @@ def normalize_charset(name: str) -> str:
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";",
                    schema: T.StructType | None = None, header: bool = True,
                    encoding: str = "UTF-8", mode: str = "PERMISSIVE",
-                   recursive: bool = False) -> DataFrame:
+                   recursive: bool = False, multiline: bool = False) -> DataFrame:
     """Delimited text (tab, pipe, semicolon ...). ``path`` may be a file, a directory
     of files (every file's header line is skipped) or a list of paths.
 
     Without ``schema`` every field is read as a string (no inference pass).
     ``PERMISSIVE`` keeps lines with extra trailing fields (the extra tokens are
     ignored) and fills missing ones with NULL. A headerless read keeps every line.
+    ``multiline=True`` allows line breaks inside quoted fields (each file is then
+    parsed by one task, so keep it off for large single files).
     """
     reader = (spark.read.option("sep", sep).option("header", header)
               .option("encoding", normalize_charset(encoding)).option("mode", mode)
               .option("inferSchema", False))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
+    if multiline:
+        reader = reader.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -111,3 +111,10 @@ def test_charset_spellings():  # T9
     assert normalize_charset("ISO 8859-1") == "ISO-8859-1"
     assert normalize_charset("iso-8859-1") == "ISO-8859-1"
     assert normalize_charset("utf-8") == "UTF-8"
+
+
+def test_multiline_quoted_field(spark, scratch):
+    d = scratch("multi")
+    write_file(f"{d}/m.csv", 'Segmento;CNPJ;Nome\nS1;1;"BANCO\nDOIS"\n')
+    rows = S.read_delimited(spark, d, sep=";", schema=SC.BANK_RAW, multiline=True).collect()
+    assert len(rows) == 1 and rows[0].Nome == "BANCO\nDOIS"
