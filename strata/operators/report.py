@@ -118,11 +118,19 @@ def count_by(df: DataFrame, key: str, column: str, alias: str = "n") -> DataFram
     return df.groupBy(col_ref(key)).agg(F.count(col_ref(column)).alias(alias))
 
 
+def _order(df: DataFrame, column: str, tiebreak: list[str] | None):
+    order = [F.desc_nulls_last(col_ref(column))]
+    if tiebreak:
+        return order + [F.asc_nulls_last(col_ref(t)) for t in tiebreak]
+    # No key given: a row hash as the last key keeps the order total and deterministic
+    # and lets the range partitioner spread a heavily repeated value over many tasks.
+    return order + [F.xxhash64(*[col_ref(c) for c in df.columns])]
+
+
 def sort_desc(df: DataFrame, column: str, tiebreak: list[str] | None = None) -> DataFrame:
-    """Descending order, NULLs last (range-partitioned distributed sort)."""
-    order = [F.desc_nulls_last(col_ref(column))] + [F.asc_nulls_last(col_ref(t))
-                                                     for t in (tiebreak or [])]
-    return df.orderBy(*order)
+    """Descending order, NULLs last (range-partitioned distributed sort). Pass a unique
+    ``tiebreak`` to fix the order of equal values; otherwise a row hash breaks ties."""
+    return df.orderBy(*_order(df, column, tiebreak))
 
 
 def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
@@ -133,7 +141,7 @@ def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
 def top_k(df: DataFrame, column: str, k: int = 5, tiebreak: list[str] | None = None) -> DataFrame:
     """First ``k`` rows of :func:`sort_desc` (planned as TakeOrderedAndProject: each task
     keeps its own top k, only k rows per task reach the final merge)."""
-    return sort_desc(df, column, tiebreak).limit(k)
+    return df.orderBy(*_order(df, column, tiebreak)).limit(k)
 
 
 _SNAPSHOT_SQL = """

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from strata.operators import report as R
@@ -91,3 +93,16 @@ def test_finalize_report_names(spark):
 
 def test_first_rows_peek(spark):  # O6 (unordered head)
     assert R.first_rows(spark.range(100), 5).count() == 5
+
+
+def test_sort_without_tiebreak_spreads_a_repeated_value(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(2000).select((F.col("id") % 2).cast("double").alias("v"), "id")
+        out = R.sort_desc(df, "v")
+        sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in sizes) < 1000  # no single task holds a whole tie
+        vals = [r.v for r in out.collect()]
+        assert vals == sorted(vals, reverse=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
