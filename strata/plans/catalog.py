@@ -1146,7 +1146,8 @@ def stream_run(spark, sf_dir) -> dict:
         st = _landing_with_extras(spark, sf_dir)
         ST.stream_landing(spark, st["landing"], f"{st['root']}/sor", f"{st['root']}/_checkpoint",
                           ref_date=REF_DATE, quarantine_root=f"{st['root']}/quarantine",
-                          timeout_s=600)
+                          timeout_s=900, sot_root=f"{st['root']}/sot",
+                          dq_root=f"{st['root']}/data_quality")
         _STREAM[key] = st
     return _STREAM[key]
 
@@ -1193,6 +1194,21 @@ def stream_sor_reclamacoes(spark, sf_dir):
         "Ano", "CNPJ IF", "Quantidade total de clientes  CCS e SCR", "anomesdia")
 
 
+@register("stream_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
+def stream_sot_reclamacoes(spark, sf_dir):
+    """Trusted complaints rebuilt by the stream's raw -> trusted chain."""
+    st = stream_run(spark, sf_dir)
+    return spark.read.parquet(f"{st['root']}/sot/reclamacoes").drop("dat_hor_psst")
+
+
+@register("stream_sot_empregados",
+          f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_EMPLOYERS}) t""")
+def stream_sot_empregados(spark, sf_dir):
+    st = stream_run(spark, sf_dir)
+    df = spark.read.parquet(f"{st['root']}/sot/empregados")
+    return df.withColumn("anomesdia", F.col("anomesdia").cast("string")).drop("dat_hor_psst")
+
+
 @register("route_by_path", """SELECT 'bancos' AS dataset, count(*) AS n_data_lines FROM supplier
 UNION ALL SELECT 'reclamacoes', count(*) FROM lineitem
 UNION ALL SELECT 'empregados', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)""")

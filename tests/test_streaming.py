@@ -55,3 +55,19 @@ def test_backlog_split_into_bounded_batches(spark, scratch):
     df = spark.read.parquet(f"{root}/sor/bancos")
     assert df.count() == 5
     assert df.select("batch_id").distinct().count() == 3
+
+
+def test_stream_runs_raw_to_trusted_chain(spark, scratch):
+    root = scratch("stream_sot")
+    lz = f"{root}/landing"
+    land(lz, "Bancos_1.tsv", "Segmento\tCNPJ\tNome\nS1\t1\tA - PRUDENCIAL\nS2\t2\tB\n")
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14",
+                      timeout_s=300, sot_root=f"{root}/sot", dq_root=f"{root}/dq")
+    sot = spark.read.parquet(f"{root}/sot/bancos")
+    assert sorted(r.nom_instituicao for r in sot.collect()) == ["A", "B"]
+    assert spark.read.parquet(f"{root}/dq").count() == 5
+    land(lz, "Bancos_2.tsv", "Segmento\tCNPJ\tNome\nS9\t3\tC\n")  # S9 fails the segment check
+    with pytest.raises(Exception, match="Data Quality"):
+        ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14",
+                          timeout_s=300, sot_root=f"{root}/sot", dq_root=f"{root}/dq")
+    assert spark.read.parquet(f"{root}/sot/bancos").count() == 2  # trusted table unchanged
