@@ -6,7 +6,8 @@
   spec           SoT x3 -> report              (--banks --complaints --employers --output
                                                 [--sink parquet|csv|jdbc --jdbc-url ...])
   spec-quarterly SoT x3 -> quarterly CSV       (same inputs)
-  stream         landing folder -> SoR tables  (--landing --sor-root --checkpoint)
+  stream         landing folder -> SoR (+ SoT) (--landing --sor-root --checkpoint
+                                                [--sot-root --refresh table|partitions])
   export         catalog table -> database     (--table --jdbc-url --jdbc-table ...)
 
 Inputs/outputs are paths, or catalog table names with ``--tables``.
@@ -65,6 +66,9 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--quarantine")
     st.add_argument("--unrouted", default="quarantine", choices=["quarantine", "raise"])
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
+    st.add_argument("--sot-root", help="also rebuild trusted tables after each batch")
+    st.add_argument("--dq-root")
+    st.add_argument("--refresh", default="table", choices=["table", "partitions"])
 
     e = sub.add_parser("export")
     e.add_argument("--table", required=True)
@@ -114,7 +118,8 @@ def main(argv: list[str] | None = None, spark=None) -> str:
     if a.cmd == "stream":
         from strata.streaming import stream_landing
         stream_landing(spark, a.landing, a.sor_root, a.checkpoint, a.ref_date, a.unrouted,
-                       a.quarantine, max_files_per_trigger=a.max_files_per_trigger)
+                       a.quarantine, max_files_per_trigger=a.max_files_per_trigger,
+                       sot_root=a.sot_root, dq_root=a.dq_root, refresh=a.refresh)
         return a.sor_root
     if a.cmd == "export":
         from strata.sinks import export_table

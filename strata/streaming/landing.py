@@ -94,31 +94,50 @@ def count_data_lines(routed: DataFrame) -> DataFrame:
     return data.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_data_lines"))
 
 
-def _refresh_sot(spark: SparkSession, datasets: list[str], sor_root: str, sot_root: str,
-                 ref_date, dq_root: str | None) -> None:
-    """Rebuild the trusted table of each dataset that received files, from its whole
-    raw table (metrics, checks and gate included), as the file-arrival chain does."""
+def _refresh_sot(spark: SparkSession, touched: dict[str, list[str]], sor_root: str,
+                 sot_root: str, ref_date, dq_root: str | None, refresh: str) -> None:
+    """Rebuild the trusted table of each dataset that received files (metrics, checks
+    and gate included), as the file-arrival chain does.
+
+    refresh='table': from the whole raw table, replacing the whole trusted table.
+    refresh='partitions': only the raw partitions this batch wrote (partition-pruned
+    read), replacing only the trusted partitions they produce: work per batch stays
+    proportional to the batch, not to the table; checks then cover those partitions.
+    """
     from strata.plans import jobs as J
-    for dataset in datasets:
+    for dataset, dates in touched.items():
         schema = SC.all_string_schema(SC.RAW_FORMATS[dataset]["fields"]) \
             .add("anomesdia", "string").add("batch_id", "long")
         sor = spark.read.schema(schema).parquet(f"{sor_root}/{dataset}")
-        J.run_sot(spark, dataset, sor, f"{sot_root}/{dataset}", ref_date, dq_root=dq_root)
+        if refresh == "partitions":
+            sor = sor.filter(F.col("anomesdia").isin(*dates))
+        J.run_sot(spark, dataset, sor, f"{sot_root}/{dataset}", ref_date, dq_root=dq_root,
+                  overwrite="partitions" if refresh == "partitions" else "table")
 
 
 def _batch_writer(sor_root: str, ref_date, unrouted: str, quarantine_root: str | None,
-                  sot_root: str | None = None, dq_root: str | None = None):
+                  sot_root: str | None = None, dq_root: str | None = None,
+                  refresh: str = "table"):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             present = [r.dataset for r in batch.filter(F.col("dataset").isNotNull())
                        .select("dataset").distinct().collect()]  # at most one per dataset
+            touched: dict[str, list[str]] = {}
             for dataset in SC.RAW_FORMATS:
                 if dataset not in present:
                     continue
                 out = parse_routed(batch, dataset, ref_date).withColumn("batch_id", F.lit(batch_id))
+                out = out.persist()
                 write_partitioned(out, f"{sor_root}/{dataset}", by=["anomesdia", "batch_id"],
                                   fmt="parquet", overwrite="partitions")
+                if sot_root and refresh == "partitions":
+                    # partition values of this batch: one row per date (bounded)
+                    touched[dataset] = [r.anomesdia for r in
+                                        out.select("anomesdia").distinct().collect()]
+                else:
+                    touched[dataset] = []
+                out.unpersist()
             stray = batch.filter(F.col("dataset").isNull())
             if unrouted == "raise":
                 bad = stray.select("path").distinct().limit(5).collect()
@@ -129,8 +148,9 @@ def _batch_writer(sor_root: str, ref_date, unrouted: str, quarantine_root: str |
                                                                            F.lit(batch_id)),
                                   quarantine_root, by="batch_id", fmt="parquet",
                                   overwrite="partitions")
-            if sot_root and present:
-                _refresh_sot(batch.sparkSession, present, sor_root, sot_root, ref_date, dq_root)
+            if sot_root and touched:
+                _refresh_sot(batch.sparkSession, touched, sor_root, sot_root, ref_date, dq_root,
+                             refresh)
         finally:
             batch.unpersist()
     return write
@@ -142,20 +162,24 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
                          trigger: str = "availableNow",
                          max_files_per_trigger: int | None = 1000,
                          sot_root: str | None = None,
-                         dq_root: str | None = None) -> StreamingQuery:
+                         dq_root: str | None = None,
+                         refresh: str = "table") -> StreamingQuery:
     """Start the landing stream (returns the running query).
 
     ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` then runs as
     several batches), so the per-batch cache never holds a whole backlog.
     ``sot_root``: after each batch, rebuild the trusted table of every dataset that
     received files (raw -> trusted chain with the quality gate); a failed gate stops
-    the stream with the batch uncommitted, so a re-run repeats it idempotently."""
+    the stream with the batch uncommitted, so a re-run repeats it idempotently.
+    ``refresh``: 'table' (whole trusted table per batch, as the source chain) or
+    'partitions' (only what the batch touched; the choice for large tables)."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = routed_lines(reader.load(landing_root))
     writer = (lines.writeStream.foreachBatch(
-        _batch_writer(sor_root, ref_date, unrouted, quarantine_root, sot_root, dq_root))
+        _batch_writer(sor_root, ref_date, unrouted, quarantine_root, sot_root, dq_root,
+                      refresh))
         .option("checkpointLocation", checkpoint))
     if trigger == "availableNow":
         writer = writer.trigger(availableNow=True)
@@ -168,11 +192,11 @@ def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkp
                    ref_date: _dt.date | str | None = None, unrouted: str = "quarantine",
                    quarantine_root: str | None = None, timeout_s: int | None = None,
                    max_files_per_trigger: int | None = 1000, sot_root: str | None = None,
-                   dq_root: str | None = None) -> None:
+                   dq_root: str | None = None, refresh: str = "table") -> None:
     """Process every file landed so far and stop (``availableNow``)."""
     q = start_landing_stream(spark, landing_root, sor_root, checkpoint, ref_date, unrouted,
                              quarantine_root, max_files_per_trigger=max_files_per_trigger,
-                             sot_root=sot_root, dq_root=dq_root)
+                             sot_root=sot_root, dq_root=dq_root, refresh=refresh)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()

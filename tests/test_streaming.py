@@ -71,3 +71,21 @@ def test_stream_runs_raw_to_trusted_chain(spark, scratch):
         ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14",
                           timeout_s=300, sot_root=f"{root}/sot", dq_root=f"{root}/dq")
     assert spark.read.parquet(f"{root}/sot/bancos").count() == 2  # trusted table unchanged
+
+
+def test_incremental_trusted_refresh(spark, scratch):
+    root = scratch("stream_inc")
+    lz = f"{root}/landing"
+    head = ";".join(__import__("strata.schemas", fromlist=["x"]).COMPLAINT_FIELDS) + ";\n"
+
+    def line(year, q, cnpj):
+        return f"{year};{q}º;Top 10;Banco; {cnpj};NOME;1,5;1;1;1;2;3;4;5;\n"
+    land(lz, "Reclamacoes_a.csv", head + line(2021, 1, 1) + line(2021, 2, 2))
+    args = dict(ref_date="2023-08-14", timeout_s=300, sot_root=f"{root}/sot",
+                refresh="partitions")
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    land(lz, "Reclamacoes_b.csv", head + line(2021, 2, 3))
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    sot = spark.read.parquet(f"{root}/sot/reclamacoes")
+    got = sorted((r.num_trimestre, r.num_cnpj_instituicao) for r in sot.collect())
+    assert got == [(1, 1), (2, 2), (2, 3)]  # quarter 1 kept, quarter 2 rebuilt from raw
