@@ -46,13 +46,17 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";",
 
 def read_csv_recursive(spark: SparkSession, root: str, sep: str = ";", header: bool = True,
                        overrides: dict[str, str] | None = None,
-                       sampling_ratio: float = 1.0) -> DataFrame:
-    """Every CSV below ``root`` as one table, types inferred (``sampling_ratio`` of
-    the rows is read for the inference pass), ``overrides`` = {column: type} applied
+                       sampling_ratio: float = 1.0, glob: str | None = "*.csv") -> DataFrame:
+    """Every ``glob`` file below ``root`` as one table, types inferred
+    (``sampling_ratio`` of the rows is read for the inference pass: the inference is
+    an extra scan, so lower it on large inputs), ``overrides`` = {column: type} applied
     with the tolerant cast. Partition directories are NOT turned into columns."""
-    df = (spark.read.option("sep", sep).option("header", header)
-          .option("inferSchema", True).option("samplingRatio", sampling_ratio)
-          .option("recursiveFileLookup", True).csv(root))
+    reader = (spark.read.option("sep", sep).option("header", header)
+              .option("inferSchema", True).option("samplingRatio", sampling_ratio)
+              .option("recursiveFileLookup", True))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.csv(root)
     if overrides:
         lower = {k.lower(): v for k, v in overrides.items()}
         types = {f.name: f.dataType for f in df.schema.fields}

@@ -49,6 +49,7 @@ def test_recursive_read_with_overrides(spark, scratch):  # S5
     d = scratch("rec")
     write_file(f"{d}/anomesdia=20230814/t.csv", "id;v\n1;2.5\n2;3.0\n")
     write_file(f"{d}/anomesdia=20230815/t.csv", "id;v\n3;1.0\n")
+    write_file(f"{d}/anomesdia=20230815/notes.txt", "not;csv\nx;y\n")
     df = S.read_csv_recursive(spark, d, overrides={"id": "bigint"})
     assert df.columns == ["id", "v"] and dict(df.dtypes)["id"] == "bigint"
     assert df.count() == 3
