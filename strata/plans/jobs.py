@@ -187,7 +187,8 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     blocks are recomputed from lineage).
 
     Metrics are appended BEFORE the gate so a stopped load still leaves its
-    measurements; a failed gate leaves ``output_path`` untouched.
+    measurements; a failed gate leaves ``output_path`` untouched (the staged table
+    stays below the checkpoint folder for inspection).
     """
     from strata.session import scratch_path
     profile = profile or quality_profile(dataset)
