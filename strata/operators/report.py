@@ -133,6 +133,34 @@ def sort_desc(df: DataFrame, column: str, tiebreak: list[str] | None = None) ->
     return df.orderBy(*_order(df, column, tiebreak))
 
 
+def with_position(df: DataFrame, column: str, tiebreak: list[str] | None = None,
+                  name: str = "position") -> DataFrame:
+    """:func:`sort_desc` plus a 1-based ``position`` column, computed without a global
+    window (which would pull every row into one task):
+
+    1. range-partitioned sort; each row records its partition and its id within it,
+       and the result is checkpointed (reliable, below ``spark.checkpoint.dir``) so
+       both uses below see the same partitioning;
+    2. rows per partition -> running offsets: one row per partition, a table bounded
+       by the partition count, which is what gets broadcast back;
+    3. position = offset of the partition + index within the partition + 1.
+    """
+    from pyspark.sql import Window
+
+    from strata.session import shared_root
+    shared_root(df.sparkSession)  # make sure a checkpoint folder is set
+    ordered = df.orderBy(*_order(df, column, tiebreak)).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+    ordered = ordered.checkpoint(eager=True)
+    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (ordered.join(F.broadcast(offsets), "_pid")
+            .select(*[col_ref(c) for c in df.columns],
+                    (F.col("_off") + local + 1).alias(name)))
+
+
 def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """Any ``n`` rows (a peek; stops reading once ``n`` rows are found)."""
     return df.limit(n)

@@ -252,13 +252,14 @@ RANKINGS = {
 
 def _ranking(column):
     def run(spark, sf_dir):
-        return report.sort_desc(flagship_report(spark, sf_dir), column, tiebreak=["cnpj"])
+        return report.with_position(flagship_report(spark, sf_dir), column, tiebreak=["cnpj"])
     return run
 
 
 for _name, _column in RANKINGS.items():
     register(_name, f"""{SQL_REPORT_WITH}
-SELECT * FROM report ORDER BY "{_column}" DESC NULLS LAST, cnpj""")(_ranking(_column))
+SELECT *, row_number() OVER (ORDER BY "{_column}" DESC NULLS LAST, cnpj) AS position
+FROM report""")(_ranking(_column))
 
 
 @register("top5_clients", f"""{SQL_REPORT_WITH}

@@ -106,3 +106,15 @@ def test_sort_without_tiebreak_spreads_a_repeated_value(spark):
         assert vals == sorted(vals, reverse=True)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_with_position_is_a_distributed_row_number(spark):  # O1-O5
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select(((F.col("id") * 7919) % 101).cast("double").alias("v"),
+                                      "id")
+        got = {r.id: r.position for r in R.with_position(df, "v", ["id"]).collect()}
+        want = sorted(df.collect(), key=lambda r: (-r.v, r.id))
+        assert [got[r.id] for r in want] == list(range(1, 3001))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
