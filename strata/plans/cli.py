@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--overwrite", default="table", choices=["table", "partitions"])
     t.add_argument("--min-completeness", action="append", default=[],
                    metavar="COLUMN=FRACTION")
+    t.add_argument("--approx-distinct", action="store_true")
 
     for name in ("spec", "spec-quarterly"):
         r = sub.add_parser(name)
@@ -104,7 +105,8 @@ def main(argv: list[str] | None = None, spark=None) -> str:
             sor = spark.read.schema(schema).parquet(a.input)
         floors = {k: float(v) for k, v in (x.split("=", 1) for x in a.min_completeness)}
         res = J.run_sot(spark, a.dataset, sor, a.output, a.ref_date, dq_root=a.dq_root,
-                        profile=J.quality_profile(a.dataset, floors), overwrite=a.overwrite)
+                        profile=J.quality_profile(a.dataset, floors, a.approx_distinct),
+                        overwrite=a.overwrite)
         return res.output_path
     if a.cmd == "spec":
         jdbc = None

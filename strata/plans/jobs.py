@@ -116,9 +116,12 @@ class QualityProfile:
     table: str = ""
 
 
-def quality_profile(dataset: str, completeness: dict[str, float] | None = None) -> QualityProfile:
+def quality_profile(dataset: str, completeness: dict[str, float] | None = None,
+                    approx_distinct: bool = False) -> QualityProfile:
     """Metrics and checks of each trusted table. ``completeness`` overrides the
-    minimum completeness per column (defaults are the pipeline's thresholds)."""
+    minimum completeness per column (defaults are the pipeline's thresholds);
+    ``approx_distinct`` computes the distinct counts with HyperLogLog++ (no shuffle
+    of distinct values; for very large tables)."""
     th = dict(DEFAULT_COMPLETENESS[dataset])
     th.update(completeness or {})
     chk = Q.Check("Warning", "Review Check")
@@ -128,7 +131,7 @@ def quality_profile(dataset: str, completeness: dict[str, float] | None = None)
             chk = chk.has_completeness(col, lambda v, t=th[col]: v >= t)
         analyzers = [Q.Size(), Q.Completeness("nom_segto_instituicao"),
                      Q.Completeness("num_cnpj_instituicao"), Q.Completeness("nom_instituicao"),
-                     Q.CountDistinct("num_cnpj_instituicao")]
+                     Q.CountDistinct("num_cnpj_instituicao", approx=approx_distinct)]
         return QualityProfile(analyzers, chk, "tb_bancos")
     if dataset == "empregados":
         chk = (chk.has_size(lambda n: n >= 1)
@@ -138,7 +141,7 @@ def quality_profile(dataset: str, completeness: dict[str, float] | None = None)
                      Q.Completeness("nom_instituicao"), Q.Completeness("vlr_ind_remu_bene")]
         for col in ("vlr_ind_satis_geral", "vlr_ind_remu_bene"):
             analyzers += [Q.Maximum(col), Q.Minimum(col), Q.Mean(col), Q.StandardDeviation(col)]
-        analyzers.append(Q.CountDistinct("nom_instituicao"))
+        analyzers.append(Q.CountDistinct("nom_instituicao", approx=approx_distinct))
         return QualityProfile(analyzers, chk, "tb_empregados")
     if dataset == "reclamacoes":
         chk = (chk.has_size(lambda n: n >= 1)
@@ -150,7 +153,7 @@ def quality_profile(dataset: str, completeness: dict[str, float] | None = None)
                      Q.Completeness("qtd_totl_clie_css_scr")]
         for col in ("vlr_ind_recl", "qtd_totl_clie_css_scr"):
             analyzers += [Q.Maximum(col), Q.Minimum(col), Q.Mean(col), Q.StandardDeviation(col)]
-        analyzers.append(Q.CountDistinct("nom_instituicao"))
+        analyzers.append(Q.CountDistinct("nom_instituicao", approx=approx_distinct))
         return QualityProfile(analyzers, chk, "tb_reclamacoes")
     raise ValueError(f"unknown dataset {dataset!r}")
 
