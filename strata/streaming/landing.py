@@ -108,6 +108,8 @@ def _refresh_sot(spark: SparkSession, touched: dict[str, list[str]], sor_root: s
     for dataset, dates in touched.items():
         schema = SC.all_string_schema(SC.RAW_FORMATS[dataset]["fields"]) \
             .add("anomesdia", "string").add("batch_id", "long")
+        if refresh == "partitions" and not dates:
+            continue  # the batch held only header lines for this dataset
         sor = spark.read.schema(schema).parquet(f"{sor_root}/{dataset}")
         if refresh == "partitions":
             sor = sor.filter(F.col("anomesdia").isin(*dates))

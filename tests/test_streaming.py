@@ -85,6 +85,7 @@ def test_incremental_trusted_refresh(spark, scratch):
                 refresh="partitions")
     ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
     land(lz, "Reclamacoes_b.csv", head + line(2021, 2, 3))
+    land(lz, "Reclamacoes_empty_body.csv", head)  # header only: nothing to refresh
     ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
     sot = spark.read.parquet(f"{root}/sot/reclamacoes")
     got = sorted((r.num_trimestre, r.num_cnpj_instituicao) for r in sot.collect())
