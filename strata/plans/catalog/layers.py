@@ -234,3 +234,31 @@ def job_sot_gate_stop(spark, sf_dir):
     written = S.path_length(spark, out) is not None
     return spark.createDataFrame([("reclamacoes", raised, written)],
                                  "dataset string, gate_raised boolean, output_written boolean")
+
+
+@register("job_sor_bancos_csv", """SELECT 'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento",
+       CAST(s_suppkey AS VARCHAR) AS "CNPJ",
+       s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' - PRUDENCIAL' ELSE '' END AS "Nome",
+       '20230814' AS anomesdia
+FROM supplier""")
+def job_sor_bancos_csv(spark, sf_dir):
+    """File-based layers: SoR as ';' CSV with per-date overwrite, loaded twice (the
+    second load replaces the same date partition, no duplicates)."""
+    state = layers(spark, sf_dir, "sor")
+    out = scratch_path(spark, "sor_csv")
+    src = f"{state['root']}/landing/Bancos"
+    for _ in range(2):
+        J.run_sor(spark, "bancos", src, out, REF_DATE, fmt="csv", overwrite="partitions")
+    return spark.read.schema(_sor_schema("bancos")).option("sep", ";").option("header", True) \
+        .csv(out)
+
+
+@register("job_sot_bancos_csv", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_BANKS}) t""")
+def job_sot_bancos_csv(spark, sf_dir):
+    """SoT written as ';' CSV (checked from the staged Parquet, then rewritten)."""
+    state = layers(spark, sf_dir, "sor")
+    sor = spark.read.schema(_sor_schema("bancos")).parquet(state["sor"]["bancos"])
+    out = scratch_path(spark, "sot_csv")
+    J.run_sot(spark, "bancos", sor, out, REF_DATE, fmt="csv", overwrite="partitions")
+    return spark.read.schema(_SOT_READ["bancos"]).option("sep", ";").option("header", True) \
+        .csv(out).drop("dat_hor_psst")

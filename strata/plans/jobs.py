@@ -44,9 +44,13 @@ def sor_frame(spark: SparkSession, dataset: str, input_path: str | list[str],
 
 def run_sor(spark: SparkSession, dataset: str, input_path: str | list[str], output_path: str,
             ref_date: _dt.date | str | None = None, table: str | None = None,
-            encoding: str = "UTF-8", overwrite: str = "table") -> str:
+            encoding: str = "UTF-8", overwrite: str = "table", fmt: str = "parquet",
+            sep: str = ";") -> str:
+    """Raw copy partitioned by ``anomesdia``. ``fmt='csv'`` (``sep``-separated, header)
+    with ``overwrite='partitions'`` is the file-based layout: only the dates present in
+    this load are replaced."""
     W.write_partitioned(sor_frame(spark, dataset, input_path, ref_date, encoding), output_path,
-                        by="anomesdia", fmt="parquet", overwrite=overwrite,
+                        by="anomesdia", fmt=fmt, sep=sep, overwrite=overwrite,
                         layout=WRITE_LAYOUT[dataset])
     if table:
         W.repair_table(spark, table)
@@ -178,9 +182,13 @@ class SotResult:
 def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             ref_date=None, dq_root: str | None = None,
             profile: QualityProfile | None = None, table: str | None = None,
-            overwrite: str = "table", materialize: str = "stage") -> SotResult:
+            overwrite: str = "table", materialize: str = "stage",
+            fmt: str = "parquet", sep: str = ";") -> SotResult:
     """Transform, measure, check, gate, publish.
 
+    ``fmt='csv'`` writes the trusted table as ``sep``-separated text with header (the
+    staged Parquet is then rewritten, not renamed).
+
     ``materialize='stage'`` (default): the transformed frame is written ONCE to a
     staging table below the shared checkpoint folder; metrics and checks scan that
     Parquet (only the columns they need), and a passing load is published by directory
@@ -212,10 +220,10 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         if dq_root:
             W.append_metrics(metrics, dq_root, profile.table, ref_date)
         Q.gate(checks)
-        if staging:
+        if staging and fmt == "parquet":
             W.publish_staged(spark, staging, output_path, by, overwrite)
         else:
-            W.write_partitioned(df, output_path, by=by, fmt="parquet", overwrite=overwrite,
+            W.write_partitioned(df, output_path, by=by, fmt=fmt, sep=sep, overwrite=overwrite,
                                 layout=WRITE_LAYOUT[dataset])
         if table:
             W.repair_table(spark, table)
