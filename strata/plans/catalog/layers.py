@@ -262,3 +262,22 @@ def job_sot_bancos_csv(spark, sf_dir):
     J.run_sot(spark, "bancos", sor, out, REF_DATE, fmt="csv", overwrite="partitions")
     return spark.read.schema(_SOT_READ["bancos"]).option("sep", ";").option("header", True) \
         .csv(out).drop("dat_hor_psst")
+
+
+@register("job_spec_from_csv_layers", f"{SQL_SOT_REPORT_CTES}\n{SQL_FINAL_SNAPSHOT}")
+def job_spec_from_csv_layers(spark, sf_dir):
+    """File-based SPEC: the trusted tables as ';' CSV trees, read back recursively with
+    type inference (partition folders are not columns) and a tax-id override, then the
+    snapshot report."""
+    from strata.operators import report
+    from strata.sinks import write_partitioned
+    sot = layers(spark, sf_dir)["sot"]
+    root = scratch_path(spark, "csv_layers")
+    frames = {}
+    for d in ("bancos", "reclamacoes", "empregados"):
+        write_partitioned(spark.read.parquet(sot[d]), f"{root}/{d}", by=J.SOT_PARTITIONS[d],
+                          fmt="csv", sep=";")
+        frames[d] = S.read_csv_recursive(spark, f"{root}/{d}", sep=";",
+                                         overrides={"num_cnpj_instituicao": "bigint"})
+    return report.finalize_report(report.snapshot_report(
+        frames["bancos"], frames["reclamacoes"], frames["empregados"]))
