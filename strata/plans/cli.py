@@ -34,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--ref-date")
     s.add_argument("--encoding", default="UTF-8")
     s.add_argument("--table", help="catalog table to repair after the write")
+    s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    s.add_argument("--overwrite", default="table", choices=["table", "partitions"])
 
     t = sub.add_parser("sot")
     t.add_argument("--dataset", required=True, choices=sorted(SC.RAW_FORMATS))
@@ -42,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--ref-date")
     t.add_argument("--dq-root")
     t.add_argument("--tables", action="store_true")
+    t.add_argument("--input-format", default="parquet", choices=["parquet", "csv"])
+    t.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
     t.add_argument("--overwrite", default="table", choices=["table", "partitions"])
     t.add_argument("--min-completeness", action="append", default=[],
                    metavar="COLUMN=FRACTION")
@@ -95,18 +99,21 @@ def main(argv: list[str] | None = None, spark=None) -> str:
     spark = spark or build_session(app=f"strata-{a.cmd}")
     if a.cmd == "sor":
         return J.run_sor(spark, a.dataset, a.input, a.output, a.ref_date, table=a.table,
-                         encoding=a.encoding)
+                         encoding=a.encoding, fmt=a.format, overwrite=a.overwrite)
     if a.cmd == "sot":
         fmt = SC.RAW_FORMATS[a.dataset]
+        schema = SC.all_string_schema(fmt["fields"]).add("anomesdia", "string")
         if a.tables:
             sor = spark.read.table(a.input)
+        elif a.input_format == "csv":
+            sor = (spark.read.schema(schema).option("sep", ";").option("header", True)
+                   .csv(a.input))
         else:
-            schema = SC.all_string_schema(fmt["fields"]).add("anomesdia", "string")
             sor = spark.read.schema(schema).parquet(a.input)
         floors = {k: float(v) for k, v in (x.split("=", 1) for x in a.min_completeness)}
         res = J.run_sot(spark, a.dataset, sor, a.output, a.ref_date, dq_root=a.dq_root,
                         profile=J.quality_profile(a.dataset, floors, a.approx_distinct),
-                        overwrite=a.overwrite)
+                        overwrite=a.overwrite, fmt=a.output_format)
         return res.output_path
     if a.cmd == "spec":
         jdbc = None

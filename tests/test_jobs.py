@@ -231,3 +231,17 @@ def test_jdbc_writer_arguments(monkeypatch):  # K6 without a database
                  {"user": "u", "driver": "com.mysql.cj.jdbc.Driver"}, num_partitions=4)
     assert calls["mode"] == "append" and calls["coalesce"] == 4
     assert calls["properties"]["batchsize"] == "10000" and calls["table"] == "tb_report"
+
+
+def test_cli_csv_layers(spark, feeds, scratch):
+    from strata.plans import cli
+    root = scratch("cli_csv")
+    land = f"{feeds['root']}/landing"
+    sor = cli.main(["sor", "--dataset", "reclamacoes", "--input", f"{land}/Reclamacoes",
+                    "--output", f"{root}/sor", "--format", "csv", "--overwrite", "partitions"],
+                   spark=spark)
+    sot = cli.main(["sot", "--dataset", "reclamacoes", "--input", sor, "--input-format", "csv",
+                    "--output", f"{root}/sot", "--output-format", "csv",
+                    "--min-completeness", "num_cnpj_instituicao=0.5"], spark=spark)
+    back = spark.read.option("sep", ";").option("header", True).csv(sot)
+    assert back.count() == 4 and {"ano", "num_trimestre"} <= set(back.columns)
