@@ -88,7 +88,9 @@ COMPLAINT_RAW = all_string_schema(COMPLAINT_FIELDS)
 EMPLOYER_RAW = all_string_schema(EMPLOYER_FIELDS)
 
 # ---------------------------------------------------------------------------
-# Trusted-layer specs (source column -> target column, type)
+# Trusted-layer specs (source column -> target column, type).
+# The trusted and report column names and types must equal the
+# source pipeline's, in its order.
 # ---------------------------------------------------------------------------
 BANK_SPEC = [
     ("Segmento", "nom_segto_instituicao", "string"),
@@ -138,7 +140,7 @@ EMPLOYER_SPEC = [
     ("Nome", "nom_instituicao", "string"),
 ]
 
-# Report column names: internal -> (snapshot name, display name, type)
+# Report column names (fixed values): internal -> (snapshot name, display name, type)
 REPORT_SPEC = [
     ("nom_instituicao", "nome_banco", "Nome do Banco", "string"),
     ("num_cnpj_instituicao", "cnpj", "CNPJ", "bigint"),
