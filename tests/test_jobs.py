@@ -245,3 +245,20 @@ def test_cli_csv_layers(spark, feeds, scratch):
                     "--min-completeness", "num_cnpj_instituicao=0.5"], spark=spark)
     back = spark.read.option("sep", ";").option("header", True).csv(sot)
     assert back.count() == 4 and {"ano", "num_trimestre"} <= set(back.columns)
+
+
+def test_cli_parses_every_command():
+    from strata.plans import cli
+    p = cli._parser()
+    a = p.parse_args(["export", "--table", "db.t", "--jdbc-url", "jdbc:x", "--jdbc-table", "t",
+                      "--jdbc-user", "u"])
+    assert cli._jdbc_props(a) == {"user": "u"}
+    a = p.parse_args(["spec", "--banks", "b", "--complaints", "c", "--employers", "e",
+                      "--sink", "jdbc", "--jdbc-url", "jdbc:x", "--jdbc-table", "r"])
+    assert a.sink == "jdbc" and a.jdbc_table == "r"
+    a = p.parse_args(["spec-quarterly", "--banks", "b", "--complaints", "c", "--employers", "e",
+                      "--output", "o"])
+    assert a.cmd == "spec-quarterly"
+    a = p.parse_args(["stream", "--landing", "l", "--sor-root", "s", "--checkpoint", "k",
+                      "--refresh", "partitions", "--sot-root", "t"])
+    assert a.refresh == "partitions" and a.max_files_per_trigger == 1000
