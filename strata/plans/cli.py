@@ -25,6 +25,8 @@ from strata.session import build_session
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata")
+    p.add_argument("--auto-size", action="store_true",
+                   help="size shuffle partitions from the input bytes before running")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("sor")
@@ -97,6 +99,14 @@ def _jdbc_props(a) -> dict:
 def main(argv: list[str] | None = None, spark=None) -> str:
     a = _parser().parse_args(argv)
     spark = spark or build_session(app=f"strata-{a.cmd}")
+    if a.auto_size:
+        from strata.session import apply_sizing
+        inputs = {"sor": lambda: a.input, "sot": lambda: [a.input],
+                  "spec": lambda: [a.banks, a.complaints, a.employers],
+                  "spec-quarterly": lambda: [a.banks, a.complaints, a.employers],
+                  "stream": lambda: [a.landing]}.get(a.cmd, lambda: [])()
+        if not getattr(a, "tables", False):
+            apply_sizing(spark, list(inputs))
     if a.cmd == "sor":
         return J.run_sor(spark, a.dataset, a.input, a.output, a.ref_date, table=a.table,
                          encoding=a.encoding, fmt=a.format, overwrite=a.overwrite)

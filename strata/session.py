@@ -78,3 +78,42 @@ def local_dir(path: str) -> str:
 def ensure_local_dir(path: str) -> str:
     os.makedirs(local_dir(path), exist_ok=True)
     return path
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes below ``paths`` from file-system metadata (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def sizing(total_input_bytes: int, target_partition_bytes: int = 200 * 1024 ** 2,
+           min_partitions: int = 8, max_partitions: int = 20000) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``total_input_bytes``.
+
+    Initial shuffle partitions aim at ``target_partition_bytes`` of input per partition
+    (bounded); AQE then coalesces them to the advisory size measured at runtime, so the
+    upper bound only has to keep tasks from spilling on the largest shuffle.
+    """
+    wanted = -(-total_input_bytes // target_partition_bytes)
+    partitions = max(min_partitions, min(max_partitions, wanted))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+
+
+def apply_sizing(spark: SparkSession, paths: list[str], **kwargs) -> dict[str, str]:
+    """Measure the inputs and set the runtime SQL confs of :func:`sizing`."""
+    conf = sizing(input_bytes(spark, paths), **kwargs)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf

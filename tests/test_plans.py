@@ -59,3 +59,11 @@ def test_add_partition(spark, scratch):
                             by="p")
     sinks.add_partition(spark, "t_addpart", {"p": "a"})
     assert spark.read.table("t_addpart").count() == 1
+
+
+def test_sizing_from_input_bytes(spark):
+    from strata.session import input_bytes, sizing
+    assert sizing(0)["spark.sql.shuffle.partitions"] == "8"
+    assert sizing(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20000"  # 100 TB, capped
+    assert sizing(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "52"
+    assert input_bytes(spark, [f"{SF}/lineitem.parquet"]) > 0
