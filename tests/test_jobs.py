@@ -190,7 +190,9 @@ def test_cli_runs_the_layers(spark, feeds, scratch):
     sor = cli.main(["--auto-size", "sor", "--dataset", "bancos", "--input", f"{land}/Bancos",
                     "--output", f"{root}/sor_b", "--ref-date", REF], spark=spark)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # tiny input -> floor
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                "spark.sql.files.maxPartitionBytes"):
+        spark.conf.unset(key)
     sot = cli.main(["sot", "--dataset", "bancos", "--input", sor, "--output", f"{root}/sot_b",
                     "--ref-date", REF, "--dq-root", f"{root}/dq"], spark=spark)
     assert spark.read.parquet(sot).count() == 3
