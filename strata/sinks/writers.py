@@ -97,11 +97,25 @@ def add_partition(spark: SparkSession, name: str, spec: dict[str, str]) -> None:
 
 
 def write_report_csv(df: DataFrame, root: str, ref_date: _dt.date | str | None = None,
-                     sep: str = ";") -> str:
-    """Single CSV with header below ``root/anomesdia=<date>/``. Reports are one row
-    per institution, so one task is enough; not meant for fact-sized frames."""
+                     sep: str = ";", single_file_max_rows: int = 5_000_000) -> str:
+    """CSV report with header below ``root/anomesdia=<date>/``.
+
+    Reports are one row per institution (per quarter), so they normally go to ONE file
+    from one task. The row count is checked first: above ``single_file_max_rows`` the
+    report is written as several rebalanced files of at most that many rows instead,
+    so a large report never funnels through a single task (rows are never dropped).
+    """
     path = f"{root.rstrip('/')}/anomesdia={ref_date_text(ref_date)}"
-    df.coalesce(1).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+    df = df.persist()
+    try:
+        small = df.count() <= single_file_max_rows
+        out = df.coalesce(1) if small else df.hint("rebalance")
+        writer = out.write.mode("overwrite").option("sep", sep).option("header", True)
+        if not small:
+            writer = writer.option("maxRecordsPerFile", single_file_max_rows)
+        writer.csv(path)
+    finally:
+        df.unpersist()
     return path
 
 

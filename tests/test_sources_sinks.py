@@ -119,3 +119,12 @@ def test_multiline_quoted_field(spark, scratch):
     write_file(f"{d}/m.csv", 'Segmento;CNPJ;Nome\nS1;1;"BANCO\nDOIS"\n')
     rows = S.read_delimited(spark, d, sep=";", schema=SC.BANK_RAW, multiline=True).collect()
     assert len(rows) == 1 and rows[0].Nome == "BANCO\nDOIS"
+
+
+def test_large_report_is_not_forced_into_one_file(spark, scratch):  # K8 guard
+    d = scratch("bigrep")
+    path = sinks.write_report_csv(spark.range(1000).repartition(4), d, "2023-08-14",
+                                  single_file_max_rows=100)
+    files = [f for f in os.listdir(local_dir(path)) if f.endswith(".csv")]
+    assert len(files) > 1
+    assert S.read_delimited(spark, path, sep=";").count() == 1000
