@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
                                 "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from strata.plans import catalog  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(entry.oracle_sql())
     assert not missing, missing
 
 
@@ -34,7 +35,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "nome_banco" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
