@@ -54,3 +54,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def id_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file, which is installed with the executors' Python."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import near_dup
-from strata.llm._util import table
+from strata.llm import exact_dup, near_dup, packing, quality, sharding
+from strata.llm._util import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,7 +24,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 ORACLES["op1_minhash_near_dedup"] = f"""
 WITH RECURSIVE w AS (
@@ -32,7 +33,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS sh
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
   FROM w),
 n AS (SELECT doc_id, len(sh) AS n FROM s),
 e AS (SELECT doc_id, unnest(sh) AS x FROM s),
@@ -49,3 +50,72 @@ c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
 SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
 FROM n JOIN c USING (doc_id)
 """
+
+
+@query
+def op4_bfd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), 8)
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dup.exact_duplicates(table(spark, sf_dir, "documents"),
+                                      carry={"text_sha256": F.sha2("lowered", 256)})
+
+
+ORACLES["op5_exact_dedup"] = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM n WINDOW g AS (PARTITION BY t)
+"""
+
+
+@query
+def op7_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+ORACLES["op7_host_quality_rules"] = f"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM documents),
+g AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS x
+  FROM w WHERE len(ws) >= 3),
+t AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+c AS (
+  SELECT doc_id, count(*) AS n FROM (
+    SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM t) GROUP BY doc_id),
+f AS (
+  SELECT w.doc_id, source, len(ws) AS n_words,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN c USING (doc_id)),
+j AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+           OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS soft_failed
+  FROM f),
+h AS (
+  SELECT source, count(*) AS n, count(*) FILTER (base_failed OR soft_failed) AS failed
+  FROM j WHERE source IS NOT NULL GROUP BY source),
+p AS (
+  SELECT sum(failed) / sum(n) AS m, var_pop(failed / n) AS v FROM h),
+s AS (
+  SELECT m, greatest(1, least(1e4, CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1e4 END)) AS k FROM p),
+r AS (SELECT source, (failed + m * k) / (n + k) AS rate FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, soft_failed,
+       NOT base_failed AND NOT (soft_failed AND coalesce(rate, 0) > 0.5) AS kept
+FROM j LEFT JOIN r USING (source)
+"""
+
+
+@query
+def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
