@@ -7,7 +7,9 @@
    once and get an odd sketch: more MinHash samples folded into a parity bitmap, where
    the population count of the XOR of two bitmaps estimates their similarity.
 3. Star step: each node is verified against the least node of the band it shares most
-   often. Verified links give first components.
+   often. Verified links give first components. Merge rounds then verify one
+   node of every component against one node of the largest component in one of its
+   bands, which joins the parts of a large group before their members would meet.
 4. Sweep: within a band key only pairs from different components are left. The largest
    component of the key stays whole; the others are its "minor" nodes. Minor blocks meet
    chunks of the key's nodes, so a key of any size is spread over bounded groups, and the
@@ -32,8 +34,9 @@ from strata.llm.graph import components
 WIDTH = 5                 # words of a shingle
 SIMILAR = (75, 100)       # linked: 100 * intersection >= 75 * union
 BANDS, ROWS = 40, 5       # a pair at 0.75 shares no band with probability 2e-5
-SAMPLES, BITS = 1024, 4096
-DEVIATIONS = 4.75         # a pair at 0.75 is dropped by its sketches with probability 1e-6
+SAMPLES, BITS = 3072, 12288
+DEVIATIONS = 4.0          # a pair at 0.75 is dropped by its sketches with probability 3e-5
+MERGES = 6                # rounds, at most, that join components by one pair each
 BLOCK, CHUNK = 256, 1024  # minor nodes and nodes that meet in one group of the sweep
 _WORDS = 200_000          # word hashes that a task keeps
 
@@ -266,8 +269,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = cut(verified(star), "star")
     first = components(links)
 
-    within = (met.select("band", "node").join(first, "node", "left")
-              .select("band", "node", F.coalesce("label", "node").alias("comp")))
+    def within_bands(labels: DataFrame) -> DataFrame:
+        return (met.select("band", "node").join(labels, "node", "left")
+                .select("band", "node", F.coalesce("label", "node").alias("comp")))
+
+    for turn in range(MERGES):
+        parts = (within_bands(first).groupBy("band", "comp")
+                 .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("one"),
+                      F.count(F.lit(1)).alias("size")))
+        largest = (parts.groupBy("band").agg(F.max_by("one", F.struct("size", "comp")).alias("other"),
+                                             F.max("size").alias("most"), F.count(F.lit(1)).alias("parts"))
+                   .where("parts > 1"))
+        # every other round tries a band of the component's largest company, or any band
+        rank = F.col("most") if turn % 2 == 0 else F.xxhash64("band", F.lit(turn))
+        pairs = (parts.join(largest, "band").where("one <> other").groupBy("comp")
+                 .agg(F.max_by(F.struct("one", "other"), F.struct(rank, "band")).alias("pair"))
+                 .select(F.col("pair.other").alias("a"), F.col("pair.one").alias("b")))
+        joined = cut(verified(pairs), "merge")
+        if joined.isEmpty():
+            break
+        links = links.union(joined)
+        first = components(links)
+
+    within = within_bands(first)
     sizes = (within.groupBy("band", "comp").count().groupBy("band")
              .agg(F.max_by("comp", F.struct("count", "comp")).alias("major"), F.max("count").alias("most"),
                   F.sum("count").alias("total"), F.count(F.lit(1)).alias("comps"))

@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -130,8 +132,25 @@ def _described(text: str, spans: list[tuple[int, int, int]]) -> list[list[float]
     return [_shape(k, text[s:e], text[max(0, s - CONTEXT):s], text[e:e + CONTEXT]) for s, k, e in spans]
 
 
-def _overlaps(span: tuple[int, int, int], others: list[tuple[int, int, int]]) -> bool:
-    return any(o[0] < span[2] and span[0] < o[2] for o in others)
+def _apart(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those of ``spans`` that overlap none of the sorted ``others``."""
+    starts, reach = [o[0] for o in others], list(accumulate((o[2] for o in others), max))
+    out = []
+    for span in spans:
+        before = bisect_left(starts, span[2])
+        if not before or reach[before - 1] <= span[0]:
+            out.append(span)
+    return out
+
+
+def _disjoint(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Each of ``spans``, in their order, that overlaps none taken before it."""
+    taken: list[tuple[int, int, int]] = []
+    for span in spans:
+        at = bisect_left(taken, span)
+        if (at == 0 or taken[at - 1][2] <= span[0]) and (at == len(taken) or span[2] <= taken[at][0]):
+            taken.insert(at, span)
+    return taken
 
 
 def _written_out(kind: int, span: str) -> list[str]:
@@ -159,7 +178,7 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 forms = [text[s:e], *_written_out(k, text[s:e])]
                 x += [_shape(k, form, before, after) for form in forms]
                 y += [1] * len(forms)
-            rest = [c for c in candidates(text) if not _overlaps(c, base)]
+            rest = _apart(candidates(text), base)
             shapes = _described(text, rest)
             x += shapes
             y += [int(k == KINDS.index("secret") and shape[-1] > 0 and shape[-2] > 0)
@@ -167,15 +186,15 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32())], ["x", "y"])
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> boosting.BoostedTrees | None:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boosting.BoostedTrees | None:
     """Trees from at most SAMPLE_DOCS documents and SAMPLE_ROWS candidates.
 
-    A hash of the text draws the documents, so the sample follows no order. Three of
+    A hash of id and text draws the documents, so the sample follows no order. Three of
     four candidates train; the rest set the threshold. None if a class is missing.
     """
-    text = docs.select(F.col(text_col).alias("text")).where("text is not null")
-    share = min(1.0, SAMPLE_DOCS / max(1, text.count()))
-    drawn = text.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).limit(SAMPLE_DOCS)
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    drawn = (docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+             .select(F.col(text_col).alias("text")).limit(SAMPLE_DOCS))
     rows = drawn.mapInArrow(_training, "x array<double>, y int").limit(SAMPLE_ROWS).toArrow()
     x = np.array(rows.column("x").to_pylist(), float)
     y = np.array(rows.column("y").to_pylist(), float)
@@ -194,17 +213,13 @@ def _selected(texts: list[str], model: boosting.BoostedTrees | None):
     base = [base_spans(t) for t in texts]
     if model is None:
         return [(b, []) for b in base]
-    rest = [[c for c in candidates(t) if not _overlaps(c, b)] for t, b in zip(texts, base)]
+    rest = [_apart(candidates(t), b) for t, b in zip(texts, base)]
     shapes = [s for t, r in zip(texts, rest) for s in _described(t, r)]
     scores = iter(model.probability(np.array(shapes, float)).tolist() if shapes else [])
     out = []
     for b, r in zip(base, rest):
         passed = sorted(((p, c) for c in r if (p := next(scores)) >= model.threshold), key=lambda v: (-v[0], v[1]))
-        added: list[tuple[int, int, int]] = []
-        for _, c in passed:  # of overlapping candidates the likeliest
-            if not _overlaps(c, added):
-                added.append(c)
-        out.append((b, added))
+        out.append((b, _disjoint([c for _, c in passed])))  # of overlapping ones the likeliest
     return out
 
 
@@ -233,7 +248,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return base.mapInArrow(
-        _spans(fit(docs, text_col)),
+        _spans(fit(docs, id_col, text_col)),
         f"doc_id {id_type(docs, id_col)}, n_email long, n_ip long, n_card long, n_phone long, "
         "base_sha256 string, spans string")
 
@@ -248,12 +263,12 @@ def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[end:]])
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data replaced by <EMAIL>, <IP>, <CARD>, <PHONE> or <SECRET>.
 
     All columns stay in place; a null text stays null.
     """
-    model = fit(docs, text_col)
+    model = fit(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

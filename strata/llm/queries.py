@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dup, near_dup, packing, quality, sharding
+from strata.llm import (exact_dup, licenses, near_dup, packing, pieces, pii, quality, sharding,
+                        token_counts, urls)
 from strata.llm._util import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +120,28 @@ FROM j LEFT JOIN r USING (source)
 @query
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op10_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
