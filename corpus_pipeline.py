@@ -1,28 +1,60 @@
-"""Document pipeline of the training-data operators."""
+"""Document pipeline: quality rules, exact and near duplicates, personal data, packing.
+
+Rows are told apart by doc_id and a hash of the text, so rows without an id and ids that
+stand for several texts keep their own verdicts; rows that repeat both are one document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.llm import exact_dup, near_dup, packing, pii, quality
+from strata.llm._util import cut, tokenizer_path
+
+KEY = "__document"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+
 
-from strata.llm import near_dup
-from strata.llm._util import cut
+def _without_rejected(docs: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
+    """``docs`` less the documents that ``verdicts`` (doc_id, kept) reject."""
+    gone = cut(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(KEY)).distinct(), name)
+    return _keyed(docs).join(gone, KEY, "left_anti").select(docs.columns)
 
 
-def _without(docs: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
-    """``docs`` less the rows whose id has only rejections in ``verdicts`` (doc_id, kept)."""
-    gone = cut(verdicts.groupBy("doc_id").agg({"kept": "max"})
-               .where("NOT `max(kept)`").select("doc_id"), name)
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep (operator 7)."""
+    return _without_rejected(docs, quality.quality_rules(_keyed(docs), KEY), "quality-rejected")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id (operator 5)."""
+    return _without_rejected(docs, exact_dup.exact_duplicates(_keyed(docs), KEY), "exact-copies")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return _without(docs, near_dup.near_duplicates(docs), "near-dropped")
+    """Of near-duplicates the document with the least id (operator 1)."""
+    return _without_rejected(docs, near_dup.near_duplicates(_keyed(docs), KEY), "near-copies")
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced, and their new length (operator 3)."""
+    redacted = pii.redact(docs)
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences (operator 9)."""
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+          ("redact_pii", redact_pii), ("pack", pack)]
 
-#: Shingle links, boosted trees and tokenization are beyond SQL.
+#: Boosted trees and tokenization are beyond SQL; tests/llm has a brute-force version.
 ORACLE_SQL = None
 
 
