@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from strata import sinks, streaming as ST
-from strata.operators import joins
+from strata import sinks, sources as S, streaming as ST
+from strata.functions import columns as C
+from strata.operators import joins, quality as Q
 from strata.plans import derive
+from strata.plans import jobs as J
 from strata.plans import raw_render as RR
 from strata.schemas import RAW_FORMATS
 from strata.session import scratch_path
@@ -74,20 +77,11 @@ def stream_sor_bancos(spark, sf_dir):
         .select("Segmento", "CNPJ", "Nome", "anomesdia")
 
 
-@register("stream_sor_reclamacoes", """SELECT CAST(year(l_shipdate) AS VARCHAR) AS "Ano",
-       CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END
-         AS "CNPJ IF",
-       CASE WHEN l_linenumber = 6 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END
-         AS "Quantidade total de clientes  CCS e SCR",
-       CAST(year(l_shipdate) AS VARCHAR) ||
-       CASE quarter(l_shipdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
-       || '01' AS anomesdia
-FROM lineitem""")
+@register("stream_sor_reclamacoes", RR.SQL_SOR_COMPLAINTS)
 def stream_sor_reclamacoes(spark, sf_dir):
     st = stream_run(spark, sf_dir)
     return spark.read.schema(_sor_schema("reclamacoes")).parquet(
-        f"{st['root']}/sor/reclamacoes").select(
-        "Ano", "CNPJ IF", "Quantidade total de clientes  CCS e SCR", "anomesdia")
+        f"{st['root']}/sor/reclamacoes").drop("batch_id")
 
 
 @register("stream_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
@@ -109,7 +103,81 @@ def stream_sot_empregados(spark, sf_dir):
 UNION ALL SELECT 'reclamacoes', count(*) FROM lineitem
 UNION ALL SELECT 'empregados', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation)""")
 def route_by_path(spark, sf_dir):
-    """Batch form of the routing: landed lines per dataset, headers removed, one pass."""
+    """Batch form of the routing: rows of the landed files per dataset."""
     st = _landing_with_extras(spark, sf_dir)
-    lines = ST.routed_lines(spark.read.option("recursiveFileLookup", True).text(st["landing"]))
-    return ST.count_data_lines(lines)
+    files = ST.routed_files(spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                            .load(st["landing"]))
+    return joins.union_all([
+        J.sor_frame(spark, dataset, paths, REF_DATE).agg(F.count(F.lit(1)).alias("n_data_lines"))
+        .select(F.lit(dataset).alias("dataset"), "n_data_lines")
+        for dataset, paths in ST.nonempty_by_dataset(files).items() if dataset])
+
+
+@register("stream_unrouted", """SELECT true AS raised, false AS raw_written, count(*) AS n_lines_left FROM region""")
+def stream_unrouted(spark, sf_dir):
+    """A file without a route and without a quarantine folder: the stream stops before it
+    writes, and the lines are still to be had when a folder is given."""
+    root = scratch_path(spark, "stream_unrouted")
+    landing = f"{root}/landing"
+    sinks.write_partitioned(RR.raw_bancos(spark, sf_dir), f"{landing}/Bancos", fmt="csv", sep="\t")
+    sinks.write_partitioned(derive.table(spark, sf_dir, "region").select("r_name"), f"{landing}/Outros",
+                            fmt="csv", header=False)
+    where = dict(sor_root=f"{root}/sor", checkpoint=f"{root}/checkpoint", ref_date=REF_DATE, timeout_s=900)
+    try:
+        ST.stream_landing(spark, landing, **where)
+        raised = False
+    except StreamingQueryException:
+        raised = True
+    written = S.path_length(spark, f"{root}/sor") is not None
+    ST.stream_landing(spark, landing, quarantine_root=f"{root}/quarantine", **where)
+    return (spark.read.parquet(f"{root}/quarantine").agg(F.count(F.lit(1)).alias("n_lines_left"))
+            .select(F.lit(raised).alias("raised"), F.lit(written).alias("raw_written"), "n_lines_left"))
+
+
+def _respelled(raw):
+    """Odd lines spell year and quarter another way, so a quarter has several raw dates."""
+    odd = F.col("Quantidade de reclamações reguladas - outras").cast("int") % 2 != 0
+    return raw.withColumns({
+        "Ano": F.when(odd, F.concat("Ano", F.lit(".0"))).otherwise(F.col("Ano")),
+        "Trimestre": F.when(odd, F.concat(F.lit(" "), "Trimestre")).otherwise(F.col("Trimestre"))})
+
+
+@register("stream_refresh_partitions", f"""SELECT * EXCLUDE (anomesdia) FROM ({RR.SQL_SOT_COMPLAINTS}) t""")
+def stream_refresh_partitions(spark, sf_dir):
+    """Complaints landed in two waves with mixed spellings, trusted partitions refreshed
+    after each: the trusted table holds every row of both."""
+    root = scratch_path(spark, "stream_waves")
+    raw = _respelled(RR.raw_reclamacoes(spark, sf_dir))
+    first = F.col("Quantidade de reclamações reguladas - outras").cast("int") % 3 == 0
+    for wave in (first, ~first):
+        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
+                                empty_value="", mode="append")
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
+                          timeout_s=900, sot_root=f"{root}/sot", refresh="partitions")
+    return spark.read.parquet(f"{root}/sot/reclamacoes").drop("dat_hor_psst", "anomesdia")
+
+
+@register("stream_equals_batch", RR.SQL_SOR_EMPLOYERS.replace("SELECT ", "SELECT 1 AS n_stream, 1 AS n_batch, "))
+def stream_equals_batch(spark, sf_dir):
+    """Every raw employer row with its count in the streamed and in the batch-loaded raw table."""
+    st = stream_run(spark, sf_dir)
+    both = {"n_stream": spark.read.schema(_sor_schema("empregados")).parquet(f"{st['root']}/sor/empregados"),
+            "n_batch": J.sor_frame(spark, "empregados", f"{st['landing']}/Empregados", REF_DATE)}
+    cols = _sor_schema("empregados").names
+    counted = joins.union_all([
+        df.select(*[C.col_ref(c) for c in cols], *[F.lit(int(k == name)).alias(k) for k in both])
+        for name, df in both.items()])
+    return counted.groupBy(*[C.col_ref(c) for c in cols]).agg(*[F.sum(k).alias(k) for k in both])
+
+
+@register("metrics_rerun", """SELECT 'tb_bancos' AS nom_tab, 'Size' AS name, 2 AS n_runs,
+       CAST(count(*) AS DOUBLE) AS smallest, CAST(count(*) AS DOUBLE) AS largest FROM supplier""")
+def metrics_rerun(spark, sf_dir):
+    """One run written twice and another once: each run has each metric once."""
+    root = scratch_path(spark, "metrics_rerun")
+    banks = derive.banks(spark, sf_dir)
+    for run in ("batch-0", "batch-0", "batch-1"):
+        sinks.append_metrics(Q.analyze(banks, [Q.Size()]), root, "tb_bancos", REF_DATE, run_id=run)
+    return (spark.read.parquet(root).groupBy(F.col("nom_tab").cast("string").alias("nom_tab"), "name")
+            .agg(F.count(F.lit(1)).alias("n_runs"), F.min("value").alias("smallest"),
+                 F.max("value").alias("largest")))

@@ -70,10 +70,9 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--sor-root", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--ref-date")
-    st.add_argument("--quarantine")
-    st.add_argument("--unrouted", default="quarantine", choices=["quarantine", "raise"])
+    st.add_argument("--quarantine", help="folder for files without a route (default: stop)")
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
-    st.add_argument("--sot-root", help="also rebuild trusted tables after each batch")
+    st.add_argument("--sot-root", help="also rebuild trusted tables")
     st.add_argument("--dq-root")
     st.add_argument("--refresh", default="table", choices=["table", "partitions"])
 
@@ -136,7 +135,7 @@ def main(argv: list[str] | None = None, spark=None) -> str:
                                     ref_date=a.ref_date)
     if a.cmd == "stream":
         from strata.streaming import stream_landing
-        stream_landing(spark, a.landing, a.sor_root, a.checkpoint, a.ref_date, a.unrouted,
+        stream_landing(spark, a.landing, a.sor_root, a.checkpoint, a.ref_date,
                        a.quarantine, max_files_per_trigger=a.max_files_per_trigger,
                        sot_root=a.sot_root, dq_root=a.dq_root, refresh=a.refresh)
         return a.sor_root

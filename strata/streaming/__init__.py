@@ -1,3 +1,3 @@
 from strata.streaming.landing import (  # noqa: F401
-    count_data_lines, parse_routed, route_by_path, routed_lines, start_landing_stream, stream_landing,
+    nonempty_by_dataset, route_by_path, routed_files, start_landing_stream, stream_landing,
 )

@@ -1,26 +1,27 @@
 """Incremental landing-folder ingestion with Structured Streaming.
 
 A file arriving in the landing folder starts the raw (SoR) load of its dataset. The
-dataset is chosen from the file path (first matching pattern wins); empty files are
-skipped by the file source itself. One stream reads every new file once as text
-lines; routing is a column (``route_by_path``), and each micro-batch parses the lines
-of each dataset with ``from_csv`` (JVM-side) and appends them to that dataset's SoR
-folder.
+stream itself only discovers files: a ``binaryFile`` source of which path and length are
+read, never the content. The dataset is chosen from the path (first matching pattern
+wins) and empty files are left out. Each micro-batch then loads its files with the same
+batch reader as the scheduled jobs (``plans.jobs.sor_frame``), so headers, blank lines,
+quoting and charsets mean the same on both ways, and adds them to the dataset's SoR folder.
+
+A file that no pattern matches stops the stream before its batch writes anything, unless a
+quarantine folder is given, which then receives its lines.
 
 Exactly-once output: every micro-batch writes below its own ``batch_id=<n>``
 partition with dynamic partition overwrite, so a batch re-run after a failure
 replaces its own files instead of duplicating them; the checkpoint records which
 files were consumed. ``trigger='availableNow'`` processes what has landed and stops
 (the scheduled-job form of an object-created trigger).
-
-Limits of the line-based parse: UTF-8 input, no line breaks inside quoted fields.
-The batch readers (``strata.sources``) cover other encodings.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
+import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata import schemas as SC
 from strata.functions import columns as C
-from strata.sinks.writers import write_partitioned
+from strata.sinks.writers import list_names, remove_file, touch_empty, write_partitioned
+
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 class UnroutedFileError(ValueError):
-    """A landed file matches no dataset pattern (``unrouted='raise'``)."""
+    """A landed file matches no dataset pattern and there is no quarantine folder."""
 
 
 _META = set(".^$*+?{}[]\\|()")
@@ -58,151 +61,155 @@ def route_by_path(path: str | Column, routes: list[tuple[str, str]] | None = Non
     return expr
 
 
-def routed_lines(lines: DataFrame) -> DataFrame:
-    """``value`` lines of a text scan + ``path`` and ``dataset`` columns."""
-    return lines.select("value", F.col("_metadata.file_path").alias("path")) \
-        .withColumn("dataset", route_by_path("path"))
-
-
-def _ddl(fields: list[str]) -> str:
-    return ", ".join("`" + f.replace("`", "``") + "` STRING" for f in fields)
-
-
-def parse_routed(routed: DataFrame, dataset: str, ref_date=None) -> DataFrame:
-    """Lines of one dataset -> raw columns + ``anomesdia`` (header lines dropped)."""
-    fmt = SC.RAW_FORMATS[dataset]
-    fields = fmt["fields"]
-    rows = routed.filter(F.col("dataset") == dataset).select(
-        F.from_csv(F.regexp_replace("value", "\r$", ""), _ddl(fields),
-                   {"sep": fmt["sep"], "mode": "PERMISSIVE"}).alias("r"))
-    parsed = rows.select("r.*").filter(~F.coalesce(C.col_ref(fields[0]) == fields[0],
-                                                   F.lit(False)))
-    if dataset == "reclamacoes":
-        return parsed.withColumn("anomesdia", C.quarter_partition("Ano", "Trimestre"))
-    return C.with_ref_date(parsed, ref_date)
-
-
-def count_data_lines(routed: DataFrame) -> DataFrame:
-    """Data lines per dataset in ONE pass over routed lines (header lines excluded:
-    a line whose first field is the dataset's first column name)."""
-    first = None
-    for dataset, fmt in SC.RAW_FORMATS.items():
-        cond = F.col("dataset") == dataset
-        head = F.substring_index(F.col("value"), fmt["sep"], 1) == fmt["fields"][0]
-        first = F.when(cond, head) if first is None else first.when(cond, head)
-    data = routed.filter(F.col("dataset").isNotNull() & ~F.coalesce(first, F.lit(False)))
-    return data.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_data_lines"))
-
-
-def _refresh_sot(spark: SparkSession, touched: dict[str, list[str]], sor_root: str,
-                 sot_root: str, ref_date, dq_root: str | None, refresh: str) -> None:
-    """Rebuild the trusted table of each dataset that received files (metrics, checks
-    and gate included), as the file-arrival chain does.
-
-    refresh='table': from the whole raw table, replacing the whole trusted table.
-    refresh='partitions': only the raw partitions this batch wrote (partition-pruned
-    read), replacing only the trusted partitions they produce: work per batch stays
-    proportional to the batch, not to the table; checks then cover those partitions.
-    """
-    from strata.plans import jobs as J
-    for dataset, dates in touched.items():
-        schema = SC.all_string_schema(SC.RAW_FORMATS[dataset]["fields"]) \
-            .add("anomesdia", "string").add("batch_id", "long")
-        if refresh == "partitions" and not dates:
-            continue  # the batch held only header lines for this dataset
-        sor = spark.read.schema(schema).parquet(f"{sor_root}/{dataset}")
-        if refresh == "partitions":
-            sor = sor.filter(F.col("anomesdia").isin(*dates))
-        J.run_sot(spark, dataset, sor, f"{sot_root}/{dataset}", ref_date, dq_root=dq_root,
-                  overwrite="partitions" if refresh == "partitions" else "table")
-
-
-def _batch_writer(sor_root: str, ref_date, unrouted: str, quarantine_root: str | None,
-                  sot_root: str | None = None, dq_root: str | None = None,
-                  refresh: str = "table"):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            present = [r.dataset for r in batch.filter(F.col("dataset").isNotNull())
-                       .select("dataset").distinct().collect()]  # at most one per dataset
-            touched: dict[str, list[str]] = {}
-            for dataset in SC.RAW_FORMATS:
-                if dataset not in present:
-                    continue
-                out = parse_routed(batch, dataset, ref_date).withColumn("batch_id", F.lit(batch_id))
-                out = out.persist()
-                write_partitioned(out, f"{sor_root}/{dataset}", by=["anomesdia", "batch_id"],
-                                  fmt="parquet", overwrite="partitions")
-                if sot_root and refresh == "partitions":
-                    # partition values of this batch: one row per date (bounded)
-                    touched[dataset] = [r.anomesdia for r in
-                                        out.select("anomesdia").distinct().collect()]
-                else:
-                    touched[dataset] = []
-                out.unpersist()
-            stray = batch.filter(F.col("dataset").isNull())
-            if unrouted == "raise":
-                bad = stray.select("path").distinct().limit(5).collect()
-                if bad:
-                    raise UnroutedFileError(f"Unsupported file pattern: {[r.path for r in bad]}")
-            elif quarantine_root:
-                write_partitioned(stray.select("path", "value").withColumn("batch_id",
-                                                                           F.lit(batch_id)),
-                                  quarantine_root, by="batch_id", fmt="parquet",
-                                  overwrite="partitions")
-            if sot_root and touched:
-                _refresh_sot(batch.sparkSession, touched, sor_root, sot_root, ref_date, dq_root,
-                             refresh)
-        finally:
-            batch.unpersist()
-    return write
+def routed_files(files: DataFrame) -> DataFrame:
+    """``path``, ``length`` and ``dataset`` of a ``binaryFile`` scan; contents are pruned."""
+    return files.select("path", "length").withColumn("dataset", route_by_path("path"))
+
+
+def _literal(path: str) -> str:
+    """``path`` with the characters escaped that a reader would take for a glob."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def nonempty_by_dataset(routed: DataFrame) -> dict[str | None, list[str]]:
+    """Paths of the non-empty files per dataset (None: no route). File names only."""
+    found: dict[str | None, list[str]] = {}
+    for r in routed.filter("length > 0").select("dataset", "path").collect():
+        found.setdefault(r.dataset, []).append(_literal(r.path))
+    return {dataset: sorted(paths) for dataset, paths in found.items()}
+
+
+def _sor(spark: SparkSession, dataset: str, sor_root: str) -> DataFrame:
+    schema = SC.all_string_schema(SC.RAW_FORMATS[dataset]["fields"]) \
+        .add("anomesdia", "string").add("batch_id", "long")
+    return spark.read.schema(schema).parquet(f"{sor_root}/{dataset}")
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Where a landing stream writes, and how it refreshes the trusted tables."""
+
+    sor_root: str
+    ref_date: _dt.date | str | None = None
+    quarantine_root: str | None = None
+    sot_root: str | None = None
+    dq_root: str | None = None
+    refresh: str = "table"
+    encoding: str = "UTF-8"
+    pending_root: str | None = None  # set: table refreshes wait here for the end of the run
+
+    def refresh_table(self, spark: SparkSession, dataset: str) -> None:
+        """The whole trusted table from the whole raw table."""
+        from strata.plans import jobs as J
+        sor = _sor(spark, dataset, self.sor_root)
+        last = sor.agg(F.max("batch_id")).first()[0]
+        J.run_sot(spark, dataset, sor, f"{self.sot_root}/{dataset}", self.ref_date,
+                  dq_root=self.dq_root, overwrite="table", run_id=f"batch-{last}")
+
+    def refresh_partitions(self, spark: SparkSession, dataset: str, batch: DataFrame,
+                           batch_id: int) -> None:
+        """The trusted partitions that ``batch`` feeds, from all raw rows that feed them.
+
+        Keyed on the cleaned partition values: raw rows whose spelling differs, or whose
+        raw date does, can meet in one trusted partition. NULL is a value like others.
+        """
+        from strata.plans import jobs as J
+        keys = J.sot_frame(dataset, batch, self.ref_date).select(*J.SOT_PARTITIONS[dataset]).distinct()
+        if keys.isEmpty():
+            return  # the batch held only header lines for this dataset
+        J.run_sot(spark, dataset, _sor(spark, dataset, self.sor_root), f"{self.sot_root}/{dataset}",
+                  self.ref_date, dq_root=self.dq_root, overwrite="partitions", only=keys,
+                  run_id=f"batch-{batch_id}")
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        from strata.plans import jobs as J
+        spark = batch.sparkSession
+        files = nonempty_by_dataset(batch)
+        stray = files.pop(None, [])
+        if stray and not self.quarantine_root:
+            raise UnroutedFileError(f"{len(stray)} landed file(s) match no dataset route, e.g. {stray[:5]}")
+        if stray:
+            lines = spark.read.text(stray).select(F.col("_metadata.file_path").alias("path"), "value")
+            write_partitioned(lines.withColumn("batch_id", F.lit(batch_id)), self.quarantine_root,
+                              by="batch_id", fmt="parquet", overwrite="partitions")
+        for dataset, paths in files.items():
+            out = J.sor_frame(spark, dataset, paths, self.ref_date, self.encoding)
+            write_partitioned(out.withColumn("batch_id", F.lit(batch_id)), f"{self.sor_root}/{dataset}",
+                              by=["anomesdia", "batch_id"], fmt="parquet", overwrite="partitions")
+            if not self.sot_root:
+                continue
+            if self.refresh == "partitions":
+                self.refresh_partitions(spark, dataset, out, batch_id)
+            elif self.pending_root:
+                touch_empty(spark, f"{self.pending_root}/{dataset}")
+            else:
+                self.refresh_table(spark, dataset)
+
+
+def _start(spark: SparkSession, landing_root: str, checkpoint: str, landing: Landing, trigger: str,
+           max_files_per_trigger: int | None, max_bytes_per_trigger: str | None) -> StreamingQuery:
+    if landing.refresh not in ("table", "partitions"):
+        raise ValueError(f"refresh must be table|partitions, got {landing.refresh!r}")
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = routed_files(reader.schema(BINARY_FILE).load(landing_root))
+    writer = files.writeStream.foreachBatch(landing.write_batch).option("checkpointLocation", checkpoint)
+    if trigger == "availableNow":
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
 
 
 def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
                          checkpoint: str, ref_date: _dt.date | str | None = None,
-                         unrouted: str = "quarantine", quarantine_root: str | None = None,
+                         quarantine_root: str | None = None,
                          trigger: str = "availableNow",
                          max_files_per_trigger: int | None = 1000,
+                         max_bytes_per_trigger: str | None = None,
                          sot_root: str | None = None,
                          dq_root: str | None = None,
-                         refresh: str = "table") -> StreamingQuery:
+                         refresh: str = "table",
+                         encoding: str = "UTF-8") -> StreamingQuery:
     """Start the landing stream (returns the running query).
 
-    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` then runs as
-    several batches), so the per-batch cache never holds a whole backlog.
+    ``max_files_per_trigger`` or ``max_bytes_per_trigger`` bounds each micro-batch
+    (``availableNow`` then runs as several batches); a batch holds file names only.
     ``sot_root``: after each batch, rebuild the trusted table of every dataset that
     received files (raw -> trusted chain with the quality gate); a failed gate stops
-    the stream with the batch uncommitted, so a re-run repeats it idempotently.
-    ``refresh``: 'table' (whole trusted table per batch, as the source chain) or
-    'partitions' (only what the batch touched; the choice for large tables)."""
-    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = routed_lines(reader.load(landing_root))
-    writer = (lines.writeStream.foreachBatch(
-        _batch_writer(sor_root, ref_date, unrouted, quarantine_root, sot_root, dq_root,
-                      refresh))
-        .option("checkpointLocation", checkpoint))
-    if trigger == "availableNow":
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    the stream with the batch uncommitted, so a re-run repeats it, metrics included.
+    ``refresh``: 'table' (the whole trusted table after each batch) or 'partitions'
+    (only the trusted partitions that the batch feeds: the raw table is scanned for
+    their rows, and only they are checked and written)."""
+    return _start(spark, landing_root, checkpoint,
+                  Landing(sor_root, ref_date, quarantine_root, sot_root, dq_root, refresh, encoding),
+                  trigger, max_files_per_trigger, max_bytes_per_trigger)
 
 
 def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkpoint: str,
-                   ref_date: _dt.date | str | None = None, unrouted: str = "quarantine",
+                   ref_date: _dt.date | str | None = None,
                    quarantine_root: str | None = None, timeout_s: int | None = None,
                    max_files_per_trigger: int | None = 1000, sot_root: str | None = None,
-                   dq_root: str | None = None, refresh: str = "table") -> None:
-    """Process every file landed so far and stop (``availableNow``)."""
-    q = start_landing_stream(spark, landing_root, sor_root, checkpoint, ref_date, unrouted,
-                             quarantine_root, max_files_per_trigger=max_files_per_trigger,
-                             sot_root=sot_root, dq_root=dq_root, refresh=refresh)
+                   dq_root: str | None = None, refresh: str = "table",
+                   max_bytes_per_trigger: str | None = None, encoding: str = "UTF-8") -> None:
+    """Process every file landed so far and stop (``availableNow``).
+
+    With ``refresh='table'`` a trusted table is rebuilt once, after the last batch. What
+    is still to be rebuilt is noted beside the checkpoint first, so a run whose gate
+    failed, or that was lost, is made up for by the next one, new files or not."""
+    pending = f"{checkpoint.rstrip('/')}-pending"
+    landing = Landing(sor_root, ref_date, quarantine_root, sot_root, dq_root, refresh, encoding, pending)
+    q = _start(spark, landing_root, checkpoint, landing, "availableNow", max_files_per_trigger,
+               max_bytes_per_trigger)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
-
-
-def union_sor(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"the landing stream took more than {timeout_s} s")
+    for note in list_names(spark, pending) if sot_root and refresh == "table" else []:
+        landing.refresh_table(spark, note)
+        remove_file(spark, f"{pending}/{note}")

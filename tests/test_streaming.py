@@ -31,12 +31,11 @@ def test_stream_routes_skips_empty_and_is_idempotent(spark, scratch):  # E1-E3
     assert spark.read.parquet(f"{root}/sor/bancos").count() == 3
 
 
-def test_unrouted_file_can_raise(spark, scratch):
+def test_unrouted_file_raises_by_default(spark, scratch):
     root = scratch("stream_raise")
     land(f"{root}/landing", "unknown.csv", "a;b\n")
-    with pytest.raises(Exception, match="Unsupported file pattern"):
-        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt",
-                          unrouted="raise", timeout_s=300)
+    with pytest.raises(Exception, match="match no dataset route"):
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt", timeout_s=300)
 
 
 def test_route_by_path_first_match_wins(spark):
@@ -67,7 +66,7 @@ def test_stream_runs_raw_to_trusted_chain(spark, scratch):
     assert sorted(r.nom_instituicao for r in sot.collect()) == ["A", "B"]
     assert spark.read.parquet(f"{root}/dq").count() == 5
     land(lz, "Bancos_2.tsv", "Segmento\tCNPJ\tNome\nS9\t3\tC\n")  # S9 fails the segment check
-    with pytest.raises(Exception, match="Data Quality"):
+    with pytest.raises(Exception, match="failed quality constraint"):
         ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14",
                           timeout_s=300, sot_root=f"{root}/sot", dq_root=f"{root}/dq")
     assert spark.read.parquet(f"{root}/sot/bancos").count() == 2  # trusted table unchanged
@@ -90,3 +89,51 @@ def test_incremental_trusted_refresh(spark, scratch):
     sot = spark.read.parquet(f"{root}/sot/reclamacoes")
     got = sorted((r.num_trimestre, r.num_cnpj_instituicao) for r in sot.collect())
     assert got == [(1, 1), (2, 2), (2, 3)]  # quarter 1 kept, quarter 2 rebuilt from raw
+
+
+def test_stream_reads_files_as_the_batch_reader_does(spark, scratch):
+    """Blank lines, a header spelled otherwise, a data line equal to the header."""
+    from strata.plans import jobs as J
+    root = scratch("stream_same")
+    land(f"{root}/landing", "Bancos_1.tsv", "segmento\tcnpj\tnome\nS1\t1\tA\n\nSegmento\tCNPJ\tNome\nS2\t2\tB\n")
+    ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14", timeout_s=300)
+    got = spark.read.parquet(f"{root}/sor/bancos").select("Segmento", "CNPJ", "Nome").collect()
+    want = J.sor_frame(spark, "bancos", f"{root}/landing", "2023-08-14").select("Segmento", "CNPJ", "Nome").collect()
+    assert sorted(got) == sorted(want) and len(got) == 3
+
+
+def test_unrouted_file_stops_before_anything_is_written(spark, scratch):
+    from strata import sources as S
+    root = scratch("stream_stop")
+    land(f"{root}/landing", "Bancos_1.tsv", "Segmento\tCNPJ\tNome\nS1\t1\tA\n")
+    land(f"{root}/landing", "what.csv", "x\n")
+    with pytest.raises(Exception, match="match no dataset route"):
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt", timeout_s=300)
+    assert S.path_length(spark, f"{root}/sor") is None
+
+
+def test_partition_refresh_with_mixed_spellings_and_nulls(spark, scratch):
+    root = scratch("stream_mixed")
+    lz = f"{root}/landing"
+    head = ";".join(__import__("strata.schemas", fromlist=["x"]).COMPLAINT_FIELDS) + ";\n"
+
+    def line(year, quarter, cnpj):
+        return f"{year};{quarter};Top 10;Banco; {cnpj};NOME;1,5;1;1;1;2;3;4;5;\n"
+    args = dict(ref_date="2023-08-14", timeout_s=300, sot_root=f"{root}/sot", refresh="partitions")
+    land(lz, "Reclamacoes_a.csv", head + line("2021", "2º", 1) + line("2021.0", " 2º", 2) + line("", "", 3))
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    land(lz, "Reclamacoes_b.csv", head + line("2021", " 2º", 4) + line("x", "", 5))
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    got = sorted(r.num_cnpj_instituicao for r in spark.read.parquet(f"{root}/sot/reclamacoes").collect())
+    assert got == [1, 2, 3, 4, 5]
+
+
+def test_failed_gate_is_made_up_for_and_metrics_stay_single(spark, scratch):
+    root = scratch("stream_retry")
+    lz = f"{root}/landing"
+    land(lz, "Bancos_1.tsv", "Segmento\tCNPJ\tNome\nS9\t1\tA\n")
+    args = dict(ref_date="2023-08-14", timeout_s=300, sot_root=f"{root}/sot", dq_root=f"{root}/dq")
+    for _ in range(2):  # the second run has no new file, but the refresh is still owed
+        with pytest.raises(Exception, match="failed quality constraint"):
+            ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    assert spark.read.parquet(f"{root}/dq").count() == 5
