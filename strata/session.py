@@ -2,13 +2,12 @@
 
 Scratch data (round trips, lineage cuts, stream checkpoints) always lives under the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is absent
-(local tests) do we create one and register it, so a cluster job never writes to a
-machine-local temporary folder.
+(local mode) do we create one and register it; on a cluster a missing setting is an
+error, so no job there writes to a machine-local temporary folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -54,6 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(configured)
     elif not sc.getCheckpointDir():
@@ -75,11 +76,6 @@ def local_dir(path: str) -> str:
     return path
 
 
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_dir(path), exist_ok=True)
-    return path
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total bytes below ``paths`` from file-system metadata (no data is read)."""
     jvm = spark.sparkContext._jvm
@@ -94,15 +90,17 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def sizing(total_input_bytes: int, target_partition_bytes: int = 200 * 1024 ** 2,
-           min_partitions: int = 8, max_partitions: int = 20000) -> dict[str, str]:
+           min_partitions: int = 8, max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for an input of ``total_input_bytes``.
 
     Initial shuffle partitions aim at ``target_partition_bytes`` of input per partition
-    (bounded); AQE then coalesces them to the advisory size measured at runtime, so the
-    upper bound only has to keep tasks from spilling on the largest shuffle.
+    at any size; AQE then coalesces them to the advisory size measured at runtime.
+    ``max_partitions`` bounds them only where the caller asks for it.
     """
     wanted = -(-total_input_bytes // target_partition_bytes)
-    partitions = max(min_partitions, min(max_partitions, wanted))
+    partitions = max(min_partitions, wanted)
+    if max_partitions:
+        partitions = min(partitions, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),

@@ -16,6 +16,7 @@ File layout (``layout``):
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,25 +98,15 @@ def add_partition(spark: SparkSession, name: str, spec: dict[str, str]) -> None:
 
 
 def write_report_csv(df: DataFrame, root: str, ref_date: _dt.date | str | None = None,
-                     sep: str = ";", single_file_max_rows: int = 5_000_000) -> str:
+                     sep: str = ";", files: int | None = None) -> str:
     """CSV report with header below ``root/anomesdia=<date>/``.
 
-    Reports are one row per institution (per quarter), so they normally go to ONE file
-    from one task. The row count is checked first: above ``single_file_max_rows`` the
-    report is written as several rebalanced files of at most that many rows instead,
-    so a large report never funnels through a single task (rows are never dropped).
+    Written as rebalanced files of the advisory size whatever the row count. ``files=1``
+    asks for the one file of a small report, which one task then writes.
     """
     path = f"{root.rstrip('/')}/anomesdia={ref_date_text(ref_date)}"
-    df = df.persist()
-    try:
-        small = df.count() <= single_file_max_rows
-        out = df.coalesce(1) if small else df.hint("rebalance")
-        writer = out.write.mode("overwrite").option("sep", sep).option("header", True)
-        if not small:
-            writer = writer.option("maxRecordsPerFile", single_file_max_rows)
-        writer.csv(path)
-    finally:
-        df.unpersist()
+    _layout(df, [], "rebalance", files).write.mode("overwrite") \
+        .option("sep", sep).option("header", True).csv(path)
     return path
 
 
@@ -137,13 +128,18 @@ def export_table(spark: SparkSession, source_table: str, url: str, table: str,
 
 
 def append_metrics(metrics: DataFrame, root: str, table_name: str,
-                   ref_date: _dt.date | str | None = None, stamp: bool = True) -> str:
-    """Append metric rows below ``root/anomesdia=<date>/nom_tab=<table>/``."""
+                   ref_date: _dt.date | str | None = None, stamp: bool = True,
+                   run_id: str | None = None) -> str:
+    """Metric rows below ``root/anomesdia=<date>/nom_tab=<table>/run_id=<run>/``.
+
+    A run id that is written again replaces its own rows, so a repeated load leaves each
+    metric once; without one every call is a run of its own.
+    """
     out = with_load_ts(metrics) if stamp else metrics
     out = out.withColumn("anomesdia", F.lit(ref_date_text(ref_date))) \
-             .withColumn("nom_tab", F.lit(table_name))
-    out.coalesce(1).write.mode("append").partitionBy("anomesdia", "nom_tab") \
-       .parquet(root, compression="snappy")
+             .withColumn("nom_tab", F.lit(table_name)) \
+             .withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
+    write_partitioned(out, root, by=["anomesdia", "nom_tab", "run_id"], overwrite="partitions", files=1)
     return root
 
 
@@ -165,6 +161,17 @@ def touch_empty(spark: SparkSession, path: str) -> None:
     fs.create(hpath, True).close()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (none if it does not exist)."""
+    hpath, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    hpath, fs = _fs(spark, path)
+    fs.delete(hpath, False)
+
+
 def _leaf_partitions(fs, root_path, depth: int) -> list:
     """``col=value`` directories ``depth`` levels below ``root_path``."""
     level = [root_path]
@@ -197,22 +204,38 @@ def publish_staged(spark: SparkSession, staging: str, target: str, by: list[str]
         write_partitioned(staged, target, by=by, fmt="parquet", overwrite=overwrite)
         return target
     if overwrite == "table" or not by:
-        if dst_fs.exists(dst):
-            dst_fs.delete(dst, True)
-        parent = dst.getParent()
-        if parent is not None:
-            dst_fs.mkdirs(parent)
-        if not dst_fs.rename(src, dst):
-            raise OSError(f"could not move {staging} to {target}")
+        _swap(dst_fs, src, dst)
         return target
     dst_fs.mkdirs(dst)
     root_len = len(src.toUri().getPath().rstrip("/")) + 1
     for part in _leaf_partitions(src_fs, src, len(by)):
         rel = part.toUri().getPath()[root_len:]
-        goal = jvm.org.apache.hadoop.fs.Path(dst, rel)
-        if dst_fs.exists(goal):
-            dst_fs.delete(goal, True)
-        dst_fs.mkdirs(goal.getParent())
-        if not dst_fs.rename(part, goal):
-            raise OSError(f"could not move {part} to {goal}")
+        _swap(dst_fs, part, jvm.org.apache.hadoop.fs.Path(dst, rel))
     return target
+
+
+def _swap(fs, new, goal) -> None:
+    """Put the folder ``new`` in the place of ``goal``.
+
+    The published folder is set aside under a name that readers skip, and goes only when
+    the new one stands. If the move fails it comes back; if the process dies in between,
+    the next publish of the same place finds it there and puts it back first.
+    """
+    aside = goal.getParent().suffix(f"/_aside.{goal.getName()}")
+    if fs.exists(aside):
+        if fs.exists(goal):
+            fs.delete(aside, True)
+        else:
+            fs.rename(aside, goal)
+    fs.mkdirs(goal.getParent())
+    had = fs.exists(goal) and fs.rename(goal, aside)
+    moved = False
+    try:
+        moved = fs.rename(new, goal)
+    finally:
+        if had and not moved:
+            fs.rename(aside, goal)
+    if not moved:
+        raise OSError(f"could not move {new} to {goal}")
+    if had:
+        fs.delete(aside, True)

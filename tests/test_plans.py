@@ -1,3 +1,4 @@
+import pytest
 """Physical-plan properties that matter at scale."""
 
 import __spark_entry__ as entry
@@ -47,7 +48,7 @@ def test_encoding_parameter(spark, scratch):  # T9
     os.makedirs(local_dir(d))
     with open(f"{local_dir(d)}/b.tsv", "wb") as fh:
         fh.write("Segmento\tCNPJ\tNome\nS1\t1\tBANCO SÃO JOSÉ\n".encode("iso-8859-1"))
-    row = read_delimited(spark, d, sep="\t", schema=SC.BANK_RAW, encoding="ISO-8859-1").first()
+    row = read_delimited(spark, d, sep="\t", schema=SC.all_string_schema(SC.BANK_FIELDS), encoding="ISO-8859-1").first()
     assert row.Nome == "BANCO SÃO JOSÉ"
 
 
@@ -64,6 +65,26 @@ def test_add_partition(spark, scratch):
 def test_sizing_from_input_bytes(spark):
     from strata.session import input_bytes, sizing
     assert sizing(0)["spark.sql.shuffle.partitions"] == "8"
-    assert sizing(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20000"  # 100 TB, capped
+    assert sizing(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "524288"  # 100 TB
     assert sizing(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "52"
     assert input_bytes(spark, [f"{SF}/lineitem.parquet"]) > 0
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from strata.session import shared_root
+
+    class Unset:
+        def get(self, *_):
+            return None
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getConf=Unset, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_root(SimpleNamespace(sparkContext=sc, conf=Unset()))
+
+
+def test_sizing_has_no_cap_of_its_own():
+    from strata.session import sizing
+    assert int(sizing(100 * 10 ** 12)["spark.sql.shuffle.partitions"]) > 400_000
+    assert sizing(100 * 10 ** 12, max_partitions=50)["spark.sql.shuffle.partitions"] == "50"

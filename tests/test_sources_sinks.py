@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from strata import schemas as SC
@@ -19,7 +21,7 @@ def test_trailing_empty_field_keeps_rows(spark, scratch):  # T8, S3
     header = ";".join(SC.COMPLAINT_FIELDS) + ";\n"
     row = "2021;1º;Top 10;Conglomerado; ;BANCO X (conglomerado);16.699,13;1;2;3;6; ;10;20;\n"
     write_file(f"{d}/2021_tri_01.csv", header + row * 3)
-    df = S.read_delimited(spark, d, sep=";", schema=SC.COMPLAINT_RAW)
+    df = S.read_delimited(spark, d, sep=";", schema=SC.all_string_schema(SC.COMPLAINT_FIELDS))
     assert df.count() == 3
     r = df.first()
     assert r["CNPJ IF"] == " " and r["Índice"] == "16.699,13" and r["Quantidade de clientes  SCR"] == "20"
@@ -33,7 +35,7 @@ def test_pipe_crlf_and_header_per_file(spark, scratch):  # S2, S4, T7
     write_file(f"{d}/a.csv", "|".join(fields) + "\n" + "|".join(row1) + "\n", "\r\n")
     other = fields[:20] + ["CNPJ"] + fields[21:]
     write_file(f"{d}/b.csv", "|".join(other) + "\n" + "|".join(row2) + "\n", "\r\n")
-    df = S.read_delimited(spark, d, sep="|", schema=SC.EMPLOYER_RAW)
+    df = S.read_delimited(spark, d, sep="|", schema=SC.all_string_schema(SC.EMPLOYER_FIELDS))
     got = sorted((r.Segmento, r.match_percent) for r in df.collect())
     assert got == [("12345678", "90"), ("S1", "100")]  # headers dropped, no '\r' left
     assert df.filter(F.col("Segmento").startswith("S")).count() == 1
@@ -42,7 +44,7 @@ def test_pipe_crlf_and_header_per_file(spark, scratch):  # S2, S4, T7
 def test_headerless_read_keeps_all_lines(spark, scratch):  # T21
     d = scratch("nohdr")
     write_file(f"{d}/x.tsv", "S1\t1\tA\nS2\t2\tB\n")
-    assert S.read_delimited(spark, d, sep="\t", schema=SC.BANK_RAW, header=False).count() == 2
+    assert S.read_delimited(spark, d, sep="\t", schema=SC.all_string_schema(SC.BANK_FIELDS), header=False).count() == 2
 
 
 def test_recursive_read_with_overrides(spark, scratch):  # S5
@@ -117,14 +119,33 @@ def test_charset_spellings():  # T9
 def test_multiline_quoted_field(spark, scratch):
     d = scratch("multi")
     write_file(f"{d}/m.csv", 'Segmento;CNPJ;Nome\nS1;1;"BANCO\nDOIS"\n')
-    rows = S.read_delimited(spark, d, sep=";", schema=SC.BANK_RAW, multiline=True).collect()
+    rows = S.read_delimited(spark, d, sep=";", schema=SC.all_string_schema(SC.BANK_FIELDS), multiline=True).collect()
     assert len(rows) == 1 and rows[0].Nome == "BANCO\nDOIS"
 
 
-def test_large_report_is_not_forced_into_one_file(spark, scratch):  # K8 guard
-    d = scratch("bigrep")
-    path = sinks.write_report_csv(spark.range(1000).repartition(4), d, "2023-08-14",
-                                  single_file_max_rows=100)
-    files = [f for f in os.listdir(local_dir(path)) if f.endswith(".csv")]
-    assert len(files) > 1
-    assert S.read_delimited(spark, path, sep=";").count() == 1000
+def test_report_is_one_file_only_on_request(spark, scratch):  # K8
+    for files in (None, 1):
+        path = sinks.write_report_csv(spark.range(1000).repartition(4), scratch("report"), "2023-08-14", files=files)
+        found = [f for f in os.listdir(local_dir(path)) if f.endswith(".csv")]
+        assert found and (files is None or len(found) == 1)
+        assert S.read_delimited(spark, path, sep=";").count() == 1000
+
+
+def test_failed_publish_brings_the_table_back(spark, scratch):
+    root = scratch("publish")
+    spark.range(3).write.parquet(f"{root}/target")
+    with pytest.raises(Exception):
+        sinks.publish_staged(spark, f"{root}/never-written", f"{root}/target", [])
+    assert spark.read.parquet(f"{root}/target").count() == 3
+
+
+def test_publish_after_a_crash_between_the_moves(spark, scratch):
+    root = scratch("crash")
+    spark.range(3).write.parquet(f"{root}/_aside.target")  # the published table, set aside
+    with pytest.raises(Exception):
+        sinks.publish_staged(spark, f"{root}/never-written", f"{root}/target", [])
+    assert spark.read.parquet(f"{root}/target").count() == 3
+    spark.range(5).write.parquet(f"{root}/staged")
+    sinks.publish_staged(spark, f"{root}/staged", f"{root}/target", [])
+    assert spark.read.parquet(f"{root}/target").count() == 5
+    assert not os.path.exists(local_dir(f"{root}/_aside.target"))
