@@ -1,7 +1,8 @@
 """Data-quality metrics, constraint checks and the load gate.
 
-All metrics of one run are computed by ONE ``agg`` over the frame (a single scan;
-partial aggregates are combined map-side, so only one small row per task is shuffled).
+All metrics of one run are computed by ONE ``agg`` over the frame (a single scan). Plain
+metrics are combined map-side to one row per task; exact distinct counts add Spark's
+Expand and a shuffle of the distinct values (``approx=True`` has neither).
 Metric names, entity/instance conventions and constraint texts follow the public
 Deequ library, whose result frames the load jobs write.
 
@@ -36,6 +37,7 @@ class Analyzer:
     column: str | None = None
     predicate: str | None = None      # Compliance: SQL predicate text
     label: str | None = None          # Compliance: instance text
+    shown: str | None = None          # Compliance: predicate as constraint texts spell it
     approx: bool = False
 
     @property
@@ -77,7 +79,7 @@ class Analyzer:
         if self.name == "Size":
             return "Size(None)"
         if self.name == "Compliance":
-            return f"Compliance({self.label},{self.predicate},None)"
+            return f"Compliance({self.label},{self.shown or self.predicate},None)"
         return f"{self.name}({self.column},None)"
 
 
@@ -113,8 +115,8 @@ def StandardDeviation(column: str) -> Analyzer:  # noqa: N802
     return Analyzer("StandardDeviation", column)
 
 
-def Compliance(label: str, predicate: str) -> Analyzer:  # noqa: N802
-    return Analyzer("Compliance", predicate=predicate, label=label)
+def Compliance(label: str, predicate: str, shown: str | None = None) -> Analyzer:  # noqa: N802
+    return Analyzer("Compliance", predicate=predicate, label=label, shown=shown)
 
 
 def _sql_str(text: str) -> str:
@@ -170,9 +172,10 @@ class Check:
         return self._add(f"ComplianceConstraint({a.describe()})", a, lambda v: v == 1.0)
 
     def is_non_negative(self, column: str) -> "Check":
-        """NULL passes (counted as 0)."""
-        predicate = f"COALESCE(CAST(`{column}` AS DECIMAL(20,10)), 0.0) >= 0"
-        a = Compliance(f"{column} is non-negative", predicate)
+        """NULL passes; values of any size are compared as they are. The constraint text
+        keeps the usual spelling, whose cast would fail on large values."""
+        shown = f"COALESCE(CAST(`{column}` AS DECIMAL(20,10)), 0.0) >= 0"
+        a = Compliance(f"{column} is non-negative", f"`{column}` IS NULL OR `{column}` >= 0", shown)
         return self._add(f"ComplianceConstraint({a.describe()})", a, lambda v: v == 1.0)
 
 
@@ -251,5 +254,5 @@ def gate(check_result: DataFrame) -> int:
     n_failed = failed_constraints(check_result).count()
     if n_failed:
         failed = [r["constraint"] for r in failed_constraints(check_result).collect()]
-        raise DataQualityError(f"Data Quality Check Failed: {n_failed} constraint(s): {failed}")
+        raise DataQualityError(f"load stopped by {n_failed} failed quality constraint(s): {failed}")
     return 0

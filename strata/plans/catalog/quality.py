@@ -93,11 +93,14 @@ c AS (
 SELECT 'Review Check' AS "check", 'Warning' AS check_level,
        CASE WHEN bool_and(ok) OVER () THEN 'Success' ELSE 'Warning' END AS check_status,
        "constraint", CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
+       CASE WHEN ok THEN '' ELSE 'does not meet the constraint requirement!' END AS message_end,
        round(v, 6) AS metric_value
 FROM c""")
 def dq_checks(spark, sf_dir):
     r = Q.verify(_dq_source(spark, sf_dir), [dq_suite()])
     return r.select("check", "check_level", "check_status", "constraint", "constraint_status",
+                    # a message states the value as a double; what follows it is compared
+                    F.regexp_replace("constraint_message", "^Value: [-0-9.E]+ ", "").alias("message_end"),
                     F.round("metric_value", 6).alias("metric_value"))
 
 
@@ -125,3 +128,25 @@ def dq_gate(spark, sf_dir):
             raised = True
         rows.append((suite, raised, n_failed))
     return spark.createDataFrame(rows, "suite string, gate_raised boolean, n_failed bigint")
+
+
+@register("dq_non_negative_large", """WITH v AS (
+  SELECT CASE WHEN l_linenumber = 1 THEN NULL ELSE l_orderkey * 20000000000 END AS up,
+         CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN -l_orderkey * 20000000000
+              ELSE l_orderkey * 20000000000 END AS mixed FROM lineitem)
+SELECT 'up' AS instance, count(*) FILTER (up IS NULL OR up >= 0) / count(*) = 1 AS passed,
+       round(count(*) FILTER (up IS NULL OR up >= 0) / count(*), 6) AS metric_value FROM v
+UNION ALL
+SELECT 'mixed', count(*) FILTER (mixed IS NULL OR mixed >= 0) / count(*) = 1,
+       round(count(*) FILTER (mixed IS NULL OR mixed >= 0) / count(*), 6) FROM v""")
+def dq_non_negative_large(spark, sf_dir):
+    """Non-negative checks on values far above 1e10, of both signs, with NULLs."""
+    value = F.col("l_orderkey") * F.lit(20000000000).cast("bigint")
+    line = F.col("l_linenumber")
+    src = derive.table(spark, sf_dir, "lineitem").select(
+        F.when(line != 1, value).alias("up"),
+        F.when(line == 2, -value).when(line > 2, value).alias("mixed"))
+    r = Q.verify(src, [Q.Check().is_non_negative("up").is_non_negative("mixed")])
+    return r.select(F.regexp_extract("constraint", r"Compliance\((\w+) is", 1).alias("instance"),
+                    (F.col("constraint_status") == "Success").alias("passed"),
+                    F.round("metric_value", 6).alias("metric_value"))
