@@ -50,10 +50,13 @@ def or_equi_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     Output = all left columns, then all right columns (names that clash with a left
     column get ``right_suffix``); ``keep_right_keys=False`` leaves out the right-side
     join columns. ``dedup=True`` returns the set form (distinct output rows), i.e. the
-    union of the per-key joins without repeats.
+    union of the per-key joins without repeats; rows that repeat within an input are
+    dropped before the join, so repeats are not multiplied first.
     """
     if not pairs:
         raise ValueError("or_equi_join needs at least one (left, right) column pair")
+    if dedup:
+        left, right = left.distinct(), right.distinct()
     left_cols, right_cols = left.columns, right.columns
     right_r, mapping = _rename_right(left_cols, right, right_cols, right_suffix)
     right_keys = {rc for _, rc in pairs}
@@ -114,17 +117,6 @@ def _tagged_join(left: DataFrame, right_r: DataFrame, mapped: list[tuple[str, st
     return joined
 
 
-def or_join_naive(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
-                  right_suffix: str = "_r") -> DataFrame:
-    """The literal OR condition (nested-loop plan). Kept for equivalence tests only."""
-    left_cols, right_cols = left.columns, right.columns
-    right_r, mapping = _rename_right(left_cols, right, right_cols, right_suffix)
-    cond = reduce(lambda a, b: a | b,
-                  [col_ref(lc) == col_ref(mapping[rc]) for lc, rc in pairs])
-    out_cols = [col_ref(c) for c in left_cols] + [col_ref(mapping[c]) for c in right_cols]
-    return left.join(right_r, on=cond, how="inner").select(*out_cols)
-
-
 def union_all(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Vertical concat by column name (no dedup)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)

@@ -27,7 +27,16 @@ PERIOD = ["ano", "num_trimestre"]
 
 
 def latest_max(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Level 1: one row per key with an independent ``max`` of each column."""
+    """Level 1: one row per key with an independent ``max`` of each column.
+
+    A ``max`` of a string is planned as a sort aggregate. So the other columns are first
+    reduced per key and strings, by hash, and only that result is sorted.
+    """
+    kinds = dict(df.dtypes)
+    texts = [c for c in columns if kinds[c] == "string"]
+    if texts and len(texts) < len(columns):
+        df = df.groupBy(*[col_ref(k) for k in [*keys, *texts]]).agg(
+            *[F.max(col_ref(c)).alias(c) for c in columns if c not in texts])
     return df.groupBy(*[col_ref(k) for k in keys]).agg(
         *[F.max(col_ref(c)).alias(c) for c in columns])
 
@@ -108,8 +117,8 @@ def quarterly_report(banks: DataFrame, complaints: DataFrame, employers: DataFra
 
 
 def finalize_report(report: DataFrame, style: str = "snapshot") -> DataFrame:
-    """Rename + cast the report columns (``'snapshot'`` file names or ``'display'``
-    database names) in one select."""
+    """Rename + cast the report columns (``'snapshot'`` file names, ``'display'``
+    database names or ``'internal'`` names) in one select."""
     return apply_spec(report, report_spec(style))
 
 
@@ -172,47 +181,39 @@ def top_k(df: DataFrame, column: str, k: int = 5, tiebreak: list[str] | None = N
     return df.orderBy(*_order(df, column, tiebreak)).limit(k)
 
 
+# A maximum over "same tax id OR same name" is the greater of the maximum by tax id and
+# the maximum by name, so no OR join is needed; greatest() passes over NULLs.
 _SNAPSHOT_SQL = """
-WITH c AS (
-  SELECT num_cnpj_instituicao, nom_instituicao, max(qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
-         max(qtd_totl_recl) AS qtd_totl_recl, max(vlr_ind_recl) AS vlr_ind_recl
-  FROM {complaints}
-  WHERE num_cnpj_instituicao IS NOT NULL OR nom_instituicao IS NOT NULL
-  GROUP BY num_cnpj_instituicao, nom_instituicao),
-e AS (
-  SELECT nom_instituicao, max(vlr_ind_satis_geral) AS vlr_ind_satis_geral,
-         max(vlr_ind_remu_bene) AS vlr_ind_remu_bene
-  FROM {employers} WHERE nom_instituicao IS NOT NULL GROUP BY nom_instituicao),
-b AS (SELECT nom_segto_instituicao, num_cnpj_instituicao, nom_instituicao FROM {banks}),
-matched AS (
-  SELECT b.*, c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl
-  FROM b JOIN c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
-  UNION ALL
-  SELECT b.*, c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl
-  FROM b JOIN c ON b.nom_instituicao = c.nom_instituicao
-  WHERE NOT coalesce(b.num_cnpj_instituicao = c.num_cnpj_instituicao, false)),
-level1 AS (
-  SELECT max(m.nom_segto_instituicao) AS nom_segto_instituicao, m.num_cnpj_instituicao,
-         max(m.nom_instituicao) AS nom_instituicao,
-         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
-         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
-         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
-         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
-  FROM matched m JOIN e ON m.nom_instituicao = e.nom_instituicao
-  GROUP BY m.num_cnpj_instituicao)
-SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao,
-       max(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
-       avg(vlr_ind_recl) AS avg_ind_recl,
-       sum(qtd_totl_recl) AS sum_qtd_totl_recl,
-       avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
-       avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
-FROM level1
-GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao
+WITH by_id AS (
+  SELECT num_cnpj_instituicao AS id, max(qtd_totl_clie_css_scr) AS clients,
+         max(qtd_totl_recl) AS complaints, max(vlr_ind_recl) AS rate
+  FROM {complaints} WHERE num_cnpj_instituicao IS NOT NULL GROUP BY 1),
+by_name AS (
+  SELECT nom_instituicao AS name, max(qtd_totl_clie_css_scr) AS clients,
+         max(qtd_totl_recl) AS complaints, max(vlr_ind_recl) AS rate
+  FROM {complaints} WHERE nom_instituicao IS NOT NULL GROUP BY 1),
+staff AS (
+  SELECT nom_instituicao AS name, max(vlr_ind_satis_geral) AS mood, max(vlr_ind_remu_bene) AS pay
+  FROM {employers} GROUP BY 1),
+facts AS (
+  SELECT b.nom_segto_instituicao AS segment, b.num_cnpj_instituicao AS id, b.nom_instituicao AS name,
+         greatest(i.clients, n.clients) AS clients, greatest(i.complaints, n.complaints) AS complaints,
+         greatest(i.rate, n.rate) AS rate, s.mood, s.pay
+  FROM {banks} b
+  JOIN staff s ON s.name = b.nom_instituicao
+  LEFT JOIN by_id i ON i.id = b.num_cnpj_instituicao
+  LEFT JOIN by_name n ON n.name = b.nom_instituicao
+  WHERE i.id IS NOT NULL OR n.name IS NOT NULL)
+SELECT max(name) AS nom_instituicao, id AS num_cnpj_instituicao, max(segment) AS nom_segto_instituicao,
+       max(clients) AS max_qtd_totl_clie_ccs_scr, CAST(max(rate) AS DOUBLE) AS avg_ind_recl,
+       max(complaints) AS sum_qtd_totl_recl, CAST(max(mood) AS DOUBLE) AS avg_ind_geral_instituicao,
+       CAST(max(pay) AS DOUBLE) AS avg_ind_remu_bene_instituicao
+FROM facts GROUP BY id
 """
 
 
 def snapshot_report_sql(spark, banks: DataFrame, complaints: DataFrame,
                         employers: DataFrame) -> DataFrame:
     """The snapshot report as one Spark SQL statement over DataFrame arguments (no
-    temp views): same collapse-before-join and split key-or-name join, in SQL form."""
+    temp views). One row per tax id leaves level 1, so level 2 only renames and widens."""
     return spark.sql(_SNAPSHOT_SQL, banks=banks, complaints=complaints, employers=employers)

@@ -12,7 +12,7 @@ from strata.plans import raw_render as RR
 from strata.schemas import RAW_FORMATS, all_string_schema
 from strata.session import scratch_path
 from strata.plans.catalog._base import register
-from strata.plans.catalog.reports import SQL_FINAL_SNAPSHOT, SQL_LEVEL1, SQL_LEVEL2
+from strata.plans.catalog.reports import SQL_FINAL_SNAPSHOT, SQL_PER_BANK, SQL_PER_BANK_QUARTER
 
 
 REF_DATE = "2023-08-14"
@@ -54,34 +54,16 @@ def job_sor_bancos(spark, sf_dir):
     return spark.read.schema(_sor_schema("bancos")).parquet(layers(spark, sf_dir, "sor")["sor"]["bancos"])
 
 
-@register("job_sor_reclamacoes", """SELECT CAST(year(l_shipdate) AS VARCHAR) AS "Ano",
-       CAST(quarter(l_shipdate) AS VARCHAR) || 'º' AS "Trimestre",
-       CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END
-         AS "CNPJ IF",
-       'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') ||
-         CASE WHEN l_linenumber % 2 = 0 THEN ' (conglomerado)' ELSE '' END
-         AS "Instituição financeira",
-       CAST(CAST(l_quantity AS BIGINT) + l_linenumber AS VARCHAR) AS "Quantidade total de reclamações",
-       CAST(year(l_shipdate) AS VARCHAR) ||
-       CASE quarter(l_shipdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
-       || '01' AS anomesdia
-FROM lineitem""")
+@register("job_sor_reclamacoes", RR.SQL_SOR_COMPLAINTS)
 def job_sor_reclamacoes(spark, sf_dir):
-    df = spark.read.schema(_sor_schema("reclamacoes")).parquet(
+    return spark.read.schema(_sor_schema("reclamacoes")).parquet(
         layers(spark, sf_dir, "sor")["sor"]["reclamacoes"])
-    return df.select("Ano", "Trimestre", "CNPJ IF", "Instituição financeira",
-                     "Quantidade total de reclamações", "anomesdia")
 
 
-@register("job_sor_empregados", """SELECT s_name AS employer_name,
-       'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento", s_name AS "Nome",
-       '20230814' AS anomesdia FROM supplier
-UNION ALL
-SELECT n_name, CAST(n_nationkey + 1000 AS VARCHAR), n_name, '20230814' FROM nation""")
+@register("job_sor_empregados", RR.SQL_SOR_EMPLOYERS)
 def job_sor_empregados(spark, sf_dir):
-    df = spark.read.schema(_sor_schema("empregados")).parquet(
+    return spark.read.schema(_sor_schema("empregados")).parquet(
         layers(spark, sf_dir, "sor")["sor"]["empregados"])
-    return df.select("employer_name", "Segmento", "Nome", "anomesdia")
 
 
 _SOT_READ = {
@@ -109,35 +91,44 @@ def job_sot_empregados(spark, sf_dir):
     return df.withColumn("anomesdia", F.col("anomesdia").cast("string")).drop("dat_hor_psst")
 
 
-@register("job_sot_metrics", f"""WITH b AS ({RR.SQL_SOT_BANKS}), c AS ({RR.SQL_SOT_COMPLAINTS})
-SELECT 'tb_bancos' AS nom_tab, 'Size' AS name, '*' AS instance, count(*) * 1.0 AS value FROM b
-UNION ALL SELECT 'tb_bancos', 'Completeness', 'num_cnpj_instituicao',
-  count(num_cnpj_instituicao) / count(*) FROM b
-UNION ALL SELECT 'tb_bancos', 'CountDistinct', 'num_cnpj_instituicao',
-  count(DISTINCT num_cnpj_instituicao) FROM b
-UNION ALL SELECT 'tb_reclamacoes', 'Size', '*', count(*) FROM c
-UNION ALL SELECT 'tb_reclamacoes', 'Completeness', 'vlr_ind_recl', round(count(vlr_ind_recl) / count(*), 6) FROM c
-UNION ALL SELECT 'tb_reclamacoes', 'Mean', 'qtd_totl_clie_css_scr', round(avg(qtd_totl_clie_css_scr), 6) FROM c
-UNION ALL SELECT 'tb_reclamacoes', 'CountDistinct', 'nom_instituicao', count(DISTINCT nom_instituicao) FROM c""")
+def _metric_sql(table: str, column: str, moments: bool) -> str:
+    out = [("Completeness", f"count({column}) / count(*)")]
+    if moments:
+        out += [("Maximum", f"max({column})"), ("Minimum", f"min({column})"),
+                ("Mean", f"avg(CAST({column} AS DOUBLE))"),
+                ("StandardDeviation", f"stddev_pop(CAST({column} AS DOUBLE))")]
+    return "\nUNION ALL ".join(
+        f"SELECT 'tb_{table}' AS nom_tab, 'Column' AS entity, '{column}' AS instance, '{name}' AS name, "
+        f"round(CAST({value} AS DOUBLE), 4) AS value FROM {table}" for name, value in out)
+
+
+def _size_sql(table: str, distinct: str) -> str:
+    return (f"SELECT 'tb_{table}', 'Dataset', '*', 'Size', CAST(count(*) AS DOUBLE) FROM {table}\n"
+            f"UNION ALL SELECT 'tb_{table}', 'Column', '{distinct}', 'CountDistinct', "
+            f"CAST(count(DISTINCT {distinct}) AS DOUBLE) FROM {table}")
+
+
+@register("job_sot_metrics", "\nUNION ALL ".join([
+    f"""WITH bancos AS ({RR.SQL_SOT_BANKS}), reclamacoes AS ({RR.SQL_SOT_COMPLAINTS}),
+empregados AS ({RR.SQL_SOT_EMPLOYERS})
+{_metric_sql("bancos", "nom_segto_instituicao", False)}""",
+    _metric_sql("bancos", "num_cnpj_instituicao", False), _metric_sql("bancos", "nom_instituicao", False),
+    _size_sql("bancos", "num_cnpj_instituicao"),
+    _metric_sql("empregados", "vlr_ind_satis_geral", True), _metric_sql("empregados", "vlr_ind_remu_bene", True),
+    _metric_sql("empregados", "nom_instituicao", False), _size_sql("empregados", "nom_instituicao"),
+    _metric_sql("reclamacoes", "vlr_ind_recl", True), _metric_sql("reclamacoes", "qtd_totl_clie_css_scr", True),
+    _metric_sql("reclamacoes", "nom_instituicao", False), _size_sql("reclamacoes", "nom_instituicao")]))
 def job_sot_metrics(spark, sf_dir):
-    root = layers(spark, sf_dir)["root"]
-    m = spark.read.parquet(f"{root}/data_quality")
-    wanted = [("tb_bancos", "Size", "*"), ("tb_bancos", "Completeness", "num_cnpj_instituicao"),
-              ("tb_bancos", "CountDistinct", "num_cnpj_instituicao"),
-              ("tb_reclamacoes", "Size", "*"), ("tb_reclamacoes", "Completeness", "vlr_ind_recl"),
-              ("tb_reclamacoes", "Mean", "qtd_totl_clie_css_scr"),
-              ("tb_reclamacoes", "CountDistinct", "nom_instituicao")]
-    keys = F.struct(F.col("nom_tab").cast("string"), "name", "instance")
-    cond = keys.isin(*[F.struct(F.lit(a), F.lit(b), F.lit(c)) for a, b, c in wanted])
-    return m.filter(cond).select(F.col("nom_tab").cast("string").alias("nom_tab"), "name",
-                                 "instance", F.round("value", 6).alias("value"))
+    """Every metric that the three trusted loads wrote."""
+    m = spark.read.parquet(f"{layers(spark, sf_dir)['root']}/data_quality")
+    return m.select(F.col("nom_tab").cast("string").alias("nom_tab"), "entity", "instance", "name",
+                    F.round("value", 4).alias("value"))
 
 
 SQL_SOT_REPORT_CTES = f"""WITH banks AS ({RR.SQL_SOT_BANKS}),
 complaints AS ({RR.SQL_SOT_COMPLAINTS}),
 employers AS ({RR.SQL_SOT_EMPLOYERS}),
-{SQL_LEVEL1},
-{SQL_LEVEL2}"""
+{SQL_PER_BANK}"""
 
 
 @register("job_spec_snapshot", f"{SQL_SOT_REPORT_CTES}\n{SQL_FINAL_SNAPSHOT}")
@@ -157,7 +148,7 @@ _DISPLAY_SELECT = """SELECT nom_instituicao AS "Nome do Banco", CAST(num_cnpj_in
        CAST(avg_ind_geral_instituicao AS FLOAT) AS "Índice de satisfação dos funcionários dos bancos",
        CAST(avg_ind_remu_bene_instituicao AS FLOAT)
          AS "Índice de satisfação com salários dos funcionários dos bancos"
-FROM level2"""
+FROM per_bank"""
 
 
 @register("job_spec_display", f"{SQL_SOT_REPORT_CTES}\n{_DISPLAY_SELECT}")
@@ -168,44 +159,50 @@ def job_spec_display(spark, sf_dir):
     return J.spec_frame(b, c, e, style="display", stamp=False)
 
 
+@register("job_spec_csv", f"""{SQL_SOT_REPORT_CTES}
+SELECT nom_instituicao, CAST(num_cnpj_instituicao AS BIGINT) AS num_cnpj_instituicao, nom_segto_instituicao,
+       CAST(max_qtd_totl_clie_ccs_scr AS BIGINT) AS max_qtd_totl_clie_ccs_scr,
+       round(CAST(avg_ind_recl AS DOUBLE), 6) AS avg_ind_recl,
+       CAST(sum_qtd_totl_recl AS BIGINT) AS sum_qtd_totl_recl,
+       round(CAST(avg_ind_geral_instituicao AS DOUBLE), 6) AS avg_ind_geral_instituicao,
+       round(CAST(avg_ind_remu_bene_instituicao AS DOUBLE), 6) AS avg_ind_remu_bene_instituicao,
+       true AS stamped, '20230814' AS anomesdia
+FROM per_bank""")
+def job_spec_csv(spark, sf_dir):
+    """Snapshot report as text: internal names, doubles, load stamp and run date in it."""
+    sot = layers(spark, sf_dir)["sot"]
+    path = J.run_spec(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"],
+                      scratch_path(spark, "spec_csv"), sink="csv", ref_date=REF_DATE)
+    schema = ("nom_instituicao string, num_cnpj_instituicao bigint, nom_segto_instituicao string, "
+              "max_qtd_totl_clie_ccs_scr bigint, avg_ind_recl double, sum_qtd_totl_recl bigint, "
+              "avg_ind_geral_instituicao double, avg_ind_remu_bene_instituicao double, "
+              "dat_hor_psst timestamp, anomesdia string")
+    df = S.read_delimited(spark, path, sep=";", schema=schema)
+    means = [c for c in df.columns if c.startswith("avg_")]
+    return df.withColumns({c: F.round(c, 6) for c in means}) \
+        .withColumn("stamped", F.col("dat_hor_psst").isNotNull()).drop("dat_hor_psst")
+
+
 @register("job_spec_quarterly", f"""WITH banks AS ({RR.SQL_SOT_BANKS}),
 complaints AS ({RR.SQL_SOT_COMPLAINTS}),
 employers AS ({RR.SQL_SOT_EMPLOYERS}),
-matched AS (
-  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
-         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
-  FROM banks b JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
-  UNION
-  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
-         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
-  FROM banks b JOIN complaints c ON b.nom_instituicao = c.nom_instituicao),
-level1 AS (
-  SELECT m.num_cnpj_instituicao, m.ano, m.num_trimestre,
-         max(m.nom_segto_instituicao) AS nom_segto_instituicao,
-         max(m.nom_instituicao) AS nom_instituicao,
-         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
-         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
-         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
-         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
-  FROM matched m JOIN employers e ON m.nom_instituicao = e.nom_instituicao
-  GROUP BY m.num_cnpj_instituicao, m.ano, m.num_trimestre)
+{SQL_PER_BANK_QUARTER}
 SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre,
-       round(avg(qtd_totl_clie_css_scr), 6) AS max_qtd_totl_clie_ccs_scr,
-       round(avg(vlr_ind_recl), 6) AS avg_ind_recl,
-       CAST(sum(qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl,
-       round(avg(vlr_ind_satis_geral), 6) AS avg_ind_geral_instituicao,
-       round(avg(vlr_ind_remu_bene), 6) AS avg_ind_remu_bene_instituicao
-FROM level1
-GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre""")
+       round(CAST(clients AS DOUBLE), 6) AS max_qtd_totl_clie_ccs_scr,
+       round(CAST(rate AS DOUBLE), 6) AS avg_ind_recl,
+       CAST(complaints AS BIGINT) AS sum_qtd_totl_recl,
+       round(CAST(mood AS DOUBLE), 6) AS avg_ind_geral_instituicao,
+       round(CAST(pay AS DOUBLE), 6) AS avg_ind_remu_bene_instituicao, '20230814' AS anomesdia
+FROM per_bank_quarter""")
 def job_spec_quarterly(spark, sf_dir):
-    """Quarterly report written as one CSV, read back."""
+    """Quarterly report written as text, read back."""
     sot = layers(spark, sf_dir)["sot"]
     path = J.run_spec_quarterly(spark, sot["bancos"], sot["reclamacoes"], sot["empregados"],
                                 scratch_path(spark, "spec_quarterly"), ref_date=REF_DATE)
     schema = ("nom_instituicao string, num_cnpj_instituicao bigint, nom_segto_instituicao string, "
               "ano int, num_trimestre int, max_qtd_totl_clie_ccs_scr double, avg_ind_recl double, "
               "sum_qtd_totl_recl bigint, avg_ind_geral_instituicao double, "
-              "avg_ind_remu_bene_instituicao double, dat_hor_psst timestamp")
+              "avg_ind_remu_bene_instituicao double, dat_hor_psst timestamp, anomesdia string")
     df = spark.read.schema(schema).option("sep", ";").option("header", True).csv(path)
     metrics = ["max_qtd_totl_clie_ccs_scr", "avg_ind_recl", "avg_ind_geral_instituicao",
                "avg_ind_remu_bene_instituicao"]

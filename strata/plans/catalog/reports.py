@@ -10,27 +10,53 @@ from strata.plans.derive import SQL_SOURCES
 from strata.plans.catalog._base import register, sources
 
 
-SQL_LEVEL1 = """level1 AS (
-  SELECT max(b.nom_segto_instituicao) AS nom_segto_instituicao, b.num_cnpj_instituicao,
-         max(b.nom_instituicao) AS nom_instituicao,
-         max(c.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
-         max(c.qtd_totl_recl) AS qtd_totl_recl, max(c.vlr_ind_recl) AS vlr_ind_recl,
-         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
-         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
-  FROM banks b
-  JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
-                    OR b.nom_instituicao = c.nom_instituicao
-  JOIN employers e ON b.nom_instituicao = e.nom_instituicao
+# The report from its definition: per tax id the maxima over the complaints that share its
+# id and over those that share a bank's name, and over the employers of that name. The
+# second level groups single rows, so its means and sums are the values themselves.
+SQL_PER_BANK = """by_id AS (
+  SELECT num_cnpj_instituicao AS id, max(qtd_totl_clie_css_scr) AS clients,
+         max(qtd_totl_recl) AS complaints, max(vlr_ind_recl) AS rate
+  FROM complaints GROUP BY id),
+by_name AS (
+  SELECT nom_instituicao AS name, max(qtd_totl_clie_css_scr) AS clients,
+         max(qtd_totl_recl) AS complaints, max(vlr_ind_recl) AS rate
+  FROM complaints GROUP BY name),
+staff AS (
+  SELECT nom_instituicao AS name, max(vlr_ind_satis_geral) AS mood, max(vlr_ind_remu_bene) AS pay
+  FROM employers GROUP BY name),
+per_bank AS (
+  SELECT b.num_cnpj_instituicao, max(b.nom_instituicao) AS nom_instituicao,
+         max(b.nom_segto_instituicao) AS nom_segto_instituicao,
+         max(greatest(i.clients, n.clients)) AS max_qtd_totl_clie_ccs_scr,
+         max(greatest(i.rate, n.rate)) AS avg_ind_recl,
+         max(greatest(i.complaints, n.complaints)) AS sum_qtd_totl_recl,
+         max(s.mood) AS avg_ind_geral_instituicao, max(s.pay) AS avg_ind_remu_bene_instituicao
+  FROM banks b JOIN staff s ON s.name = b.nom_instituicao
+  LEFT JOIN by_id i ON i.id = b.num_cnpj_instituicao
+  LEFT JOIN by_name n ON n.name = b.nom_instituicao
+  WHERE i.id IS NOT NULL OR n.name IS NOT NULL
   GROUP BY b.num_cnpj_instituicao)"""
 
-SQL_LEVEL2 = """level2 AS (
-  SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao,
-         max(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
-         avg(vlr_ind_recl) AS avg_ind_recl,
-         sum(qtd_totl_recl) AS sum_qtd_totl_recl,
-         avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
-         avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
-  FROM level1 GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao)"""
+# The same per quarter: both ways of matching give (bank, quarter, maxima) rows.
+SQL_PER_BANK_QUARTER = """staff AS (
+  SELECT nom_instituicao AS name, max(vlr_ind_satis_geral) AS mood, max(vlr_ind_remu_bene) AS pay
+  FROM employers GROUP BY name),
+ways AS (
+  SELECT 'id' AS way, CAST(num_cnpj_instituicao AS VARCHAR) AS term, ano, num_trimestre,
+         max(qtd_totl_clie_css_scr) AS clients, max(qtd_totl_recl) AS complaints, max(vlr_ind_recl) AS rate
+  FROM complaints GROUP BY ALL
+  UNION ALL
+  SELECT 'name', nom_instituicao, ano, num_trimestre, max(qtd_totl_clie_css_scr), max(qtd_totl_recl),
+         max(vlr_ind_recl)
+  FROM complaints GROUP BY ALL),
+per_bank_quarter AS (
+  SELECT b.num_cnpj_instituicao, w.ano, w.num_trimestre, max(b.nom_instituicao) AS nom_instituicao,
+         max(b.nom_segto_instituicao) AS nom_segto_instituicao, max(w.clients) AS clients,
+         max(w.complaints) AS complaints, max(w.rate) AS rate, max(s.mood) AS mood, max(s.pay) AS pay
+  FROM banks b JOIN staff s ON s.name = b.nom_instituicao
+  JOIN ways w ON w.term = CASE w.way WHEN 'id' THEN CAST(b.num_cnpj_instituicao AS VARCHAR)
+                                     ELSE b.nom_instituicao END
+  GROUP BY b.num_cnpj_instituicao, w.ano, w.num_trimestre)"""
 
 SQL_FINAL_SNAPSHOT = """SELECT nom_instituicao AS nome_banco,
        CAST(num_cnpj_instituicao AS BIGINT) AS cnpj,
@@ -41,9 +67,9 @@ SQL_FINAL_SNAPSHOT = """SELECT nom_instituicao AS nome_banco,
        CAST(avg_ind_geral_instituicao AS FLOAT) AS indice_satisfacao_funcionarios_bancos,
        CAST(avg_ind_remu_bene_instituicao AS FLOAT)
          AS "indice_satisfação_salarios_funcionarios_bancos"
-FROM level2"""
+FROM per_bank"""
 
-SQL_REPORT_CTES = f"WITH {SQL_SOURCES},\n{SQL_LEVEL1},\n{SQL_LEVEL2}"
+SQL_REPORT_CTES = f"WITH {SQL_SOURCES},\n{SQL_PER_BANK}"
 SQL_FLAGSHIP = f"{SQL_REPORT_CTES}\n{SQL_FINAL_SNAPSHOT}"
 
 
@@ -65,7 +91,7 @@ def flagship_report_unaggregated(spark, sf_dir):
 
 SQL_FLAGSHIP_HOT = (f"WITH banks AS ({derive.SQL_BANKS}),\n"
                     f"complaints AS ({derive.SQL_COMPLAINTS_HOT}),\n"
-                    f"employers AS ({derive.SQL_EMPLOYERS}),\n{SQL_LEVEL1},\n{SQL_LEVEL2}\n"
+                    f"employers AS ({derive.SQL_EMPLOYERS}),\n{SQL_PER_BANK}\n"
                     f"{SQL_FINAL_SNAPSHOT}")
 
 
@@ -142,32 +168,12 @@ def or_join_set(spark, sf_dir):
 
 
 SQL_QUARTERLY = f"""WITH {SQL_SOURCES},
-matched AS (
-  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
-         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
-  FROM banks b JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
-  UNION
-  SELECT b.nom_segto_instituicao, b.num_cnpj_instituicao, b.nom_instituicao,
-         c.qtd_totl_clie_css_scr, c.qtd_totl_recl, c.vlr_ind_recl, c.ano, c.num_trimestre
-  FROM banks b JOIN complaints c ON b.nom_instituicao = c.nom_instituicao),
-level1 AS (
-  SELECT m.num_cnpj_instituicao, m.ano, m.num_trimestre,
-         max(m.nom_segto_instituicao) AS nom_segto_instituicao,
-         max(m.nom_instituicao) AS nom_instituicao,
-         max(m.qtd_totl_clie_css_scr) AS qtd_totl_clie_css_scr,
-         max(m.qtd_totl_recl) AS qtd_totl_recl, max(m.vlr_ind_recl) AS vlr_ind_recl,
-         max(e.vlr_ind_remu_bene) AS vlr_ind_remu_bene,
-         max(e.vlr_ind_satis_geral) AS vlr_ind_satis_geral
-  FROM matched m JOIN employers e ON m.nom_instituicao = e.nom_instituicao
-  GROUP BY m.num_cnpj_instituicao, m.ano, m.num_trimestre)
+{SQL_PER_BANK_QUARTER}
 SELECT nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre,
-       avg(qtd_totl_clie_css_scr) AS max_qtd_totl_clie_ccs_scr,
-       avg(vlr_ind_recl) AS avg_ind_recl,
-       CAST(sum(qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl,
-       avg(vlr_ind_satis_geral) AS avg_ind_geral_instituicao,
-       avg(vlr_ind_remu_bene) AS avg_ind_remu_bene_instituicao
-FROM level1
-GROUP BY nom_instituicao, num_cnpj_instituicao, nom_segto_instituicao, ano, num_trimestre"""
+       CAST(clients AS DOUBLE) AS max_qtd_totl_clie_ccs_scr, CAST(rate AS DOUBLE) AS avg_ind_recl,
+       CAST(complaints AS BIGINT) AS sum_qtd_totl_recl, CAST(mood AS DOUBLE) AS avg_ind_geral_instituicao,
+       CAST(pay AS DOUBLE) AS avg_ind_remu_bene_instituicao
+FROM per_bank_quarter"""
 
 
 @register("quarterly_report", SQL_QUARTERLY)

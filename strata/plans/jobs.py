@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import schemas as SC
 from strata.functions import columns as C
@@ -183,9 +185,14 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             ref_date=None, dq_root: str | None = None,
             profile: QualityProfile | None = None, table: str | None = None,
             overwrite: str = "table", materialize: str = "stage",
-            fmt: str = "parquet", sep: str = ";") -> SotResult:
+            fmt: str = "parquet", sep: str = ";", only: DataFrame | None = None,
+            run_id: str | None = None) -> SotResult:
     """Transform, measure, check, gate, publish.
 
+    ``only`` (distinct partition values of the trusted table) limits the load to those
+    partitions, NULL values included. ``run_id`` names the metrics of this load: a repeat
+    replaces them.
+
     ``fmt='csv'`` writes the trusted table as ``sep``-separated text with header (the
     staged Parquet is then rewritten, not renamed).
 
@@ -205,6 +212,10 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     profile = profile or quality_profile(dataset)
     by = SOT_PARTITIONS[dataset]
     frame = sot_frame(dataset, sor, ref_date)
+    if only is not None:
+        only = only.select(*[C.col_ref(c).alias(f"_only_{c}") for c in by])
+        frame = frame.join(only, reduce(lambda a, b: a & b, [
+            C.col_ref(c).eqNullSafe(F.col(f"_only_{c}")) for c in by]), "left_semi")
     staging = None
     if materialize == "stage":
         staging = scratch_path(spark, f"stage_{dataset}")
@@ -218,7 +229,7 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     try:
         metrics, checks = Q.run_suite(df, profile.analyzers, [profile.check])  # one scan
         if dq_root:
-            W.append_metrics(metrics, dq_root, profile.table, ref_date)
+            W.append_metrics(metrics, dq_root, profile.table, ref_date, run_id=run_id)
         Q.gate(checks)
         if staging and fmt == "parquet":
             W.publish_staged(spark, staging, output_path, by, overwrite)
@@ -236,10 +247,9 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
 # ---------------------------------------------------------------------------
 # SPEC
 # ---------------------------------------------------------------------------
-BANK_COLUMNS = ["nom_segto_instituicao", "num_cnpj_instituicao", "nom_instituicao"]
-EMPLOYER_COLUMNS = ["vlr_ind_satis_geral", "vlr_ind_remu_bene", "nom_instituicao"]
-COMPLAINT_COLUMNS = ["num_cnpj_instituicao", "nom_instituicao", "qtd_totl_clie_css_scr",
-                     "qtd_totl_recl", "vlr_ind_recl", "ano", "num_trimestre"]
+BANK_COLUMNS = [t for _, t, _ in SC.BANK_SPEC]
+EMPLOYER_COLUMNS = [*R.EMPLOYER_METRICS, R.NAME]
+COMPLAINT_COLUMNS = [R.KEY, R.NAME, *R.COMPLAINT_METRICS, *R.PERIOD]
 
 
 def spec_inputs(spark: SparkSession, banks: str, complaints: str, employers: str,
@@ -262,7 +272,7 @@ def spec_inputs(spark: SparkSession, banks: str, complaints: str, employers: str
 
 def spec_frame(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
                style: str = "snapshot", ref_date=None, stamp: bool = True) -> DataFrame:
-    """Snapshot report, renamed and cast (``style`` 'snapshot' or 'display')."""
+    """Snapshot report, renamed and cast (``style`` 'snapshot', 'display' or 'internal')."""
     out = R.finalize_report(R.snapshot_report(banks, complaints, employers), style)
     if stamp:
         out = C.with_load_ts(out)
@@ -279,22 +289,24 @@ def spec_quarterly_frame(banks: DataFrame, complaints: DataFrame, employers: Dat
 
 def run_spec(spark: SparkSession, banks: str, complaints: str, employers: str, output: str,
              sink: str = "parquet", ref_date=None, jdbc: dict | None = None,
-             from_tables: bool = False) -> str:
-    """sink: 'parquet' (partitioned by anomesdia), 'csv' (one report file), or 'jdbc'
+             from_tables: bool = False, files: int | None = None) -> str:
+    """sink: 'parquet' (partitioned by anomesdia), 'csv' (internal column names, means as
+    doubles, load stamp and run date in the rows; ``files=1`` for one file), or 'jdbc'
     (display column names; ``jdbc`` = {url, table, properties})."""
     b, c, e = spec_inputs(spark, banks, complaints, employers, from_tables)
     if sink == "jdbc":
         out = spec_frame(b, c, e, style="display", ref_date=ref_date)
         W.write_jdbc(out, jdbc["url"], jdbc["table"], jdbc.get("properties", {}))
         return jdbc["table"]
-    out = spec_frame(b, c, e, ref_date=ref_date)
     if sink == "csv":
-        return W.write_report_csv(out.drop("anomesdia"), output, ref_date)
+        out = spec_frame(b, c, e, style="internal", ref_date=ref_date)
+        return W.write_report_csv(out, output, ref_date, files=files)
+    out = spec_frame(b, c, e, ref_date=ref_date)
     return W.write_partitioned(out, output, by="anomesdia", fmt="parquet", overwrite="table")
 
 
 def run_spec_quarterly(spark: SparkSession, banks: str, complaints: str, employers: str,
-                       output: str, ref_date=None) -> str:
+                       output: str, ref_date=None, files: int | None = None) -> str:
     b, c, e = spec_inputs(spark, banks, complaints, employers)
     out = spec_quarterly_frame(b, c, e, ref_date=ref_date)
-    return W.write_report_csv(out.drop("anomesdia"), output, ref_date)
+    return W.write_report_csv(out, output, ref_date, files=files)

@@ -117,6 +117,58 @@ def land_raw_files(spark: SparkSession, sf_dir: str, landing: str) -> dict[str,
     return out
 
 
+# What the raw layer must contain: every field as text, blank fields as they were read.
+SQL_SOR_COMPLAINTS = """SELECT CAST(year(l_shipdate) AS VARCHAR) AS "Ano",
+       CAST(quarter(l_shipdate) AS VARCHAR) || 'º' AS "Trimestre",
+       CASE l_returnflag WHEN 'A' THEN 'Top 10' WHEN 'N' THEN 'Grupo Secundário' ELSE 'Demais' END AS "Categoria",
+       CASE WHEN l_linestatus = 'O' THEN 'Conglomerado' ELSE 'Banco/financeira' END AS "Tipo",
+       CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END
+         AS "CNPJ IF",
+       'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') ||
+         CASE WHEN l_linenumber % 2 = 0 THEN ' (conglomerado)' ELSE '' END AS "Instituição financeira",
+       CASE WHEN l_linenumber = 5 THEN ' '
+            ELSE translate(format('{:,.2f}', CAST(l_extendedprice AS DOUBLE)), ',.', '.,') END AS "Índice",
+       CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Quantidade de reclamações reguladas procedentes",
+       CAST(l_linenumber AS VARCHAR) AS "Quantidade de reclamações reguladas - outras",
+       CAST(l_partkey % 50 AS VARCHAR) AS "Quantidade de reclamações não reguladas",
+       CAST(CAST(l_quantity AS BIGINT) + l_linenumber AS VARCHAR) AS "Quantidade total de reclamações",
+       CASE WHEN l_linenumber = 6 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END
+         AS "Quantidade total de clientes  CCS e SCR",
+       CAST(l_partkey AS VARCHAR) AS "Quantidade de clientes  CCS",
+       CAST(l_suppkey AS VARCHAR) AS "Quantidade de clientes  SCR",
+       CAST(year(l_shipdate) AS VARCHAR) ||
+       CASE quarter(l_shipdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
+       || '01' AS anomesdia
+FROM lineitem"""
+
+
+def _sor_employers_sql(source: str, name: str, nation: str, key: str, segment: str, match: str) -> str:
+    def text(value):
+        return f"CAST({value} AS VARCHAR)"
+    values = [
+        name, f"{text(f'{nation} * 10')} || '.0'", text(nation), text(f"{key} % 7"),
+        f"CASE WHEN {key} % 2 = 0 THEN NULL ELSE '3' END",
+        f"'www.' || lower(replace({name}, '#', '')) || '.com.br'",
+        f"'City' || {text(nation)} || CASE WHEN {key} % 5 = 0 THEN '' ELSE ', Brasil' END",
+        f"CASE WHEN {key} % 3 = 0 THEN NULL ELSE {text(f'{nation} + 1900')} || '.0' END",
+        f"CASE WHEN {key} % 6 = 0 THEN 'sem-setor' ELSE '/Avaliacoes/bancos-' || {text(nation)} || '/setor-' "
+        f"|| {text(nation)} || '.9,40_IP' || {text(key)} || '.htm' END",
+        f"CASE WHEN {nation} % 3 = 0 THEN 'Mais de US$ 10 bi (BRL)' ELSE 'Desconhecida' END",
+        f"'https://example.org/' || {text(key)}",
+        f"{text(f'{nation} % 5 + 1')} || '.' || {text(f'{key} % 10')}",
+        f"{text(f'{key} % 5')} || '.' || {text(f'{nation} % 10')}", f"{text(f'{nation} % 4 + 1')} || '.5'",
+        f"{text(f'{key} % 4 + 1')} || '.0'", "'3.9'", f"{text(f'{key} % 5')} || '.' || {text(f'{nation} % 10')}",
+        "'4.1'", text(f"{key} % 100"), "NULL", segment, name, f"'{match}'"]
+    named = ", ".join(f'{v} AS "{c}"' for v, c in zip(values, SC.EMPLOYER_FIELDS))
+    return f"SELECT {named}, '20230814' AS anomesdia FROM {source}"
+
+
+SQL_SOR_EMPLOYERS = "\nUNION ALL\n".join([
+    _sor_employers_sql("supplier", "s_name", "s_nationkey", "s_suppkey",
+                       "'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR)", "100"),
+    _sor_employers_sql("nation", "n_name", "n_regionkey", "n_nationkey",
+                       "CAST(n_nationkey + 1000 AS VARCHAR)", "90")])
+
 # What the trusted layer must contain (DuckDB oracle; base tables are views there).
 SQL_SOT_BANKS = """SELECT 'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS nom_segto_instituicao,
        s_suppkey AS num_cnpj_instituicao, s_name AS nom_instituicao

@@ -83,9 +83,6 @@ def all_string_schema(fields: list[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
 
 
-BANK_RAW = all_string_schema(BANK_FIELDS)
-COMPLAINT_RAW = all_string_schema(COMPLAINT_FIELDS)
-EMPLOYER_RAW = all_string_schema(EMPLOYER_FIELDS)
 
 # ---------------------------------------------------------------------------
 # Trusted-layer specs (source column -> target column, type).
@@ -157,6 +154,10 @@ REPORT_SPEC = [
 
 
 def report_spec(style: str = "snapshot") -> list[tuple[str, str, str]]:
-    """``style`` = 'snapshot' (file report names) or 'display' (database report names)."""
-    pick = 1 if style == "snapshot" else 2
+    """``style`` = 'snapshot' (file report names), 'display' (database report names) or
+    'internal' (text report: internal names, counts and means in full width)."""
+    if style == "internal":
+        wide = {"int": "bigint", "float": "double"}
+        return [(row[0], row[0], wide.get(row[3], row[3])) for row in REPORT_SPEC]
+    pick = {"snapshot": 1, "display": 2}[style]
     return [(row[0], row[pick], row[3]) for row in REPORT_SPEC]
