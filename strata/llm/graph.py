@@ -32,3 +32,19 @@ def components(links: DataFrame) -> DataFrame:
                      .select("node", "label", (F.col("label") < F.col("old")).alias("moved")),
                      "labels")
     return labels.select("node", "label")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) with the components joined that ``links`` (a, b) connect.
+
+    Only the graph of the components is walked. A node without a label is its own.
+    """
+    a, b = labels.toDF("a", "from_label"), labels.toDF("b", "to_label")
+    between = (links.join(a, "a", "left").join(b, "b", "left")
+               .select(F.coalesce("from_label", "a").alias("a"), F.coalesce("to_label", "b").alias("b"))
+               .where("a <> b").distinct())
+    joined = components(between).toDF("label", "joined")
+    old = labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
+    # a label is itself a node; those that had no row are new
+    new = joined.join(labels.select(F.col("node").alias("label")), "label", "left_anti").toDF("node", "label")
+    return old.union(new)

@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm._util import cut, id_type, slices, utf8
-from strata.llm.graph import components
+from strata.llm.graph import components, merged
 
 WIDTH = 5                 # words of a shingle
 SIMILAR = (75, 100)       # linked: 100 * intersection >= 75 * union
 BANDS, ROWS = 40, 5       # a pair at 0.75 shares no band with probability 2e-5
 SAMPLES, BITS = 3072, 12288
 DEVIATIONS = 4.0          # a pair at 0.75 is dropped by its sketches with probability 3e-5
-MERGES = 6                # rounds, at most, that join components by one pair each
+MERGES = ((0, 1, 2), (3, 4, 5))  # rounds that join components, by a pair of each for every turn
 BLOCK, CHUNK = 256, 1024  # minor nodes and nodes that meet in one group of the sweep
 _WORDS = 200_000          # word hashes that a task keeps
 
@@ -273,23 +273,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (met.select("band", "node").join(labels, "node", "left")
                 .select("band", "node", F.coalesce("label", "node").alias("comp")))
 
-    for turn in range(MERGES):
-        parts = (within_bands(first).groupBy("band", "comp")
-                 .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("one"),
-                      F.count(F.lit(1)).alias("size")))
-        largest = (parts.groupBy("band").agg(F.max_by("one", F.struct("size", "comp")).alias("other"),
-                                             F.max("size").alias("most"), F.count(F.lit(1)).alias("parts"))
-                   .where("parts > 1"))
-        # every other round tries a band of the component's largest company, or any band
-        rank = F.col("most") if turn % 2 == 0 else F.xxhash64("band", F.lit(turn))
-        pairs = (parts.join(largest, "band").where("one <> other").groupBy("comp")
-                 .agg(F.max_by(F.struct("one", "other"), F.struct(rank, "band")).alias("pair"))
-                 .select(F.col("pair.other").alias("a"), F.col("pair.one").alias("b")))
-        joined = cut(verified(pairs), "merge")
-        if joined.isEmpty():
-            break
-        links = links.union(joined)
-        first = components(links)
+    for turns in MERGES:
+        within = within_bands(first)
+        pairs = None
+        for turn in turns:
+            parts = (within.groupBy("band", "comp")
+                     .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("one"),
+                          F.count(F.lit(1)).alias("size")))
+            largest = (parts.groupBy("band").agg(F.max_by("one", F.struct("size", "comp")).alias("other"),
+                                                 F.max("size").alias("most"), F.count(F.lit(1)).alias("parts"))
+                       .where("parts > 1"))
+            # even turns try the band of the component's largest company, odd ones any band
+            rank = F.col("most") if turn % 2 == 0 else F.xxhash64("band", F.lit(turn))
+            tried = (parts.join(largest, "band").where("one <> other").groupBy("comp")
+                     .agg(F.max_by(F.struct("one", "other"), F.struct(rank, "band")).alias("pair"))
+                     .select(F.col("pair.other").alias("a"), F.col("pair.one").alias("b")))
+            pairs = tried if pairs is None else pairs.union(tried)
+        joined = cut(verified(pairs.distinct()), "merge")
+        first = cut(merged(first, joined), "merged")
 
     within = within_bands(first)
     sizes = (within.groupBy("band", "comp").count().groupBy("band")
@@ -312,7 +313,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .sortWithinPartitions("band", "block", "chunk")
                .mapInArrow(_cross(limit, similar), "a long, b long").distinct())
     more = cut(verified(crossed), "sweep")
-    last = components(links.union(more))
+    last = merged(first, more)
 
     placed = nodes.select("key", "node", "least").join(last, "node", "left")
     placed = placed.withColumn("label", F.coalesce("label", "node"))

@@ -85,7 +85,7 @@ def test_tree_finds_the_tightest_bin():
 
 def test_shards_hold_groups_and_are_even(documents, odd_rows):
     rnd = random.Random(8)
-    rows = [(i, "t" * rnd.randint(1, 400) + str(rnd.randint(0, 900)), "s") for i in range(3000)]
+    rows = [(10_000 + i, "t" * rnd.randint(1, 400) + str(rnd.randint(0, 900)), "s") for i in range(3000)]
     rows += [(5000 + i, "hot text", "s") for i in range(700)] + odd_rows[:7]
     got = sharding.shards(documents(rows), 8).collect()
     text = dict((r[0], r[1]) for r in rows)
