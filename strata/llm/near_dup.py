@@ -144,12 +144,16 @@ def _signatures(width: int, bands: int, rows: int):
     return run
 
 
-def _sketches(width: int, samples: int, bits: int):
+def _sketches(width: int, bands: int, rows: int, samples: int, bits: int):
+    """Adds ``sketch``: the band keys and behind them the odd sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, family = _WordHash(), _hash_family(samples, 12)
+        hashes, family, finer = _WordHash(), _hash_family(bands * rows, 11), _hash_family(samples, 12)
         for batch in slices(batches):
-            out = [odd_sketch(minhash(shingle_set(words(t), hashes, width), family), bits).tobytes()
-                   for t in utf8(batch.column("text"))]
+            out = []
+            for text in utf8(batch.column("text")):
+                s = shingle_set(words(text), hashes, width)
+                keys = band_keys(minhash(s, family), bands, rows)
+                out.append(keys.tobytes() + odd_sketch(minhash(s, finer), bits).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("n"), pa.array(out, pa.binary()),
                  batch.column("text")], ["node", "n", "sketch", "text"])
@@ -173,20 +177,25 @@ def _verify(width: int, similar: tuple[int, int]):
     return run
 
 
-def _cross(limit: int, similar: tuple[int, int]):
-    """Pairs of a group's minor nodes with its other nodes that the sketches let pass."""
+def _cross(bands: int, limit: int, similar: tuple[int, int]):
+    """Pairs of a group's minor nodes with its other nodes that the sketches let pass.
+
+    A pair that shares several band keys is compared under the least of them only.
+    """
     def pairs(part: dict[str, np.ndarray]) -> list[np.ndarray]:
-        minor = part["minor"]
+        minor, band = part["minor"], part["band"][0]
         node, comp, n, sketch = (part[c][~minor] for c in ("node", "comp", "n", "sketch"))
+        keys, odd = sketch[:, :bands].view(np.int64), sketch[:, bands:]
         found = []
         for i in np.flatnonzero(minor):
-            m = part["n"][i]
-            ok = ((comp != part["comp"][i])
-                  & (similar[1] * np.minimum(n, m) >= similar[0] * np.maximum(n, m)))
-            at = np.flatnonzero(ok)
+            m, mine = part["n"][i], part["sketch"][i]
+            at = np.flatnonzero((comp != part["comp"][i])
+                                & (similar[1] * np.minimum(n, m) >= similar[0] * np.maximum(n, m)))
+            own = mine[:bands].view(np.int64)
+            at = at[~((keys[at] == own) & (own < band)).any(axis=1)]
             if len(at):
-                odd = np.bitwise_count(sketch[at] ^ part["sketch"][i]).sum(axis=1)
-                other = node[at[odd <= limit]]
+                differ = np.bitwise_count(odd[at] ^ mine[bands:]).sum(axis=1)
+                other = node[at[differ <= limit]]
                 mine = np.full(len(other), part["node"][i])
                 found.append(np.stack([np.minimum(mine, other), np.maximum(mine, other)]))
         return found
@@ -254,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = cut(base.join(wanted, (base.text_hash == wanted.text_hash) & base.doc_id.eqNullSafe(wanted.at))
                 .groupBy("at", wanted.text_hash, "node", "n").agg(F.first("text").alias("text"))
                 .select("node", "n", "text")
-                .mapInArrow(_sketches(width, SAMPLES, BITS),
+                .mapInArrow(_sketches(width, bands, rows, SAMPLES, BITS),
                             "node long, n long, sketch binary, text string"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -311,7 +320,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crossed = (minor.union(every).join(texts.select("node", "n", "sketch"), "node")
                .select(*cols, "n", "sketch").repartition("band", "block", "chunk")
                .sortWithinPartitions("band", "block", "chunk")
-               .mapInArrow(_cross(limit, similar), "a long, b long").distinct())
+               .mapInArrow(_cross(bands, limit, similar), "a long, b long").distinct())
     more = cut(verified(crossed), "sweep")
     last = merged(first, more)
 
