@@ -81,7 +81,8 @@ def regex_extract(col: str | Column, pattern: str, group: int = 1,
     extracted = F.regexp_extract(c, pattern, group)
     if on_no_match == "empty":
         return extracted
-    matched = c.rlike(pattern)
+    # only an empty extract needs a second look: an empty group, or no match at all
+    matched = (extracted != "") | c.rlike(pattern)
     if on_no_match == "keep":
         return F.when(matched, extracted).otherwise(c)
     if on_no_match == "null":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata import sources as S
+from strata import sinks, sources as S
 from strata.operators import quality as Q
 from strata.plans import jobs as J
 from strata.plans import raw_render as RR
@@ -84,6 +84,18 @@ def job_sot_reclamacoes(spark, sf_dir):
     return df.drop("dat_hor_psst")
 
 
+@register("job_raw_to_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
+def job_raw_to_sot_reclamacoes(spark, sf_dir):
+    """Landing files -> raw -> trusted complaints, every step run by each call."""
+    root = scratch_path(spark, "raw_to_sot")
+    sinks.write_partitioned(RR.raw_reclamacoes(spark, sf_dir), f"{root}/landing", fmt="csv", sep=";",
+                            empty_value="")
+    sor = J.run_sor(spark, "reclamacoes", f"{root}/landing", f"{root}/sor", REF_DATE)
+    done = J.run_sot(spark, "reclamacoes", spark.read.schema(_sor_schema("reclamacoes")).parquet(sor),
+                     f"{root}/sot", REF_DATE, dq_root=f"{root}/dq")
+    return spark.read.parquet(done.output_path).drop("dat_hor_psst")
+
+
 @register("job_sot_empregados", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_EMPLOYERS}) t""")
 def job_sot_empregados(spark, sf_dir):
     path = layers(spark, sf_dir)["sot"]["empregados"]

@@ -62,3 +62,27 @@ def test_union_and_distinct(spark):  # U1, U2
     b = spark.createDataFrame([("x", 1), ("y", 2)], "v string, id int")
     u = J.union_all([a, b])
     assert u.count() == 3 and J.distinct_rows(u).count() == 2
+
+
+@pytest.mark.parametrize("strategy", ["tagged", "union"])
+def test_hot_key_is_split(spark, strategy):
+    """A third of the rows on one key, sort-merge join: AQE cuts that partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        facts = spark.range(0, 300_000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 0, id % 5000) AS k", "CAST(NULL AS STRING) AS n", "sha2(CAST(id AS STRING), 256) AS v")
+        banks = spark.range(5000).selectExpr("id AS k", "CONCAT('n', id) AS n")
+        out = J.or_equi_join(banks, facts, [("k", "k"), ("n", "n")], strategy=strategy)
+        out = out.selectExpr("count(v)", "max(v)")
+        assert out.collect()[0][0] == 300_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
