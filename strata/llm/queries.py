@@ -31,19 +31,22 @@ ORACLES["op1_minhash_near_dedup"] = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
   FROM documents),
-s AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
-    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
-  FROM w),
-n AS (SELECT doc_id, len(sh) AS n FROM s),
-e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+u AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM w),
+g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id) AS c,
+         concat_ws(' ', w, lead(w, 1) OVER d, lead(w, 2) OVER d, lead(w, 3) OVER d, lead(w, 4) OVER d) AS x
+  FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT DISTINCT doc_id, x FROM g WHERE i <= greatest(1, c - 4)),
+n AS (SELECT w.doc_id, count(e.x) AS n FROM w LEFT JOIN e USING (doc_id) GROUP BY w.doc_id),
+t AS (SELECT x, row_number() OVER () AS term FROM e GROUP BY x HAVING count(*) > 1),
+p AS (SELECT doc_id, term FROM e JOIN t USING (x)),
 l AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
-  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-k AS (
+  FROM p a JOIN p b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2),
+h AS (
   SELECT l.a, l.b FROM l JOIN n na ON na.doc_id = l.a JOIN n nb ON nb.doc_id = l.b
   WHERE 100 * l.i >= 75 * (na.n + nb.n - l.i)),
+k AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
 r(doc_id, reached) AS (
   SELECT doc_id, doc_id FROM n
   UNION SELECT k.a, r.reached FROM r JOIN k ON k.b = r.doc_id),
@@ -85,9 +88,10 @@ WITH w AS (
          list_filter(string_split(coalesce(text, ''), chr(10)),
                      lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
   FROM documents),
+u AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM w),
 g AS (
-  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS x
-  FROM w WHERE len(ws) >= 3),
+  SELECT doc_id, i, w || ' ' || lead(w, 1) OVER d || ' ' || lead(w, 2) OVER d AS x
+  FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i) QUALIFY x IS NOT NULL),
 t AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
 c AS (
   SELECT doc_id, count(*) AS n FROM (
