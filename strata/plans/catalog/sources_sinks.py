@@ -32,15 +32,19 @@ def csv_roundtrip(spark, sf_dir):
                               ("s_acctbal", "s_acctbal", "double")])
 
 
-@register("csv_pipe_roundtrip", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _typed_back(spark, path, like, sep):
+    """All-text read of ``path``, cast to the types of ``like``."""
+    raw = S.read_delimited(spark, path, sep=sep, schema=T.StructType(
+        [T.StructField(n, T.StringType()) for n in like.columns]))
+    return raw.select(*[F.col(n).cast(kind).alias(n) for n, kind in like.dtypes])
+
+
+@register("csv_pipe_roundtrip", "SELECT * FROM customer")
 def csv_pipe_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv_pipe")
-    c = derive.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = derive.table(spark, sf_dir, "customer")
     sinks.write_partitioned(c, path, fmt="csv", sep="|")
-    raw = S.read_delimited(spark, path, sep="|", schema=T.StructType(
-        [T.StructField(n, T.StringType()) for n in ["c_custkey", "c_name", "c_mktsegment"]]))
-    return P.apply_spec(raw, [("c_custkey", "c_custkey", "bigint"), ("c_name", "c_name", "string"),
-                              ("c_mktsegment", "c_mktsegment", "string")])
+    return _typed_back(spark, path, c, "|")
 
 
 @register("csv_trailing_field", f"""WITH raw AS ({_RAW_COMPLAINT_SQL})
@@ -62,29 +66,23 @@ def csv_trailing_field(spark, sf_dir):
                        F.col("`Instituição financeira`").alias("nome"))
 
 
-@register("csv_directory", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+@register("csv_directory", "SELECT * FROM orders")
 def csv_directory(spark, sf_dir):
     """Many files with one header each, read as one table."""
     path = scratch_path(spark, "csv_dir")
-    o = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus",
-                                                     "o_orderpriority")
+    o = derive.table(spark, sf_dir, "orders")
     sinks.write_partitioned(o.repartition(7), path, fmt="csv", sep=";", layout="none")
-    schema = "o_orderkey string, o_orderstatus string, o_orderpriority string"
-    back = S.read_delimited(spark, path, sep=";", schema=T._parse_datatype_string(schema))
-    return back.select(C.safe_cast("o_orderkey", "bigint").alias("o_orderkey"),
-                       "o_orderstatus", "o_orderpriority")
+    return _typed_back(spark, path, o, ";")
 
 
-@register("csv_recursive", """SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_linestatus
-FROM lineitem""")
+@register("csv_recursive", "SELECT * EXCLUDE (l_returnflag) FROM lineitem")
 def csv_recursive(spark, sf_dir):
     """Partitioned CSV tree read recursively with inference; the partition column
-    (l_returnflag) is not turned into a column; l_orderkey overridden to bigint."""
+    (l_returnflag) is not turned into a column; keys overridden to bigint."""
     path = scratch_path(spark, "csv_recursive")
-    li = derive.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_linestatus", "l_returnflag")
-    sinks.write_partitioned(li, path, by="l_returnflag", fmt="csv", sep=";")
-    return S.read_csv_recursive(spark, path, sep=";", overrides={"l_orderkey": "bigint"})
+    sinks.write_partitioned(derive.table(spark, sf_dir, "lineitem"), path, by="l_returnflag", fmt="csv", sep=";")
+    keys = ("l_orderkey", "l_partkey", "l_suppkey")
+    return S.read_csv_recursive(spark, path, sep=";", overrides=dict.fromkeys(keys, "bigint"))
 
 
 @register("nonempty_files", "SELECT count(*) AS n_rows, true AS saw_empty_file FROM nation")
@@ -113,10 +111,13 @@ def read_table(spark, sf_dir):
     sinks.create_table(spark, name, path,
                        "p_partkey bigint, p_name string, p_brand string, p_type string, "
                        "p_size int, p_retailprice double")
-    return S.read_table(spark, name, ["p_partkey", "p_name", "p_size"])
+    back = scratch_path(spark, "read_back")
+    S.read_table(spark, name, ["p_partkey", "p_name", "p_size"]).write.parquet(back)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.parquet(back)
 
 
-_ORDERS_PART_SQL = """SELECT o_orderkey, o_totalprice,
+_ORDERS_PART_SQL = """SELECT *,
   CAST(year(o_orderdate) AS VARCHAR) ||
   CASE quarter(o_orderdate) WHEN 1 THEN '03' WHEN 2 THEN '06' WHEN 3 THEN '09' ELSE '12' END
   || '01' AS anomesdia
@@ -125,9 +126,8 @@ FROM orders"""
 
 def _orders_with_partition(spark, sf_dir):
     o = derive.table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_totalprice",
-                    C.quarter_partition(F.year("o_orderdate"),
-                                        F.quarter("o_orderdate").cast("string")).alias("anomesdia"))
+    return o.withColumn("anomesdia", C.quarter_partition(F.year("o_orderdate"),
+                                                         F.quarter("o_orderdate").cast("string")))
 
 
 @register("parquet_partitioned", _ORDERS_PART_SQL)
@@ -138,57 +138,59 @@ def parquet_partitioned(spark, sf_dir):
     return spark.read.schema(df.schema).parquet(path)
 
 
-@register("parquet_multi_part", """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS ano,
+@register("parquet_multi_part", """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS ano,
        CAST(quarter(o_orderdate) AS INTEGER) AS num_trimestre FROM orders""")
 def parquet_multi_part(spark, sf_dir):
     path = scratch_path(spark, "parquet_multi")
-    o = derive.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("ano"),
-        F.quarter("o_orderdate").alias("num_trimestre"))
+    o = derive.table(spark, sf_dir, "orders").withColumns(
+        {"ano": F.year("o_orderdate"), "num_trimestre": F.quarter("o_orderdate")})
     sinks.write_partitioned(o, path, by=["ano", "num_trimestre"], fmt="parquet")
     return spark.read.schema(o.schema).parquet(path)
 
 
 def _overwrite(spark, sf_dir, scope):
     path = scratch_path(spark, f"overwrite_{scope}")
-    o = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    o = derive.table(spark, sf_dir, "orders")
+    o = o.select(*[c for c in o.columns if c != "o_orderstatus"], "o_orderstatus")
     sinks.write_partitioned(o.withColumn("version", F.lit("v1")), path, by="o_orderstatus",
                             fmt="csv", sep=";", overwrite=scope)
     second = o.filter(F.col("o_orderstatus") == "F").withColumn("version", F.lit("v2"))
     sinks.write_partitioned(second, path, by="o_orderstatus", fmt="csv", sep=";",
                             overwrite=scope)
-    return spark.read.schema("o_orderkey bigint, version string, o_orderstatus string") \
-        .option("sep", ";").option("header", True).csv(path)
+    schema = T.StructType([f for f in o.schema if f.name != "o_orderstatus"]) \
+        .add("version", "string").add("o_orderstatus", "string")
+    return spark.read.schema(schema).option("sep", ";").option("header", True).csv(path)
 
 
-@register("overwrite_partitions", """SELECT o_orderkey, o_orderstatus,
+@register("overwrite_partitions", """SELECT *,
   CASE WHEN o_orderstatus = 'F' THEN 'v2' ELSE 'v1' END AS version FROM orders""")
 def overwrite_partitions(spark, sf_dir):
     """Dynamic overwrite: only the partition present in the second batch is replaced."""
     return _overwrite(spark, sf_dir, "partitions")
 
 
-@register("overwrite_table", """SELECT o_orderkey, o_orderstatus, 'v2' AS version FROM orders
+@register("overwrite_table", """SELECT *, 'v2' AS version FROM orders
 WHERE o_orderstatus = 'F'""")
 def overwrite_table(spark, sf_dir):
     """Static overwrite: the second batch replaces the whole table."""
     return _overwrite(spark, sf_dir, "table")
 
 
-@register("repair_table", """SELECT 'before' AS stage, 0 AS n_rows
-UNION ALL SELECT 'after', count(*) FROM orders""")
+@register("repair_table", "SELECT *, 0 AS n_rows_before FROM orders")
 def repair_table(spark, sf_dir):
+    """Partitions written behind the catalog's back are seen after the repair only."""
     path = scratch_path(spark, "repair")
-    o = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    o = derive.table(spark, sf_dir, "orders")
     name = "strata_orders_" + path.rsplit("-", 1)[-1]
-    sinks.create_table(spark, name, path, "o_orderkey bigint, o_orderstatus string",
+    sinks.create_table(spark, name, path, ", ".join(f"{n} {kind}" for n, kind in o.dtypes),
                        by=["o_orderstatus"])
     sinks.write_partitioned(o, path, by="o_orderstatus", fmt="parquet")
     before = spark.read.table(name).count()
     sinks.repair_table(spark, name)
-    after = spark.read.table(name).agg(F.count(F.lit(1)).alias("n_rows"))
-    return after.select(F.lit("after").alias("stage"), "n_rows").unionByName(
-        spark.range(1).select(F.lit("before").alias("stage"), F.lit(before).alias("n_rows")))
+    back = scratch_path(spark, "repaired")
+    spark.read.table(name).withColumn("n_rows_before", F.lit(before)).write.parquet(back)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.parquet(back)
 
 
 @register("report_csv", SQL_FLAGSHIP)
@@ -225,10 +227,9 @@ def metrics_append(spark, sf_dir):
         F.round(F.max("value"), 6).alias("value"), F.count(F.lit(1)).alias("n_runs"))
 
 
-@register("write_files", "SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem")
+@register("write_files", "SELECT * FROM lineitem")
 def write_files(spark, sf_dir):
     """Default layout (rebalance, AQE-sized files) with a per-file row cap."""
     path = scratch_path(spark, "write_files")
-    li = derive.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    sinks.write_partitioned(li, path, fmt="parquet", max_records_per_file=20000)
+    sinks.write_partitioned(derive.table(spark, sf_dir, "lineitem"), path, fmt="parquet", max_records_per_file=20000)
     return spark.read.parquet(path)
