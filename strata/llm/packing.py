@@ -61,7 +61,7 @@ class Encoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
-                for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str]) -> None:
         """Tokenize pieces in one text: the first token of each begins with its space."""
@@ -69,7 +69,8 @@ class Encoder:
         self._kept.update(zip(spaced, self._ids([" " + p for p in spaced])))
         plain = [p for p in parts if " " not in p]
         if plain:
-            ids = np.array(self._tokenizer.encode(" " + " ".join(plain), add_special_tokens=False).ids, "<u4")
+            found = self._tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
             at = [*(np.flatnonzero(self._spaced[ids]) * WORD).tolist(), len(ids) * WORD]
             ids = ids.tobytes()
             self._kept.update((p, ids[lo:hi]) for p, lo, hi in zip(plain, at, at[1:]))
