@@ -35,9 +35,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_AT = re.compile(r"\bat\b")  # no written-out address without it
 
 GENERATORS = (
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?[\[(]?(?:@|\bat\b)[\])]?\s?[A-Za-z0-9-]{1,63}+"
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: dot [A-Za-z0-9._%+-]{1,64}+){0,8}"
+                         r"\s?[\[(]?(?:@|\bat\b)[\])]?\s?[A-Za-z0-9-]{1,63}+"
                          r"(?:\s?[\[(]?(?:\.|\bdot\b)[\])]?\s?[A-Za-z0-9-]{1,63}+){1,8}")),
     ("ip", re.compile(r"(?<![0-9])[0-9]{1,4}+(?:[.,:-][0-9]{1,4}+){3}(?![0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}+(?![0-9])")),
@@ -100,7 +102,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     digits = _DIGIT.search(text) is not None
     found = []
     for kind, pattern in GENERATORS:
-        if kind == "email" and "@" not in text and " dot " not in text and "(dot)" not in text and "[dot]" not in text:
+        if kind == "email" and "@" not in text and not _AT.search(text):
             continue
         if kind in ("ip", "card", "phone") and not digits:
             continue

@@ -45,6 +45,14 @@ def test_base_spans_against_plain_patterns():
         assert pii.base_spans(text) == brute(text), text
 
 
+def test_each_written_out_form_alone_in_a_text_is_a_candidate():
+    spans = ["jane.doe@example.org", "10.20.30.40", "4111 1111 1111 1111", "+1 (620) 555-8424"]
+    for kind, span in enumerate(spans):
+        assert pii.base_spans(span) == [(0, kind, len(span))]
+        for form in pii._written_out(kind, span):
+            assert (0, kind, len(form)) in pii.candidates(form), form
+
+
 def test_long_runs_are_linear():
     for run in ("1" * 200_000, "a" * 200_000, "a." * 100_000, "1." * 100_000, "+1" + "(" * 200_000, "1 " * 100_000, "@a" * 50_000):
         pii.base_spans(run)
