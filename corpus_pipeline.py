@@ -48,7 +48,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences (operator 9)."""
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), special_tokens=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),

@@ -47,13 +47,17 @@ class Encoder:
     """Ids as little-endian bytes; a space between two words always begins a pre-token.
 
     So a text is cut at such spaces, and each distinct piece is tokenized once and kept.
+    With ``special_tokens`` the text of an added token stands for its id, as ``tokenizers``
+    has it by default; such a text is tokenized whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not special_tokens
+        added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._whole = re.compile("|".join(added) if special_tokens and added else r"(?!)")
         vocabulary = self._tokenizer.get_vocab()
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self._spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
@@ -76,7 +80,7 @@ class Encoder:
             self._kept.update((p, ids[lo:hi]) for p, lo, hi in zip(plain, at, at[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) if _odd(t) else t.split(" ") for t in texts]
+        cut = [[t] if self._whole.search(t) else _CUT.split(t) if _odd(t) else t.split(" ") for t in texts]
         if len(self._kept) > PRETOKENS:
             self._kept.clear()
         heads = self._ids([parts[0] for parts in cut])
@@ -212,9 +216,10 @@ class _Task:
         return out
 
 
-def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, pool_tokens: int, schema: pa.Schema):
+def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, pool_tokens: int, schema: pa.Schema,
+            special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), end_id.to_bytes(WORD, "little")
+        encoder, end = Encoder(path, special_tokens), end_id.to_bytes(WORD, "little")
         task = _Task(tiers, step_tokens, TaskContext.get().partitionId() << 40)
         row = 0
 
@@ -236,14 +241,16 @@ def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, po
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                   end_id: int = 0, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS) -> DataFrame:
+                   end_id: int = 0, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS,
+                   special_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     sequence_length, step_group.
 
     ``tokenizer`` is the path of a byte-level BPE tokenizer file, on every executor.
     ``tiers`` are powers of two. A null or empty text is its end id alone. Rows may repeat
     and ids may be null: each row is packed as its own document. Sequence ids are unique
-    and the same when a task is run again; an empty table gives an empty result.
+    and the same when a task is run again; an empty table gives an empty result. With
+    ``special_tokens`` the text of a special token gives its id, else the ids of its characters.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -252,4 +259,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
             "sequence_id long, offset long, sequence_length long, step_group long")
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], form).schema)
     return base.mapInArrow(_packed(tokenizer, end_id, tuple(sorted(tiers, reverse=True)), step_tokens,
-                                   POOL_TOKENS, arrow), form)
+                                   POOL_TOKENS, arrow, special_tokens), form)

@@ -123,7 +123,8 @@ FROM j LEFT JOIN r USING (source)
 
 @query
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                  special_tokens=True)
 
 
 @query

@@ -34,6 +34,27 @@ def test_pieces_of_a_text_give_the_ids_of_the_whole_text(plain):
             assert ids == plain(text), repr(text)
 
 
+def test_the_query_gives_the_ids_of_tokenizers_as_it_is(spark, tmp_path):
+    """Special tokens in a text, too: against a tokenizer without any setting."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from strata.llm import queries
+    unset = Tokenizer.from_file(PATH)
+    rnd = random.Random(6)
+    bits = ["a", "Word", " ", " ", "  ", "\n", "\t", ".", "'s", "é", "<|endoftext|>", "<|endoftext", "|>"]
+    texts = ["end <|endoftext|> next", *TEXTS, *("".join(rnd.choices(bits, k=rnd.randint(0, 25))) for _ in range(500))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+
+    def ids(text):
+        return unset.encode(text, add_special_tokens=False).ids
+    assert ids(texts[0]) == [437, 220, 50256, 1306]
+    for rows in (queries.QUERIES["op9_hierarchical_packing"](spark, str(tmp_path)).collect(),
+                 corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()):
+        check(rows, dict(enumerate(texts)), ids)
+
+
 def sequences(rows):
     by = defaultdict(list)
     for r in rows:
