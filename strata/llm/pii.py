@@ -44,7 +44,7 @@ GENERATORS = (
     ("ip", re.compile(r"(?<![0-9])[0-9]{1,4}+(?:[.,:-][0-9]{1,4}+){3}(?![0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}+(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9])(?:\(?[0-9]{2,4}\)?[\x20.-])[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_+/-]{20,128}+(?![A-Za-z0-9_])")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_+/-]{20,}+(?![A-Za-z0-9_])")),
 )
 #: Words before or after a span that speak for a kind.
 CUES = {

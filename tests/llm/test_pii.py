@@ -53,6 +53,13 @@ def test_each_written_out_form_alone_in_a_text_is_a_candidate():
             assert (0, kind, len(form)) in pii.candidates(form), form
 
 
+def test_long_secrets_are_candidates_whole():
+    for size in (20, 129, 2000):
+        for part in ("a1B2", "a1+B", "a1/-B", "_x9"):
+            token = (part * size)[:size - 1] + "z"
+            assert (9, pii.KINDS.index("secret"), 9 + size) in pii.candidates(f'token = "{token}"'), (size, part)
+
+
 def test_long_runs_are_linear():
     for run in ("1" * 200_000, "a" * 200_000, "a." * 100_000, "1." * 100_000, "+1" + "(" * 200_000, "1 " * 100_000, "@a" * 50_000):
         pii.base_spans(run)
