@@ -40,25 +40,80 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 }
+
+_GNU = (" you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software "
+        "Foundation; either version {} of the License, or (at your option) any later version.")
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+    "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+TEMPLATES |= {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-header": "This program is free software:" + _GNU.format("Affero General Public License", 3),
+    "BSD-2-Clause-text": _BSD.format(""),
+    "BSD-3-Clause-text": _BSD.format(
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. "),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": "This program is free software;" + _GNU.format("General Public License", 2),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-2.0-header": "This library is free software;" + _GNU.format("Library General Public License", 2),
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-header": "This library is free software;" + _GNU.format("Lesser General Public License", 2.1),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-header": "This program is free software:" + _GNU.format("Lesser General Public License", 3),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
+}
+_CC = {"BY": "", "BY-SA": "-ShareAlike", "BY-ND": "-NoDerivatives", "BY-NC": "-NonCommercial",
+       "BY-NC-SA": "-NonCommercial-ShareAlike", "BY-NC-ND": "-NonCommercial-NoDerivatives"}
+for _version, _place in (("4.0", "International"), ("3.0", "Unported")):
+    for _name, _terms in _CC.items():
+        for _kind, _text in (
+                ("short", f"Licensed under CC {_name} {_version}."),
+                ("notice", "This work is licensed under a Creative Commons "
+                           f"Attribution{_terms} {_version} {_place} License.")):
+            if _text not in TEMPLATES.values():
+                TEMPLATES[f"CC-{_name}-{_version}-{_kind}"] = _text
+#: A place has all of these words, and all version numbers, that its template has;
+NAMES = frozenset(("apache", "mit", "bsd", "mozilla", "gnu"))
+#: and of these words no others.
+TERMS = frozenset(("nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs", "sharealike", "lesser", "affero"))
 GRAM = 3         # words of a fingerprint
 WINDOW = 2       # of consecutive fingerprints the least is kept
 BAND = 4         # words that an alignment may drift from its diagonal
 COVERAGE = 80    # percent of a template's words that must be matched
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_VERSION = re.compile(r"v?([0-9]+(?:\.[0-9]+)*?)(?:\.0)*")
 
 
 def ascii_lowered(text: str) -> str:
     return text.encode().lower().decode()  # A-Z only, so offsets stay
 
 
+def words_of(low: str) -> list[str]:
+    """Words of a lowered text; v3, 3.0 and 3 are one version."""
+    return [m.group(1) if "0" <= w[-1] <= "9" and (m := _VERSION.fullmatch(w)) else w for w in _WORD.findall(low)]
+
+
 class Index:
     """Templates as word ids, and the inverted index of their winnowed fingerprints."""
 
     def __init__(self, templates: dict[str, str]) -> None:
         self.names = sorted(templates)
-        split = [_WORD.findall(ascii_lowered(templates[n])) for n in self.names]
-        self.words = {w: i for i, w in enumerate(sorted({w for t in split for w in t}), 1)}
+        split = [words_of(ascii_lowered(templates[n])) for n in self.names]
+        self.words = {w: i for i, w in enumerate(sorted({w for t in split for w in t} | TERMS), 1)}
         self.templates = [[self.words[w] for w in t] for t in split]
+        self.terms = {self.words[w] for w in TERMS}
+        self.needed = [{self.words[w] for w in t if w in NAMES or w in TERMS or _VERSION.fullmatch(w)} for t in split]
         self.posting: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
         for t, ids in enumerate(self.templates):
             grams = [tuple(ids[i:i + GRAM]) for i in range(max(1, len(ids) - GRAM + 1))]
@@ -112,7 +167,7 @@ def scan(text: str, index: Index, band: int = BAND, coverage: int = COVERAGE) ->
     first name); templates of one place share it otherwise.
     """
     low = ascii_lowered(text)
-    ids = [index.words.get(w, 0) for w in _WORD.findall(low)]
+    ids = [index.words.get(w, 0) for w in words_of(low)]
     diagonals: set[tuple[int, int]] = set()
     posting, known = index.posting, 0
     for at, word in enumerate(ids):
@@ -123,9 +178,13 @@ def scan(text: str, index: Index, band: int = BAND, coverage: int = COVERAGE) ->
                 diagonals.add((t, first - place))
     found = set()
     for t, start in diagonals:
-        template = index.templates[t]
+        template, needed = index.templates[t], index.needed[t]
+        if not needed.issubset(ids[max(0, start - band):max(0, start + len(template) + band)]):
+            continue
         matched, first, end, _ = align(ids, template, start, band)
-        if 100 * matched >= coverage * len(template):
+        place = set(ids[first:end])
+        if (100 * matched >= coverage * max(len(template), end - first)  # words put in count, too
+                and needed <= place and place & index.terms <= needed):
             found.add((-matched, first, index.names[t], end, len(template)))
     if not found:
         return []

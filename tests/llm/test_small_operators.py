@@ -192,6 +192,26 @@ def test_license_places(documents, odd_rows):
     assert licenses.license_matches(documents([])).count() == 0
 
 
+def test_license_variants_are_told_apart():
+    index = licenses.Index(licenses.TEMPLATES)
+    for name, template in licenses.TEMPLATES.items():
+        assert [m[0] for m in licenses.scan(f"See here. {template} And so on.", index)] == [name]
+    numbered = licenses.TEMPLATES["BSD-3-Clause-text"].replace("met: ", "met: 1. ").replace("Neither", "3. Neither")
+    assert [m[0] for m in licenses.scan(numbered, index)] == ["BSD-3-Clause-text"]
+    work = "This work is licensed under "
+    for text, names in {
+            "Licensed under the Apache License, Version 1.1.": [], "Licensed under the Other License, Version 2.0.": [],
+            "Released under the BSD License.": [], "Licensed under CC BY-NC-SA 2.5.": [],
+            work + "the GNU General Public License, version 2.": ["GPL-2.0"],
+            work + "the GNU General Public License v3": ["GPL-3.0"],
+            work + "the GNU Affero General Public License, version 3.": ["AGPL-3.0"],
+            "Licensed under the Apache License v2": ["Apache-2.0"], "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0-short"],
+            "Licensed under CC BY 4.0.": ["CC-BY-4.0-short"], "Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"],
+            work + "a Creative Commons Attribution-NonCommercial 4.0 International License.": ["CC-BY-NC-4.0-notice"],
+            "Licensed for you under one more CC BY-NC 4.0.": []}.items():
+        assert [m[0] for m in licenses.scan(text, index)] == names, text
+
+
 # --- urls
 def brute_rule(host, path):
     best = None
