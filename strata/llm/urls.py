@@ -107,6 +107,21 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
                                        lambda s: s["words"])).alias("words")))
 
 
+def _weights(classes: np.ndarray) -> np.ndarray:
+    """Log odds of each bucket from its (blocked, allowed) counts; all 0 if no url trains the blocked class.
+
+    One count more is shared out in proportion to the classes, so a word that was seen
+    nowhere weighs nothing, and a rare word the same in small and large tables.
+    """
+    sizes = classes.sum(axis=1) + 1
+    if sizes[0] == 1:
+        return np.zeros(classes.shape[1])
+    smooth = sizes / sizes.sum()
+    weights = np.log((classes[0] + smooth[0]) / sizes[0]) - np.log((classes[1] + smooth[1]) / sizes[1])
+    weights[classes.sum(axis=0) == 0] = 0.0
+    return weights
+
+
 def _scored(weights: np.ndarray, start: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,8 +142,9 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Word counts for the segmentation come from all urls and, if given, all texts. A url
     with a seed word among its host or path words trains the blocked class, any other
-    the allowed one; add-one smoothed multinomial weights of all words then score each
-    url (the class sizes are not used, as seeds are rare). The rule's verdict goes
+    the allowed one; multinomial weights of all words, smoothed in proportion to the
+    classes, then score each url (without class priors, as seeds are rare). If no url
+    trains the blocked class, all log odds are 0. The rule's verdict goes
     before the method's. A null url and one without ``://`` have an empty host and path,
     no words, and log odds 0, which allow. Rows may repeat; an empty table gives an empty
     result.
@@ -153,14 +169,11 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                          .alias("buckets")), "urls")
     found = (judged.select("seeded", F.explode("buckets").alias("bucket")).groupBy("bucket")
              .agg(F.count_if("seeded").alias("block"), F.count_if(~F.col("seeded")).alias("allow")).toArrow())
-    classes = np.ones((2, BUCKETS))
+    classes = np.zeros((2, BUCKETS))
     at = found.column("bucket").to_numpy()
-    classes[0][at] += found.column("block").to_numpy()
-    classes[1][at] += found.column("allow").to_numpy()
-    used = classes[:, classes.sum(axis=0) > 2].sum(axis=1)
-    weights = (np.log(classes[0] / max(used[0], 1)) - np.log(classes[1] / max(used[1], 1))
-               if (used > 0).all() else np.zeros(BUCKETS))
-    weights[classes.sum(axis=0) <= 2] = 0.0
+    classes[0][at] = found.column("block").to_numpy()
+    classes[1][at] = found.column("allow").to_numpy()
+    weights = _weights(classes)
     scored = judged.drop("seeded").mapInArrow(
         _scored(weights, 0.0), f"page_id {id_type(pages, id_col)}, host string, path string, rule string, "
                                "host_words array<string>, log_odds double")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,6 +245,27 @@ def test_url_parts_rules_and_words(spark):
     assert urls.judge_urls(df.limit(0), text_col=None).count() == 0
 
 
+def test_rare_clean_words_do_not_speak_for_block(spark):
+    clean = ["http://zebra.com/quartz", *(f"http://news.com/{w}" for w in ("story", "garden", "river") for _ in range(200))]
+    form = "page_id long, url string"
+    df = spark.createDataFrame(list(enumerate([*clean, "http://casino.com/jackpot", "http://casino.com/win"])), form)
+    got = {r.page_id: r for r in urls.judge_urls(df, text_col=None).collect()}
+    assert all(got[i].verdict == "allow" and got[i].log_odds < 0 for i in range(len(clean)))
+    assert got[len(clean)].verdict == got[len(clean) + 1].verdict == "block"
+    unseeded = spark.createDataFrame(list(enumerate(clean)), form)
+    assert {(r.verdict, r.log_odds) for r in urls.judge_urls(unseeded, text_col=None).collect()} == {("allow", 0.0)}
+
+
+def test_weight_of_a_rare_word_does_not_grow_with_the_table():
+    rare = []
+    for n in (10_000, 1_000_000):
+        counts = np.zeros((2, 200))
+        counts[:, 1:] = np.array([[n / 20_000], [n / 100]])
+        counts[:, 0] = 0, 1
+        rare.append(urls._weights(counts)[0])
+    assert max(rare) < 0 and abs(rare[0] - rare[1]) < 0.05
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_segmentation_is_the_likeliest(seed):
     rnd = random.Random(seed)
