@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,21 @@ def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file, which is installed with the executors' Python."""
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 2048,
+                size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a slice has few rows and few bytes in ``column``.
+
+    A text above ``size`` bytes is a slice of its own.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths.astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, done + size, side="right"))
+            stop = max(start + 1, min(stop, start + rows))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (exact_dup, licenses, near_dup, packing, pieces, pii, quality, sharding,
-                        token_counts, urls)
+                        spelling, token_counts, urls)
 from strata.llm._util import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,8 @@ def op8_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
