@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (exact_dup, licenses, near_dup, packing, pieces, pii, quality, sharding,
+from strata.llm import (exact_dup, lexical, licenses, near_dup, packing, pieces, pii, quality, sharding,
                         spelling, token_counts, urls)
 from strata.llm._util import table, tokenizer_path
 
@@ -155,3 +155,28 @@ def op10_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = ("regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+ORACLES["op12_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS.format("text")} AS ts FROM documents WHERE text IS NOT NULL),
+q AS (SELECT row_number() OVER () AS q, item_id, {_TERMS.format("text")} AS ts FROM benchmark WHERE text IS NOT NULL),
+a AS (SELECT count(*) AS N, sum(len(ts))::BIGINT AS L FROM d WHERE len(ts) > 0),
+e AS (SELECT q, item_id, t, count(*) AS c FROM (SELECT q, item_id, unnest(ts) AS t FROM q) GROUP BY ALL),
+p AS (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM e) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+w AS (SELECT t, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, a),
+m AS (SELECT d, doc_id, 25 + (75 * len(ts) * N) // L AS m FROM d, a WHERE len(ts) > 0),
+s AS (
+  SELECT q, item_id, d, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM e JOIN w USING (t) JOIN p USING (t) JOIN m USING (d) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
