@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (exact_dup, lexical, licenses, near_dup, packing, pieces, pii, quality, sharding,
-                        spelling, token_counts, urls)
+from strata.llm import (exact_dup, lexical, licenses, near_dup, ngram_join, packing, pieces, pii, quality,
+                        sharding, spelling, token_counts, urls)
 from strata.llm._util import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,37 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+  FROM documents),
+u AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM w),
+g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id) AS c,
+         concat_ws(' ', w, lead(w, 1) OVER d, lead(w, 2) OVER d, lead(w, 3) OVER d) AS x
+  FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT DISTINCT doc_id, x FROM g WHERE i <= greatest(1, c - 3)),
+n AS (SELECT w.doc_id, count(e.x) AS n FROM w LEFT JOIN e USING (doc_id) GROUP BY w.doc_id),
+t AS (SELECT x, row_number() OVER () AS term FROM e GROUP BY x HAVING count(*) > 1),
+p AS (SELECT doc_id, term FROM e JOIN t USING (x)),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM p a JOIN p b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2),
+h AS (
+  SELECT l.a, l.b FROM l JOIN n na ON na.doc_id = l.a JOIN n nb ON nb.doc_id = l.b
+  WHERE 100 * l.i >= 85 * (na.n + nb.n - l.i)),
+k AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM n
+  UNION SELECT k.a, r.reached FROM r JOIN k ON k.b = r.doc_id),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id
+FROM n JOIN c USING (doc_id)
+"""
