@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heapreplace
 from operator import itemgetter
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm._util import id_type, slices, strings
+from strata.llm._util import id_type, strings, text_slices
 
 TIERS = (1024, 512, 256, 128)
 STEP_TOKENS = 16 * 1024    # of a step group, all of one tier
 POOL_TOKENS = 1 << 20      # rests that a task holds before it packs them
-PRETOKENS = 600_000        # cached by a task
+PRETOKENS = 800_000        # pieces that a Python worker keeps
 _LONG = 64                 # longer pre-tokens are not cached
 _RARE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -46,8 +48,9 @@ def _odd(text: str) -> bool:
 class Encoder:
     """Ids as little-endian bytes; a space between two words always begins a pre-token.
 
-    So a text is cut at such spaces, and each distinct piece is tokenized once and kept.
-    With ``special_tokens`` the text of an added token stands for its id, as ``tokenizers``
+    So a text is cut at such spaces, and each distinct piece is tokenized once and kept, in two
+    generations: when the young one is full it becomes the old one, from which pieces come
+    back as they are met. With ``special_tokens`` the text of an added token stands for its id, as ``tokenizers``
     has it by default; such a text is tokenized whole.
     """
 
@@ -62,6 +65,7 @@ class Encoder:
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self._spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
         self._kept: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -81,19 +85,36 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if self._whole.search(t) else _CUT.split(t) if _odd(t) else t.split(" ") for t in texts]
-        if len(self._kept) > PRETOKENS:
-            self._kept.clear()
+        if len(self._kept) > PRETOKENS // 2:
+            self._old, self._kept = self._kept, {}
+        kept, old = self._kept, self._old
         heads = self._ids([parts[0] for parts in cut])
-        new = list({p for parts in cut for p in parts[1:] if p not in self._kept})
+        new = {p for parts in cut for p in parts[1:]}.difference(kept)
+        back = [p for p in new if p in old]
+        kept.update(zip(back, map(old.__getitem__, back)))
+        new = list(new.difference(back))
         if new:
             self._learn(new)
-        out = [b"".join((head, *map(self._kept.__getitem__, parts[1:]))) for head, parts in zip(heads, cut)]
+        out = [b"".join((head, *map(kept.__getitem__, parts[1:]))) for head, parts in zip(heads, cut)]
         for part in new:
             if len(part) > _LONG:
-                del self._kept[part]
+                del kept[part]
         return out
 
 
+def encoder_of_worker(path: str, special_tokens: bool) -> Encoder:
+    """The worker's encoder for a tokenizer file; a reused Python worker keeps it between tasks.
+
+    Task functions come pickled by value, so their module's own globals are new in each task;
+    what shall last is held by a module that is entered in the worker's ``sys.modules``.
+    """
+    holder = sys.modules.setdefault("_strata_worker", ModuleType("_strata_worker")).__dict__
+    key = ("encoder", path, special_tokens)
+    if key not in holder:
+        holder[key] = Encoder(path, special_tokens)
+    return holder[key]
+
+
 @dataclass
 class Piece:
     doc: int          # row in the task's list of documents
@@ -219,7 +240,7 @@ class _Task:
 def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, pool_tokens: int, schema: pa.Schema,
             special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path, special_tokens), end_id.to_bytes(WORD, "little")
+        encoder, end = encoder_of_worker(path, special_tokens), end_id.to_bytes(WORD, "little")
         task = _Task(tiers, step_tokens, TaskContext.get().partitionId() << 40)
         row = 0
 
@@ -229,7 +250,7 @@ def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, po
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(map(itemgetter(i), found), f.type) for i, f in enumerate(schema)], schema=schema)
 
-        for batch in slices(batches, 256):
+        for batch in text_slices(batches, "text", 256):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(),
                                    encoder.encode(strings(batch.column("text")))):
                 task.add(row, doc_id, ids + end)

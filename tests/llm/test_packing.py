@@ -131,3 +131,17 @@ def test_step_groups_are_balanced():
     assert set(groups) == {7, 8, 9, 10} and nxt == 11 and all(groups.count(g) == 16 for g in set(groups))
     cost = [sum(sum(p.length ** 2 for p in w) for w, g in zip(windows, groups) if g == k) for k in range(7, 11)]
     assert max(cost) < 1.05 * min(cost)
+
+
+def test_a_worker_keeps_its_encoder_and_old_pieces(monkeypatch):
+    path = tokenizer_path("byte_bpe_50k.json")
+    encoder = packing.encoder_of_worker(path, True)
+    assert packing.encoder_of_worker(path, True) is encoder and packing.encoder_of_worker(path, False) is not encoder
+    monkeypatch.setattr(packing, "PRETOKENS", 8)
+    texts = [" ".join(f"word{i % 7} other{i} w" for i in range(j, j + 5)) for j in range(40)]
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(path)
+    small = packing.Encoder(path, True)
+    for text in texts + texts[::-1]:
+        assert small.encode([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert len(small._old) + len(small._kept) <= 8 + 20
