@@ -32,7 +32,9 @@ from strata.llm._util import cut, text_slices, utf8
 BEST = 10
 SCALE = 1_000_000_000      # of the saturated term count, in thousandths below
 K1, B = 1000, 75           # saturation (8 times the norm below) and length norm in hundredths
-SEGMENT = 1_500_000        # (document, term) counts of a segment
+SEGMENT = 600_000          # (document, term) counts of a segment
+SUMMARIES = 6_000_000      # (block, term) maxima that a segment keeps
+CELLS = 2_000_000          # of the table in which the maxima of some blocks are made
 QUERIES = 4096             # queries that are searched in one pass over the counts
 DIRECTIONS = 32            # of the projection that tells similar documents
 _APART = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
@@ -81,15 +83,17 @@ class Segment:
                  ids: np.ndarray, counts: np.ndarray, weights: np.ndarray, n_docs: int, n_terms: int) -> None:
         self.doc_ids, self.nulls, self.weights = doc_ids, nulls, weights
         self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
-        owner = np.repeat(np.arange(len(sizes)), sizes)
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         norm = 100 - B + (B * lengths * n_docs) // max(n_terms, 1)
-        self.ids, self.parts = ids, (SCALE * counts) // (K1 * counts + 8 * norm[owner])
+        self.ids, self.parts = ids, ((SCALE * counts) // (K1 * counts + 8 * norm[owner])).astype(np.int32)  # below 10^6
         order = np.argsort(ids, kind="stable")
         self.posted = owner[order]
         self.list_starts = np.searchsorted(ids[order], np.arange(len(weights) + 1))
         self.most = np.zeros(len(weights), np.int64)
-        np.maximum.at(self.most, ids, self.parts)
+        full = np.flatnonzero(np.diff(self.list_starts))
+        self.most[full] = np.maximum.reduceat(self.parts[order], self.list_starts[full]) if len(full) else 0
         self.blocks: dict[int, tuple] = {}
+        self._kept = 0
         self._near: np.ndarray | None = None
 
     def _directions(self) -> np.ndarray:
@@ -120,17 +124,29 @@ class Segment:
         else:
             home = np.zeros(len(docs), np.int64)
         starts = np.append(np.flatnonzero(np.diff(home, prepend=-1)), len(docs))
-        at = ranges(self.starts[docs], self.sizes[docs])
-        key = np.repeat(home, self.sizes[docs]) * len(self.weights) + self.ids[at]
-        order = np.argsort(key, kind="stable")
-        key, part = key[order], self.parts[at[order]]
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        return docs, starts, key[first], np.maximum.reduceat(part, first)
+        # maxima of a few blocks at a time, in a table of their documents' terms
+        width, keys, most = len(self.weights), [], []
+        step = max(1, CELLS // width)
+        for first in range(0, len(starts) - 1, step):
+            last = min(first + step, len(starts) - 1)
+            part = docs[starts[first]:starts[last]]
+            at = ranges(self.starts[part], self.sizes[part])
+            key = np.repeat((home[starts[first]:starts[last]] - first) * width, self.sizes[part]) + self.ids[at]
+            table = np.zeros((last - first) * width, np.int32)
+            np.maximum.at(table, key, self.parts[at])
+            found = np.flatnonzero(table)
+            keys.append(found + first * width)
+            most.append(table[found])
+        return docs.astype(np.int32), starts, np.concatenate(keys), np.concatenate(most)
 
     def bounds(self, term: int, query: np.ndarray, gains: np.ndarray) -> np.ndarray:
         """Upper bound of the score of every block of the term's list."""
         if term not in self.blocks:
+            if self._kept > SUMMARIES:
+                self.blocks.clear()
+                self._kept = 0
             self.blocks[term] = self._blocked(term)
+            self._kept += len(self.blocks[term][2])
         _, starts, keys, most = self.blocks[term]
         wanted = np.arange(len(starts) - 1)[:, None] * len(self.weights) + query[None, :]
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
@@ -139,7 +155,7 @@ class Segment:
     def scores(self, docs: np.ndarray, gains: np.ndarray) -> np.ndarray:
         """Whole scores of documents with at least one term; gains are by term."""
         at = ranges(self.starts[docs], self.sizes[docs])
-        each = self.parts[at] * gains[self.ids[at]]
+        each = gains[self.ids[at]] * self.parts[at]
         return np.add.reduceat(each, np.cumsum(self.sizes[docs]) - self.sizes[docs])
 
     def search(self, query: np.ndarray, times: np.ndarray, best: int = BEST) -> tuple[np.ndarray, np.ndarray, int]:
@@ -194,7 +210,7 @@ def _searched(queries: list[tuple[int, np.ndarray, np.ndarray]], weights: np.nda
             ids, sizes = rows["terms"].combine_chunks(), rows["terms"].combine_chunks().value_lengths().to_numpy()
             doc_id = rows["doc_id"].combine_chunks()
             segment = Segment(doc_id.fill_null(0).to_numpy(), doc_id.is_null().to_numpy(zero_copy_only=False),
-                              rows["n"].to_numpy(), sizes.astype(np.int64), ids.flatten().to_numpy().astype(np.int64),
+                              rows["n"].to_numpy(), sizes.astype(np.int64), ids.flatten().to_numpy(),
                               rows["counts"].combine_chunks().flatten().to_numpy(), weights, n_docs, n_terms)
             out = []
             for item, query, times in queries:
