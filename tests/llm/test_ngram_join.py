@@ -107,3 +107,33 @@ def test_odd_rows(documents, odd_rows, empty):
     rows = [] if empty else odd_rows
     clash = documents(rows).selectExpr("*", "1 AS n", "2 AS node", "text AS key", "3 AS shingle", "4 AS text_hash")
     assert result(ngram_join.jaccard_components(clash)) == brute([r[:2] for r in rows])
+
+
+def test_heads_of_sorted_lists_in_any_batches():
+    import pyarrow as pa
+    rnd = np.random.default_rng(2)
+    rows = np.stack([rnd.integers(0, 40, 300), rnd.integers(0, 12, 300)])
+    rows = rows[:, np.lexsort(rows[::-1])]
+    nodes = {s: sorted(set(rows[1][rows[0] == s].tolist())) for s in rows[0].tolist()}
+    want = sorted((s, n, x[0]) for s, x in nodes.items() if len(x) > 1 for n in x)
+    for size in (1, 2, 7, 300):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + size]) for c in rows], ["shingle", "node"]) for i in range(0, 300, size)]
+        got = [r for b in ngram_join._heads(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert sorted(got) == want
+
+
+@given(st.lists(st.one_of(st.none(), st.text(" \t\n\x0b\x1c\x85\xa0aAbBéÉz", max_size=30)), max_size=12), st.integers(1, 4))
+@settings(max_examples=200, deadline=None)
+def test_shingler_agrees_with_plain_words(texts, width):
+    import pyarrow as pa
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    ngram = ngram_join.Shingler(width)
+    ngram_join_piece, ngram_join.PIECE = ngram_join.PIECE, 16
+    try:
+        got = ngram.sets(column)
+    finally:
+        ngram_join.PIECE = ngram_join_piece
+    want = [shingles(t, width) for t in texts]
+    assert [len(x) for x in got] == [len(x) for x in want]
+    for a, x in zip(got, want):
+        assert all((len(np.intersect1d(a, b)) == len(x & y)) for b, y in zip(got, want))
