@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,19 +230,50 @@ METRIC_SCHEMA = T.StructType([
 ])
 
 
-def run_suite(df: DataFrame, analyzers: list[Analyzer],
-              checks: list[Check]) -> tuple[DataFrame, DataFrame]:
-    """Metrics AND check results from a single scan: the analyzers of both are merged
-    into one aggregate; returns ``(metrics_long_form, check_results)``. Both outputs
-    are a handful of rows (one per analyzer / constraint)."""
-    wanted = list(dict.fromkeys(list(analyzers) + [c.analyzer for chk in checks
-                                                   for c in chk.constraints]))
-    values = _metric_values(df, wanted)
-    spark = df.sparkSession
-    metrics = spark.createDataFrame(
+def metric_frame(spark: SparkSession, values: dict, analyzers: list[Analyzer]) -> DataFrame:
+    """Long form of metric values that are at hand."""
+    return spark.createDataFrame(
         [(a.entity, a.instance, a.name, None if values[a] is None else float(values[a]))
          for a in dict.fromkeys(analyzers)], METRIC_SCHEMA)
-    return metrics, spark.createDataFrame(_evaluate(checks, values), CHECK_RESULT_SCHEMA)
+
+
+def suite_analyzers(analyzers: list[Analyzer], checks: list[Check]) -> list[Analyzer]:
+    return list(dict.fromkeys(list(analyzers) + [c.analyzer for chk in checks for c in chk.constraints]))
+
+
+class WriteMetrics:
+    """Metrics that are gathered while a frame is written (``DataFrame.observe``).
+
+    Exact distinct counts cannot be observed; they, and all metrics of a write whose plan Spark
+    found to be empty, are computed from the written table. The observation stands on top of
+    the write, where Spark counts each output task once, also if it is run again.
+    """
+
+    def __init__(self, analyzers: list[Analyzer]) -> None:
+        self.analyzers = list(dict.fromkeys(analyzers))
+        self.seen = [a for a in self.analyzers if a.approx or a.name not in ("CountDistinct", "Distinctness")]
+        self.observation = Observation()
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.observation, *[a.expr().alias(f"m{i}") for i, a in enumerate(self.seen)])
+
+    def values(self, written: DataFrame) -> dict:
+        """Values of all analyzers; ``written`` is read for those that were not observed."""
+        got = self.observation.get
+        found = {a: got[f"m{i}"] for i, a in enumerate(self.seen) if f"m{i}" in got}
+        return found | _metric_values(written, [a for a in self.analyzers if a not in found])
+
+
+def run_suite(df: DataFrame, analyzers: list[Analyzer], checks: list[Check],
+              values: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Metrics AND check results from a single scan: the analyzers of both are merged
+    into one aggregate; returns ``(metrics_long_form, check_results)``. Both outputs
+    are a handful of rows (one per analyzer / constraint). ``values`` that a write has
+    gathered (:class:`WriteMetrics`) are taken instead of a scan."""
+    if values is None:
+        values = _metric_values(df, suite_analyzers(analyzers, checks))
+    return (metric_frame(df.sparkSession, values, analyzers),
+            df.sparkSession.createDataFrame(_evaluate(checks, values), CHECK_RESULT_SCHEMA))
 
 
 def failed_constraints(check_result: DataFrame) -> DataFrame:

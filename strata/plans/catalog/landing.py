@@ -157,6 +157,80 @@ def stream_refresh_partitions(spark, sf_dir):
     return spark.read.parquet(f"{root}/sot/reclamacoes").drop("dat_hor_psst", "anomesdia")
 
 
+_RAW_BANK_SQL = """SELECT 'S' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "Segmento", CAST(s_suppkey AS VARCHAR) AS "CNPJ",
+       s_name || CASE WHEN s_suppkey % 4 = 0 THEN ' - PRUDENCIAL' ELSE '' END AS "Nome",
+       {date} AS anomesdia
+FROM supplier"""
+
+
+@register("stream_redelivered", _RAW_BANK_SQL.format(
+    date="CASE WHEN s_suppkey % 2 = 0 THEN '20230814' ELSE '20230816' END"))
+def stream_redelivered(spark, sf_dir):
+    """Half of the banks land; a day later all their files land again under other names, beside the
+    other half. The run of that day is lost before its batch is committed (the commit entry is
+    taken out) and made up for another day later. Raw rows: each bank once, under the date of
+    the run that stands."""
+    root = scratch_path(spark, "stream_redelivered")
+    raw = RR.raw_bancos(spark, sf_dir)
+    even = F.col("CNPJ").cast("long") % 2 == 0
+
+    def land(rows, name):
+        sinks.write_partitioned(rows, f"{root}/landing/Bancos/{name}", fmt="csv", sep="\t", empty_value="")
+
+    def run(date):
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=date, timeout_s=900)
+
+    land(raw.where(even), "first")
+    run("2023-08-14")
+    land(raw.where(even), "again")
+    land(raw.where(~even), "second")
+    run("2023-08-15")
+    last = max(int(n) for n in sinks.list_names(spark, f"{root}/checkpoint/commits") if n.isdigit())
+    sinks.remove_file(spark, f"{root}/checkpoint/commits/{last}")
+    run("2023-08-16")
+    return spark.read.schema(_sor_schema("bancos")).parquet(f"{root}/sor/bancos") \
+        .select("Segmento", "CNPJ", "Nome", "anomesdia")
+
+
+@register("stream_rerun_next_day", _RAW_BANK_SQL.format(date="'20230815'"))
+def stream_rerun_next_day(spark, sf_dir):
+    """One batch written on two dates, as after a failure late in the day: the rows of the second
+    date replace those of the first."""
+    root = scratch_path(spark, "stream_rerun")
+    sinks.write_partitioned(RR.raw_bancos(spark, sf_dir), f"{root}/landing/Bancos", fmt="csv", sep="\t", empty_value="")
+    files = ST.routed_files(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/landing"))
+    for date in ("2023-08-14", "2023-08-15"):
+        ST.Landing(f"{root}/sor", date).write_batch(files, 0)
+    return spark.read.schema(_sor_schema("bancos")).parquet(f"{root}/sor/bancos") \
+        .select("Segmento", "CNPJ", "Nome", "anomesdia")
+
+
+@register("stream_refresh_metrics", f"""WITH reclamacoes AS ({RR.SQL_SOT_COMPLAINTS})
+SELECT name, value FROM (
+  SELECT 'Size' AS name, CAST(count(*) AS DOUBLE) AS value FROM reclamacoes
+  UNION ALL SELECT 'Completeness', round(CAST(count(vlr_ind_recl) / count(*) AS DOUBLE), 4) FROM reclamacoes
+  UNION ALL SELECT 'Maximum', round(CAST(max(vlr_ind_recl) AS DOUBLE), 4) FROM reclamacoes
+  UNION ALL SELECT 'Minimum', round(CAST(min(vlr_ind_recl) AS DOUBLE), 4) FROM reclamacoes
+  UNION ALL SELECT 'Mean', round(avg(CAST(vlr_ind_recl AS DOUBLE)), 4) FROM reclamacoes
+  UNION ALL SELECT 'StandardDeviation', round(stddev_pop(CAST(vlr_ind_recl AS DOUBLE)), 4) FROM reclamacoes) t""")
+def stream_refresh_metrics(spark, sf_dir):
+    """Complaints in two waves by quarter parity, trusted partitions refreshed after each: the
+    metrics that the last refresh stored are those of the whole table, not of its partitions."""
+    root = scratch_path(spark, "stream_metrics")
+    raw = RR.raw_reclamacoes(spark, sf_dir)
+    odd = F.substring(F.trim("Trimestre"), 1, 1).isin("1", "3")
+    for wave in (odd, ~odd):
+        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
+                                empty_value="", mode="append")
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
+                          timeout_s=900, sot_root=f"{root}/sot", dq_root=f"{root}/dq", refresh="partitions")
+    m = spark.read.parquet(f"{root}/dq")
+    last = F.max(F.regexp_extract("run_id", r"(\d+)$", 1).cast("int"))
+    last = m.agg(last.alias("last")).select(F.concat(F.lit("batch-"), "last").alias("run_id"))
+    return (m.join(last, "run_id").where(F.col("instance").isin("*", "vlr_ind_recl"))
+            .select("name", F.round("value", 4).alias("value")))
+
+
 @register("stream_equals_batch", RR.SQL_SOR_EMPLOYERS.replace("SELECT ", "SELECT 1 AS n_stream, 1 AS n_batch, "))
 def stream_equals_batch(spark, sf_dir):
     """Every raw employer row with its count in the streamed and in the batch-loaded raw table."""

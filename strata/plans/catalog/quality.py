@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata import sinks
+from strata.operators import metric_states as MS
 from strata.operators import quality as Q
 from strata.plans import derive
 from strata.plans.catalog._base import register
+from strata.session import scratch_path
 
 
 _DQ_SRC_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
@@ -150,3 +153,48 @@ def dq_non_negative_large(spark, sf_dir):
     return r.select(F.regexp_extract("constraint", r"Compliance\((\w+) is", 1).alias("instance"),
                     (F.col("constraint_status") == "Success").alias("passed"),
                     F.round("metric_value", 6).alias("metric_value"))
+
+
+_STATE_ANALYZERS = [a for a in DQ_ANALYZERS if a.name not in ("CountDistinct", "Distinctness")] + [
+    Q.Maximum("margin"), Q.Minimum("margin"), Q.Mean("margin"), Q.StandardDeviation("margin")]
+
+
+@register("dq_merged_states", f"""WITH src AS ({_DQ_SRC_SQL})
+SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, round(count(*), 4) AS value FROM src
+UNION ALL SELECT 'Column', 'price', 'Completeness', round(count(price) / count(*), 4) FROM src
+UNION ALL SELECT 'Column', 'priority', 'Completeness', round(count(priority) / count(*), 4) FROM src
+""" + "".join(f"""UNION ALL SELECT 'Column', '{c}', '{name}', round({f}({c}), 4) FROM src
+""" for c in ("price", "margin") for name, f in (("Maximum", "max"), ("Minimum", "min"), ("Mean", "avg"),
+                                                 ("StandardDeviation", "stddev_pop"))))
+def dq_merged_states(spark, sf_dir):
+    """Orders loaded in two waves of partitions, the second of which replaces some of the first
+    (whose rows were then half there): metrics merged from the stored states of the partitions."""
+    root = scratch_path(spark, "metric_states")
+    by, part = ["part"], F.pmod("o_orderkey", F.lit(7)).cast("int")
+    src = _dq_source(spark, sf_dir).withColumn("part", part)
+    half = F.col("o_custkey") % 2 == 0
+    for wave in (src.where((part < 3) | ((part < 5) & half)), src.where(part >= 3)):
+        sinks.write_partitioned(MS.partition_states(wave, by, _STATE_ANALYZERS), root, by=by, layout="none",
+                                overwrite="partitions")
+    m = MS.merged_metrics(spark.read.parquet(root), _STATE_ANALYZERS)
+    return m.select("entity", "instance", "name", F.round("value", 4).alias("value"))
+
+
+@register("dq_distinct_sketch", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS instance, count(DISTINCT {c}) AS n_distinct, true AS within_bound FROM {t}"
+    for c, t in (("l_orderkey", "lineitem"), ("l_partkey", "lineitem"), ("l_extendedprice", "lineitem"),
+                 ("l_linestatus", "lineitem"))))
+def dq_distinct_sketch(spark, sf_dir):
+    """Distinct counts from one stored sketch per return flag, merged: exact count, and whether the
+    estimate is within the stated bound of it."""
+    root = scratch_path(spark, "distinct_states")
+    lines = derive.table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus"]
+    analyzers = [Q.CountDistinct(c) for c in columns]
+    sinks.write_partitioned(MS.partition_states(lines.withColumn("flag", F.col("l_returnflag")), ["flag"], analyzers),
+                            root, by="flag", layout="none")
+    near = MS.merged_metrics(spark.read.parquet(root), analyzers)
+    exact = Q.analyze(lines, analyzers).select("instance", F.col("value").cast("long").alias("n_distinct"))
+    return exact.join(near, "instance").select(
+        "instance", "n_distinct",
+        (F.abs(F.col("value") - F.col("n_distinct")) <= MS.DISTINCT_ERROR * F.col("n_distinct")).alias("within_bound"))

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from strata import schemas as SC
 from strata.functions import columns as C
+from strata.operators import metric_states as MS
 from strata.operators import quality as Q
 from strata.operators import report as R
 from strata.operators.projection import apply_spec, filter_prefix
 from strata.sinks import writers as W
-from strata.sources.files import read_delimited
+from strata.sources.files import path_length, read_delimited
 
 # ---------------------------------------------------------------------------
 # SoR
@@ -181,12 +182,23 @@ class SotResult:
     extra: dict = field(default_factory=dict)
 
 
+def _table_metrics(spark: SparkSession, load: DataFrame, by: list[str], analyzers: list, staged: str,
+                   states_root: str, overwrite: str) -> DataFrame:
+    """Stage the states of ``load``; metrics of the table as it will be with this load."""
+    states = MS.partition_states(load, by, analyzers)
+    W.write_partitioned(states, staged, by=by, layout="none")
+    states = spark.read.schema(states.schema).parquet(staged)
+    if overwrite == "partitions" and path_length(spark, states_root) is not None:
+        states = MS.replace_states(spark.read.schema(states.schema).parquet(states_root), states, by)
+    return MS.merged_metrics(states, analyzers)
+
+
 def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             ref_date=None, dq_root: str | None = None,
             profile: QualityProfile | None = None, table: str | None = None,
             overwrite: str = "table", materialize: str = "stage",
             fmt: str = "parquet", sep: str = ";", only: DataFrame | None = None,
-            run_id: str | None = None) -> SotResult:
+            run_id: str | None = None, states_root: str | None = None) -> SotResult:
     """Transform, measure, check, gate, publish.
 
     ``only`` (distinct partition values of the trusted table) limits the load to those
@@ -196,10 +208,15 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     ``fmt='csv'`` writes the trusted table as ``sep``-separated text with header (the
     staged Parquet is then rewritten, not renamed).
 
+    ``states_root``: metric states of each partition are kept there
+    (:mod:`strata.operators.metric_states`), so that a load of some partitions still stores
+    the metrics of the whole table; checks and gate judge the load. A stopped load leaves
+    the states as they were.
+
     ``materialize='stage'`` (default): the transformed frame is written ONCE to a
-    staging table below the shared checkpoint folder; metrics and checks scan that
-    Parquet (only the columns they need), and a passing load is published by directory
-    renames. The lineage is cut at the staged table, so an executor loss after the
+    staging table below the shared checkpoint folder. Metrics and check values are gathered
+    by that write; only exact distinct counts scan the staged Parquet (their columns alone).
+    A passing load is published by directory renames. The lineage is cut at the staged table, so an executor loss after the
     write costs nothing, and no 100 TB cache has to fit on executor disks.
     ``materialize='persist'``: keep the frame in executor memory/disk instead (lost
     blocks are recomputed from lineage).
@@ -216,18 +233,23 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         only = only.select(*[C.col_ref(c).alias(f"_only_{c}") for c in by])
         frame = frame.join(only, reduce(lambda a, b: a & b, [
             C.col_ref(c).eqNullSafe(F.col(f"_only_{c}")) for c in by]), "left_semi")
-    staging = None
+    staging = values = states = None
     if materialize == "stage":
         staging = scratch_path(spark, f"stage_{dataset}")
+        written = Q.WriteMetrics(Q.suite_analyzers(profile.analyzers, [profile.check]))
         W.write_partitioned(frame, staging, by=by, fmt="parquet", overwrite="table",
-                            layout=WRITE_LAYOUT[dataset])
+                            layout=WRITE_LAYOUT[dataset], observe=written.observe)
         df = spark.read.schema(frame.schema).parquet(staging)
+        values = written.values(df)
     elif materialize == "persist":
         df = frame.persist(StorageLevel.MEMORY_AND_DISK)
     else:
         raise ValueError(f"materialize must be stage|persist, got {materialize!r}")
     try:
-        metrics, checks = Q.run_suite(df, profile.analyzers, [profile.check])  # one scan
+        metrics, checks = Q.run_suite(df, profile.analyzers, [profile.check], values)
+        if states_root:
+            states = scratch_path(spark, f"states_{dataset}")
+            metrics = _table_metrics(spark, df, by, profile.analyzers, states, states_root, overwrite)
         if dq_root:
             W.append_metrics(metrics, dq_root, profile.table, ref_date, run_id=run_id)
         Q.gate(checks)
@@ -236,6 +258,8 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         else:
             W.write_partitioned(df, output_path, by=by, fmt=fmt, sep=sep, overwrite=overwrite,
                                 layout=WRITE_LAYOUT[dataset])
+        if states:
+            W.publish_staged(spark, states, states_root, by, overwrite)
         if table:
             W.repair_table(spark, table)
         return SotResult(output_path, checks, dq_root)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +42,17 @@ def write_partitioned(df: DataFrame, path: str, by: str | list[str] | None = Non
                       sep: str = ";", header: bool = True, compression: str | None = None,
                       layout: str = "auto", files: int | None = None,
                       max_records_per_file: int | None = None,
-                      empty_value: str | None = None) -> str:
+                      empty_value: str | None = None,
+                    observe: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write ``df`` below ``path`` in Hive layout (``col=value`` directories).
 
     overwrite: ``'table'`` replaces everything under ``path``; ``'partitions'``
     replaces only the partition directories present in ``df`` (dynamic overwrite).
+    observe: adds an observation to the frame as it is written, above its layout.
     """
     by = [by] if isinstance(by, str) else list(by or [])
-    writer = _layout(df, by, layout, files).write.mode(mode)
+    laid = _layout(df, by, layout, files)
+    writer = (observe(laid) if observe else laid).write.mode(mode)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode",
                                "dynamic" if overwrite == "partitions" else "static")

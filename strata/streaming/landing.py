@@ -10,10 +10,13 @@ quoting and charsets mean the same on both ways, and adds them to the dataset's
 A file that no pattern matches stops the stream before its batch writes anything, unless a
 quarantine folder is given, which then receives its lines.
 
-Exactly-once output: every micro-batch writes below its own ``batch_id=<n>``
-partition with dynamic partition overwrite, so a batch re-run after a failure
-replaces its own files instead of duplicating them; the checkpoint records which
-files were consumed. ``trigger='availableNow'`` processes what has landed and stops
+A file that is delivered again under another name is dropped: the stream keeps the digests of
+the contents it has taken, per dataset, in its state store. Files above ``digest_limit`` are told
+apart by path alone, as their content is not read into one row.
+
+Exactly-once output: every micro-batch writes below its own ``batch_id=<n>`` folder, which
+is replaced as a whole. So a batch that is run again after a failure, also on another run
+date, replaces its own rows; the checkpoint records which files were consumed. ``trigger='availableNow'`` processes what has landed and stops
 (the scheduled-job form of an object-created trigger).
 """
 
@@ -25,12 +28,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from strata import schemas as SC
 from strata.functions import columns as C
 from strata.sinks.writers import list_names, remove_file, touch_empty, write_partitioned
 
+DIGEST_LIMIT = 256 * 1024 ** 2  # bytes of a file whose content is digested
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -66,6 +70,29 @@ def routed_files(files: DataFrame) -> DataFrame:
     return files.select("path", "length").withColumn("dataset", route_by_path("path"))
 
 
+def arrivals(reader: DataStreamReader, root: str, redelivered: str = "drop", digest_limit: int = DIGEST_LIMIT,
+             forget_after: str | None = None) -> DataFrame:
+    """Non-empty files below ``root`` as they arrive: ``path``, ``length``, ``dataset``.
+
+    ``redelivered='drop'`` lets each content pass once per dataset; ``forget_after`` (an interval
+    of modification time, e.g. ``'90 days'``) bounds how long a digest is kept.
+    """
+    def files(where: str) -> DataFrame:
+        return reader.load(root).where(f"length > 0 AND {where}").withColumn("dataset", route_by_path("path"))
+
+    if redelivered == "keep":
+        return files("true").select("path", "length", "dataset")
+    columns = ["path", "length", "dataset", "modificationTime", "digest"]
+    small = files(f"length <= {digest_limit}").withColumn("digest", F.sha2("content", 256)).select(columns)
+    large = files(f"length > {digest_limit}").withColumn("digest", F.concat(F.lit("path:"), "path")).select(columns)
+    both = small.union(large)
+    if forget_after:
+        once = both.withWatermark("modificationTime", forget_after).dropDuplicatesWithinWatermark(["dataset", "digest"])
+    else:
+        once = both.dropDuplicates(["dataset", "digest"])
+    return once.select("path", "length", "dataset")
+
+
 def _literal(path: str) -> str:
     """``path`` with the characters escaped that a reader would take for a glob."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
@@ -119,7 +146,8 @@ class Landing:
             return  # the batch held only header lines for this dataset
         J.run_sot(spark, dataset, _sor(spark, dataset, self.sor_root), f"{self.sot_root}/{dataset}",
                   self.ref_date, dq_root=self.dq_root, overwrite="partitions", only=keys,
-                  run_id=f"batch-{batch_id}")
+                  run_id=f"batch-{batch_id}",
+                  states_root=f"{self.dq_root}/_states/{dataset}" if self.dq_root else None)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         from strata.plans import jobs as J
@@ -130,12 +158,10 @@ class Landing:
             raise UnroutedFileError(f"{len(stray)} landed file(s) match no dataset route, e.g. {stray[:5]}")
         if stray:
             lines = spark.read.text(stray).select(F.col("_metadata.file_path").alias("path"), "value")
-            write_partitioned(lines.withColumn("batch_id", F.lit(batch_id)), self.quarantine_root,
-                              by="batch_id", fmt="parquet", overwrite="partitions")
+            write_partitioned(lines, f"{self.quarantine_root}/batch_id={batch_id}", fmt="parquet")
         for dataset, paths in files.items():
             out = J.sor_frame(spark, dataset, paths, self.ref_date, self.encoding)
-            write_partitioned(out.withColumn("batch_id", F.lit(batch_id)), f"{self.sor_root}/{dataset}",
-                              by=["anomesdia", "batch_id"], fmt="parquet", overwrite="partitions")
+            write_partitioned(out, f"{self.sor_root}/{dataset}/batch_id={batch_id}", by="anomesdia", fmt="parquet")
             if not self.sot_root:
                 continue
             if self.refresh == "partitions":
@@ -147,7 +173,10 @@ class Landing:
 
 
 def _start(spark: SparkSession, landing_root: str, checkpoint: str, landing: Landing, trigger: str,
-           max_files_per_trigger: int | None, max_bytes_per_trigger: str | None) -> StreamingQuery:
+           max_files_per_trigger: int | None, max_bytes_per_trigger: str | None, redelivered: str,
+           forget_after: str | None) -> StreamingQuery:
+    if redelivered not in ("drop", "keep"):
+        raise ValueError(f"redelivered must be drop|keep, got {redelivered!r}")
     if landing.refresh not in ("table", "partitions"):
         raise ValueError(f"refresh must be table|partitions, got {landing.refresh!r}")
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
@@ -155,7 +184,7 @@ def _start(spark: SparkSession, landing_root: str, checkpoint: str, landing: Lan
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     elif max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = routed_files(reader.schema(BINARY_FILE).load(landing_root))
+    files = arrivals(reader.schema(BINARY_FILE), landing_root, redelivered, forget_after=forget_after)
     writer = files.writeStream.foreachBatch(landing.write_batch).option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
         writer = writer.trigger(availableNow=True)
@@ -173,7 +202,9 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
                          sot_root: str | None = None,
                          dq_root: str | None = None,
                          refresh: str = "table",
-                         encoding: str = "UTF-8") -> StreamingQuery:
+                         encoding: str = "UTF-8",
+                         redelivered: str = "drop",
+                         forget_after: str | None = None) -> StreamingQuery:
     """Start the landing stream (returns the running query).
 
     ``max_files_per_trigger`` or ``max_bytes_per_trigger`` bounds each micro-batch
@@ -183,10 +214,12 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
     the stream with the batch uncommitted, so a re-run repeats it, metrics included.
     ``refresh``: 'table' (the whole trusted table after each batch) or 'partitions'
     (only the trusted partitions that the batch feeds: the raw table is scanned for
-    their rows, and only they are checked and written)."""
+    their rows, and only they are checked and written; the metrics stored are those of the whole
+    table, merged from partition states). ``redelivered``: 'drop' takes each content once per
+    dataset, 'keep' every file; see :func:`arrivals`."""
     return _start(spark, landing_root, checkpoint,
                   Landing(sor_root, ref_date, quarantine_root, sot_root, dq_root, refresh, encoding),
-                  trigger, max_files_per_trigger, max_bytes_per_trigger)
+                  trigger, max_files_per_trigger, max_bytes_per_trigger, redelivered, forget_after)
 
 
 def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkpoint: str,
@@ -194,7 +227,8 @@ def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkp
                    quarantine_root: str | None = None, timeout_s: int | None = None,
                    max_files_per_trigger: int | None = 1000, sot_root: str | None = None,
                    dq_root: str | None = None, refresh: str = "table",
-                   max_bytes_per_trigger: str | None = None, encoding: str = "UTF-8") -> None:
+                   max_bytes_per_trigger: str | None = None, encoding: str = "UTF-8",
+                   redelivered: str = "drop", forget_after: str | None = None) -> None:
     """Process every file landed so far and stop (``availableNow``).
 
     With ``refresh='table'`` a trusted table is rebuilt once, after the last batch. What
@@ -203,7 +237,7 @@ def stream_landing(spark: SparkSession, landing_root: str, sor_root: str, checkp
     pending = f"{checkpoint.rstrip('/')}-pending"
     landing = Landing(sor_root, ref_date, quarantine_root, sot_root, dq_root, refresh, encoding, pending)
     q = _start(spark, landing_root, checkpoint, landing, "availableNow", max_files_per_trigger,
-               max_bytes_per_trigger)
+               max_bytes_per_trigger, redelivered, forget_after)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()

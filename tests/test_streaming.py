@@ -137,3 +137,43 @@ def test_failed_gate_is_made_up_for_and_metrics_stay_single(spark, scratch):
         with pytest.raises(Exception, match="failed quality constraint"):
             ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
     assert spark.read.parquet(f"{root}/dq").count() == 5
+
+
+def test_redelivered_contents_are_taken_once_per_dataset(spark, scratch):
+    root = scratch("stream_again")
+    lz = f"{root}/landing"
+    body = "Segmento\tCNPJ\tNome\nS1\t1\tA\n"
+    args = dict(ref_date="2023-08-14", timeout_s=300)
+    land(lz, "Bancos_1.tsv", body)
+    land(lz, "Bancos_copy_in_one_batch.tsv", body)
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    land(lz, "Bancos_redelivered.tsv", body)
+    land(lz, "Bancos_2.tsv", body + "S2\t2\tB\n")  # another content
+    ST.stream_landing(spark, lz, f"{root}/sor", f"{root}/ckpt", **args)
+    got = sorted(r.CNPJ for r in spark.read.parquet(f"{root}/sor/bancos").collect())
+    assert got == ["1", "1", "2"]
+    ST.stream_landing(spark, lz, f"{root}/all", f"{root}/ckpt_all", redelivered="keep", **args)
+    assert spark.read.parquet(f"{root}/all/bancos").count() == 5
+
+
+def test_large_files_are_told_apart_by_path(spark, scratch):
+    root = scratch("stream_large")
+    for name in ("Bancos_1.tsv", "Bancos_2.tsv"):
+        land(f"{root}/landing", name, "Segmento\tCNPJ\tNome\nS1\t1\tA\n")
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    for limit, n in ((10, 2), (1000, 1)):
+        found = []
+        q = (ST.arrivals(reader, f"{root}/landing", digest_limit=limit).writeStream
+             .foreachBatch(lambda b, i: found.extend(b.collect())).option("checkpointLocation", f"{root}/c{limit}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert q.exception() is None and len(found) == n
+
+
+def test_batch_of_another_date_replaces_its_rows(spark, scratch):
+    root = scratch("stream_dates")
+    land(f"{root}/landing", "Bancos_1.tsv", "Segmento\tCNPJ\tNome\nS1\t1\tA\n")
+    files = ST.routed_files(spark.read.format("binaryFile").load(f"{root}/landing"))
+    for date in ("2023-08-14", "2023-08-15"):
+        ST.Landing(f"{root}/sor", date).write_batch(files, 0)
+    assert [str(r.anomesdia) for r in spark.read.parquet(f"{root}/sor/bancos").collect()] == ["20230815"]
