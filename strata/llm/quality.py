@@ -21,7 +21,7 @@ SYMBOL_PERCENT = 10       # soft rules: symbols against words,
 DUP_LINE_PERCENT = 30     # repeated lines against lines with words,
 WORD_CHARS = (2, 15)      # and mean word length outside this range
 HOST_REJECT = 0.5         # a host is rejected above this shrunk failure rate
-PRIOR_STRENGTH = (1.0, 1e4)
+PRIOR_STRENGTH = (10.0, 1e4)  # least and most, in documents
 
 
 def repeated_words(tokens: list[bytes]) -> int:
@@ -60,14 +60,39 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "host", *names])
 
 
+def beta_prior(hosts: DataFrame) -> tuple[float, float]:
+    """Mean and strength (in documents) of the beta prior of the hosts' failure rates.
+
+    ``hosts`` has (n, failed). Rates of small hosts vary by chance alone, so the spread between
+    hosts is compared with that within them: the intra-class correlation r of the
+    analysis of variance, and a strength of 1 / r - 1. If no host has two documents, or hosts
+    differ no more than by chance, the prior has its largest strength.
+    """
+    n, x = F.col("n"), F.col("failed")
+    row = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum(n).alias("n"), F.sum(x).alias("x"),
+                    F.sum((n * n).cast("double")).alias("squares"), F.sum((x * x) / n).alias("between")).first()
+    if not row["n"]:
+        return 0.0, PRIOR_STRENGTH[1]
+    k, total, failed = row["hosts"], row["n"], row["x"]
+    mean, correlation = failed / total, 0.0
+    if 1 < k < total:
+        among = (row["between"] - failed * mean) / (k - 1)
+        within = (failed - row["between"]) / (total - k)
+        size = (total - row["squares"] / total) / (k - 1)
+        spread = among + (size - 1) * within
+        correlation = (among - within) / spread if spread > 0 else 0.0
+    strength = 1 / correlation - 1 if correlation > 0 else PRIOR_STRENGTH[1]
+    return mean, min(max(strength, PRIOR_STRENGTH[0]), PRIOR_STRENGTH[1])
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   host_col: str = "source") -> DataFrame:
     """One row per input row: doc_id, the features, base_failed, soft_failed, host_rate, kept.
 
     A document fails a rule by its base features or by a soft rule. Failures are counted
-    for each host; rates are shrunk to an empirical beta prior (matched to the mean and
-    the variance of the hosts' rates), and a host is rejected when its shrunk rate is
-    above 0.5. The verdict goes back to the documents: base failures are dropped
+    for each host; rates are shrunk to an empirical beta prior (:func:`beta_prior`, worth some ten
+    documents at least, so a host is never rejected on the evidence of one), and a host is
+    rejected when its shrunk rate is above 0.5. The verdict goes back to the documents: base failures are dropped
     anywhere, soft failures only on rejected hosts, and a document that fails nothing is
     kept wherever it stands. A null text counts as empty; rows without a host get no host
     verdict (host_rate null). An empty table gives an empty result.
@@ -86,11 +111,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hosts = cut(judged.where("host is not null").groupBy("host")
                 .agg(F.count(F.lit(1)).alias("n"),
                      F.sum(F.expr("CAST(base_failed OR soft_failed AS LONG)")).alias("failed")), "hosts")
-    prior = hosts.agg((F.sum("failed") / F.sum("n")).alias("mean"),
-                      F.var_pop(F.col("failed") / F.col("n")).alias("variance")).first()
-    mean = prior["mean"] or 0.0
-    strength = mean * (1 - mean) / prior["variance"] - 1 if prior["variance"] else PRIOR_STRENGTH[1]
-    strength = min(max(strength, PRIOR_STRENGTH[0]), PRIOR_STRENGTH[1])
+    mean, strength = beta_prior(hosts)
     rates = hosts.select("host", ((F.col("failed") + mean * strength) / (F.col("n") + strength)).alias("host_rate"))
     return (judged.join(rates, "host", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -107,14 +107,19 @@ j AS (
          100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
            OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS soft_failed
   FROM f),
-h AS (
-  SELECT source, count(*) AS n, count(*) FILTER (base_failed OR soft_failed) AS failed
-  FROM j WHERE source IS NOT NULL GROUP BY source),
-p AS (
-  SELECT sum(failed) / sum(n) AS m, var_pop(failed / n) AS v FROM h),
+y AS (  -- analysis of variance over the documents that have a host
+  SELECT source, y, avg(y) OVER (PARTITION BY source) AS own, avg(y) OVER () AS m,
+         count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total
+  FROM (SELECT source, CASE WHEN base_failed OR soft_failed THEN 1.0::DOUBLE ELSE 0 END AS y FROM j WHERE source IS NOT NULL)),
+v AS (
+  SELECT any_value(m) AS m, any_value(total) AS total, count(DISTINCT source) AS k, sum((own - m) ** 2) AS ssb,
+         sum((y - own) ** 2) AS ssw, sum(n) / any_value(total) AS mean_size
+  FROM y),
+a AS (
+  SELECT m, ssb / (k - 1) AS msb, ssw / nullif(total - k, 0) AS msw, (total - mean_size) / (k - 1) AS n0 FROM v),
 s AS (
-  SELECT m, greatest(1, least(1e4, CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1e4 END)) AS k FROM p),
-r AS (SELECT source, (failed + m * k) / (n + k) AS rate FROM h, s)
+  SELECT m, greatest(10, least(1e4, CASE WHEN msb > msw THEN n0 * msw / (msb - msw) ELSE 1e4 END)) AS k FROM a),
+r AS (SELECT source, (sum(y) + any_value(s.m) * any_value(k)) / (count(*) + any_value(k)) AS rate FROM y, s GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, soft_failed,
        NOT base_failed AND NOT (soft_failed AND coalesce(rate, 0) > 0.5) AS kept
 FROM j LEFT JOIN r USING (source)

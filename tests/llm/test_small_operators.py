@@ -283,3 +283,27 @@ def test_segmentation_is_the_likeliest(seed):
             for rest in splits(s[i:]):
                 yield [s[:i], *rest]
     assert abs(cost(urls.segment(name, counts, total)) - max(map(cost, splits(name)))) < 1e-9
+
+
+def test_one_document_rejects_no_host_and_a_bad_host_is_rejected(documents):
+    def body(i, bad):
+        return " ".join(f"word{i}x{j}" for j in range(60)) + (" # #" * 20 if bad else "")
+    single = [(i, body(i, i % 10 == 0), f"h{i}") for i in range(200)]
+    assert quality.quality_rules(documents(single)).where("NOT kept").count() == 0
+    bad = [(1000 + i, body(i, True), "bad") for i in range(60)]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(documents(single + bad)).collect()}
+    assert all(got[i] for i in range(200)) and not any(got[1000 + i] for i in range(60))
+
+
+def test_prior_from_hosts_of_known_spread(spark):
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    rates = rnd.beta(2, 6, 3000)
+    sizes = rnd.integers(1, 30, 3000)
+    rows = [(int(n), int(rnd.binomial(n, p))) for n, p in zip(sizes, rates)]
+    monkey, quality.PRIOR_STRENGTH = quality.PRIOR_STRENGTH, (1.0, 1e4)
+    try:
+        mean, strength = quality.beta_prior(spark.createDataFrame(rows, "n long, failed long"))
+    finally:
+        quality.PRIOR_STRENGTH = monkey
+    assert abs(mean - 0.25) < 0.02 and 6 < strength < 10.5
