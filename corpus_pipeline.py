@@ -1,53 +1,71 @@
 """Document pipeline: quality rules, exact and near duplicates, personal data, packing.
 
-Rows are told apart by doc_id and a hash of the text, so rows without an id and ids that
-stand for several texts keep their own verdicts; rows that repeat both are one document.
+Every stage takes documents with null ids, null or empty texts, ids that stand for several texts,
+repeated rows and further columns of any name, and gives an empty result for an empty table. Rows
+are told apart by doc_id and a hash of the text, in the exact stage by a row number of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import exact_dup, near_dup, packing, pii, quality
 from strata.llm._util import cut, tokenizer_path
 
-KEY = "__document"
+def _free(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    name = "__document"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+def _without_rejected(docs: DataFrame, key: Column, judge: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+    """``docs`` less the rows whose ``key`` is among those that ``judge`` (doc_id, kept) rejects."""
+    column = _free(docs)
+    keyed = docs.withColumn(column, key)
+    gone = cut(judge(keyed, column).where(~F.col("kept")).select(F.col("doc_id").alias(column)).distinct(), name)
+    return keyed.join(gone, column, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
-def _without_rejected(docs: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
-    """``docs`` less the documents that ``verdicts`` (doc_id, kept) reject."""
-    gone = cut(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(KEY)).distinct(), name)
-    return _keyed(docs).join(gone, KEY, "left_anti").select(docs.columns)
+def _document() -> Column:
+    return F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep (operator 7)."""
-    return _without_rejected(docs, quality.quality_rules(_keyed(docs), KEY), "quality-rejected")
+    """Documents that the quality rules keep (operator 7). Null and blank texts have too few words."""
+    return _without_rejected(docs, _document(), quality.quality_rules, "quality-rejected")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id (operator 5)."""
-    return _without_rejected(docs, exact_dup.exact_duplicates(_keyed(docs), KEY), "exact-copies")
+    """Of equal texts exactly one row: that of the largest id (null is the least), of rows that
+    repeat the id the last one (operator 5). The row numbers are stored with a copy of the
+    stage's input, so that every reading of it has the same. Null texts equal empty ones."""
+    row = _free(docs)
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = _without_rejected(numbered, F.struct("doc_id", row), exact_dup.exact_duplicates, "exact-copies")
+    return kept.drop(row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document with the least id (operator 1)."""
-    return _without_rejected(docs, near_dup.near_duplicates(_keyed(docs), KEY), "near-copies")
+    """Of near-duplicates the document with the least id (operator 1); texts without words stay."""
+    return _without_rejected(docs, _document(), near_dup.near_duplicates, "near-copies")
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced, and their new length (operator 3)."""
+    """Texts with personal data replaced, and their new length if there is a column n_chars
+    (operator 3). A null text stays null."""
     redacted = pii.redact(docs)
-    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        redacted = redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return redacted.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences (operator 9)."""
+    """Pieces of token sequences (operator 9); a null or empty text is its end id alone."""
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), special_tokens=True)
 
 
