@@ -74,21 +74,30 @@ def _collapse_complaints(complaints: DataFrame, extra_keys: list[str]) -> DataFr
         *[F.max(c).alias(c) for c in COMPLAINT_METRICS])
 
 
+def complaint_maxima(complaints: DataFrame) -> DataFrame:
+    """Level-1 maxima of the complaints per (tax id, name, year, quarter).
+
+    Complaints are only ever read through these maxima, so the rows of a quarter that did not
+    change need not be read again: see ``plans.jobs.refresh_maxima``.
+    """
+    return _collapse_complaints(complaints, PERIOD)
+
+
 def _collapse_employers(employers: DataFrame) -> DataFrame:
     return employers.filter(F.col(NAME).isNotNull()).groupBy(NAME).agg(
         *[F.max(c).alias(c) for c in EMPLOYER_METRICS])
 
 
 def matched_facts(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
-                  period: bool = False, pre_aggregate: bool = True) -> DataFrame:
+                  period: bool = False, pre_aggregate: bool = True, collapsed: bool = False) -> DataFrame:
     """Banks joined to complaints (tax id OR name) and employers (name), pruned to the
-    columns the report reads."""
+    columns the report reads. ``collapsed``: the complaints are maxima per period already."""
     extra = PERIOD if period else []
     banks = banks.select(SEGMENT, KEY, NAME)
     complaints = complaints.select(KEY, NAME, *extra, *COMPLAINT_METRICS)
     employers = employers.select(NAME, *EMPLOYER_METRICS)
     if pre_aggregate:
-        complaints = _collapse_complaints(complaints, extra)
+        complaints = complaints if collapsed and period else _collapse_complaints(complaints, extra)
         employers = _collapse_employers(employers)
     # The quarterly variant is defined on the set (distinct) form of the match;
     # after collapsing, rows are already unique per (bank, group) and every later
@@ -107,10 +116,11 @@ def snapshot_report(banks: DataFrame, complaints: DataFrame, employers: DataFram
 
 
 def quarterly_report(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
-                     pre_aggregate: bool = True) -> DataFrame:
-    """Bank report per (tax id, year, quarter)."""
+                     pre_aggregate: bool = True, collapsed: bool = False) -> DataFrame:
+    """Bank report per (tax id, year, quarter). ``collapsed``: ``complaints`` are those of
+    :func:`complaint_maxima`."""
     joined = matched_facts(banks, complaints, employers, period=True,
-                           pre_aggregate=pre_aggregate)
+                           pre_aggregate=pre_aggregate, collapsed=collapsed)
     level1 = latest_max(joined, [KEY, *PERIOD],
                         [SEGMENT, NAME, *COMPLAINT_METRICS, *EMPLOYER_METRICS])
     return quarterly_level2(level1)

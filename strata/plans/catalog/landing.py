@@ -81,7 +81,7 @@ def stream_sor_bancos(spark, sf_dir):
 def stream_sor_reclamacoes(spark, sf_dir):
     st = stream_run(spark, sf_dir)
     return spark.read.schema(_sor_schema("reclamacoes")).parquet(
-        f"{st['root']}/sor/reclamacoes").drop("batch_id")
+        f"{st['root']}/sor/reclamacoes").drop("batch_id", *J.LINEAGE["reclamacoes"])
 
 
 @register("stream_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
@@ -205,6 +205,30 @@ def stream_rerun_next_day(spark, sf_dir):
         .select("Segmento", "CNPJ", "Nome", "anomesdia")
 
 
+@register("stream_refresh_pruned", """SELECT CAST(year(l_shipdate) AS INTEGER) AS ano,
+       CAST(quarter(l_shipdate) AS INTEGER) AS num_trimestre, count(*) AS n_read, count(*) AS n_trusted
+FROM lineitem WHERE quarter(l_shipdate) IN (2, 4) GROUP BY ALL""")
+def stream_refresh_pruned(spark, sf_dir):
+    """Complaints in two waves, the second with late rows of second and fourth quarters alone and mixed
+    spellings in both: raw rows that the second refresh reads, and trusted rows, per quarter."""
+    root = scratch_path(spark, "stream_pruned")
+    raw = _respelled(RR.raw_reclamacoes(spark, sf_dir))
+    late = (F.col("Quantidade de reclamações reguladas - outras").cast("int") % 3 == 0) \
+        & F.substring(F.trim("Trimestre"), 1, 1).isin("2", "4")
+    for wave in (~late, late):
+        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
+                                empty_value="", mode="append")
+        ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
+                          timeout_s=900, sot_root=f"{root}/sot", refresh="partitions")
+    last = max(int(name.partition("=")[2]) for name in sinks.list_names(spark, f"{root}/sor/reclamacoes")
+               if name.startswith("batch_id="))
+    read = J.sot_frame("reclamacoes", ST.Landing(f"{root}/sor", REF_DATE).feeding(spark, "reclamacoes", last))
+    read = read.groupBy("ano", "num_trimestre").agg(F.count(F.lit(1)).alias("n_read"))
+    trusted = (spark.read.parquet(f"{root}/sot/reclamacoes").groupBy("ano", "num_trimestre")
+               .agg(F.count(F.lit(1)).alias("n_trusted")))
+    return read.join(trusted, ["ano", "num_trimestre"])
+
+
 @register("stream_refresh_metrics", f"""WITH reclamacoes AS ({RR.SQL_SOT_COMPLAINTS})
 SELECT name, value FROM (
   SELECT 'Size' AS name, CAST(count(*) AS DOUBLE) AS value FROM reclamacoes

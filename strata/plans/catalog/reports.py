@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata import sinks
 from strata.operators import joins, report
-from strata.plans import derive
+from strata.plans import derive, jobs
+from strata.session import scratch_path
 from strata.plans.derive import SQL_SOURCES
 from strata.plans.catalog._base import register, sources
 
@@ -121,6 +123,27 @@ def or_join_bag_hot_key(spark, sf_dir):
         F.count(F.lit(1)).alias("n_matches"), F.sum("qtd_totl_recl").alias("sum_qtd_totl_recl"))
 
 
+@register("or_join_bag_salted", f"""WITH banks AS ({derive.SQL_BANKS}),
+complaints AS ({derive.SQL_COMPLAINTS_HOT}),
+ways AS (
+  SELECT b.num_cnpj_instituicao, c.qtd_totl_recl FROM banks b
+  JOIN complaints c ON b.num_cnpj_instituicao = c.num_cnpj_instituicao
+  UNION ALL
+  SELECT b.num_cnpj_instituicao, c.qtd_totl_recl FROM banks b
+  JOIN complaints c ON b.nom_instituicao = c.nom_instituicao
+  WHERE b.num_cnpj_instituicao IS DISTINCT FROM c.num_cnpj_instituicao)
+SELECT num_cnpj_instituicao, count(*) AS n_matches, CAST(sum(qtd_totl_recl) AS BIGINT) AS sum_qtd_totl_recl
+FROM ways GROUP BY num_cnpj_instituicao""")
+def or_join_bag_salted(spark, sf_dir):
+    """Bag key-or-name join with a hot key: heavy hitters found by a sketch, their rows salted."""
+    banks = derive.banks(spark, sf_dir)
+    keys = ["num_cnpj_instituicao", "nom_instituicao"]
+    comp = derive.complaints_hot_key(spark, sf_dir).select(*keys, "qtd_totl_recl")
+    m = joins.or_equi_join(banks, comp, [(c, c) for c in keys], heavy=joins.heavy_keys(comp, keys))
+    return m.groupBy("num_cnpj_instituicao").agg(
+        F.count(F.lit(1)).alias("n_matches"), F.sum("qtd_totl_recl").alias("sum_qtd_totl_recl"))
+
+
 @register("or_join_bag", f"""WITH {SQL_SOURCES}
 SELECT b.num_cnpj_instituicao, count(*) AS n_matches,
        max(c.qtd_totl_recl) AS max_qtd_totl_recl,
@@ -188,6 +211,22 @@ def quarterly_report_unaggregated(spark, sf_dir):
     return report.quarterly_report(banks, complaints, employers, pre_aggregate=False)
 
 
+@register("spec_incremental", SQL_QUARTERLY)
+def spec_incremental(spark, sf_dir):
+    """The quarterly report from stored level-1 maxima. Complaints come in three waves: the first two
+    quarters of a year, the other two, then late rows of the first two; after each the maxima
+    of its quarters alone are made anew."""
+    banks, complaints, employers = sources(spark, sf_dir)
+    root = scratch_path(spark, "spec_incremental")
+    early = F.col("num_trimestre") <= 2
+    late = early & (F.col("qtd_totl_recl") % 5 == 0)
+    for wave in (early & ~late, ~early, late):
+        rows = complaints.where(wave)
+        sinks.write_partitioned(rows, f"{root}/complaints", by=report.PERIOD, mode="append")
+        jobs.refresh_maxima(spark, f"{root}/complaints", f"{root}/maxima", rows.select(*report.PERIOD))
+    return jobs.spec_quarterly_frame(banks, spark.read.parquet(f"{root}/maxima"), employers, stamp=False, collapsed=True)
+
+
 @register("join_key", f"""WITH {SQL_SOURCES}
 SELECT c.num_cnpj_instituicao, b.nom_instituicao, b.nom_segto_instituicao,
        c.qtd_totl_clie_css_scr, c.qtd_totl_recl

@@ -115,6 +115,22 @@ def sot_frame(dataset: str, sor: DataFrame, ref_date=None, stamp: bool = True) -
 SOT_PARTITIONS = {"bancos": ["anomesdia"], "empregados": ["anomesdia"],
                   "reclamacoes": ["ano", "num_trimestre"]}
 
+#: Columns of a raw table that hold the cleaned values of the trusted partition which a row feeds
+#: (raw column: trusted column). Banks and employers feed the partition of the run date.
+LINEAGE = {"bancos": {}, "empregados": {}, "reclamacoes": {"lin_ano": "ano", "lin_num_trimestre": "num_trimestre"}}
+
+
+def with_lineage(dataset: str, sor: DataFrame) -> DataFrame:
+    """Raw rows and the trusted partition that each feeds (spellings of a value fall together).
+
+    Raw tables partitioned by these columns are pruned to the rows of a trusted partition,
+    whatever their raw date says.
+    """
+    if not LINEAGE[dataset]:
+        return sor
+    return sor.withColumns({"lin_ano": C.safe_cast("Ano", "int"),
+                            "lin_num_trimestre": C.safe_cast(C.strip_pattern("Trimestre", SC.ORDINAL_MARK), "int")})
+
 
 @dataclass
 class QualityProfile:
@@ -303,9 +319,38 @@ def spec_frame(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
     return C.with_ref_date(out, ref_date) if stamp else out
 
 
+def refresh_maxima(spark: SparkSession, complaints: str, maxima: str, periods: DataFrame | None = None) -> str:
+    """Keep the level-1 maxima of the complaints (:func:`report.complaint_maxima`) as a table of its own.
+
+    ``complaints`` and ``maxima`` are folders partitioned by ``ano, num_trimestre``. ``periods``
+    (rows of both, NULL is a value) names the quarters whose complaints changed: only their
+    folders are read, and only their maxima are replaced; quarters without rows left lose
+    theirs. Without ``periods`` all quarters are made anew. The maxima are staged and published by
+    renames, quarter by quarter, so a lost run leaves old or new maxima of a quarter and
+    is made up for by a repeat.
+    """
+    from strata.session import scratch_path
+    source = spark.read.parquet(complaints)
+    named = None
+    if periods is not None:
+        # one row for each partition folder that is going to be replaced
+        named = periods.select(*R.PERIOD).distinct().collect()
+        if not named:
+            return maxima
+        source = source.where(W.partition_filter(R.PERIOD, named))
+    staged = scratch_path(spark, "maxima")
+    W.write_partitioned(R.complaint_maxima(source.select(*COMPLAINT_COLUMNS)), staged, by=R.PERIOD)
+    if named is None:
+        return W.publish_staged(spark, staged, maxima, R.PERIOD, "table")
+    left = {W.partition_folder(R.PERIOD, r) for r in named} - set(W.list_partitions(spark, staged, len(R.PERIOD)))
+    W.publish_staged(spark, staged, maxima, R.PERIOD, "partitions")
+    W.drop_partitions(spark, maxima, sorted(left))
+    return maxima
+
+
 def spec_quarterly_frame(banks: DataFrame, complaints: DataFrame, employers: DataFrame,
-                         ref_date=None, stamp: bool = True) -> DataFrame:
-    out = R.quarterly_report(banks, complaints, employers)
+                         ref_date=None, stamp: bool = True, collapsed: bool = False) -> DataFrame:
+    out = R.quarterly_report(banks, complaints, employers, collapsed=collapsed)
     if stamp:
         out = C.with_ref_date(C.with_load_ts(out), ref_date)
     return out
@@ -330,7 +375,8 @@ def run_spec(spark: SparkSession, banks: str, complaints: str, employers: str, o
 
 
 def run_spec_quarterly(spark: SparkSession, banks: str, complaints: str, employers: str,
-                       output: str, ref_date=None, files: int | None = None) -> str:
+                       output: str, ref_date=None, files: int | None = None, collapsed: bool = False) -> str:
+    """``collapsed``: ``complaints`` is the table of maxima that :func:`refresh_maxima` keeps."""
     b, c, e = spec_inputs(spark, banks, complaints, employers)
-    out = spec_quarterly_frame(b, c, e, ref_date=ref_date)
+    out = spec_quarterly_frame(b, c, e, ref_date=ref_date, collapsed=collapsed)
     return W.write_report_csv(out, output, ref_date, files=files)

@@ -18,11 +18,12 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import ref_date_text, with_load_ts
+from strata.functions.columns import col_ref, ref_date_text, with_load_ts
 
 
 def _layout(df: DataFrame, by: list[str], layout: str, files: int | None) -> DataFrame:
@@ -189,6 +190,33 @@ def _leaf_partitions(fs, root_path, depth: int) -> list:
     return level
 
 
+def partition_filter(by: list[str], rows: list) -> Column:
+    """Rows of the named partitions (NULL is a value): a filter on partition columns alone, so
+    other folders are neither listed nor read."""
+    def one(row) -> Column:
+        return reduce(lambda a, b: a & b, [col_ref(c).eqNullSafe(F.lit(v)) for c, v in zip(by, row)])
+    return reduce(lambda a, b: a | b, [one(row) for row in rows], F.lit(False))
+
+
+def partition_folder(by: list[str], row) -> str:
+    """``a=1/b=2`` for a partition of numbers or plain words."""
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(by, row))
+
+
+def list_partitions(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Folders of the partitions below ``root``, as :func:`partition_folder` names them."""
+    hpath, fs = _fs(spark, root)
+    if not fs.exists(hpath):
+        return []
+    return [p.toUri().getPath()[len(hpath.toUri().getPath().rstrip("/")) + 1:] for p in _leaf_partitions(fs, hpath, depth)]
+
+
+def drop_partitions(spark: SparkSession, root: str, folders: list[str]) -> None:
+    for folder in folders:
+        hpath, fs = _fs(spark, f"{root}/{folder}")
+        fs.delete(hpath, True)
+
+
 def publish_staged(spark: SparkSession, staging: str, target: str, by: list[str],
                    overwrite: str = "table") -> str:
     """Move a staged (already written and checked) table into place.

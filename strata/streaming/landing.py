@@ -14,6 +14,9 @@ A file that is delivered again under another name is dropped: the stream keeps t
 the contents it has taken, per dataset, in its state store. Files above ``digest_limit`` are told
 apart by path alone, as their content is not read into one row.
 
+Raw complaints are partitioned by the cleaned year and quarter as well (``plans.jobs.LINEAGE``), so a
+refresh of some trusted partitions prunes the raw table to the rows that feed them.
+
 Exactly-once output: every micro-batch writes below its own ``batch_id=<n>`` folder, which
 is replaced as a whole. So a batch that is run again after a failure, also on another run
 date, replaces its own rows; the checkpoint records which files were consumed. ``trigger='availableNow'`` processes what has landed and stops
@@ -32,9 +35,12 @@ from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from strata import schemas as SC
 from strata.functions import columns as C
-from strata.sinks.writers import list_names, remove_file, touch_empty, write_partitioned
+from strata.sinks.writers import (
+    list_names, list_partitions, partition_filter, remove_file, touch_empty, write_partitioned,
+)
 
 DIGEST_LIMIT = 256 * 1024 ** 2  # bytes of a file whose content is digested
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder name of a NULL partition value
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -106,9 +112,17 @@ def nonempty_by_dataset(routed: DataFrame) -> dict[str | None, list[str]]:
     return {dataset: sorted(paths) for dataset, paths in found.items()}
 
 
+def lineage(dataset: str) -> list[str]:
+    """Partition columns of a streamed raw table that name the trusted partition of a row."""
+    from strata.plans import jobs as J
+    return list(J.LINEAGE[dataset])
+
+
 def _sor(spark: SparkSession, dataset: str, sor_root: str) -> DataFrame:
     schema = SC.all_string_schema(SC.RAW_FORMATS[dataset]["fields"]) \
         .add("anomesdia", "string").add("batch_id", "long")
+    for name in lineage(dataset):
+        schema = schema.add(name, "integer")
     return spark.read.schema(schema).parquet(f"{sor_root}/{dataset}")
 
 
@@ -141,14 +155,26 @@ class Landing:
         raw date does, can meet in one trusted partition. NULL is a value like others.
         """
         from strata.plans import jobs as J
-        keys = J.sot_frame(dataset, batch, self.ref_date).select(*J.SOT_PARTITIONS[dataset]).distinct()
-        if keys.isEmpty():
+        feeding = self.feeding(spark, dataset, batch_id)
+        if feeding is None or batch.isEmpty():
             return  # the batch held only header lines for this dataset
-        J.run_sot(spark, dataset, _sor(spark, dataset, self.sor_root), f"{self.sot_root}/{dataset}",
-                  self.ref_date, dq_root=self.dq_root, overwrite="partitions", only=keys,
+        J.run_sot(spark, dataset, feeding, f"{self.sot_root}/{dataset}",
+                  self.ref_date, dq_root=self.dq_root, overwrite="partitions",
                   run_id=f"batch-{batch_id}",
                   states_root=f"{self.dq_root}/_states/{dataset}" if self.dq_root else None)
 
+    def feeding(self, spark: SparkSession, dataset: str, batch_id: int) -> DataFrame | None:
+        """Raw rows of all batches that feed the trusted partitions of batch ``batch_id`` (None: it has
+        none). The raw table is partitioned by them, so the others are not read; the batch's own
+        values are the names of its folders."""
+        from strata.plans import jobs as J
+        sor, by = _sor(spark, dataset, self.sor_root), lineage(dataset)
+        if not by:
+            return sor  # all rows feed the partition of the run date
+        values = [tuple(None if v == NO_VALUE else int(v) for v in (part.split("=", 1)[1] for part in folder.split("/")))
+                  for folder in list_partitions(spark, f"{self.sor_root}/{dataset}/batch_id={batch_id}", len(by))]
+        return sor.where(partition_filter(by, values)).drop(*by) if values else None
+
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         from strata.plans import jobs as J
         spark = batch.sparkSession
@@ -161,7 +187,8 @@ class Landing:
             write_partitioned(lines, f"{self.quarantine_root}/batch_id={batch_id}", fmt="parquet")
         for dataset, paths in files.items():
             out = J.sor_frame(spark, dataset, paths, self.ref_date, self.encoding)
-            write_partitioned(out, f"{self.sor_root}/{dataset}/batch_id={batch_id}", by="anomesdia", fmt="parquet")
+            write_partitioned(J.with_lineage(dataset, out), f"{self.sor_root}/{dataset}/batch_id={batch_id}",
+                              by=[*lineage(dataset), "anomesdia"], fmt="parquet")
             if not self.sot_root:
                 continue
             if self.refresh == "partitions":
@@ -213,9 +240,9 @@ def start_landing_stream(spark: SparkSession, landing_root: str, sor_root: str,
     received files (raw -> trusted chain with the quality gate); a failed gate stops
     the stream with the batch uncommitted, so a re-run repeats it, metrics included.
     ``refresh``: 'table' (the whole trusted table after each batch) or 'partitions'
-    (only the trusted partitions that the batch feeds: the raw table is scanned for
-    their rows, and only they are checked and written; the metrics stored are those of the whole
-    table, merged from partition states). ``redelivered``: 'drop' takes each content once per
+    (only the trusted partitions that the batch feeds: the raw complaints are partitioned by
+    them, so only their raw rows are read, checked and written; the metrics stored are those of
+    the whole table, merged from partition states). ``redelivered``: 'drop' takes each content once per
     dataset, 'keep' every file; see :func:`arrivals`."""
     return _start(spark, landing_root, checkpoint,
                   Landing(sor_root, ref_date, quarantine_root, sot_root, dq_root, refresh, encoding),

@@ -118,3 +118,36 @@ def test_with_position_is_a_distributed_row_number(spark):  # O1-O5
         assert [got[r.id] for r in want] == list(range(1, 3001))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_maxima_of_changed_quarters_only(spark, scratch):
+    """NULL quarters, a quarter that loses all rows and quarters that were not named."""
+    from strata.plans import jobs as J
+    from strata.sinks import write_partitioned
+    kinds = ("num_cnpj_instituicao bigint, nom_instituicao string, qtd_totl_clie_css_scr bigint, qtd_totl_recl bigint, "
+             "vlr_ind_recl float, ano int, num_trimestre int")
+    root = scratch("maxima")
+
+    def frame(rows):
+        return spark.createDataFrame(rows, kinds)
+
+    def save(rows):
+        write_partitioned(frame(rows), f"{root}/complaints", by=["ano", "num_trimestre"])
+
+    def stored():
+        cols = ["num_cnpj_instituicao", "nom_instituicao", "ano", "num_trimestre", "qtd_totl_recl"]
+        return {tuple(r) for r in spark.read.parquet(f"{root}/maxima").select(cols).collect()}
+
+    first = [(1, "a", 1, 5, 1.0, 2020, 1), (1, "a", 9, 3, 1.0, 2020, 1), (2, None, 1, 7, 1.0, 2020, 2),
+             (None, "c", 1, 1, 1.0, None, 3), (None, None, 1, 99, 1.0, 2020, 1), (3, "d", 1, 2, 1.0, 2021, 1)]
+    save(first)
+    J.refresh_maxima(spark, f"{root}/complaints", f"{root}/maxima")
+    assert stored() == {(1, "a", 2020, 1, 5), (2, None, 2020, 2, 7), (None, "c", None, 3, 1), (3, "d", 2021, 1, 2)}
+    # 2020/2 loses its rows; 2021/1 changes too, but is not named and stays as it was
+    save([(1, "a", 1, 6, 1.0, 2020, 1), (None, "c", 1, 8, 1.0, None, 3), (3, "d", 1, 50, 1.0, 2021, 1)])
+    periods = spark.createDataFrame([(2020, 1), (2020, 2), (None, 3)], "ano int, num_trimestre int")
+    for _ in range(2):  # a repeat changes nothing
+        J.refresh_maxima(spark, f"{root}/complaints", f"{root}/maxima", periods)
+        assert stored() == {(1, "a", 2020, 1, 6), (None, "c", None, 3, 8), (3, "d", 2021, 1, 2)}
+    J.refresh_maxima(spark, f"{root}/complaints", f"{root}/maxima", periods.limit(0))
+    assert len(stored()) == 3

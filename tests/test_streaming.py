@@ -177,3 +177,27 @@ def test_batch_of_another_date_replaces_its_rows(spark, scratch):
     for date in ("2023-08-14", "2023-08-15"):
         ST.Landing(f"{root}/sor", date).write_batch(files, 0)
     assert [str(r.anomesdia) for r in spark.read.parquet(f"{root}/sor/bancos").collect()] == ["20230815"]
+
+
+def test_refresh_reads_only_raw_rows_of_its_partitions(spark, scratch):
+    """Spellings and raw dates of a quarter fall together; other quarters are pruned by folder."""
+    from strata.plans import jobs as J
+    root = scratch("lineage")
+
+    def line(year, quarter, name):
+        return f"{year};{quarter};x;y;1;{name};1,0;1;1;1;2;3;4;5;\n"
+
+    land(f"{root}/landing", "Reclamacoes_1.csv", "Ano;Trimestre\n" + line("2021", "3º", "a") + line("2021.0", " 3", "b")
+         + line("2021", "1º", "c") + line(" ", "?", "d"))
+    ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14", timeout_s=300)
+    land(f"{root}/landing", "Reclamacoes_2.csv", "Ano;Trimestre\n" + line("2021", "3", "e") + line("", "x", "f"))
+    ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/ckpt", ref_date="2023-08-14", timeout_s=300)
+    feeding = ST.Landing(f"{root}/sor", "2023-08-14").feeding(spark, "reclamacoes", 1)
+    names = {r[0] for r in feeding.select("Instituição financeira").collect()}
+    assert names == {"a", "b", "e", "d", "f"}
+    plan = feeding._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("],")[0]
+    assert "lin_ano" in filters and "lin_num_trimestre" in filters
+    assert not any("lin_num_trimestre=1" in f for f in feeding.inputFiles() if "batch_id=1" in f)
+    cleaned = J.sot_frame("reclamacoes", J.with_lineage("reclamacoes", feeding).drop("lin_ano", "lin_num_trimestre"))
+    assert {(r.ano, r.num_trimestre) for r in cleaned.collect()} == {(2021, 3), (None, None)}
