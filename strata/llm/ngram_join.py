@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm._util import cut, id_type, text_slices
+from strata.llm._util import cut, id_type, text_slices, utf8
 from strata.llm.lexical import ranges
 from strata.llm.graph import components, merged
 from strata.llm.near_dup import _lists
@@ -49,6 +49,7 @@ BANDS = 4                  # size bands in which partners are merged
 PROBES = 512               # probes between two looks at what is still within reach
 PAIRS = 1 << 20            # pairs of a list that are made at a time
 PIECE = 1 << 21            # bytes of text that are hashed at a time
+CODEC = "zstd"             # of the texts that are compared: they are shuffled for each comparison
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -381,11 +382,36 @@ def probe(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     return both >= least
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, body, size): each text compressed by itself, with its size in bytes."""
+    for batch in text_slices(batches, "text"):
+        texts = utf8(batch.column("text"))
+        body = [pa.compress(t, CODEC, asbytes=True) for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(body, pa.binary()),
+                                          pa.array([len(t) for t in texts], pa.int64())], ["node", "body", "size"])
+
+
+def _expanded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows with both texts again, in slices of bounded rows and bytes; a longer pair is a slice of its own."""
+    sizes = [batch.column(c).to_pylist() for c in ("size_a", "size_b")]
+    ends = np.cumsum(np.add(*sizes))
+    start = 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (8 << 20), side="right"))
+        stop = max(start + 1, min(stop, start + 256))
+        text = [pa.array([pa.decompress(body, size, CODEC, asbytes=True) for body, size in
+                          zip(batch.column(c).slice(start, stop - start).to_pylist(), size_[start:stop])], pa.large_binary())
+                for c, size_ in zip(("body_a", "body_b"), sizes)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(start, stop - start) for c in ("a", "b")), *text],
+                                         ["a", "b", "text_a", "text_b"])
+        start = stop
+
+
 def _probed(width: int, similar: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            for part in text_slices(text_slices([batch], "text_b", 256), "text_a", 256):
+            for part in _expanded(batch):
                 # rows come sorted by a, whose set is made once for a run of rows
                 a = part.column("a").to_numpy()
                 first = np.flatnonzero(np.append(True, np.diff(a) != 0))
@@ -438,12 +464,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .join(met.select("node").distinct(), "node", "left_semi"))
     texts = cut(base.join(wanted, (base.text_hash == wanted.text_hash) & base.doc_id.eqNullSafe(wanted.at))
                 .groupBy("at", wanted.text_hash, "node").agg(F.first("text").alias("text"))
-                .select("node", "text"), "texts")
+                .select("node", "text").mapInArrow(_compressed, "node long, body binary, size long"), "texts")
 
     def probed(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return (pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+        left, right = (texts.select(*[F.col(c).alias(name) for c, name in zip(texts.columns, names)])
+                       for names in (("a", "body_a", "size_a"), ("b", "body_b", "size_b")))
+        return (pairs.join(right, "b").join(left, "a").select("a", "b", "body_a", "size_a", "body_b", "size_b")
                 .sortWithinPartitions("a").mapInArrow(_probed(width, similar), "a long, b long"))
 
     within_reach = F.expr(f"{similar[1]} * least(n, m) >= {similar[0]} * greatest(n, m)")
