@@ -276,6 +276,46 @@ def run_suite(df: DataFrame, analyzers: list[Analyzer], checks: list[Check],
             df.sparkSession.createDataFrame(_evaluate(checks, values), CHECK_RESULT_SCHEMA))
 
 
+ROW_FAILURES = "row_failures"
+
+
+def row_predicates(checks: list[Check]) -> dict[str, str]:
+    """Constraint text -> SQL predicate that a row has to meet. Completeness asks for a value, a
+    compliance for its predicate (in which NULL passes); Size and other table metrics have none."""
+    out: dict[str, str] = {}
+    for con in (c for chk in checks for c in chk.constraints):
+        a = con.analyzer
+        if a.name == "Completeness":
+            out[con.text] = "`" + a.column.replace("`", "``") + "` IS NOT NULL"
+        elif a.name == "Compliance":
+            out[con.text] = a.predicate
+    return out
+
+
+def row_verdicts(df: DataFrame, checks: list[Check], name: str = ROW_FAILURES) -> DataFrame:
+    """``df`` with the texts of the constraints that each row fails (an empty array: none).
+
+    A predicate without an answer (NULL) is a failure, as it is for the metric. One projection:
+    no shuffle and no second scan.
+    """
+    failed = [F.when(~F.coalesce(F.expr(p), F.lit(False)), F.lit(text)) for text, p in row_predicates(checks).items()]
+    verdict = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    return df.withColumn(name, verdict)
+
+
+def split_rows(judged: DataFrame, name: str = ROW_FAILURES) -> tuple[DataFrame, DataFrame]:
+    """Rows of :func:`row_verdicts` that meet every constraint, and the others with their verdicts."""
+    return judged.where(F.size(name) == 0).drop(name), judged.where(F.size(name) > 0)
+
+
+def rejection_gate(total: int, rejected: int, limit: float) -> float:
+    """Share of rejected rows (0 of no rows); stops the load above ``limit``."""
+    rate = rejected / total if total else 0.0
+    if rate > limit:
+        raise DataQualityError(f"load stopped: {rejected} of {total} rows rejected, {rate:.4f} is above {limit}")
+    return rate
+
+
 def failed_constraints(check_result: DataFrame) -> DataFrame:
     return check_result.filter(F.col("constraint_status") != F.lit("Success"))
 

@@ -96,6 +96,28 @@ def job_raw_to_sot_reclamacoes(spark, sf_dir):
     return spark.read.parquet(done.output_path).drop("dat_hor_psst")
 
 
+@register("job_sot_quarantine", f"""WITH t AS ({RR.SQL_SOT_COMPLAINTS})
+SELECT 'trusted' AS place, CAST('' AS VARCHAR) AS failures, count(*) AS n_rows, CAST(sum(qtd_clie_ccs) AS BIGINT) AS sum_clients
+FROM t WHERE num_cnpj_instituicao IS NOT NULL AND nom_instituicao IS NOT NULL AND NOT coalesce(vlr_ind_recl < 0, false)
+  AND NOT coalesce(qtd_totl_clie_css_scr < 0, false)
+UNION ALL
+SELECT 'quarantine', 'CompletenessConstraint(Completeness(num_cnpj_instituicao,None))', count(*),
+       CAST(sum(qtd_clie_ccs) AS BIGINT)
+FROM t WHERE num_cnpj_instituicao IS NULL""")
+def job_sot_quarantine(spark, sf_dir):
+    """Trusted complaints with rows without a tax id put aside: rows and client sums of both tables."""
+    root = scratch_path(spark, "sot_quarantine")
+    sor = spark.read.schema(_sor_schema("reclamacoes")).parquet(layers(spark, sf_dir, "sor")["sor"]["reclamacoes"])
+    J.run_sot(spark, "reclamacoes", sor, f"{root}/sot", REF_DATE, dq_root=f"{root}/dq",
+              quarantine_root=f"{root}/quarantine", run_id="load-1", max_rejected=0.2)
+    places = {"trusted": spark.read.parquet(f"{root}/sot").withColumn(Q.ROW_FAILURES, F.array().cast("array<string>")),
+              "quarantine": spark.read.parquet(f"{root}/quarantine")}
+    rows = [df.select(F.lit(place).alias("place"), F.array_join(Q.ROW_FAILURES, "; ").alias("failures"), "qtd_clie_ccs")
+            for place, df in places.items()]
+    return (rows[0].unionByName(rows[1]).groupBy("place", "failures")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qtd_clie_ccs").alias("sum_clients")))
+
+
 @register("job_sot_empregados", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_EMPLOYERS}) t""")
 def job_sot_empregados(spark, sf_dir):
     path = layers(spark, sf_dir)["sot"]["empregados"]

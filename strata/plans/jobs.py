@@ -6,11 +6,12 @@ add the sinks (the only actions), the data-quality run and the gate.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas as SC
@@ -209,12 +210,33 @@ def _table_metrics(spark: SparkSession, load: DataFrame, by: list[str], analyzer
     return MS.merged_metrics(states, analyzers)
 
 
+def _quarantine(spark: SparkSession, dataset: str, frame: DataFrame, profile: QualityProfile, root: str,
+                run_id: str | None, max_rejected: float) -> DataFrame:
+    """Judge the rows once, store the rejected ones, and return the others.
+
+    The judged rows are staged, so both tables come from one evaluation (a load stamp, or a source that
+    changes meanwhile, cannot put a row into both or neither); their counts are gathered by the write.
+    """
+    from strata.session import scratch_path
+    staged = scratch_path(spark, f"judged_{dataset}")
+    judged = Q.row_verdicts(frame, [profile.check])
+    seen = Observation()
+    W.write_partitioned(judged, staged, layout="none", observe=lambda df: df.observe(
+        seen, F.count(F.lit(1)).alias("total"), F.count_if(F.size(Q.ROW_FAILURES) > 0).alias("rejected")))
+    kept, rejected = Q.split_rows(spark.read.schema(judged.schema).parquet(staged))
+    W.write_partitioned(rejected, f"{root}/run_id={run_id or uuid.uuid4().hex}", layout="none")
+    counts = seen.get
+    Q.rejection_gate(counts.get("total", 0), counts.get("rejected", 0), max_rejected)
+    return kept
+
+
 def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             ref_date=None, dq_root: str | None = None,
             profile: QualityProfile | None = None, table: str | None = None,
             overwrite: str = "table", materialize: str = "stage",
             fmt: str = "parquet", sep: str = ";", only: DataFrame | None = None,
-            run_id: str | None = None, states_root: str | None = None) -> SotResult:
+            run_id: str | None = None, states_root: str | None = None,
+            quarantine_root: str | None = None, max_rejected: float = 1.0) -> SotResult:
     """Transform, measure, check, gate, publish.
 
     ``only`` (distinct partition values of the trusted table) limits the load to those
@@ -229,6 +251,12 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
     the metrics of the whole table; checks and gate judge the load. A stopped load leaves
     the states as they were.
 
+    ``quarantine_root``: rows that fail a row constraint of the profile's check (a missing value, a value
+    outside its domain) do not stop the load but go to ``quarantine_root/run_id=<run>/`` with the
+    texts of the constraints they fail; the trusted table, its metrics and its checks are those of
+    the other rows. A load with a greater share of rejected rows than ``max_rejected`` is stopped, its
+    rows left in quarantine. Every row is in exactly one of the two tables.
+
     ``materialize='stage'`` (default): the transformed frame is written ONCE to a
     staging table below the shared checkpoint folder. Metrics and check values are gathered
     by that write; only exact distinct counts scan the staged Parquet (their columns alone).
@@ -250,6 +278,8 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         frame = frame.join(only, reduce(lambda a, b: a & b, [
             C.col_ref(c).eqNullSafe(F.col(f"_only_{c}")) for c in by]), "left_semi")
     staging = values = states = None
+    if quarantine_root:
+        frame = _quarantine(spark, dataset, frame, profile, quarantine_root, run_id, max_rejected)
     if materialize == "stage":
         staging = scratch_path(spark, f"stage_{dataset}")
         written = Q.WriteMetrics(Q.suite_analyzers(profile.analyzers, [profile.check]))

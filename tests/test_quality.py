@@ -59,3 +59,47 @@ def test_run_suite_one_scan_matches_separate_calls(df):
     metrics, checks = Q.run_suite(df, analyzers, [chk])
     assert sorted(map(tuple, metrics.collect())) == sorted(map(tuple, Q.analyze(df, analyzers).collect()))
     assert [tuple(r) for r in checks.collect()] == [tuple(r) for r in Q.verify(df, [chk]).collect()]
+
+
+def test_row_verdicts_agree_with_the_metrics(spark):
+    """NULL passes a domain and a sign test, but not completeness; each failure is named once."""
+    check = (Q.Check().has_size(lambda n: n > 0).is_contained_in("s", ["a", "b'c"]).is_non_negative("x")
+             .has_completeness("s", lambda v: v == 1.0))
+    rows = [("a", 1.0), ("b'c", None), ("z", -1.0), (None, 0.0), (None, None), ("a", -0.5), ("a", 1.0)]
+    judged = Q.row_verdicts(spark.createDataFrame(rows, "s string, x double"), [check])
+    n_failed = [len(r[Q.ROW_FAILURES]) for r in judged.collect()]
+    assert n_failed == [0, 0, 2, 1, 1, 1, 0]
+    kept, rejected = Q.split_rows(judged)
+    assert kept.columns == ["s", "x"] and kept.count() == 3 and rejected.count() == 4
+    values = {r.constraint: r.metric_value for r in Q.verify(judged, [check]).collect()}
+    for text in Q.row_predicates([check]):
+        failed = sum(text in r[Q.ROW_FAILURES] for r in judged.collect())
+        assert abs(values[text] - (1 - failed / len(rows))) < 1e-12
+    assert Q.split_rows(Q.row_verdicts(kept, [Q.Check()]))[1].isEmpty()
+    assert Q.split_rows(Q.row_verdicts(kept.limit(0), [check]))[0].isEmpty()
+
+
+def test_rejection_gate():
+    assert Q.rejection_gate(0, 0, 0.0) == 0.0 and Q.rejection_gate(4, 1, 0.25) == 0.25
+    with pytest.raises(Q.DataQualityError, match="1 of 3 rows rejected"):
+        Q.rejection_gate(3, 1, 0.3)
+
+
+def test_load_with_quarantine(spark, scratch):
+    """Kept and quarantined rows are the input; a repeat of the run replaces its rows; too many
+    rejected rows stop the load and leave the trusted table as it was."""
+    from strata.plans import jobs as J
+    kind = "Segmento string, CNPJ string, Nome string"
+    rows = [("S1", "1", "A"), ("S9", "2", "B"), ("S2", " ", "C"), ("S3", "4", None), ("S4", "5", "E")]
+    sor = spark.createDataFrame(rows, kind)
+    root = scratch("quarantine")
+    where = dict(ref_date="2023-08-14", quarantine_root=f"{root}/q", run_id="r1")
+    for _ in range(2):
+        J.run_sot(spark, "bancos", sor, f"{root}/sot", max_rejected=0.6, **where)
+    kept = {r.nom_instituicao for r in spark.read.parquet(f"{root}/sot").collect()}
+    put_aside = spark.read.parquet(f"{root}/q").collect()
+    assert kept == {"A", "E"} and {r.nom_instituicao for r in put_aside} == {"B", "C", None} and len(put_aside) == 3
+    assert all(len(r[Q.ROW_FAILURES]) == 1 for r in put_aside)
+    with pytest.raises(Q.DataQualityError, match="3 of 5 rows rejected"):
+        J.run_sot(spark, "bancos", sor, f"{root}/sot", max_rejected=0.5, **where)
+    assert spark.read.parquet(f"{root}/sot").count() == 2
