@@ -66,6 +66,26 @@ def csv_trailing_field(spark, sf_dir):
                        F.col("`Instituição financeira`").alias("nome"))
 
 
+@register("rejected_lines", """SELECT 'kept' AS place, l_orderkey || '|' || l_partkey || '|' || l_suppkey AS line, count(*) AS n
+FROM lineitem WHERE l_linenumber NOT IN (2, 3) GROUP BY ALL
+UNION ALL SELECT 'rejected', l_orderkey || ';' || l_partkey || CASE l_linenumber WHEN 2 THEN ';' || l_suppkey || ';x' ELSE '' END,
+       count(*) FROM lineitem WHERE l_linenumber IN (2, 3) GROUP BY ALL""")
+def rejected_lines(spark, sf_dir):
+    """Semicolon lines, one per line item: with a closing separator (line 1), a surplus field (2) or a
+    missing one (3). Rows that were read, and rejected lines as they stand in the files."""
+    path = scratch_path(spark, "rejected_lines")
+    number = F.col("l_linenumber")
+    line = F.concat(F.concat_ws(";", "l_orderkey", "l_partkey"),
+                    F.when(number != 3, F.concat(F.lit(";"), F.col("l_suppkey").cast("string"))).otherwise(F.lit("")),
+                    F.when(number == 1, F.lit(";")).when(number == 2, F.lit(";x")).otherwise(F.lit("")))
+    derive.table(spark, sf_dir, "lineitem").select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("order", "part", "supplier")])
+    rows, rejected = S.read_delimited_checked(spark, path, schema, header=False)
+    both = (rows.select(F.lit("kept").alias("place"), F.concat_ws("|", "order", "part", "supplier").alias("line"))
+            .unionByName(rejected.select(F.lit("rejected").alias("place"), "line")))
+    return both.groupBy("place", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("csv_directory", "SELECT * FROM orders")
 def csv_directory(spark, sf_dir):
     """Many files with one header each, read as one table."""

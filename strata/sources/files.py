@@ -44,6 +44,35 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";",
     return reader.csv(path)
 
 
+def read_delimited_checked(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ";",
+                           header: bool = True, encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    """Rows of the lines that have the fields of ``schema`` (all strings), and the other lines.
+
+    :func:`read_delimited` drops surplus fields and fills missing ones with NULL without a word. Here a
+    line has to have exactly these fields; one more is allowed if it is empty (a closing separator).
+    Every other line is a row ``path, line`` of the second frame, as it was read. Quoted separators
+    do not count. Both frames read the same files, the first line of each left out with ``header``;
+    blank lines are skipped. Lines with a closing separator are parsed a second time.
+    """
+    names = [f"c{i}" for i in range(len(schema.fields))]
+    first = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("line", T.StringType())])
+    # without pruning a line's fields are counted whatever columns are selected
+    raw = (spark.read.option("sep", sep).option("header", header).option("encoding", normalize_charset(encoding))
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "line").option("columnPruning", False)
+           .option("enforceSchema", True).schema(first).csv(path))
+    longer = ", ".join(f"{n} string" for n in [*names, "surplus", "bad"])
+    again = raw.withColumns({"again": F.from_csv("line", longer, {"sep": sep, "mode": "PERMISSIVE",
+                                                                  "columnNameOfCorruptRecord": "bad"}),
+                             "path": F.col("_metadata.file_path")})
+    # Spark refuses a scan of which only the line is read; so the first field takes part
+    closed = (F.col("again.bad").isNull() & F.col("again.surplus").isNull()
+              & F.col("again.c0").eqNullSafe(F.col("c0")))
+    rows = again.where(F.col("line").isNull() | closed).select(*[
+        F.when(F.col("line").isNull(), F.col(n)).otherwise(F.col(f"again.{n}")).alias(f.name)
+        for n, f in zip(names, schema.fields)])
+    return rows, again.where(F.col("line").isNotNull() & ~closed).select("path", "line")
+
+
 def read_csv_recursive(spark: SparkSession, root: str, sep: str = ";", header: bool = True,
                        overrides: dict[str, str] | None = None,
                        sampling_ratio: float = 1.0, glob: str | None = "*.csv") -> DataFrame:

@@ -149,3 +149,21 @@ def test_publish_after_a_crash_between_the_moves(spark, scratch):
     sinks.publish_staged(spark, f"{root}/staged", f"{root}/target", [])
     assert spark.read.parquet(f"{root}/target").count() == 5
     assert not os.path.exists(local_dir(f"{root}/_aside.target"))
+
+
+def test_lines_with_other_field_counts_are_rejected(spark, scratch):
+    """Quoted separators do not count, a closing separator is allowed, whatever columns are read."""
+    d = scratch("checked")
+    write_file(f"{d}/a.csv", 'x;y;z\n1;2;3\n4;5;6;\n7;8\n\n9;10;11;12\n"a;b";c;d\n;;\n1;2;3;;\n')
+    write_file(f"{d}/b.csv", "x;y;z;\n5;;\n")
+    schema = SC.all_string_schema(["x y", "line", "again"])
+    rows, rejected = S.read_delimited_checked(spark, d, schema)
+    got = sorted(map(tuple, rows.collect()), key=str)
+    assert got == sorted([("1", "2", "3"), ("4", "5", "6"), ("a;b", "c", "d"), (None, None, None), ("5", None, None)], key=str)
+    assert sorted(r.line for r in rejected.collect()) == ["1;2;3;;", "7;8", "9;10;11;12"]
+    assert {r.path.rsplit("/", 1)[1] for r in rejected.collect()} == {"a.csv"}
+    assert rows.count() == 5 and rejected.count() == 3 and rows.select("again").where("again = '6'").count() == 1
+    bare = scratch("checked_header_only")
+    write_file(f"{bare}/a.csv", "x;y;z\n")
+    rows, rejected = S.read_delimited_checked(spark, bare, schema)
+    assert rows.isEmpty() and rejected.isEmpty()
