@@ -24,6 +24,8 @@ LONGEST = 20           # letters of a known word
 SEED_COUNT = 50        # occurrences that a seed word has besides the counted ones
 MARGIN = 0.0           # log odds above which a url is blocked
 _LETTERS = re.compile(rb"[a-z]+")
+#: What is not running text: scripts and styles (to the end if they are not closed), tags, entities.
+_MARKUP = re.compile(rb"<(script|style)\b.*?(?:</\1|\Z)|<[^<>]*>|&[a-z]+;", re.DOTALL)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -50,7 +52,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for i in range(batch.num_columns):
             for text in strings(batch.column(i)):
-                counts.update(_LETTERS.findall(text.encode().lower()))
+                counts.update(_LETTERS.findall(_MARKUP.sub(b" ", text.encode().lower())))
         counts = {w: n for w, n in counts.items() if len(w) <= LONGEST}
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()),
                                           pa.array(counts.values(), pa.int64())], ["word", "n"])
@@ -84,25 +86,25 @@ def _segmented(total: int):
     return run
 
 
-def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """(host, words) for distinct ``hosts``; ``counts`` has (word, n).
+def split_words(values: DataFrame, counts: DataFrame) -> DataFrame:
+    """(value, words) for distinct ``values`` that hold letters a-z; ``counts`` has (word, n).
 
-    Each distinct name part meets only the counts of its own substrings, by a join, so
-    no vocabulary is broadcast.
+    Each distinct run of letters meets only the counts of its own substrings, by a join, so
+    no vocabulary is broadcast; the substrings carry a number, not the name they come from.
     """
-    parts = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("at", "name")).where("name <> ''")
-    names = cut(parts.select("name").distinct(), "names")
-    pieces = (names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("start"))
-              .select("name", "start", F.explode(F.expr(
-                  f"sequence(1, least({LONGEST}, length(name) - start + 1))")).alias("size"))
-              .select("name", F.expr("substring(name, start, size)").alias("word")).distinct())
+    parts = values.select("value", F.posexplode(F.split("value", "[^a-z]+")).alias("at", "name")).where("name <> ''")
+    names = cut(parts.select("name").distinct().withColumn("id", F.monotonically_increasing_id()), "names")
+    pieces = (names.select("id", "name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("start"))
+              .select("id", F.substring("name", F.col("start"), F.lit(LONGEST)).alias("tail"))
+              .select("id", F.explode(F.expr("transform(sequence(1, length(tail)), n -> left(tail, n))")).alias("word"))
+              .distinct())
     total = counts.agg(F.sum("n")).first()[0] or 0
-    known = (names.join(pieces.join(counts, "word").groupBy("name")
-                        .agg(F.collect_list(F.struct("word", "n")).alias("known")), "name", "left")
+    known = (names.join(pieces.join(counts, "word").groupBy("id")
+                        .agg(F.collect_list(F.struct("word", "n")).alias("known")), "id", "left")
              .select("name", F.coalesce("known", F.expr("array()").cast("array<struct<word:string,n:bigint>>"))
                      .alias("known")))
     split = known.mapInArrow(_segmented(total), "name string, words array<string>")
-    return (parts.join(split, "name").groupBy("host")
+    return (parts.join(split, "name").groupBy("value")
             .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "words"))),
                                        lambda s: s["words"])).alias("words")))
 
@@ -140,7 +142,9 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                rules: tuple[tuple[str, str], ...] = RULES, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """One row per input row: the id, host, path, rule, verdict, log_odds, host_words.
 
-    Word counts for the segmentation come from all urls and, if given, all texts. A url
+    Word counts for the segmentation come from the running text of all texts (tags, scripts, styles
+    and entities left out) and the seeds, never from urls: a concatenated name that stands in
+    urls alone is no word of its own, however often. Names in hosts and in paths are segmented. A url
     with a seed word among its host or path words trains the blocked class, any other
     the allowed one; multinomial weights of all words, smoothed in proportion to the
     classes, then score each url (without class priors, as seeds are rare). If no url
@@ -151,16 +155,19 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    texts = pages.select(*[F.col(c).cast("string").alias(f"t{i}")
-                           for i, c in enumerate([url_col, *([text_col] if text_col else [])])])
     seeded = pages.sparkSession.createDataFrame([(s, SEED_COUNT) for s in seeds], "word string, n long")
-    counts = cut(texts.mapInArrow(_counted, "word string, n long").union(seeded)
-                 .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    words = host_words(rows.select("host").distinct(), counts)
-    tokens = F.concat(F.coalesce("words", F.expr("array()").cast("array<string>")),
-                      F.filter(F.split(ascii_lower(F.col("path")), "[^a-z]+"), lambda w: w != ""))
+    found = seeded
+    if text_col:
+        texts = pages.select(F.col(text_col).cast("string").alias("text"))
+        found = texts.mapInArrow(_counted, "word string, n long").union(seeded)
+    counts = cut(found.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    rows = rows.withColumn("lower_path", ascii_lower(F.col("path")))
+    split = cut(split_words(rows.select(F.explode(F.array("host", "lower_path")).alias("value")).distinct(), counts), "split")
+    none = F.expr("array()").cast("array<string>")
+    of_host, of_path = split.toDF("host", "words"), split.toDF("lower_path", "path_words")
+    tokens = F.concat(F.coalesce("words", none), F.coalesce("path_words", none))
     known = F.array(*[F.lit(s) for s in seeds]) if seeds else F.expr("array()").cast("array<string>")
-    judged = cut(rows.join(words, "host", "left")
+    judged = cut(rows.join(of_host, "host", "left").join(of_path, "lower_path", "left")
                  .withColumn("tokens", tokens)
                  .select("page_id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("rule"),
                          F.arrays_overlap("tokens", known).alias("seeded"),

@@ -256,6 +256,20 @@ def test_rare_clean_words_do_not_speak_for_block(spark):
     assert {(r.verdict, r.log_odds) for r in urls.judge_urls(unseeded, text_col=None).collect()} == {("allow", 0.0)}
 
 
+@pytest.mark.parametrize("size", [100, 5_000])
+def test_names_are_split_in_hosts_and_paths_at_any_table_size(spark, size):
+    """The whole name stands in many urls and in tags, the words only in texts."""
+    html = "<p class='cheappills'>garden river</p><script>var cheappills = 1</script> cheap pills free casino bonus &amp;"
+    rows = [(i, f"http://cheappills.com/n{i % 50}", html) for i in range(size)]
+    rows += [(size, "http://news.com/freeCasinobonus?x", html), (size + 1, "http://news.com/gardenriver", html),
+             (size + 2, "http://" + "river" * 400 + ".com/x", "<script>casinoriver"), (size + 3, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.judge_urls(df).where(f"page_id = 0 OR page_id >= {size}").collect()}
+    assert got[0].host_words[:2] == ["cheap", "pills"] and got[0].verdict == "block"
+    assert got[size].verdict == "block" and got[size + 1].verdict == got[size + 3].verdict == "allow"
+    assert got[size + 2].host_words[:400] == ["river"] * 400
+
+
 def test_weight_of_a_rare_word_does_not_grow_with_the_table():
     rare = []
     for n in (10_000, 1_000_000):
