@@ -15,7 +15,7 @@ class BoostedTrees:
     trees: list[list[tuple[int, int]]]     # (feature, bin) of the inner nodes, level by level
     leaves: list[np.ndarray]
     start: float
-    threshold: float = 0.5
+    threshold: float | np.ndarray = 0.5
 
     def _bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, x[:, i], "right") for i, c in enumerate(self.cuts)], axis=1)
@@ -79,11 +79,21 @@ def fit(x: np.ndarray, y: np.ndarray) -> BoostedTrees:
 
 
 def calibrate(model: BoostedTrees, x: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Least threshold from which the held-out rows reach ``precision``; above 1 if none does."""
+    """Least threshold from which the held-out rows reach ``precision``; above 1 if none does.
+
+    Of the thresholds that find as many positive rows the highest, with log odds midway between
+    the last row that passes and the next (even odds at most if all pass).
+    """
     p = model.probability(x)
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order])
     reached = right >= precision * np.arange(1, len(p) + 1)
     last = np.append(np.diff(p[order]) != 0, True) if len(p) else np.empty(0, bool)  # ties go together
     good = np.flatnonzero(reached & last)
-    return float(p[order][good[-1]]) if len(good) else 2.0
+    if not len(good):
+        return 2.0
+    end = good[right[good] == right[good[-1]]][0] + 1
+    around = p[order][end - 1:end + 1]
+    if len(around) == 1:
+        return float(min(around[0], 0.5))
+    return float(1 / (1 + np.exp(-np.log(around / (1 - around)).mean())))

@@ -3,14 +3,23 @@
 Base spans come from four fixed patterns with checks. Generators with high recall
 propose further spans (written-out addresses, numbers without a prefix or with a failed
 check, assigned secrets); boosted trees score each candidate from its format and its
-context, and a calibrated threshold selects the spans that are added.
+context, and thresholds calibrated for each kind select the spans that are added.
+
+No labelled spans exist, so the trees learn from candidates whose label does not follow from
+their features: base spans rewritten as people write them out, put back in their context and
+proposed again by the generators (of the right kind: personal; of another kind: not), and long
+runs of characters that a text assigns to a name like ``token`` (personal), whose features leave
+that name out. Other candidates are not personal, but for those that look like a rewritten span
+or stand near such a name: they have no label.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import boosting
-from strata.llm._util import id_type, slices, strings
+from strata.llm._util import cut, id_type, slices, strings
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -55,9 +64,11 @@ CUES = {
     "secret": ("token", "key", "secret", "password", "passwd", "auth"),
 }
 CONTEXT = 24            # characters of context on either side
-SAMPLE_DOCS = 5_000     # bound on the documents that the trees are fit on,
-SAMPLE_ROWS = 20_000    # and on their candidates
-PRECISION = 0.98        # of added spans on held-out candidates
+SAMPLE = 2_000          # bound on the labelled candidates of a kind and label that the trees are fit on
+PRECISION = 0.98        # of added spans on held-out candidates, for each kind
+SECRET = KINDS.index("secret")
+_ASSIGNED = re.compile(r"(?:token|key|secret|passw(?:or)?d|auth)[A-Za-z0-9_]*[\"']?\s*[:=]\s*[\"']?$", re.IGNORECASE)
+_MARKED = re.compile(r"[\[(](?:at|dot)[\])]|\bdot\b")
 
 
 def luhn(digits: str) -> bool:
@@ -125,8 +136,10 @@ def _shape(kind: int, span: str, before: str, after: str) -> list[float]:
         float(span.isupper()) - float(span.islower()),
         sum(c in "0123456789abcdefABCDEF" for c in span) / len(span),
         float(before[-1:].isalnum()) + float(after[:1].isalnum()),
-        float(any(c in around for c in CUES[KINDS[kind]])),
-        float(before.rstrip(" \"'")[-1:] in ("=", ":")) if before else 0.0,
+        float(kind != SECRET and any(c in around for c in CUES[KINDS[kind]])),  # these label secrets
+        float(kind != SECRET and before.rstrip(" \"'")[-1:] in ("=", ":")) if before else 0.0,
+        len(_MARKED.findall(span)), float(re.search(r"\.\s", span) is not None), float(_undone(kind, span) is not None),
+        float(span[-2:].isalpha()),
     ]
 
 
@@ -168,48 +181,122 @@ def _written_out(kind: int, span: str) -> list[str]:
     return [f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", f"{digits[:3]}-{digits[3:6]}-{digits[6:]}"]
 
 
+def _undone(kind: int, span: str) -> str | None:
+    """The base span that a candidate may stand for; None if there is no valid one."""
+    if kind == 0:
+        plain = re.sub(r"\s?[\[(]?(?:@|\bat\b)[\])]?\s?", "@", span, count=1)
+        plain = re.sub(r"\s?[\[(]?\bdot\b[\])]?\s?", ".", plain)
+    elif kind == 1:
+        plain = re.sub(r"[,:-]", ".", span)
+    elif kind == 2:
+        plain = span.replace(".", "")
+    elif kind == 3:
+        plain = "+" + re.sub(r"[^0-9]", "", span)
+    else:
+        return None
+    return plain if (0, kind, len(plain)) in base_spans(plain) else None
+
+
+def _unsure(kind: int, span: str, before: str, after: str) -> bool:
+    """Whether a candidate of a text may well be personal, so that it has no label."""
+    if kind == SECRET:
+        around = f"{before} {after}".lower()
+        return any(c in around for c in CUES["secret"])
+    if kind == 0 and _MARKED.search(span):
+        return True
+    plain = _undone(kind, span)
+    return plain is not None and span in _written_out(kind, plain)
+
+
+def labelled(text: str) -> Iterator[tuple[int, int, str, str, str, str]]:
+    """(kind, label, span it comes from, span, before, after) of each labelled candidate."""
+    base = base_spans(text)
+    for s, k, e in base:
+        before, after = text[max(0, s - CONTEXT):s], text[e:e + CONTEXT]
+        for form in _written_out(k, text[s:e]):
+            window, first, end = before + form + after, len(before), len(before) + len(form)
+            for cs, ck, ce in _apart(candidates(window), base_spans(window)):
+                if cs < end and first < ce and (ck != k or (cs <= first and end <= ce)):
+                    yield (ck, int(ck == k), text[s:e], window[cs:ce],
+                           window[max(0, cs - CONTEXT):cs], window[ce:ce + CONTEXT])
+    for s, k, e in _apart(candidates(text), base):
+        span, before, after = text[s:e], text[max(0, s - CONTEXT):s], text[e:e + CONTEXT]
+        if k == SECRET and _ASSIGNED.search(before):
+            yield k, 1, span, span, before, after
+        elif not _unsure(k, span, before, after):
+            yield k, 0, span, span, before, after
+
+
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled candidates: base spans, their written-out forms and assigned secrets
-    count as personal; what generators propose beside them does not."""
+    """Labelled candidates of a task, repeated ones once: those of the SAMPLE least hashes of each
+    kind and label, which hold the task's part of the least hashes of the whole table."""
+    least: dict[tuple[int, int], list[tuple[int, tuple]]] = {}
+    seen: dict[tuple[int, int], set[int]] = {}
     for batch in slices(batches):
-        x, y = [], []
         for text in strings(batch.column("text")):
-            base = base_spans(text)
-            for s, k, e in base:
-                before, after = text[max(0, s - CONTEXT):s], text[e:e + CONTEXT]
-                forms = [text[s:e], *_written_out(k, text[s:e])]
-                x += [_shape(k, form, before, after) for form in forms]
-                y += [1] * len(forms)
-            rest = _apart(candidates(text), base)
-            shapes = _described(text, rest)
-            x += shapes
-            y += [int(k == KINDS.index("secret") and shape[-1] > 0 and shape[-2] > 0)
-                  for (_, k, _), shape in zip(rest, shapes)]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32())], ["x", "y"])
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boosting.BoostedTrees | None:
-    """Trees from at most SAMPLE_DOCS documents and SAMPLE_ROWS candidates.
-
-    A hash of id and text draws the documents, so the sample follows no order. Three of
-    four candidates train; the rest set the threshold. None if a class is missing.
+            for row in labelled(text):
+                digest = hashlib.blake2b("\0".join(map(str, row)).encode(), digest_size=8).digest()
+                value = -(int.from_bytes(digest, "little") >> 1)
+                heap, known = least.setdefault(row[:2], []), seen.setdefault(row[:2], set())
+                if value in known or (len(heap) == SAMPLE and value < heap[0][0]):
+                    continue
+                known.add(value)
+                if len(heap) < SAMPLE:
+                    heapq.heappush(heap, (value, row))
+                else:
+                    known.discard(heapq.heappushpop(heap, (value, row))[0])
+    rows = [(k, y, -value, zlib.crc32(source.encode()) % 4 == 3, _shape(k, span, before, after))
+            for heap in least.values() for value, (k, y, source, span, before, after) in heap]
+    columns = list(zip(*rows)) or [()] * 5
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.list_(pa.float64()))
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                     ["kind", "label", "hash", "held", "x"])
+
+
+def training_rows(docs: DataFrame, text_col: str = "text") -> list:
+    """(kind, label, hash, held, x) of labelled candidates of the whole table, in a fixed order.
+
+    Of each kind and label the SAMPLE least hashes of distinct candidates, so a kind that is in one
+    document of millions is in the sample and neither order, copies nor file splits change it.
+    Hashes are counted by their highest bit; the driver gets those counts and, below the bits that
+    hold SAMPLE rows, at most about twice as many rows of each kind and label.
     """
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    drawn = (docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
-             .select(F.col(text_col).alias("text")).limit(SAMPLE_DOCS))
-    rows = drawn.mapInArrow(_training, "x array<double>, y int").limit(SAMPLE_ROWS).toArrow()
-    x = np.array(rows.column("x").to_pylist(), float)
-    y = np.array(rows.column("y").to_pylist(), float)
-    if not len(y) or y.min() == y.max():
+    found = cut(docs.select(F.col(text_col).alias("text")).mapInArrow(
+        _training, "kind int, label int, hash long, held boolean, x array<double>"), "pii-labels")
+    bits = F.length(F.conv(F.col("hash").cast("string"), 10, 2))
+    counts = (found.withColumn("bits", bits).groupBy("kind", "label", "bits")
+              .agg(F.count_distinct("hash").alias("n")).collect())
+    wanted = F.lit(False)
+    for group in {(r.kind, r.label) for r in counts}:
+        total, reach = 0, 0
+        for r in sorted((r for r in counts if (r.kind, r.label) == group), key=lambda r: r.bits):
+            if total < SAMPLE:
+                total, reach = total + r.n, r.bits
+        wanted |= (F.col("kind") == group[0]) & (F.col("label") == group[1]) & (bits <= reach)
+    rows = sorted(found.where(wanted).dropDuplicates(["kind", "label", "hash"]).collect(), key=lambda r: r[:3])
+    place = Counter()
+    return [r for r in rows if (place.update([r[:2]]) or place[r[:2]]) <= SAMPLE]
+
+
+def fit_rows(rows: list) -> boosting.BoostedTrees | None:
+    """Trees from labelled rows. The candidates that come from three of four spans train; those of
+    the others set each kind's threshold (a kind without held-out personal ones adds nothing).
+    None if a label is missing."""
+    x, y = np.array([r[4] for r in rows], float), np.array([r[1] for r in rows], float)
+    kind, held = np.array([r[0] for r in rows], int), np.array([r[3] for r in rows], bool)
+    if not len(y) or len(set(y[~held].tolist())) < 2:
         return None
-    order = np.lexsort((*x.T, y))  # whatever order the rows came in
-    x, y = x[order], y[order]
-    held = np.arange(len(y)) % 4 == 3
     model = boosting.fit(x[~held], y[~held])
-    model.threshold = boosting.calibrate(model, x[held], y[held], PRECISION)
+    model.threshold = np.array([boosting.calibrate(model, x[own], y[own], PRECISION)
+                                for own in (held & (kind == k) for k in range(len(KINDS)))])
     return model
 
 
+def fit(docs: DataFrame, text_col: str = "text") -> boosting.BoostedTrees | None:
+    """Trees and thresholds from at most SAMPLE labelled candidates of each kind and label."""
+    return fit_rows(training_rows(docs, text_col))
+
+
 def _selected(texts: list[str], model: boosting.BoostedTrees | None):
     """Base and added spans of each text; candidates of all texts are scored at once."""
     base = [base_spans(t) for t in texts]
@@ -218,9 +305,10 @@ def _selected(texts: list[str], model: boosting.BoostedTrees | None):
     rest = [_apart(candidates(t), b) for t, b in zip(texts, base)]
     shapes = [s for t, r in zip(texts, rest) for s in _described(t, r)]
     scores = iter(model.probability(np.array(shapes, float)).tolist() if shapes else [])
+    threshold = np.broadcast_to(model.threshold, len(KINDS)).tolist()
     out = []
     for b, r in zip(base, rest):
-        passed = sorted(((p, c) for c in r if (p := next(scores)) >= model.threshold), key=lambda v: (-v[0], v[1]))
+        passed = sorted(((p, c) for c in r if (p := next(scores)) >= threshold[c[1]]), key=lambda v: (-v[0], v[1]))
         out.append((b, _disjoint([c for _, c in passed])))  # of overlapping ones the likeliest
     return out
 
@@ -250,7 +338,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return base.mapInArrow(
-        _spans(fit(docs, id_col, text_col)),
+        _spans(fit(docs, text_col)),
         f"doc_id {id_type(docs, id_col)}, n_email long, n_ip long, n_card long, n_phone long, "
         "base_sha256 string, spans string")
 
@@ -270,7 +358,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     All columns stay in place; a null text stays null.
     """
-    model = fit(docs, id_col, text_col)
+    model = fit(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

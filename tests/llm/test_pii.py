@@ -3,10 +3,17 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm import boosting, pii
 
 
+def task_rows(texts):
+    """Labelled candidates as one task gives them."""
+    batch, = pii._training(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]))
+    return sorted(zip(*(c.to_pylist() for c in batch.columns)), key=lambda r: r[:3])
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -124,15 +131,79 @@ def test_added_spans_reach_their_precision_on_held_out_texts():
                      'token = "%040x"' % rnd.getrandbits(160), "+1 (%03d) 555-%04d" % (rnd.randint(200, 999), rnd.randint(0, 9999)),
                      "word"][kind]
         return " ".join(words), kind
-    import pyarrow as pa
     made = [text() for _ in range(3000)]
-    x, y = [], []
-    for batch in pii._training([pa.RecordBatch.from_arrays([pa.array([t for t, _ in made[:1500]])], ["text"])]):
-        x += batch.column(0).to_pylist()
-        y += batch.column(1).to_pylist()
-    model = boosting.fit(np.array(x), np.array(y, float))
-    model.threshold = 0.5
+    model = pii.fit_rows(task_rows([t for t, _ in made[:1500]]))
     found = pii._selected([t for t, _ in made[1500:]], model)
     added = [(kind, [pii.KINDS[k] for _, k, _ in more]) for (_, kind), (_, more) in zip(made[1500:], found)]
     assert sum(kinds == ["secret"] for kind, kinds in added if kind == 2) > 0.95 * sum(kind == 2 for kind, _ in added)
     assert sum(bool(kinds) for kind, kinds in added if kind != 2) < 0.02 * len(added)
+
+
+def prose(rnd, n=12):
+    return " ".join(rnd.choice(["lorem", "ipsum", "at", "dolor", "amet.", "Sit", "at and.", "of"]) for _ in range(n))
+
+
+def personal(rnd):
+    while True:
+        card = "%016d" % rnd.randint(4 * 10 ** 15, 6 * 10 ** 15)
+        if luhn(card):
+            break
+    return [f"{rnd.choice('abcdef')}.{rnd.choice(['smith', 'jones', 'kay'])}{rnd.randint(1, 99)}@{rnd.choice(['mail', 'post'])}.example.org",
+            ".".join(str(rnd.randint(1, 255)) for _ in range(4)), card,
+            "+1 (%03d) 555-%04d" % (rnd.randint(200, 999), rnd.randint(0, 9999))]
+
+
+def corpus(n, seed):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        more = [*personal(rnd), "%016d" % rnd.randint(10 ** 15, 10 ** 16 - 1), 'api_key: "%030x"' % rnd.getrandbits(120),
+                "%d.%d.%d.%d" % tuple(rnd.randint(256, 999) for _ in range(4)), "supercalifragilisticexpialidocious"]
+        out.append(f"{prose(rnd)} {more[i % len(more)]} {prose(rnd)}")
+    return out
+
+
+def test_labels_do_not_follow_from_features():
+    """A secret's features hide the name it is assigned to; written-out forms in texts have no label."""
+    bare = pii._described("x 0123456789abcdef0123456789 y", [(2, pii.SECRET, 28)])
+    text = "x token = 0123456789abcdef0123456789 y"
+    assert pii._described(text, [(10, pii.SECRET, 36)]) == bare
+    assert [row[:2] for row in pii.labelled(text)] == [(pii.SECRET, 1)]
+    for form in ("jane.doe (at) example.org", "jane at example dot org", "jane[at]example.org. The end", "10,20,30,40",
+                 "(620) 555-8424"):
+        assert not [row for row in pii.labelled(f"lorem {form} ipsum") if row[1] == 0 and row[0] == pii.candidates(form)[0][1]], form
+    assert [row[:2] for row in pii.labelled("look at example. The end")] == [(0, 0)]
+    card = [row[:2] for row in pii.labelled("pay 4111 1111 1111 1111 now") if row[3] == "4111.1111.1111.1111"]
+    assert sorted(card) == [(1, 0), (2, 1)]  # an address by its shape only
+
+
+def test_every_written_out_form_is_selected_with_its_kind():
+    """Forms of spans that the trees never saw, in new texts; plain texts and failing numbers stay."""
+    model = pii.fit_rows(task_rows(corpus(1600, 5)))
+    rnd, asked, right = random.Random(6), {}, {}
+    for _ in range(60):
+        for kind, span in enumerate(personal(rnd)):
+            for shape, form in enumerate(pii._written_out(kind, span)):
+                text = f"lorem ipsum {form} dolor sit"
+                (base, added), = pii._selected([text], model)
+                asked[kind, shape] = asked.get((kind, shape), 0) + 1
+                right[kind, shape] = right.get((kind, shape), 0) + ((12, kind, 12 + len(form)) in added and len(added) == 1)
+    assert {k: right[k] / n for k, n in asked.items() if right[k] < 0.95 * n} == {}
+    clean = [t for t in corpus(1600, 7) if not pii.base_spans(t) and "api_key" not in t]
+    assert sum(bool(added) for _, added in pii._selected(clean, model)) < 0.02 * len(clean)
+
+
+def test_training_rows_are_the_least_hashes_of_the_whole_table(documents, monkeypatch):
+    """Neither order, copies nor the split into tasks changes them; a rare kind is always there."""
+    monkeypatch.setattr(pii, "SAMPLE", 20)
+    rare = "lorem token = 0123456789abcdef0123456789abcdef ipsum"
+    texts = [t for t in corpus(300, 8) if "api_key" not in t] + [rare]
+    got = pii.training_rows(documents(texts).repartition(5))
+    assert pii.training_rows(documents([*texts[::-1], *texts, None, ""]).repartition(3)) == got
+    monkeypatch.setattr(pii, "SAMPLE", 10 ** 6)
+    groups = {}
+    for row in task_rows(texts):
+        groups.setdefault(row[:2], []).append(row)
+    assert [tuple(r) for r in got] == [r for g in sorted(groups) for r in groups[g][:20]]
+    assert [r.label for r in got if r.kind == pii.SECRET].count(1) == 1
+    assert pii.fit(documents([])) is None
