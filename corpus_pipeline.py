@@ -2,13 +2,14 @@
 
 Every stage takes documents with null ids, null or empty texts, ids that stand for several texts,
 repeated rows and further columns of any name, and gives an empty result for an empty table. Rows
-are told apart by doc_id and a hash of the text, in the exact stage by a row number of its own.
+are told apart by doc_id and a hash of the text, in the exact stage by their place in the stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +41,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without_rejected(docs, _document(), quality.quality_rules, "quality-rejected")
 
 
+def _told_apart(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with a ``column`` that differs from row to row and is the same at every reading.
+
+    A stored Parquet table has it in file and row number; any other table is stored once with numbers.
+    """
+    if "_metadata" not in {c.lower() for c in docs.columns}:
+        try:
+            return docs.withColumn(column, F.struct(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")))
+        except AnalysisException:  # no Parquet files below
+            pass
+    return cut(docs.withColumn(column, F.monotonically_increasing_id()), "numbered")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts exactly one row: that of the largest id (null is the least), of rows that
-    repeat the id the last one (operator 5). The row numbers are stored with a copy of the
-    stage's input, so that every reading of it has the same. Null texts equal empty ones."""
+    repeat the id any one, the same at every reading (operator 5). Null texts equal empty ones."""
     row = _free(docs)
-    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = _told_apart(docs, row)
     kept = _without_rejected(numbered, F.struct("doc_id", row), exact_dup.exact_duplicates, "exact-copies")
     return kept.drop(row)
 
