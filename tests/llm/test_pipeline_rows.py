@@ -1,8 +1,10 @@
 """Pipeline stages on odd, repeated and empty tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from strata.llm._util import cut
 
 STAGES = dict(P.STAGES)
 
@@ -18,6 +20,22 @@ def test_one_row_of_each_repeated_group_stays(spark, documents):
     assert got == sorted([(1, texts(1)), (3, texts(2).upper()), (None, texts(4)), (5, texts(5)), (5, texts(6))], key=str)
 
 
+def test_stored_tables_are_not_stored_again(spark, documents, tmp_path, monkeypatch):
+    """Rows of Parquet files are told apart by their place; a column called _metadata changes nothing."""
+    names = []
+    monkeypatch.setattr(P, "cut", lambda df, name: names.append(name) or cut(df, name))
+    rows = [(1, texts(1)), (1, texts(1)), (None, texts(2)), (None, texts(2)), (3, texts(2)), (None, texts(4)), (None, texts(4)), (6, None)]
+    wanted = sorted([(1, texts(1)), (3, texts(2)), (None, texts(4)), (6, None)], key=str)
+    documents(rows).repartition(3).write.parquet(str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    for docs, copies in ((stored, []), (stored.withColumn("_metadata", F.lit(1)), ["numbered"])):
+        names.clear()
+        out = STAGES["exact_dedup"](spark, docs, "")
+        assert out.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == wanted
+        assert names == [*copies, "exact-copies"]
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stages_take_odd_and_empty_tables(spark, documents, odd_rows, name):
     for rows in ([], odd_rows):
