@@ -177,6 +177,12 @@ def remove_file(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, False)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` with all below it through its Hadoop file system."""
+    hpath, fs = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def _leaf_partitions(fs, root_path, depth: int) -> list:
     """``col=value`` directories ``depth`` levels below ``root_path``."""
     level = [root_path]
@@ -213,8 +219,7 @@ def list_partitions(spark: SparkSession, root: str, depth: int) -> list[str]:
 
 def drop_partitions(spark: SparkSession, root: str, folders: list[str]) -> None:
     for folder in folders:
-        hpath, fs = _fs(spark, f"{root}/{folder}")
-        fs.delete(hpath, True)
+        remove_folder(spark, f"{root}/{folder}")
 
 
 def publish_staged(spark: SparkSession, staging: str, target: str, by: list[str],
