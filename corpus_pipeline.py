@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from strata.llm import exact_dup, near_dup, packing, pii, quality
 from strata.llm._util import cut, tokenizer_path
+from strata.session import scratch_path
+from strata.sinks.writers import remove_folder
+
 
 def _free(docs: DataFrame) -> str:
     """A column name that ``docs`` does not have."""
@@ -90,7 +93,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, each written and read again; a stage's table goes when the next one stands."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
