@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -125,18 +126,18 @@ class Index:
                 self.posting[grams[at]].append((t, at))
 
 
-def align(doc: list[int], template: list[int], start: int, band: int) -> tuple[int, int, int, int]:
+def align(doc: list[int], template: list[int], start: int, band: int, reach: int = 0) -> tuple[int, int, int, int]:
     """Most template words matched in order, with the first and last matched place in ``doc``.
 
     ``start`` is where the template begins on its diagonal; cells further than ``band``
-    from it are not visited. A match gains 2, a skipped or replaced word costs 1, so the
+    from it, and from the ``reach`` diagonals behind it, are not visited. A match gains 2, a skipped or replaced word costs 1, so the
     span is as tight as it can be. Returns (matched, first, last + 1, score).
     """
     before: dict[int, tuple[int, int, int, int]] = {}
     best = (0, 0, 0, 0)
     for i, word in enumerate(template):
         now: dict[int, tuple[int, int, int, int]] = {}
-        for d in range(-band, band + 1):
+        for d in range(-band, reach + band + 1):
             j = start + i + d
             if not 0 <= j < len(doc):
                 continue
@@ -144,8 +145,9 @@ def align(doc: list[int], template: list[int], start: int, band: int) -> tuple[i
             diagonal, up, left = before.get(d), before.get(d + 1), now.get(d - 1)
             options = []
             if doc[j] == word:
-                options.append((diagonal[0] + 2, diagonal[1] + 1, diagonal[2], j + 1) if diagonal
-                               else (2, 1, -j, j + 1))
+                options.append((2, 1, -j, j + 1))
+                if diagonal:
+                    options.append((diagonal[0] + 2, diagonal[1] + 1, diagonal[2], j + 1))
             elif diagonal:
                 options.append((diagonal[0] - 1, *diagonal[1:]))
             if up:
@@ -160,6 +162,30 @@ def align(doc: list[int], template: list[int], start: int, band: int) -> tuple[i
     return best[1], -best[2], best[3], best[0]
 
 
+def _chained(starts: list[int], size: int, band: int) -> list[tuple[int, int]]:
+    """(first, last) of the runs of seed diagonals that one place of a template may join.
+
+    Words put in or left out move the rest of a place to another diagonal, by less than half of
+    the template's ``size`` words at the least coverage. Diagonals closer than that are linked, and a
+    linked row is cut into windows of that width, each half over the next.
+    """
+    half = max(1, size // 2)
+    out, row = [], []
+    for start in [*starts, None]:
+        if row and (start is None or start - row[-1] > half):
+            low = row[0]
+            while True:
+                own = row[bisect_left(row, low):bisect_left(row, low + 2 * half)]
+                if own and own[-1] - own[0] > band:  # closer ones are in the band of one diagonal
+                    out.append((own[0], own[-1]))
+                if low + 2 * half > row[-1]:
+                    break
+                low += half
+            row = []
+        row.append(start)
+    return out
+
+
 def scan(text: str, index: Index, band: int = BAND, coverage: int = COVERAGE) -> list[tuple[str, int, int, int, int]]:
     """(license, matched words, template words, start, end) of each place, by start.
 
@@ -168,20 +194,21 @@ def scan(text: str, index: Index, band: int = BAND, coverage: int = COVERAGE) ->
     """
     low = ascii_lowered(text)
     ids = [index.words.get(w, 0) for w in words_of(low)]
-    diagonals: set[tuple[int, int]] = set()
+    diagonals: dict[int, set[int]] = defaultdict(set)
     posting, known = index.posting, 0
     for at, word in enumerate(ids):
         known = known + 1 if word else 0
         if known >= GRAM:
             first = at - GRAM + 1
             for t, place in posting.get(tuple(ids[first:at + 1]), ()):
-                diagonals.add((t, first - place))
+                diagonals[t].add(first - place)
     found = set()
-    for t, start in diagonals:
+    for t, start, last in [(t, *run) for t, own in diagonals.items() for run in
+                           (*((s, s) for s in own), *_chained(sorted(own), len(index.templates[t]), band))]:
         template, needed = index.templates[t], index.needed[t]
-        if not needed.issubset(ids[max(0, start - band):max(0, start + len(template) + band)]):
+        if not needed.issubset(ids[max(0, start - band):max(0, last + len(template) + band)]):
             continue
-        matched, first, end, _ = align(ids, template, start, band)
+        matched, first, end, _ = align(ids, template, start, band, last - start)
         place = set(ids[first:end])
         if (100 * matched >= coverage * max(len(template), end - first)  # words put in count, too
                 and needed <= place and place & index.terms <= needed):
@@ -192,8 +219,9 @@ def scan(text: str, index: Index, band: int = BAND, coverage: int = COVERAGE) ->
     taken: list[tuple[int, int]] = []
     out = []
     for negative, first, name, end, size in sorted(found):
-        if all(end <= a or b <= first for a, b in taken):
-            taken.append((first, end))
+        at = bisect_left(taken, (first, end))
+        if (at == 0 or taken[at - 1][1] <= first) and (at == len(taken) or end <= taken[at][0]):
+            taken.insert(at, (first, end))
             out.append((name, -negative, size, spans[first][0], spans[end - 1][1]))
     return sorted(out, key=lambda m: (m[3], m[0]))
 

@@ -193,6 +193,56 @@ def test_license_places(documents, odd_rows):
     assert licenses.license_matches(documents([])).count() == 0
 
 
+def changed_notice(rnd, words, share):
+    """``words`` with one run put in, one left out and some replaced, together at most a ``share`` of them."""
+    words = list(words)
+    budget = int(share * len(words))
+    put = rnd.randint(0, budget)
+    left = rnd.randint(0, budget - put)
+    for at in rnd.sample(range(len(words)), budget - put - left):
+        words[at] = "xx"
+    at = rnd.randrange(1, len(words))
+    words[at:at] = ["yy"] * put
+    at = rnd.randrange(1, len(words) - left)
+    del words[at:at + left]
+    return words
+
+
+def test_license_scan_against_alignment_over_whole_texts():
+    """Places of which an alignment without a band matches 80 % are found, runs of any place put in or left out."""
+    rnd = random.Random(4)
+    index = licenses.Index(licenses.TEMPLATES)
+    long = [t for t, words in enumerate(index.templates) if len(words) > 24]
+    held = found = 0
+    for _ in range(120):
+        t = rnd.choice(long)
+        notice = changed_notice(rnd, licenses.words_of(licenses.ascii_lowered(licenses.TEMPLATES[index.names[t]])), 0.18)
+        text = " ".join(["zz"] * rnd.randint(0, 40) + notice + ["zz"] * rnd.randint(0, 40))
+        ids = [index.words.get(w, 0) for w in licenses.words_of(text)]
+        best = []
+        for u, template in enumerate(index.templates):
+            matched, first, end, _ = licenses.align(ids, template, -len(template), 0, len(ids) + len(template))
+            place = set(ids[first:end])
+            if (100 * matched >= licenses.COVERAGE * max(len(template), end - first)
+                    and index.needed[u] <= place and place & index.terms <= index.needed[u]):
+                best.append((-matched, first, index.names[u]))
+        if best:
+            held += 1
+            got = licenses.scan(text, index)
+            found += any((-matched, name) == (min(best)[0], min(best)[2]) for name, matched, *_ in got)
+    assert held > 75 and found >= 0.97 * held, (found, held)
+
+
+def test_a_run_put_into_a_notice():
+    index = licenses.Index(licenses.TEMPLATES)
+    words = licenses.TEMPLATES["MIT-permission"].replace("/", " ").split()
+    for n in (3, 5, 8, 12):
+        text = " ".join(words[:30] + ["inserted"] * n + words[30:])
+        assert [(m[0], m[1]) for m in licenses.scan(text, index)] == [("MIT-permission", len(words))], n
+    for n in (2, 3):  # copies next to each other stay places of their own
+        assert [m[0] for m in licenses.scan(" ".join(words * n), index)] == ["MIT-permission"] * n
+
+
 def test_license_variants_are_told_apart():
     index = licenses.Index(licenses.TEMPLATES)
     for name, template in licenses.TEMPLATES.items():
