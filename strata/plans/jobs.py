@@ -32,7 +32,6 @@ from strata.sources.files import path_length, read_delimited
 WRITE_LAYOUT = {"bancos": "none", "empregados": "none", "reclamacoes": "rebalance"}
 
 
-
 def sor_frame(spark: SparkSession, dataset: str, input_path: str | list[str],
               ref_date: _dt.date | str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """Raw file(s) as all-string columns + ``anomesdia`` (run date, or the quarter's
@@ -236,9 +235,14 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             overwrite: str = "table", materialize: str = "stage",
             fmt: str = "parquet", sep: str = ";", only: DataFrame | None = None,
             run_id: str | None = None, states_root: str | None = None,
-            quarantine_root: str | None = None, max_rejected: float = 1.0) -> SotResult:
+            quarantine_root: str | None = None, max_rejected: float = 1.0,
+            layout: str = "none") -> SotResult:
     """Transform, measure, check, gate, publish.
 
+    ``layout``: of the trusted files (:mod:`strata.sinks.writers`). A raw table lies by quarter
+    in files of the advisory size, and so do the trusted rows that a task makes from them: no
+    shuffle is needed. ``'rebalance'`` merges the rows of many small raw files, as a stream leaves them.
+
     ``only`` (distinct partition values of the trusted table) limits the load to those
     partitions, NULL values included. ``run_id`` names the metrics of this load: a repeat
     replaces them.
@@ -284,7 +288,7 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
         staging = scratch_path(spark, f"stage_{dataset}")
         written = Q.WriteMetrics(Q.suite_analyzers(profile.analyzers, [profile.check]))
         W.write_partitioned(frame, staging, by=by, fmt="parquet", overwrite="table",
-                            layout=WRITE_LAYOUT[dataset], observe=written.observe)
+                            layout=layout, observe=written.observe)
         df = spark.read.schema(frame.schema).parquet(staging)
         values = written.values(df)
     elif materialize == "persist":
@@ -303,7 +307,7 @@ def run_sot(spark: SparkSession, dataset: str, sor: DataFrame, output_path: str,
             W.publish_staged(spark, staging, output_path, by, overwrite)
         else:
             W.write_partitioned(df, output_path, by=by, fmt=fmt, sep=sep, overwrite=overwrite,
-                                layout=WRITE_LAYOUT[dataset])
+                                layout=layout)
         if states:
             W.publish_staged(spark, states, states_root, by, overwrite)
         if table:

@@ -145,7 +145,8 @@ class Landing:
         sor = _sor(spark, dataset, self.sor_root)
         last = sor.agg(F.max("batch_id")).first()[0]
         J.run_sot(spark, dataset, sor, f"{self.sot_root}/{dataset}", self.ref_date,
-                  dq_root=self.dq_root, overwrite="table", run_id=f"batch-{last}")
+                  dq_root=self.dq_root, overwrite="table", run_id=f"batch-{last}",
+                  layout=J.WRITE_LAYOUT[dataset])
 
     def refresh_partitions(self, spark: SparkSession, dataset: str, batch: DataFrame,
                            batch_id: int) -> None:
