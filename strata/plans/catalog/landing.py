@@ -150,8 +150,7 @@ def stream_refresh_partitions(spark, sf_dir):
     raw = _respelled(RR.raw_reclamacoes(spark, sf_dir))
     first = F.col("Quantidade de reclamações reguladas - outras").cast("int") % 3 == 0
     for wave in (first, ~first):
-        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
-                                empty_value="", mode="append")
+        RR.land(raw.filter(wave), f"{root}/landing/Reclamacoes", sep=";", mode="append")
         ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
                           timeout_s=900, sot_root=f"{root}/sot", refresh="partitions")
     return spark.read.parquet(f"{root}/sot/reclamacoes").drop("dat_hor_psst", "anomesdia")
@@ -216,8 +215,7 @@ def stream_refresh_pruned(spark, sf_dir):
     late = (F.col("Quantidade de reclamações reguladas - outras").cast("int") % 3 == 0) \
         & F.substring(F.trim("Trimestre"), 1, 1).isin("2", "4")
     for wave in (~late, late):
-        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
-                                empty_value="", mode="append")
+        RR.land(raw.filter(wave), f"{root}/landing/Reclamacoes", sep=";", mode="append")
         ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
                           timeout_s=900, sot_root=f"{root}/sot", refresh="partitions")
     last = max(int(name.partition("=")[2]) for name in sinks.list_names(spark, f"{root}/sor/reclamacoes")
@@ -244,8 +242,7 @@ def stream_refresh_metrics(spark, sf_dir):
     raw = RR.raw_reclamacoes(spark, sf_dir)
     odd = F.substring(F.trim("Trimestre"), 1, 1).isin("1", "3")
     for wave in (odd, ~odd):
-        sinks.write_partitioned(raw.filter(wave), f"{root}/landing/Reclamacoes", fmt="csv", sep=";",
-                                empty_value="", mode="append")
+        RR.land(raw.filter(wave), f"{root}/landing/Reclamacoes", sep=";", mode="append")
         ST.stream_landing(spark, f"{root}/landing", f"{root}/sor", f"{root}/checkpoint", ref_date=REF_DATE,
                           timeout_s=900, sot_root=f"{root}/sot", dq_root=f"{root}/dq", refresh="partitions")
     m = spark.read.parquet(f"{root}/dq")

@@ -103,17 +103,26 @@ def raw_empregados_tax_id_variant(spark: SparkSession, sf_dir: str) -> DataFrame
     return n.select(*[c.alias(n_) for c, n_ in zip(cols, SC.EMPLOYER_FIELDS)])
 
 
-def land_raw_files(spark: SparkSession, sf_dir: str, landing: str) -> dict[str, str]:
-    """Write the three feeds below ``landing/<Dataset>/``; returns dataset -> folder."""
-    out = {"bancos": f"{landing}/Bancos", "reclamacoes": f"{landing}/Reclamacoes",
-           "empregados": f"{landing}/Empregados"}
-    write_partitioned(raw_bancos(spark, sf_dir), out["bancos"], fmt="csv", sep="\t")
-    write_partitioned(raw_reclamacoes(spark, sf_dir), out["reclamacoes"], fmt="csv", sep=";",
-                      empty_value="")
-    write_partitioned(raw_empregados(spark, sf_dir), out["empregados"], fmt="csv", sep="|",
-                      empty_value="")
-    write_partitioned(raw_empregados_tax_id_variant(spark, sf_dir), out["empregados"],
-                      fmt="csv", sep="|", empty_value="", mode="append")
+LAND_ROWS = 250_000  # lines of a landed file: gzip files are read whole, by one task each
+
+
+def land(raw: DataFrame, folder: str, sep: str, empty_value: str | None = "", mode: str = "overwrite") -> str:
+    """Write a feed as gzip CSV files of bounded size."""
+    return write_partitioned(raw, folder, fmt="csv", sep=sep, empty_value=empty_value, mode=mode,
+                             compression="gzip", max_records_per_file=LAND_ROWS)
+
+
+def land_raw_files(spark: SparkSession, sf_dir: str, landing: str,
+                   datasets: tuple[str, ...] = ("bancos", "reclamacoes", "empregados")) -> dict[str, str]:
+    """Write the feeds of ``datasets`` below ``landing/<Dataset>/``; returns dataset -> folder."""
+    out = {d: f"{landing}/{d.capitalize()}" for d in datasets}
+    if "bancos" in out:
+        land(raw_bancos(spark, sf_dir), out["bancos"], sep="\t", empty_value=None)
+    if "reclamacoes" in out:
+        land(raw_reclamacoes(spark, sf_dir), out["reclamacoes"], sep=";")
+    if "empregados" in out:
+        land(raw_empregados(spark, sf_dir), out["empregados"], sep="|")
+        land(raw_empregados_tax_id_variant(spark, sf_dir), out["empregados"], sep="|", mode="append")
     return out
 
 
