@@ -24,24 +24,22 @@ def _sor_schema(dataset: str) -> T.StructType:
     return s.add("anomesdia", T.StringType())
 
 
-def layers(spark, sf_dir, upto: str = "sot") -> dict:
-    """Run the layer jobs once per application and table folder; returns paths."""
+_DATASETS = ("bancos", "reclamacoes", "empregados")
+
+
+def layers(spark, sf_dir, upto: str = "sot", datasets: tuple[str, ...] = _DATASETS) -> dict:
+    """Run the layer jobs of ``datasets`` once per application and table folder; returns paths."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    state = _LAYERS.setdefault(key, {})
-    if "sor" not in state:
-        root = scratch_path(spark, "layers")
-        landing = RR.land_raw_files(spark, sf_dir, f"{root}/landing")
-        state["root"] = root
-        state["sor"] = {d: J.run_sor(spark, d, landing[d], f"{root}/sor/{d}", REF_DATE)
-                        for d in landing}
-    if upto in ("sot", "spec") and "sot" not in state:
-        root = state["root"]
-        done = {}
-        for d, path in state["sor"].items():
-            sor = spark.read.schema(_sor_schema(d)).parquet(path)
+    state = _LAYERS.setdefault(key, {"sor": {}, "sot": {}})
+    root = state.setdefault("root", scratch_path(spark, "layers"))
+    for d in datasets:
+        if d not in state["sor"]:
+            landing = RR.land_raw_files(spark, sf_dir, f"{root}/landing", (d,))
+            state["sor"][d] = J.run_sor(spark, d, landing[d], f"{root}/sor/{d}", REF_DATE)
+        if upto in ("sot", "spec") and d not in state["sot"]:
+            sor = spark.read.schema(_sor_schema(d)).parquet(state["sor"][d])
             J.run_sot(spark, d, sor, f"{root}/sot/{d}", REF_DATE, dq_root=f"{root}/data_quality")
-            done[d] = f"{root}/sot/{d}"
-        state["sot"] = done
+            state["sot"][d] = f"{root}/sot/{d}"
     return state
 
 
@@ -51,19 +49,19 @@ def layers(spark, sf_dir, upto: str = "sot") -> dict:
        '20230814' AS anomesdia
 FROM supplier""")
 def job_sor_bancos(spark, sf_dir):
-    return spark.read.schema(_sor_schema("bancos")).parquet(layers(spark, sf_dir, "sor")["sor"]["bancos"])
+    return spark.read.schema(_sor_schema("bancos")).parquet(layers(spark, sf_dir, "sor", ("bancos",))["sor"]["bancos"])
 
 
 @register("job_sor_reclamacoes", RR.SQL_SOR_COMPLAINTS)
 def job_sor_reclamacoes(spark, sf_dir):
     return spark.read.schema(_sor_schema("reclamacoes")).parquet(
-        layers(spark, sf_dir, "sor")["sor"]["reclamacoes"])
+        layers(spark, sf_dir, "sor", ("reclamacoes",))["sor"]["reclamacoes"])
 
 
 @register("job_sor_empregados", RR.SQL_SOR_EMPLOYERS)
 def job_sor_empregados(spark, sf_dir):
     return spark.read.schema(_sor_schema("empregados")).parquet(
-        layers(spark, sf_dir, "sor")["sor"]["empregados"])
+        layers(spark, sf_dir, "sor", ("empregados",))["sor"]["empregados"])
 
 
 _SOT_READ = {
@@ -74,13 +72,13 @@ _SOT_READ = {
 
 @register("job_sot_bancos", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_BANKS}) t""")
 def job_sot_bancos(spark, sf_dir):
-    df = spark.read.schema(_SOT_READ["bancos"]).parquet(layers(spark, sf_dir)["sot"]["bancos"])
+    df = spark.read.schema(_SOT_READ["bancos"]).parquet(layers(spark, sf_dir, datasets=("bancos",))["sot"]["bancos"])
     return df.drop("dat_hor_psst")
 
 
 @register("job_sot_reclamacoes", RR.SQL_SOT_COMPLAINTS)
 def job_sot_reclamacoes(spark, sf_dir):
-    df = spark.read.parquet(layers(spark, sf_dir)["sot"]["reclamacoes"])
+    df = spark.read.parquet(layers(spark, sf_dir, datasets=("reclamacoes",))["sot"]["reclamacoes"])
     return df.drop("dat_hor_psst")
 
 
@@ -88,8 +86,7 @@ def job_sot_reclamacoes(spark, sf_dir):
 def job_raw_to_sot_reclamacoes(spark, sf_dir):
     """Landing files -> raw -> trusted complaints, every step run by each call."""
     root = scratch_path(spark, "raw_to_sot")
-    sinks.write_partitioned(RR.raw_reclamacoes(spark, sf_dir), f"{root}/landing", fmt="csv", sep=";",
-                            empty_value="")
+    RR.land(RR.raw_reclamacoes(spark, sf_dir), f"{root}/landing", sep=";")
     sor = J.run_sor(spark, "reclamacoes", f"{root}/landing", f"{root}/sor", REF_DATE)
     done = J.run_sot(spark, "reclamacoes", spark.read.schema(_sor_schema("reclamacoes")).parquet(sor),
                      f"{root}/sot", REF_DATE, dq_root=f"{root}/dq")
@@ -107,7 +104,7 @@ FROM t WHERE num_cnpj_instituicao IS NULL""")
 def job_sot_quarantine(spark, sf_dir):
     """Trusted complaints with rows without a tax id put aside: rows and client sums of both tables."""
     root = scratch_path(spark, "sot_quarantine")
-    sor = spark.read.schema(_sor_schema("reclamacoes")).parquet(layers(spark, sf_dir, "sor")["sor"]["reclamacoes"])
+    sor = spark.read.schema(_sor_schema("reclamacoes")).parquet(layers(spark, sf_dir, "sor", ("reclamacoes",))["sor"]["reclamacoes"])
     J.run_sot(spark, "reclamacoes", sor, f"{root}/sot", REF_DATE, dq_root=f"{root}/dq",
               quarantine_root=f"{root}/quarantine", run_id="load-1", max_rejected=0.2)
     places = {"trusted": spark.read.parquet(f"{root}/sot").withColumn(Q.ROW_FAILURES, F.array().cast("array<string>")),
@@ -120,7 +117,7 @@ def job_sot_quarantine(spark, sf_dir):
 
 @register("job_sot_empregados", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_EMPLOYERS}) t""")
 def job_sot_empregados(spark, sf_dir):
-    path = layers(spark, sf_dir)["sot"]["empregados"]
+    path = layers(spark, sf_dir, datasets=("empregados",))["sot"]["empregados"]
     df = spark.read.parquet(path)
     return df.withColumn("anomesdia", F.col("anomesdia").cast("string")).drop("dat_hor_psst")
 
@@ -252,7 +249,7 @@ FROM lineitem""")
 def job_sot_gate_stop(spark, sf_dir):
     """Complaints load with a 0.99 tax-id completeness floor: the gate must stop the
     write (metrics are still appended)."""
-    state = layers(spark, sf_dir, "sor")
+    state = layers(spark, sf_dir, "sor", ("reclamacoes",))
     sor = spark.read.schema(_sor_schema("reclamacoes")).parquet(state["sor"]["reclamacoes"])
     out = scratch_path(spark, "sot_gate")
     profile = J.quality_profile("reclamacoes", {"num_cnpj_instituicao": 0.99})
@@ -275,7 +272,7 @@ FROM supplier""")
 def job_sor_bancos_csv(spark, sf_dir):
     """File-based layers: SoR as ';' CSV with per-date overwrite, loaded twice (the
     second load replaces the same date partition, no duplicates)."""
-    state = layers(spark, sf_dir, "sor")
+    state = layers(spark, sf_dir, "sor", ("bancos",))
     out = scratch_path(spark, "sor_csv")
     src = f"{state['root']}/landing/Bancos"
     for _ in range(2):
@@ -287,7 +284,7 @@ def job_sor_bancos_csv(spark, sf_dir):
 @register("job_sot_bancos_csv", f"""SELECT *, '20230814' AS anomesdia FROM ({RR.SQL_SOT_BANKS}) t""")
 def job_sot_bancos_csv(spark, sf_dir):
     """SoT written as ';' CSV (checked from the staged Parquet, then rewritten)."""
-    state = layers(spark, sf_dir, "sor")
+    state = layers(spark, sf_dir, "sor", ("bancos",))
     sor = spark.read.schema(_sor_schema("bancos")).parquet(state["sor"]["bancos"])
     out = scratch_path(spark, "sot_csv")
     J.run_sot(spark, "bancos", sor, out, REF_DATE, fmt="csv", overwrite="partitions")

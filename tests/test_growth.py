@@ -40,3 +40,15 @@ def test_landed_files_are_compressed_and_bounded(spark, scratch, monkeypatch):
     assert landed.count() == rows
     # blank and empty fields are as they were rendered; an empty field is read as NULL
     assert landed.select(raw.columns).na.fill("").exceptAll(raw.na.fill("")).count() == 0
+
+
+def test_a_bank_query_loads_the_banks_only(spark, monkeypatch):
+    monkeypatch.setattr(L, "_LAYERS", {})
+    assert L.job_sot_bancos(spark, SF).count() == table(spark, SF, "supplier").count()
+    (state,) = L._LAYERS.values()
+    assert W.list_names(spark, f"{state['root']}/landing") == ["Bancos"]
+    assert list(state["sot"]) == ["bancos"]
+    # the others follow when a query reads them, and no load is run twice
+    assert list(L.layers(spark, SF)["sot"]) == ["bancos", "reclamacoes", "empregados"]
+    metrics = spark.read.parquet(f"{state['root']}/data_quality")
+    assert metrics.groupBy("nom_tab", "entity", "instance", "name").count().where("count > 1").isEmpty()
