@@ -383,12 +383,26 @@ def probe(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> (node, body, size): each text compressed by itself, with its size in bytes."""
+    """(doc_id, text_hash, text) -> (doc_id, text_hash, body, size): each text compressed by itself,
+    with its size in bytes."""
     for batch in text_slices(batches, "text"):
         texts = utf8(batch.column("text"))
         body = [pa.compress(t, CODEC, asbytes=True) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(body, pa.binary()),
-                                          pa.array([len(t) for t in texts], pa.int64())], ["node", "body", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(body, pa.binary()),
+                                          pa.array([len(t) for t in texts], pa.int64())],
+                                         ["doc_id", "text_hash", "body", "size"])
+
+
+def node_texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, body, size) of ``wanted`` (row: doc_id and text_hash, node) from the rows of ``base``.
+
+    Texts are compressed before they are shuffled, and shuffled once: the rows of a node lie
+    together by the key of the join, so that those which repeat it are merged in place.
+    """
+    bodies = base.mapInArrow(_compressed, f"doc_id {id_type(base, 'doc_id')}, text_hash long, body binary, size long")
+    return (bodies.select(F.struct("doc_id", "text_hash").alias("row"), "body", "size").join(wanted, "row")
+            .groupBy("row", "node").agg(F.first("body").alias("body"), F.first("size").alias("size"))
+            .select("node", "body", "size"))
 
 
 def _expanded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -460,11 +474,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .where("head < last").select("shingle", "head"))
     met = cut(rare.union(often.join(shared, "shingle").select("shingle", "node", "head")), "lists")
 
-    wanted = (nodes.select("node", F.col("row.doc_id").alias("at"), F.col("row.text_hash").alias("text_hash"))
-              .join(met.select("node").distinct(), "node", "left_semi"))
-    texts = cut(base.join(wanted, (base.text_hash == wanted.text_hash) & base.doc_id.eqNullSafe(wanted.at))
-                .groupBy("at", wanted.text_hash, "node").agg(F.first("text").alias("text"))
-                .select("node", "text").mapInArrow(_compressed, "node long, body binary, size long"), "texts")
+    wanted = nodes.select("row", "node").join(met.select("node").distinct(), "node", "left_semi")
+    texts = cut(node_texts(base.select("doc_id", "text_hash", "text"), wanted), "texts")
 
     def probed(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(*[F.col(c).alias(name) for c, name in zip(texts.columns, names)])
@@ -484,18 +495,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 .select("shingle", "node", F.coalesce("label", "node").alias("comp")))
 
     for turns in TURNS:
-        within = placed(parts)
-        tries = None
-        for turn in turns:
-            ones = (within.groupBy("shingle", "comp")
-                    .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("one"), F.count(F.lit(1)).alias("size")))
-            largest = (ones.groupBy("shingle").agg(F.max_by("one", F.struct("size", "comp")).alias("other"),
-                                                   F.max("size").alias("most"), F.count(F.lit(1)).alias("comps"))
-                       .where("comps > 1"))
-            tried = (ones.join(largest, "shingle").where("one <> other").groupBy("comp")
-                     .agg(F.max_by(F.struct("one", "other"), F.struct("most", F.xxhash64("shingle", F.lit(turn)))).alias("pair"))
-                     .select(F.col("pair.other").alias("a"), F.col("pair.one").alias("b")))
-            tries = tried if tries is None else tries.union(tried)
+        # one node of each component and list for every turn, from one pass over the lists
+        ones = (placed(parts).groupBy("shingle", "comp")
+                .agg(F.count(F.lit(1)).alias("size"),
+                     *[F.min_by("node", F.xxhash64("node", F.lit(t))).alias(f"one{t}") for t in turns]))
+        largest = (ones.groupBy("shingle")
+                   .agg(F.max("size").alias("most"), F.count(F.lit(1)).alias("comps"),
+                        *[F.max_by(f"one{t}", F.struct("size", "comp")).alias(f"other{t}") for t in turns])
+                   .where("comps > 1"))
+        each = F.explode(F.array(*[
+            F.struct(F.lit(t).alias("turn"), F.col(f"one{t}").alias("one"), F.col(f"other{t}").alias("other"),
+                     F.xxhash64("shingle", F.lit(t)).alias("rank")) for t in turns]))
+        tries = (ones.join(largest, "shingle").select("comp", "most", each.alias("try")).where("try.one <> try.other")
+                 .groupBy("comp", "try.turn")
+                 .agg(F.max_by(F.struct("try.one", "try.other"), F.struct("most", "try.rank")).alias("pair"))
+                 .select(F.col("pair.other").alias("a"), F.col("pair.one").alias("b")))
         within_size = (tries.distinct().join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b")
                        .where(within_reach).select("a", "b"))
         parts = cut(merged(parts, cut(probed(within_size), "merge")), "merged")

@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.llm import ngram_join
 from tests.llm.test_near_dup import corpus
@@ -137,3 +139,24 @@ def test_shingler_agrees_with_plain_words(texts, width):
     assert [len(x) for x in got] == [len(x) for x in want]
     for a, x in zip(got, want):
         assert all((len(np.intersect1d(a, b)) == len(x & y)) for b, y in zip(got, want))
+
+
+def test_compared_texts_are_shuffled_once_and_compressed(spark, documents):
+    """One exchange a side and none for the merge of rows that repeat an id and a text; null ids match."""
+    text = "one two three four five " * 40
+    docs = documents([(None, text), (None, text), (1, text), (1, text), (2, "other words"), (3, "not wanted")])
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    wanted = (base.where("text <> 'not wanted' and (doc_id is null or doc_id > 1)").distinct()
+              .select(F.struct("doc_id", "text_hash").alias("row"), F.xxhash64("text").alias("node")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ngram_join.node_texts(base, ngram_join.cut(wanted, "wanted"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(len(r.body) < r["size"] // 10 for r in rows) == [False, True]
+    texts = [pa.decompress(bytes(r.body), r["size"], ngram_join.CODEC, asbytes=True).decode() for r in rows]
+    assert sorted(texts) == sorted([text, "other words"])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -371,3 +372,16 @@ def test_prior_from_hosts_of_known_spread(spark):
     finally:
         quality.PRIOR_STRENGTH = monkey
     assert abs(mean - 0.25) < 0.02 and 6 < strength < 10.5
+
+
+def test_a_lineage_cut_leaves_no_shuffle_files(spark):
+    from strata.llm import _util
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    set_before, files = spark.conf.get(_util.CLEANUP, None), disk.getAllFiles().size()
+    rows = spark.range(5000).withColumn("k", F.col("id") % 700).repartition("k").groupBy("k").count()
+    assert _util.cut(rows, "shuffled").count() == 700
+    assert spark.conf.get(_util.CLEANUP, None) == set_before
+    deadline = time.time() + 20
+    while disk.getAllFiles().size() > files + 8 and time.time() < deadline:
+        time.sleep(0.5)
+    assert disk.getAllFiles().size() <= files + 8   # the count's own
