@@ -19,6 +19,11 @@ from strata.session import scratch_path
 from strata.sinks.writers import remove_folder
 
 
+#: Pre-tokens that a Python worker keeps in the packing stage. The workers live on beside the memory of the
+#: other stages, which have used the executor's heap by then, so a quarter of what packing alone keeps.
+KEPT_PIECES = packing.PRETOKENS // 4
+
+
 def _free(docs: DataFrame) -> str:
     """A column name that ``docs`` does not have."""
     name = "__document"
@@ -82,7 +87,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences (operator 9); a null or empty text is its end id alone."""
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), special_tokens=True)
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), special_tokens=True, pieces=KEPT_PIECES)
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),

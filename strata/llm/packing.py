@@ -50,11 +50,11 @@ class Encoder:
 
     So a text is cut at such spaces, and each distinct piece is tokenized once and kept, in two
     generations: when the young one is full it becomes the old one, from which pieces come
-    back as they are met. With ``special_tokens`` the text of an added token stands for its id, as ``tokenizers``
+    back as they are met; both together have ``pieces`` of them (and those of one call). With ``special_tokens`` the text of an added token stands for its id, as ``tokenizers``
     has it by default; such a text is tokenized whole.
     """
 
-    def __init__(self, path: str, special_tokens: bool = False) -> None:
+    def __init__(self, path: str, special_tokens: bool = False, pieces: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -64,6 +64,7 @@ class Encoder:
         vocabulary = self._tokenizer.get_vocab()
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self._spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+        self._pieces = PRETOKENS if pieces is None else pieces
         self._kept: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -85,7 +86,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if self._whole.search(t) else _CUT.split(t) if _odd(t) else t.split(" ") for t in texts]
-        if len(self._kept) > PRETOKENS // 2:
+        if len(self._kept) > self._pieces // 2:
             self._old, self._kept = self._kept, {}
         kept, old = self._kept, self._old
         heads = self._ids([parts[0] for parts in cut])
@@ -102,16 +103,16 @@ class Encoder:
         return out
 
 
-def encoder_of_worker(path: str, special_tokens: bool) -> Encoder:
+def encoder_of_worker(path: str, special_tokens: bool, pieces: int | None = None) -> Encoder:
     """The worker's encoder for a tokenizer file; a reused Python worker keeps it between tasks.
 
     Task functions come pickled by value, so their module's own globals are new in each task;
     what shall last is held by a module that is entered in the worker's ``sys.modules``.
     """
     holder = sys.modules.setdefault("_strata_worker", ModuleType("_strata_worker")).__dict__
-    key = ("encoder", path, special_tokens)
+    key = ("encoder", path, special_tokens, pieces)
     if key not in holder:
-        holder[key] = Encoder(path, special_tokens)
+        holder[key] = Encoder(path, special_tokens, pieces)
     return holder[key]
 
 
@@ -238,9 +239,9 @@ class _Task:
 
 
 def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, pool_tokens: int, schema: pa.Schema,
-            special_tokens: bool):
+            special_tokens: bool, pieces: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of_worker(path, special_tokens), end_id.to_bytes(WORD, "little")
+        encoder, end = encoder_of_worker(path, special_tokens, pieces), end_id.to_bytes(WORD, "little")
         task = _Task(tiers, step_tokens, TaskContext.get().partitionId() << 40)
         row = 0
 
@@ -263,7 +264,7 @@ def _packed(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int, po
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                    end_id: int = 0, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS,
-                   special_tokens: bool = False) -> DataFrame:
+                   special_tokens: bool = False, pieces: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     sequence_length, step_group.
 
@@ -272,6 +273,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     and ids may be null: each row is packed as its own document. Sequence ids are unique
     and the same when a task is run again; an empty table gives an empty result. With
     ``special_tokens`` the text of a special token gives its id, else the ids of its characters.
+    ``pieces`` (default ``PRETOKENS``): pre-tokens that a Python worker keeps between its tasks; fewer take
+    less memory and more time, and give the same rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -280,4 +283,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
             "sequence_id long, offset long, sequence_length long, step_group long")
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], form).schema)
     return base.mapInArrow(_packed(tokenizer, end_id, tuple(sorted(tiers, reverse=True)), step_tokens,
-                                   POOL_TOKENS, arrow, special_tokens), form)
+                                   POOL_TOKENS, arrow, special_tokens, pieces), form)

@@ -145,3 +145,17 @@ def test_a_worker_keeps_its_encoder_and_old_pieces(monkeypatch):
     for text in texts + texts[::-1]:
         assert small.encode([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
         assert len(small._old) + len(small._kept) <= 8 + 20
+
+
+def test_the_pipeline_keeps_fewer_pieces_and_gives_the_same_ids(spark, monkeypatch):
+    import corpus_pipeline
+    path = tokenizer_path("byte_bpe_50k.json")
+    small, whole = packing.Encoder(path, True, 8), packing.Encoder(path, True)
+    texts = [" ".join(f"word{i % 7} other{i} w" for i in range(j, j + 5)) for j in range(40)]
+    for text in texts + texts[::-1]:
+        assert small.encode([text]) == whole.encode([text])
+        assert len(small._old) + len(small._kept) <= 8 + 20 < packing.PRETOKENS
+    asked = []
+    monkeypatch.setattr(packing, "_packed", lambda *args: asked.append(args[-1]) or (lambda batches: batches))
+    corpus_pipeline.pack(spark, spark.createDataFrame([], "doc_id long, text string"), "")
+    assert asked == [corpus_pipeline.KEPT_PIECES] and asked[0] <= packing.PRETOKENS // 4
